@@ -37,6 +37,8 @@ def rolling_stats(filled: DataFrame, params: StageParams) -> DataFrame:
             "max_dpd_12m": F.max(v).over(trailing(12)),
             "max_x_nontdrm": F.max(v).over(trailing(params.x)).cast("int"),
             "npl_imputed": last_date(~F.col("observed") & is_npl(v)),
+            # previous row's stage-2 flag, for the stage-2 run starts
+            "prev_stage2": F.lag(flag(is_stage2_point(v)), 1).over(by_loan()),
         }
     ).withColumn("npl_date", F.greatest("npl_observed", "npl_imputed"))
 

@@ -26,8 +26,9 @@ def has_npl(npl: Column, rsd: Column) -> Column:
     return npl.isNotNull() & rsd.isNotNull()
 
 
-def reset_npl(events: DataFrame, params: StageParams) -> DataFrame:
-    """Adds ``zerobetween_date``, ``npl_date_reset`` and ``transferred``; keeps ``npl_date``."""
+def cure_between_date(params: StageParams) -> Column:
+    """O9 (whole-loan window): latest x-point zero event at least x months after the
+    NPL date and before the restructuring, for loans with NPL before restructuring."""
     npl, rsd, d = F.col("npl_date"), F.col("restructure_start_date"), F.col(DATE)
     before = has_npl(npl, rsd) & (npl < rsd)
     cured = (
@@ -36,12 +37,22 @@ def reset_npl(events: DataFrame, params: StageParams) -> DataFrame:
         & (month_diff(npl, d) >= params.x)
         & (d < rsd)
     )
+    return last_date(cured)
+
+
+def reset_columns() -> dict[str, Column]:
+    """O10/O11 from ``zerobetween_date``: the reset NPL date and the transfer flag."""
+    npl, rsd = F.col("npl_date"), F.col("restructure_start_date")
+    before = has_npl(npl, rsd) & (npl < rsd)
     zb = F.col("zerobetween_date")
-    return events.withColumn("zerobetween_date", last_date(cured)).withColumns(
-        {
-            "npl_date_reset": F.when(before & zb.isNull(), prev_month_end(rsd))
-            .when(before, F.lit(None).cast("date"))
-            .otherwise(npl),
-            "transferred": before & zb.isNotNull(),
-        }
-    )
+    return {
+        "npl_date_reset": F.when(before & zb.isNull(), prev_month_end(rsd))
+        .when(before, F.lit(None).cast("date"))
+        .otherwise(npl),
+        "transferred": before & zb.isNotNull(),
+    }
+
+
+def reset_npl(events: DataFrame, params: StageParams) -> DataFrame:
+    """Adds ``zerobetween_date``, ``npl_date_reset`` and ``transferred``; keeps ``npl_date``."""
+    return events.withColumn("zerobetween_date", cure_between_date(params)).withColumns(reset_columns())

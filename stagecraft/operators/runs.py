@@ -10,9 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stagecraft.functions.bands import flag, is_stage2_point
 from stagecraft.functions.dates import date_lit
-from stagecraft.operators.windows import DATE, KEY, by_loan, up_to_current
+from stagecraft.operators.windows import DATE, KEY, up_to_current
 from stagecraft.sources.params import StageParams
 
 FLAG = "dpd3090_event"
@@ -39,26 +38,23 @@ def current_streak(runs: DataFrame, params: StageParams) -> DataFrame:
     return runs.where(F.col("end_date") == date_lit(params.reporting_date))
 
 
-def with_run_start(events: DataFrame) -> DataFrame:
-    """Adds, on stage-2 rows, the start date and start row of the run they belong to.
+def run_start_columns() -> dict[str, F.Column]:
+    """On stage-2 rows, the start date and start row of the run they belong to.
 
-    Expects ``row_no`` and ``prev_stage2`` (the previous row's flag).
+    Expects ``row_no`` and ``prev_stage2`` (the previous row's flag, see
+    ``stagecraft.operators.events.rolling_stats``).
     """
     two, prev = F.col(FLAG), F.col("prev_stage2")
     starts_run = (two == 1) & (prev.isNull() | (prev == 0))
-    return events.withColumns(
-        {
-            "run_start": F.when(
-                two == 1, F.last(F.when(starts_run, F.col(DATE)), ignorenulls=True).over(up_to_current())
-            ),
-            "run_start_row": F.when(
-                two == 1, F.last(F.when(starts_run, F.col("row_no")), ignorenulls=True).over(up_to_current())
-            ),
-        }
-    )
+    return {
+        "run_start": F.when(
+            two == 1, F.last(F.when(starts_run, F.col(DATE)), ignorenulls=True).over(up_to_current())
+        ),
+        "run_start_row": F.when(
+            two == 1, F.last(F.when(starts_run, F.col("row_no")), ignorenulls=True).over(up_to_current())
+        ),
+    }
 
 
-def previous_stage2_of_value() -> F.Column:
-    """Stage-2 flag of the previous timeline row, from the filled DPD (so it can be
-    evaluated in the same window operator as the rolling statistics)."""
-    return F.lag(flag(is_stage2_point(F.col("factor_value"))), 1).over(by_loan())
+def with_run_start(events: DataFrame) -> DataFrame:
+    return events.withColumns(run_start_columns())

@@ -83,10 +83,21 @@ def spine_starts(obs: DataFrame, population: DataFrame, params: StageParams) ->
     )
 
 
+def by_loan_partitions(df: DataFrame, partitions: int) -> DataFrame:
+    """Hash partition by loan into an explicit number of partitions.
+
+    Explicit on purpose: the population and the observations are small before
+    the spine explodes them (x calendar length), so adaptive execution would
+    coalesce them into a handful of tasks. A fixed count also keeps the two
+    sides co-partitioned, so their union needs no further exchange.
+    """
+    return df.repartition(partitions, KEY)
+
+
 def _spine_from_list(population: DataFrame, params: StageParams, calendar: list[_dt.date]) -> DataFrame:
     start = loan_start(params)
     cal = F.array(*[date_lit(d) for d in calendar]) if calendar else F.array().cast("array<date>")
-    return population.repartition(KEY).select(
+    return population.select(
         KEY,
         "restructure_start_date",
         F.explode(F.filter(cal, lambda d: d >= start)).alias(DATE),
@@ -97,7 +108,9 @@ def _month_index(c: Column) -> Column:
     return F.year(c) * 12 + F.month(c)
 
 
-def _spine_by_join(population: DataFrame, obs: DataFrame, params: StageParams, salts: int) -> DataFrame:
+def _spine_by_join(
+    population: DataFrame, obs: DataFrame, params: StageParams, salts: int, partitions: int
+) -> DataFrame:
     start = loan_start(params)
     cal = spine_dates(obs).withColumn("month_idx", _month_index(F.col(DATE)))
     cal = cal.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
@@ -114,7 +127,7 @@ def _spine_by_join(population: DataFrame, obs: DataFrame, params: StageParams, s
         loans.join(cal, ["month_idx", "salt"])
         .where(F.col(DATE) >= F.col("start"))
         .select(KEY, "restructure_start_date", DATE)
-        .repartition(KEY)
+        .transform(lambda df: by_loan_partitions(df, partitions))
     )
 
 
@@ -123,16 +136,21 @@ def spine_candidates(
     obs: DataFrame,
     params: StageParams,
     calendar: list[_dt.date] | None,
+    partitions: int,
     salts: int = CALENDAR_SALTS,
 ) -> DataFrame:
     """(deal_id, restructure_start_date, factor_date) for every population loan and
-    calendar date on or after its start; partitioned by ``deal_id``."""
+    calendar date on or after its start; hash partitioned by ``deal_id``.
+
+    ``population`` must already be partitioned with :func:`by_loan_partitions`
+    when the calendar is a list (the spine is exploded in place).
+    """
     if calendar is not None:
         return _spine_from_list(population, params, calendar)
-    return _spine_by_join(population, obs, params, salts)
+    return _spine_by_join(population, obs, params, salts, partitions)
 
 
-def timeline(spine: DataFrame, obs: DataFrame) -> DataFrame:
+def timeline(spine: DataFrame, obs: DataFrame, partitions: int) -> DataFrame:
     """Union of spine rows and observations, one row per (loan, date).
 
     Columns: ``obs_value`` (observed DPD, NULL if missing or observed NULL),
@@ -147,7 +165,7 @@ def timeline(spine: DataFrame, obs: DataFrame) -> DataFrame:
         F.lit(1).alias("on_spine"),
         "restructure_start_date",
     )
-    obs_rows = obs.repartition(KEY).select(
+    obs_rows = by_loan_partitions(obs, partitions).select(
         KEY,
         DATE,
         F.col("factor_value").alias("obs_value"),

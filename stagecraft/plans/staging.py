@@ -58,12 +58,17 @@ class StagePlan:
         params: StageParams,
         *,
         calendar_limit: int = tl.CALENDAR_LIMIT,
+        partitions: int | None = None,
         modified_by: str = DEFAULT_MODIFIED_BY,
         impute_modified_by: str = DEFAULT_IMPUTE_MODIFIED_BY,
     ) -> None:
         self.inputs = inputs
         self.params = params
         self.calendar_limit = calendar_limit
+        if partitions is None:
+            conf = inputs.dpd.sparkSession.conf
+            partitions = int(conf.get("spark.sql.shuffle.partitions", "200"))
+        self.partitions = partitions
         self.modified_by = modified_by
         self.impute_modified_by = impute_modified_by
 
@@ -79,7 +84,9 @@ class StagePlan:
     @functools.cached_property
     def population_by_loan(self) -> DataFrame:
         """The population hash partitioned by loan; shared so the exchange is reused."""
-        return self.population.select(KEY, "value_date", "restructure_start_date").repartition(KEY)
+        return tl.by_loan_partitions(
+            self.population.select(KEY, "value_date", "restructure_start_date"), self.partitions
+        )
 
     @functools.cached_property
     def observations(self) -> DataFrame:
@@ -92,11 +99,13 @@ class StagePlan:
 
     @functools.cached_property
     def spine_candidates(self) -> DataFrame:
-        return tl.spine_candidates(self.population_by_loan, self.observations, self.params, self.calendar)
+        return tl.spine_candidates(
+            self.population_by_loan, self.observations, self.params, self.calendar, self.partitions
+        )
 
     @functools.cached_property
     def timeline(self) -> DataFrame:
-        return tl.timeline(self.spine_candidates, self.observations)
+        return tl.timeline(self.spine_candidates, self.observations, self.partitions)
 
     @functools.cached_property
     def spine(self) -> DataFrame:
@@ -115,15 +124,17 @@ class StagePlan:
     @functools.cached_property
     def events(self) -> DataFrame:
         """Event table with the NPL date as first derived (before the reset)."""
-        stats = ev.rolling_stats(self.filled, self.params).withColumn("prev_stage2", runs.previous_stage2_of_value())
-        return ev.event_flags(stats, self.params)
+        return ev.event_flags(ev.rolling_stats(self.filled, self.params), self.params)
 
     @functools.cached_property
     def events_final(self) -> DataFrame:
         """Event table after the NPL reset: ``npl_date`` is the reset date,
         ``npl_date_initial`` the original; plus stage-2 run starts."""
-        reset = npl_ops.reset_npl(self.events, self.params)
-        return runs.with_run_start(reset).withColumnsRenamed(
+        # One window level for both: the cure-between lookup and the run starts.
+        level = self.events.withColumns(
+            {"zerobetween_date": npl_ops.cure_between_date(self.params), **runs.run_start_columns()}
+        )
+        return level.withColumns(npl_ops.reset_columns()).withColumnsRenamed(
             {"npl_date": "npl_date_initial", "npl_date_reset": "npl_date"}
         )
 
