@@ -33,3 +33,16 @@ def is_performing(v: Column) -> Column:
 def flag(cond: Column) -> Column:
     """0/1 int flag; an unknown (NULL) condition counts as 0."""
     return F.when(cond, F.lit(1)).otherwise(F.lit(0))
+
+
+def is_npl_sql(v: str) -> str:
+    return f"({v} > {NPL_THRESHOLD})"
+
+
+def is_stage2_point_sql(v: str) -> str:
+    return f"({v} > {STAGE2_LOWER} AND {v} <= {NPL_THRESHOLD})"
+
+
+def flag_sql(cond: str) -> str:
+    """0/1 int flag; an unknown (NULL) condition counts as 0."""
+    return f"CASE WHEN {cond} THEN 1 ELSE 0 END"

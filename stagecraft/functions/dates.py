@@ -55,3 +55,22 @@ def date_lit(d: _dt.date | str) -> Column:
     if isinstance(d, str):
         d = _dt.date.fromisoformat(d)
     return F.lit(d).cast("date")
+
+
+# -- SQL-text forms --------------------------------------------------------
+# Building Column trees costs one JVM round trip per node; the operators build
+# each expression as SQL text and parse it once with ``F.expr`` instead.
+
+
+def sql_date(d: _dt.date) -> str:
+    return f"DATE'{d.isoformat()}'"
+
+
+def month_diff_sql(start: str, end: str) -> str:
+    """SQL form of :func:`month_diff`."""
+    return f"((year({end}) - year({start})) * 12 + (month({end}) - month({start})))"
+
+
+def prev_month_end_sql(d: str) -> str:
+    """SQL form of :func:`prev_month_end`."""
+    return f"last_day(add_months({d}, -1))"

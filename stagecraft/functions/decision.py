@@ -1,9 +1,10 @@
 """First-match decision tables expanded into one struct-valued CASE.
 
 A table is written once as rows of (condition, outcome); every outcome is a
-dict with the same keys. ``decide`` turns it into a single ``CASE WHEN`` that
-returns a struct, so each condition is evaluated once per row instead of once
-per output column, and the table reads like the specification.
+dict with the same keys. ``decide`` turns it into a single SQL ``CASE WHEN``
+that returns a ``named_struct``, so each condition is evaluated once per row
+instead of once per output column, the table reads like the specification, and
+the whole table is parsed by Spark in one call.
 """
 
 from __future__ import annotations
@@ -11,33 +12,37 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+class Sql(str):
+    """An outcome value that is a SQL expression, not a literal."""
 
-def _value(v: Any, dtype: str) -> Column:
-    if isinstance(v, Column):
-        return v.cast(dtype)
-    return F.lit(v).cast(dtype)
+
+def _value(v: Any, dtype: str) -> str:
+    if v is None:
+        return f"CAST(NULL AS {dtype})"
+    if isinstance(v, Sql):
+        return f"CAST({v} AS {dtype})"
+    if isinstance(v, str):
+        escaped = v.replace("'", "\\'")
+        return f"CAST('{escaped}' AS {dtype})"
+    return f"CAST({v!r} AS {dtype})"
 
 
 def decide(
-    rules: Sequence[tuple[Column, Mapping[str, Any]]],
+    rules: Sequence[tuple[str, Mapping[str, Any]]],
     default: Mapping[str, Any],
     types: Mapping[str, str],
-) -> Column:
-    """Struct column holding the outcome of the first rule whose condition is true.
+) -> str:
+    """SQL ``CASE`` giving the outcome struct of the first rule whose condition is true.
 
-    ``types`` fixes the type of each field (literal NULLs need one); a rule may
-    omit a field, which then takes the default's value.
+    Conditions are SQL predicates; an unknown (NULL) predicate does not match.
+    ``types`` fixes the type of each field; a rule may omit a field, which then
+    takes the default's value.
     """
-    names = list(types)
 
-    def outcome(values: Mapping[str, Any]) -> Column:
-        return F.struct(*[_value(values.get(n, default.get(n)), types[n]).alias(n) for n in names])
+    def outcome(values: Mapping[str, Any]) -> str:
+        fields = ", ".join(f"'{n}', {_value(values.get(n, default.get(n)), t)}" for n, t in types.items())
+        return f"named_struct({fields})"
 
-    expr = None
-    for cond, values in rules:
-        expr = F.when(cond, outcome(values)) if expr is None else expr.when(cond, outcome(values))
-    fallback = outcome(default)
-    return fallback if expr is None else expr.otherwise(fallback)
+    whens = " ".join(f"WHEN {cond} THEN {outcome(values)}" for cond, values in rules)
+    return f"CASE {whens} ELSE {outcome(default)} END"

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stagecraft.functions.bands import NPL_THRESHOLD, STAGE2_LOWER
-from stagecraft.functions.dates import date_lit, month_diff
-from stagecraft.functions.decision import decide
+from stagecraft.functions.dates import month_diff_sql, sql_date
+from stagecraft.functions.decision import Sql, decide
 from stagecraft.sources.params import StageParams
 
 OUTCOME_TYPES = {
@@ -44,80 +44,92 @@ def _outcome(cond, prev, stage, stg3, path, m, cure=None) -> dict:
     }
 
 
-def branch_a(params: StageParams) -> Column:
+def _months_to(params: StageParams):
+    rep = sql_date(params.reporting_date)
+    return lambda col: Sql(month_diff_sql(col, rep))
+
+
+def branch_a(params: StageParams) -> str:
     """Restructured after (or with) an NPL: cure 3 -> 1, possibly back to 2."""
-    rep = date_lit(params.reporting_date)
-    s, e = F.col("a_zero3_start"), F.col("a_zero3_end")
-    n9 = F.col("a_zero9_date")
-    f2, l2 = F.col("a_stage2_first"), F.col("a_stage2_last")
-    zb, t6 = F.col("a_zero_before_last2"), F.col("a_stage2_after_zero")
+    months = _months_to(params)
     rules = [
-        (s.isNull(), _outcome(1, "c3", 3, "Y", PATH_FROM_STAGE3, 0)),
-        (n9.isNull(), _outcome(2, "c2", 2, "Y", PATH_FROM_STAGE3, month_diff(s, rep))),
-        (f2.isNull(), _outcome(3, "c1", 1, "N", None, 0)),
-        (e > l2, _outcome(4, "c1", 1, "N", None, 0)),
-        (e < f2, _outcome(5, "c2", 2, "N", PATH_FROM_STAGE2, month_diff(f2, rep))),
-        ((e < l2) & zb.isNotNull(), _outcome(6, "c2", 2, "N", PATH_FROM_STAGE2, month_diff(t6, rep))),
+        ("a_zero3_start IS NULL", _outcome(1, "c3", 3, "Y", PATH_FROM_STAGE3, 0)),
+        ("a_zero9_date IS NULL", _outcome(2, "c2", 2, "Y", PATH_FROM_STAGE3, months("a_zero3_start"))),
+        ("a_stage2_first IS NULL", _outcome(3, "c1", 1, "N", None, 0)),
+        ("a_zero3_end > a_stage2_last", _outcome(4, "c1", 1, "N", None, 0)),
+        ("a_zero3_end < a_stage2_first", _outcome(5, "c2", 2, "N", PATH_FROM_STAGE2, months("a_stage2_first"))),
+        (
+            "a_zero3_end < a_stage2_last AND a_zero_before_last2 IS NOT NULL",
+            _outcome(6, "c2", 2, "N", PATH_FROM_STAGE2, months("a_stage2_after_zero")),
+        ),
     ]
     return decide(rules, _outcome(None, None, None, None, None, None), OUTCOME_TYPES)
 
 
-def branch_b(params: StageParams) -> Column:
+def branch_b(params: StageParams) -> str:
     """Restructured without an NPL (or cured before the restructuring)."""
-    rep = date_lit(params.reporting_date)
-    f2, l2 = F.col("b_stage2_first"), F.col("b_stage2_last")
-    l0 = F.col("b_zero3_last")
-    zb, t12 = F.col("b_zero_before_last2"), F.col("b_stage2_after_zero")
-    cure = F.when(F.col("transferred") == 1, F.lit(1))
+    months = _months_to(params)
+    cure = Sql("CASE WHEN transferred = 1 THEN 1 END")
+    lt = "b_zero3_last < b_stage2_last"
     rules = [
-        (f2.isNull(), _outcome(7, "c1", 1, "N", None, 0, cure)),
-        (l0.isNull(), _outcome(8, "c2", 2, "N", PATH_FROM_STAGE2, month_diff(f2, rep), cure)),
-        (l0 > l2, _outcome(9, "c1", 1, "N", None, 0, cure)),
-        ((l0 < l2) & zb.isNull(), _outcome(10, "c2", 2, "N", PATH_FROM_STAGE2, month_diff(l2, rep), cure)),
-        ((l0 < l2) & t12.isNull(), _outcome(11, "c2", 2, "N", PATH_FROM_STAGE2, month_diff(l2, rep), cure)),
-        (l0 < l2, _outcome(12, "c2", 2, "N", PATH_FROM_STAGE2, month_diff(t12, rep), cure)),
+        ("b_stage2_first IS NULL", _outcome(7, "c1", 1, "N", None, 0, cure)),
+        ("b_zero3_last IS NULL", _outcome(8, "c2", 2, "N", PATH_FROM_STAGE2, months("b_stage2_first"), cure)),
+        ("b_zero3_last > b_stage2_last", _outcome(9, "c1", 1, "N", None, 0, cure)),
+        (
+            f"{lt} AND b_zero_before_last2 IS NULL",
+            _outcome(10, "c2", 2, "N", PATH_FROM_STAGE2, months("b_stage2_last"), cure),
+        ),
+        (
+            f"{lt} AND b_stage2_after_zero IS NULL",
+            _outcome(11, "c2", 2, "N", PATH_FROM_STAGE2, months("b_stage2_last"), cure),
+        ),
+        (lt, _outcome(12, "c2", 2, "N", PATH_FROM_STAGE2, months("b_stage2_after_zero"), cure)),
     ]
     return decide(rules, _outcome(None, "c1", 1, "N", PATH_FROM_STAGE2, 0, cure), OUTCOME_TYPES)
 
 
-def branch_c(params: StageParams) -> Column:
+def branch_c(params: StageParams) -> str:
     """Never restructured: stage from DPD at the reporting date, NPL history and cure."""
-    npl, lc, dpd = F.col("npl_date"), F.col("c_last_cure_date"), F.col("c_dpd_t")
-    months = (F.col("c_streak") - 1).cast("int")
-    low = dpd <= STAGE2_LOWER
-    mid = (dpd > STAGE2_LOWER) & (dpd <= NPL_THRESHOLD)
-    high = dpd > NPL_THRESHOLD
-    cured = npl.isNotNull() & lc.isNotNull()
+    low = f"c_dpd_t <= {STAGE2_LOWER}"
+    mid = f"c_dpd_t > {STAGE2_LOWER} AND c_dpd_t <= {NPL_THRESHOLD}"
+    high = f"c_dpd_t > {NPL_THRESHOLD}"
+    months = Sql("c_streak - 1")
+    cured = "npl_date IS NOT NULL AND c_last_cure_date IS NOT NULL"
     rules = [
-        (npl.isNull() & low, _outcome(12, None, 1, "N", None, 0)),
-        (npl.isNull() & mid, _outcome(13, None, 2, "N", None, months)),
-        (npl.isNull() & high, _outcome(14, None, 3, "Y", None, 0)),
-        (npl.isNotNull() & lc.isNull(), _outcome(15, None, 3, "Y", None, 0)),
-        (cured & low, _outcome(16, None, 1, "N", None, 0, 1)),
-        (cured & mid, _outcome(17, None, 2, "N", None, months, 1)),
-        (cured & high, _outcome(18, None, 3, "Y", None, 0, 1)),
+        (f"npl_date IS NULL AND {low}", _outcome(12, None, 1, "N", None, 0)),
+        (f"npl_date IS NULL AND {mid}", _outcome(13, None, 2, "N", None, months)),
+        (f"npl_date IS NULL AND {high}", _outcome(14, None, 3, "Y", None, 0)),
+        ("npl_date IS NOT NULL AND c_last_cure_date IS NULL", _outcome(15, None, 3, "Y", None, 0)),
+        (f"{cured} AND {low}", _outcome(16, None, 1, "N", None, 0, 1)),
+        (f"{cured} AND {mid}", _outcome(17, None, 2, "N", None, months, 1)),
+        (f"{cured} AND {high}", _outcome(18, None, 3, "Y", None, 0, 1)),
     ]
     return decide(rules, _outcome(None, None, 1, "N", None, 0), OUTCOME_TYPES)
 
 
+BRANCH_SQL = (
+    "CASE WHEN restructure_start_date IS NOT NULL AND npl_date IS NOT NULL THEN 'A' "
+    "WHEN restructure_start_date IS NOT NULL THEN 'B' "
+    "WHEN c_has_rep_row = 1 THEN 'C' END"
+)
+
+
 def classify(per_loan: DataFrame, params: StageParams) -> DataFrame:
-    """Adds ``branch`` ('A', 'B', 'C'; NULL = no output row) and the outcome columns."""
-    rsd, npl = F.col("restructure_start_date"), F.col("npl_date")
-    branch = (
-        F.when(rsd.isNotNull() & npl.isNotNull(), F.lit("A"))
-        .when(rsd.isNotNull(), F.lit("B"))
-        .when(F.col("c_has_rep_row") == 1, F.lit("C"))
-    )
+    """Adds ``branch`` ('A', 'B', 'C'; NULL = no output row) and the outcome columns.
+
+    A = restructured with an NPL date after the reset, B = restructured without
+    one (incl. loans with no timeline), C = never restructured with a timeline
+    row at the reporting date. The branches are disjoint.
+    """
     decision = (
-        F.when(F.col("branch") == "A", branch_a(params))
-        .when(F.col("branch") == "B", branch_b(params))
-        .otherwise(branch_c(params))
+        f"CASE branch WHEN 'A' THEN {branch_a(params)} WHEN 'B' THEN {branch_b(params)} "
+        f"ELSE {branch_c(params)} END"
     )
     return (
-        per_loan.withColumn("branch", branch)
-        .where(F.col("branch").isNotNull())
-        .withColumn("_outcome", decision)
-        .select("*", *[F.col(f"_outcome.{c}").alias(c) for c in OUTCOME_COLUMNS])
+        per_loan.withColumn("branch", F.expr(BRANCH_SQL))
+        .where("branch IS NOT NULL")
+        .withColumn("_outcome", F.expr(decision))
+        .selectExpr("*", *[f"_outcome.{c} AS {c}" for c in OUTCOME_COLUMNS])
         .drop("_outcome")
     )
 
@@ -125,3 +137,6 @@ def classify(per_loan: DataFrame, params: StageParams) -> DataFrame:
 def published_months(stage: Column, m: Column) -> Column:
     """O24: months in stage 2 as published: ``m + 1`` when in stage 2, else 0."""
     return F.when(stage == 2, m + 1).otherwise(F.lit(0)).cast("int")
+
+
+PUBLISHED_MONTHS_SQL = "CAST(CASE WHEN calculated_stage = 2 THEN m_stg2 + 1 ELSE 0 END AS INT)"

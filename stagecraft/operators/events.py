@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stagecraft.functions.bands import NPL_THRESHOLD, flag, is_npl, is_stage2_point
+from stagecraft.functions.bands import NPL_THRESHOLD, flag_sql, is_npl, is_npl_sql, is_stage2_point_sql
 from stagecraft.functions.dates import date_lit
-from stagecraft.operators.windows import DATE, KEY, by_loan, last_date, trailing
+from stagecraft.operators.windows import BY_LOAN, DATE, KEY, exprs, last_date_sql, trailing_sql
 from stagecraft.sources.params import StageParams
 
 # Fixed values stamped on imputed DPD rows (the DPD table's entity and factor type).
@@ -27,34 +27,31 @@ def rolling_stats(filled: DataFrame, params: StageParams) -> DataFrame:
 
     ``npl_date`` = latest date with DPD > 90 over the base rows (``npl_observed``,
     computed upstream) and the imputed rows (unobserved spine rows).
+    ``prev_stage2`` is the previous row's stage-2 flag (for the run starts).
     """
-    v = F.col("factor_value")
-    return filled.withColumns(
-        {
-            "row_no": F.row_number().over(by_loan()),
-            "sum_dpd_3m": F.sum(v).over(trailing(3)),
-            "max_dpd_9m": F.max(v).over(trailing(9)),
-            "max_dpd_12m": F.max(v).over(trailing(12)),
-            "max_x_nontdrm": F.max(v).over(trailing(params.x)).cast("int"),
-            "npl_imputed": last_date(~F.col("observed") & is_npl(v)),
-            # previous row's stage-2 flag, for the stage-2 run starts
-            "prev_stage2": F.lag(flag(is_stage2_point(v)), 1).over(by_loan()),
-        }
-    ).withColumn("npl_date", F.greatest("npl_observed", "npl_imputed"))
+    v = "factor_value"
+    level = {
+        "row_no": f"row_number() {BY_LOAN}",
+        "sum_dpd_3m": f"sum({v}) {trailing_sql(3)}",
+        "max_dpd_9m": f"max({v}) {trailing_sql(9)}",
+        "max_dpd_12m": f"max({v}) {trailing_sql(12)}",
+        "max_x_nontdrm": f"CAST(max({v}) {trailing_sql(params.x)} AS INT)",
+        "npl_imputed": last_date_sql(f"NOT observed AND {is_npl_sql(v)}"),
+        "prev_stage2": f"lag({flag_sql(is_stage2_point_sql(v))}, 1) {BY_LOAN}",
+    }
+    return filled.withColumns(exprs(level)).withColumn("npl_date", F.expr("greatest(npl_observed, npl_imputed)"))
 
 
 def event_flags(stats: DataFrame, params: StageParams) -> DataFrame:
     """The five 0/1 flags (a NULL statistic gives 0)."""
-    v, n = F.col("factor_value"), F.col("row_no")
-    return stats.withColumns(
-        {
-            "dpd_12m_event": flag((F.col("max_dpd_12m") == 0) & (n >= 12)),
-            "dpd_9m_event": flag((F.col("max_dpd_9m") <= NPL_THRESHOLD) & (v == 0) & (n > 8)),
-            "dpd_3m_event": flag((F.col("sum_dpd_3m") == 0) & (n >= 3)),
-            "dpd3090_event": flag(is_stage2_point(v)),
-            "dpd_x_nontdrm_event": flag((F.col("max_x_nontdrm") == 0) & (n >= params.x)),
-        }
-    )
+    flags = {
+        "dpd_12m_event": "max_dpd_12m = 0 AND row_no >= 12",
+        "dpd_9m_event": f"max_dpd_9m <= {NPL_THRESHOLD} AND factor_value = 0 AND row_no > 8",
+        "dpd_3m_event": "sum_dpd_3m = 0 AND row_no >= 3",
+        "dpd3090_event": is_stage2_point_sql("factor_value"),
+        "dpd_x_nontdrm_event": f"max_x_nontdrm = 0 AND row_no >= {params.x}",
+    }
+    return stats.withColumns(exprs({k: flag_sql(c) for k, c in flags.items()}))
 
 
 def imputed_rows(filled: DataFrame, params: StageParams, modified_by: str) -> DataFrame:

@@ -33,8 +33,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stagecraft.functions.dates import date_lit, month_diff, prev_month_end
-from stagecraft.operators.windows import DATE, KEY, first_date, last_date, per_loan
+from stagecraft.functions.dates import month_diff_sql, prev_month_end_sql, sql_date
+from stagecraft.operators.windows import KEY, exprs, first_date_sql, last_date_sql, per_loan_sql
 from stagecraft.sources.params import StageParams
 
 A_COLUMNS = [
@@ -65,98 +65,80 @@ def milestone_rows(events: DataFrame, params: StageParams) -> DataFrame:
     Expects the final event table with ``npl_date`` (after the reset),
     ``restructure_start_date``, the flags, ``row_no`` and ``run_start``/``run_start_row``.
     """
-    d, npl, rsd, v = F.col(DATE), F.col("npl_date"), F.col("restructure_start_date"), F.col("factor_value")
-    e3 = F.col("dpd_3m_event") == 1
-    e9 = F.col("dpd_9m_event") == 1
-    two = F.col("dpd3090_event") == 1
-    cure = F.col("dpd_x_nontdrm_event") == 1
-    rep = date_lit(params.reporting_date)
-    before_tdr = prev_month_end(rsd)
-    after_tdr = d >= rsd
-
-    level1 = events.withColumns(
-        {
-            # A
-            "a_zero3_start": first_date(e3 & (month_diff(npl, d) >= 3)),
-            "a_zero3_end": last_date(e3 & (month_diff(npl, d) >= 3)),
-            # B
-            "b_row_before_tdr": per_loan(F.when(d == before_tdr, F.lit(1))),
-            "b_run_before_tdr": per_loan(F.when((d == before_tdr) & two, F.col("run_start"))),
-            "b_stage2_after_tdr": first_date(two & after_tdr),
-            "b_stage2_last": last_date(two & after_tdr),
-            "b_zero3_first": first_date(e3 & after_tdr),
-            "b_zero3_last": last_date(e3 & after_tdr),
-            # C
-            "c_dpd_t": per_loan(F.when(d == rep, v)),
-            "c_has_rep_row": per_loan(F.when(d == rep, F.lit(1))),
-            "c_last_cure_date": last_date(cure & (month_diff(npl, d) >= params.x)),
-            "c_streak": per_loan(F.when((d == rep) & two, F.col("row_no") - F.col("run_start_row") + 1)),
-        }
-    )
-    level2 = level1.withColumns(
-        {
-            "a_zero9_date": first_date(e9 & (month_diff(F.col("a_zero3_start"), d) >= 9)),
-            "b_zero_before_last2": last_date(e3 & (d < F.col("b_stage2_last")) & after_tdr),
-        }
-    )
-    level3 = level2.withColumns(
-        {
-            "a_stage2_first": first_date(two & (d > F.col("a_zero9_date"))),
-            "a_stage2_last": last_date(two & (d > F.col("a_zero9_date"))),
-        }
-    )
-    return level3.withColumn(
-        "a_zero_before_last2",
-        last_date(e3 & (d > F.col("a_stage2_first")) & (d < F.col("a_stage2_last"))),
-    )
+    e3, e9 = "dpd_3m_event = 1", "dpd_9m_event = 1"
+    two, cure = "dpd3090_event = 1", "dpd_x_nontdrm_event = 1"
+    rep = sql_date(params.reporting_date)
+    before_tdr = prev_month_end_sql("restructure_start_date")
+    after_tdr = "factor_date >= restructure_start_date"
+    after_npl = f"{month_diff_sql('npl_date', 'factor_date')} >= 3"
+
+    level1 = {
+        # A
+        "a_zero3_start": first_date_sql(f"{e3} AND {after_npl}"),
+        "a_zero3_end": last_date_sql(f"{e3} AND {after_npl}"),
+        # B
+        "b_row_before_tdr": per_loan_sql(f"CASE WHEN factor_date = {before_tdr} THEN 1 END"),
+        "b_run_before_tdr": per_loan_sql(f"CASE WHEN factor_date = {before_tdr} AND {two} THEN run_start END"),
+        "b_stage2_after_tdr": first_date_sql(f"{two} AND {after_tdr}"),
+        "b_stage2_last": last_date_sql(f"{two} AND {after_tdr}"),
+        "b_zero3_first": first_date_sql(f"{e3} AND {after_tdr}"),
+        "b_zero3_last": last_date_sql(f"{e3} AND {after_tdr}"),
+        # C
+        "c_dpd_t": per_loan_sql(f"CASE WHEN factor_date = {rep} THEN factor_value END"),
+        "c_has_rep_row": per_loan_sql(f"CASE WHEN factor_date = {rep} THEN 1 END"),
+        "c_last_cure_date": last_date_sql(
+            f"{cure} AND {month_diff_sql('npl_date', 'factor_date')} >= {params.x}"
+        ),
+        "c_streak": per_loan_sql(f"CASE WHEN factor_date = {rep} AND {two} THEN row_no - run_start_row + 1 END"),
+    }
+    level2 = {
+        "a_zero9_date": first_date_sql(f"{e9} AND {month_diff_sql('a_zero3_start', 'factor_date')} >= 9"),
+        "b_zero_before_last2": last_date_sql(f"{e3} AND factor_date < b_stage2_last AND {after_tdr}"),
+    }
+    level3 = {
+        "a_stage2_first": first_date_sql(f"{two} AND factor_date > a_zero9_date"),
+        "a_stage2_last": last_date_sql(f"{two} AND factor_date > a_zero9_date"),
+    }
+    level4 = {
+        "a_zero_before_last2": last_date_sql(
+            f"{e3} AND factor_date > a_stage2_first AND factor_date < a_stage2_last"
+        ),
+    }
+    out = events
+    for level in (level1, level2, level3, level4):
+        out = out.withColumns(exprs(level))
+    return out
 
 
 def per_loan_milestones(rows: DataFrame, params: StageParams) -> DataFrame:
     """Collapse the milestone rows to one row per loan (hash aggregate on the
     existing partitioning). The last link of each chain is computed here."""
-    d = F.col(DATE)
-    two = F.col("dpd3090_event") == 1
-    rsd = F.col("restructure_start_date")
-    in_window = F.max(rsd) >= date_lit(params.min_factor_date)
-    row_before = F.max("b_row_before_tdr")
-    stage_before = F.when(in_window & row_before.isNotNull(), F.lit(2)).when(in_window, F.lit(1))
-    run_start = F.when(stage_before == 2, F.max("b_run_before_tdr"))
-
-    def loan_value(name: str) -> F.Column:
-        return F.max(name).alias(name)
-
-    return rows.groupBy(KEY).agg(
-        loan_value("restructure_start_date"),
-        F.max("npl_date_initial").alias("npl_date_initial"),
-        F.max("npl_date").alias("npl_date"),
-        loan_value("zerobetween_date"),
-        F.max(F.col("transferred").cast("int")).alias("transferred"),
-        # A
-        loan_value("a_zero3_start"),
-        loan_value("a_zero3_end"),
-        loan_value("a_zero9_date"),
-        loan_value("a_stage2_first"),
-        loan_value("a_stage2_last"),
-        loan_value("a_zero_before_last2"),
-        F.min(
-            F.when(two & (d > F.col("a_zero_before_last2")) & (d < F.col("a_stage2_last")), d)
-        ).alias("a_stage2_after_zero"),
-        # B
-        stage_before.cast("int").alias("b_stage_before_tdr"),
-        run_start.alias("b_stage2_run_start"),
-        F.coalesce(run_start, F.max("b_stage2_after_tdr")).alias("b_stage2_first"),
-        loan_value("b_stage2_last"),
-        loan_value("b_zero3_first"),
-        loan_value("b_zero3_last"),
-        loan_value("b_zero_before_last2"),
-        F.min(
-            F.when(
-                two & (d > F.col("b_zero_before_last2")) & (d < F.col("b_stage2_last")) & (d >= rsd), d
-            )
-        ).alias("b_stage2_after_zero"),
-        # C
-        loan_value("c_dpd_t"),
-        loan_value("c_has_rep_row"),
-        loan_value("c_last_cure_date"),
-        loan_value("c_streak"),
+    two = "dpd3090_event = 1"
+    in_window = f"max(restructure_start_date) >= {sql_date(params.min_factor_date)}"
+    stage_before = (
+        f"CASE WHEN {in_window} AND max(b_row_before_tdr) IS NOT NULL THEN 2 WHEN {in_window} THEN 1 END"
     )
+    run_start = f"CASE WHEN ({stage_before}) = 2 THEN max(b_run_before_tdr) END"
+    loan_values = [
+        "restructure_start_date",
+        "npl_date_initial",
+        "npl_date",
+        "zerobetween_date",
+        *[c for c in A_COLUMNS if c != "a_stage2_after_zero"],
+        "b_stage2_last",
+        "b_zero3_first",
+        "b_zero3_last",
+        "b_zero_before_last2",
+        *C_COLUMNS,
+    ]
+    aggs = [f"max({c}) AS {c}" for c in loan_values] + [
+        "max(CAST(transferred AS INT)) AS transferred",
+        f"min(CASE WHEN {two} AND factor_date > a_zero_before_last2 AND factor_date < a_stage2_last "
+        f"THEN factor_date END) AS a_stage2_after_zero",
+        f"CAST({stage_before} AS INT) AS b_stage_before_tdr",
+        f"{run_start} AS b_stage2_run_start",
+        f"coalesce({run_start}, max(b_stage2_after_tdr)) AS b_stage2_first",
+        f"min(CASE WHEN {two} AND factor_date > b_zero_before_last2 AND factor_date < b_stage2_last "
+        f"AND factor_date >= restructure_start_date THEN factor_date END) AS b_stage2_after_zero",
+    ]
+    return rows.groupBy(KEY).agg(*[F.expr(a) for a in aggs])

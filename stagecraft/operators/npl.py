@@ -16,41 +16,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stagecraft.functions.dates import month_diff, prev_month_end
-from stagecraft.operators.windows import DATE, last_date
+from stagecraft.functions.dates import month_diff_sql, prev_month_end_sql
+from stagecraft.operators.windows import exprs, last_date_sql
 from stagecraft.sources.params import StageParams
 
 
-def has_npl(npl: Column, rsd: Column) -> Column:
-    """Restructured loan with an NPL date (the loans the reset applies to)."""
-    return npl.isNotNull() & rsd.isNotNull()
+def _before_tdr() -> str:
+    """Restructured loan whose NPL date precedes the restructuring."""
+    return "npl_date IS NOT NULL AND restructure_start_date IS NOT NULL AND npl_date < restructure_start_date"
 
 
 def cure_between_date(params: StageParams) -> Column:
     """O9 (whole-loan window): latest x-point zero event at least x months after the
     NPL date and before the restructuring, for loans with NPL before restructuring."""
-    npl, rsd, d = F.col("npl_date"), F.col("restructure_start_date"), F.col(DATE)
-    before = has_npl(npl, rsd) & (npl < rsd)
-    cured = (
-        before
-        & (F.col("dpd_x_nontdrm_event") == 1)
-        & (month_diff(npl, d) >= params.x)
-        & (d < rsd)
+    return F.expr(
+        last_date_sql(
+            f"{_before_tdr()} AND dpd_x_nontdrm_event = 1 "
+            f"AND {month_diff_sql('npl_date', 'factor_date')} >= {params.x} "
+            "AND factor_date < restructure_start_date"
+        )
     )
-    return last_date(cured)
 
 
 def reset_columns() -> dict[str, Column]:
     """O10/O11 from ``zerobetween_date``: the reset NPL date and the transfer flag."""
-    npl, rsd = F.col("npl_date"), F.col("restructure_start_date")
-    before = has_npl(npl, rsd) & (npl < rsd)
-    zb = F.col("zerobetween_date")
-    return {
-        "npl_date_reset": F.when(before & zb.isNull(), prev_month_end(rsd))
-        .when(before, F.lit(None).cast("date"))
-        .otherwise(npl),
-        "transferred": before & zb.isNotNull(),
-    }
+    before = _before_tdr()
+    return exprs(
+        {
+            "npl_date_reset": f"CASE WHEN {before} AND zerobetween_date IS NULL "
+            f"THEN {prev_month_end_sql('restructure_start_date')} "
+            f"WHEN {before} THEN CAST(NULL AS DATE) ELSE npl_date END",
+            "transferred": f"coalesce({before}, false) AND zerobetween_date IS NOT NULL",
+        }
+    )
 
 
 def reset_npl(events: DataFrame, params: StageParams) -> DataFrame:

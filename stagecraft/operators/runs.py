@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stagecraft.functions.dates import date_lit
-from stagecraft.operators.windows import DATE, KEY, up_to_current
+from stagecraft.operators.windows import DATE, KEY, UP_TO_CURRENT, exprs, up_to_current
 from stagecraft.sources.params import StageParams
 
 FLAG = "dpd3090_event"
@@ -44,16 +44,15 @@ def run_start_columns() -> dict[str, F.Column]:
     Expects ``row_no`` and ``prev_stage2`` (the previous row's flag, see
     ``stagecraft.operators.events.rolling_stats``).
     """
-    two, prev = F.col(FLAG), F.col("prev_stage2")
-    starts_run = (two == 1) & (prev.isNull() | (prev == 0))
-    return {
-        "run_start": F.when(
-            two == 1, F.last(F.when(starts_run, F.col(DATE)), ignorenulls=True).over(up_to_current())
-        ),
-        "run_start_row": F.when(
-            two == 1, F.last(F.when(starts_run, F.col("row_no")), ignorenulls=True).over(up_to_current())
-        ),
-    }
+    starts_run = f"{FLAG} = 1 AND (prev_stage2 IS NULL OR prev_stage2 = 0)"
+    return exprs(
+        {
+            "run_start": f"CASE WHEN {FLAG} = 1 THEN "
+            f"last(CASE WHEN {starts_run} THEN {DATE} END, true) {UP_TO_CURRENT} END",
+            "run_start_row": f"CASE WHEN {FLAG} = 1 THEN "
+            f"last(CASE WHEN {starts_run} THEN row_no END, true) {UP_TO_CURRENT} END",
+        }
+    )
 
 
 def with_run_start(events: DataFrame) -> DataFrame:

@@ -28,17 +28,9 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stagecraft.functions.bands import is_npl
-from stagecraft.functions.dates import date_lit, later_of
-from stagecraft.operators.windows import (
-    DATE,
-    KEY,
-    by_loan,
-    from_current,
-    last_date,
-    per_loan,
-    up_to_current,
-)
+from stagecraft.functions.bands import is_npl_sql
+from stagecraft.functions.dates import date_lit, sql_date
+from stagecraft.operators.windows import DATE, KEY, UP_TO_CURRENT, by_loan, exprs
 from stagecraft.sources.params import StageParams
 
 # Largest calendar shipped inside the plan. Month-end data over a century has
@@ -71,7 +63,13 @@ def spine_dates(obs: DataFrame) -> DataFrame:
 
 def loan_start(params: StageParams) -> Column:
     """First admissible spine date of a loan: later of window start and origination."""
-    return later_of(date_lit(params.min_factor_date), F.col("value_date"))
+    return F.expr(loan_start_sql(params))
+
+
+def loan_start_sql(params: StageParams) -> str:
+    m = sql_date(params.min_factor_date)
+    # Not greatest(): a NULL origination must give no start at all.
+    return f"CASE WHEN {m} > value_date THEN {m} ELSE value_date END"
 
 
 def spine_starts(obs: DataFrame, population: DataFrame, params: StageParams) -> DataFrame:
@@ -95,12 +93,12 @@ def by_loan_partitions(df: DataFrame, partitions: int) -> DataFrame:
 
 
 def _spine_from_list(population: DataFrame, params: StageParams, calendar: list[_dt.date]) -> DataFrame:
-    start = loan_start(params)
-    cal = F.array(*[date_lit(d) for d in calendar]) if calendar else F.array().cast("array<date>")
+    cal = f"array({', '.join(sql_date(d) for d in calendar)})" if calendar else "CAST(array() AS array<date>)"
+    start = loan_start_sql(params)
     return population.select(
         KEY,
         "restructure_start_date",
-        F.explode(F.filter(cal, lambda d: d >= start)).alias(DATE),
+        F.expr(f"explode(filter({cal}, d -> d >= {start}))").alias(DATE),
     )
 
 
@@ -201,43 +199,41 @@ def timeline(spine: DataFrame, obs: DataFrame, partitions: int) -> DataFrame:
 def spine_of_observed_loans(tl: DataFrame) -> DataFrame:
     """Keep spine rows of loans with at least one observation in the window.
 
-    Adds per-loan ``restructure_start_date`` and ``npl_observed`` (latest base row
-    with DPD > 90, including rows before origination).
+    Adds per-loan ``restructure_start_date``, ``npl_observed`` (latest base row
+    with DPD > 90, including rows before origination) and ``tail`` (first known
+    value at or after the date). All are computed in one window level over the
+    descending date order; ``tail`` is a running ``last`` there, linear per
+    loan. Off-spine rows (observations before origination) all precede the
+    spine, so they can never be a spine row's tail, and are masked anyway.
     """
-    return (
-        tl.withColumns(
-            {
-                "has_obs": per_loan(F.col("observed").cast("int")) == 1,
-                "restructure_start_date": per_loan(F.col("restructure_start_date")),
-                "npl_observed": last_date(F.col("observed") & is_npl(F.col("obs_value"))),
-            }
-        )
-        .where(F.col("on_spine") & F.col("has_obs"))
-        .drop("has_obs", "on_spine")
-    )
-
-
-def fill_rule(value: Column, head: Column, tail: Column) -> Column:
+    desc = f"PARTITION BY {KEY} ORDER BY {DATE} DESC"
+    whole = f"OVER ({desc} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+    running = f"OVER ({desc} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    level = {
+        "has_obs": f"max(CAST(observed AS INT)) {whole} = 1",
+        "restructure_start_date": f"max(restructure_start_date) {whole}",
+        "npl_observed": f"max(CASE WHEN observed AND {is_npl_sql('obs_value')} THEN {DATE} END) {whole}",
+        "tail": f"last(CASE WHEN on_spine THEN obs_value END, true) {running}",
+    }
+    return tl.withColumns(exprs(level)).where("on_spine AND has_obs").drop("has_obs", "on_spine")
+
+
+def fill_rule(value: str, head: str, tail: str) -> str:
     """Observed value if any; else the larger of head and tail, where a missing
     head gives the tail and a missing tail counts as 0 against the head."""
     return (
-        F.when(value.isNotNull(), value)
-        .when(head.isNull(), tail)
-        .when(head >= F.coalesce(tail, F.lit(0)), head)
-        .otherwise(tail)
+        f"CASE WHEN {value} IS NOT NULL THEN {value} WHEN {head} IS NULL THEN {tail} "
+        f"WHEN {head} >= coalesce({tail}, 0) THEN {head} ELSE {tail} END"
     )
 
 
 def fill(spine_rows: DataFrame) -> DataFrame:
-    """O4: ``head`` = last known value at or before the date, ``tail`` = first known
-    value at or after it, ``factor_value`` = filled value."""
-    v = F.col("obs_value")
-    return spine_rows.withColumns(
-        {
-            "head": F.last(v, ignorenulls=True).over(up_to_current()),
-            "tail": F.first(v, ignorenulls=True).over(from_current()),
-        }
-    ).withColumn("factor_value", fill_rule(v, F.col("head"), F.col("tail")))
+    """O4: ``head`` = last known value at or before the date (``tail``, the first
+    known value at or after it, comes from :func:`spine_of_observed_loans`),
+    ``factor_value`` = filled value."""
+    return spine_rows.withColumn("head", F.expr(f"last(obs_value, true) {UP_TO_CURRENT}")).withColumn(
+        "factor_value", F.expr(fill_rule("obs_value", "head", "tail"))
+    )
 
 
 def fill_groups(spine_rows: DataFrame) -> DataFrame:

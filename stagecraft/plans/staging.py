@@ -153,19 +153,11 @@ class StagePlan:
     @functools.cached_property
     def stage_status(self) -> DataFrame:
         """O24: the published result, one row per loan."""
-        out = self.classified.select(
-            KEY,
-            "prev_status",
-            "stg3_flag",
-            "path_tdr",
-            cls.published_months(F.col("calculated_stage"), F.col("m_stg2")).alias("m_stg2"),
-            "cure_flag",
-        )
-        extra = []
+        cols = [KEY, "prev_status", "stg3_flag", "path_tdr", f"{cls.PUBLISHED_MONTHS_SQL} AS m_stg2", "cure_flag"]
         if self.params.run_ts is not None:
-            extra.append(F.lit(self.params.run_ts).cast("timestamp").alias("last_modified"))
-        extra.append(F.lit(self.modified_by).alias("modified_by"))
-        return out.select("*", *extra)
+            cols.append(f"CAST('{self.params.run_ts.isoformat(sep=' ')}' AS TIMESTAMP) AS last_modified")
+        cols.append(f"'{self.modified_by}' AS modified_by")
+        return self.classified.selectExpr(*cols)
 
     # -- views used by individual operator queries --------------------------
     def branch(self, name: str) -> DataFrame:
