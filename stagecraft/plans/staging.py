@@ -118,7 +118,8 @@ class StagePlan:
 
     @functools.cached_property
     def imputed(self) -> DataFrame:
-        return ev.imputed_rows(self.filled, self.params, self.impute_modified_by)
+        # From the event table (not ``filled``) so a materialised event table serves both sinks.
+        return ev.imputed_rows(self.events, self.params, self.impute_modified_by)
 
     # -- events -------------------------------------------------------------
     @functools.cached_property
