@@ -8,7 +8,7 @@ source job: status codes 'c1'/'c2'/'c3', stage-3 flag 'Y'/'N', paths
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stagecraft.functions.bands import NPL_THRESHOLD, STAGE2_LOWER
@@ -134,9 +134,5 @@ def classify(per_loan: DataFrame, params: StageParams) -> DataFrame:
     )
 
 
-def published_months(stage: Column, m: Column) -> Column:
-    """O24: months in stage 2 as published: ``m + 1`` when in stage 2, else 0."""
-    return F.when(stage == 2, m + 1).otherwise(F.lit(0)).cast("int")
-
-
+# O24: months in stage 2 as published: m + 1 when in stage 2, else 0.
 PUBLISHED_MONTHS_SQL = "CAST(CASE WHEN calculated_stage = 2 THEN m_stg2 + 1 ELSE 0 END AS INT)"

@@ -40,10 +40,6 @@ CALENDAR_LIMIT = 5000
 CALENDAR_SALTS = 64
 
 
-class DuplicateObservationError(RuntimeError):
-    pass
-
-
 def observed_calendar(obs: DataFrame, limit: int = CALENDAR_LIMIT) -> list[_dt.date] | None:
     """Distinct observation dates in the window, or ``None`` if there are more than ``limit``.
 

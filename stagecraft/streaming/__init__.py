@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The staging job is a monthly batch over a snapshot (cob date): it has no
+streams, watermarks, late data or state, so there are no streaming operators
+to build. Run ``stagecraft.sources.sinks.run_stage_status`` once per cob date.
+"""

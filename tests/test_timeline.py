@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from portfolio import MONTHS, PARAMS, inputs
 from stagecraft.plans.staging import StagePlan
