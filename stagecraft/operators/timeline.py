@@ -173,21 +173,20 @@ def timeline(spine: DataFrame, obs: DataFrame, partitions: int) -> DataFrame:
         .agg(
             F.max("obs_value").alias("obs_value"),
             F.sum("n_obs").alias("n_obs"),
-            F.max("on_spine").alias("on_spine"),
+            F.sum("on_spine").alias("on_spine"),
             F.max("restructure_start_date").alias("restructure_start_date"),
         )
     )
-    # (deal_id, factor_date) must be unique in the source; a duplicate would
-    # silently fan out the result, so fail instead.
-    n = F.col("n_obs")
-    return merged.select(
+    # (deal_id, factor_date) must be unique in the DPD source and deal_id in the
+    # population; a duplicate would fan out the result in the source job, so fail.
+    return merged.selectExpr(
         KEY,
         DATE,
         "obs_value",
-        F.when(n > 1, F.raise_error(F.lit("duplicate (deal_id, factor_date) in DPD source")))
-        .otherwise(n > 0)
-        .alias("observed"),
-        (F.col("on_spine") == 1).alias("on_spine"),
+        "CASE WHEN n_obs > 1 THEN raise_error('duplicate (deal_id, factor_date) in DPD source') "
+        "ELSE n_obs > 0 END AS observed",
+        "CASE WHEN on_spine > 1 THEN raise_error('duplicate deal_id in population snapshot') "
+        "ELSE on_spine = 1 END AS on_spine",
         "restructure_start_date",
     )
 

@@ -58,6 +58,15 @@ def test_duplicate_observation_fails(spark):
         plan.filled.collect()
 
 
+def test_duplicate_population_row_fails(spark):
+    from stagecraft.sources.tables import StageInputs
+
+    base = inputs(spark, CALENDAR, ["B"])
+    twice = StageInputs(base.entity, base.config, base.population.unionByName(base.population), base.dpd)
+    with pytest.raises(Exception, match="duplicate deal_id"):
+        StagePlan(twice, PARAMS).filled.collect()
+
+
 def test_population_filter_and_restamp(spark):
     plan = StagePlan(
         inputs(spark, CALENDAR, ["B", "P2", "PN", "R"], pools={"P2": 2, "PN": None},
