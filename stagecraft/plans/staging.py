@@ -49,6 +49,19 @@ EVENT_BASE_COLUMNS = [
     "max_x_nontdrm",
 ]
 PUBLISHED_COLUMNS = [KEY, "prev_status", "stg3_flag", "path_tdr", "m_stg2", "cure_flag"]
+# What the two sinks need from the event table (the rolling statistics themselves,
+# head/tail and the NPL parts are only diagnostics); materialised by the run.
+SINK_EVENT_COLUMNS = [
+    KEY,
+    DATE,
+    "factor_value",
+    "observed",
+    "restructure_start_date",
+    "npl_date",
+    "row_no",
+    "prev_stage2",
+    *ev.EVENT_FLAGS,
+]
 
 
 class StagePlan:

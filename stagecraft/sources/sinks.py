@@ -18,7 +18,7 @@ import dataclasses
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from stagecraft.plans.staging import StagePlan
+from stagecraft.plans.staging import SINK_EVENT_COLUMNS, StagePlan
 from stagecraft.sources.params import StageParams
 from stagecraft.sources.tables import StageInputs
 
@@ -73,7 +73,7 @@ def run_stage_status(
     """Run the whole job: publish the stage status (overwrite), then append the
     imputed DPD rows to ``imputed_target`` (the DPD table) if given."""
     plan = StagePlan(inputs, params, **plan_options)
-    events, how = materialise(plan.events)
+    events, how = materialise(plan.events.select(*SINK_EVENT_COLUMNS))
     plan.__dict__["events"] = events  # downstream intermediates read the materialised table
     try:
         result = plan.stage_status
