@@ -38,6 +38,18 @@ from stagecraft.sources.params import StageParams
 CALENDAR_LIMIT = 5000
 # Salt fan-out of the calendar side in the large-calendar path.
 CALENDAR_SALTS = 64
+# Timeline rows per task of the per-loan stages (a row is ~150-250 bytes wide
+# through the window levels, so this keeps a task's working set near 0.5 GB).
+TARGET_ROWS_PER_PARTITION = 2_000_000
+
+
+def partitions_for(loans: int, calendar_points: int, at_least: int,
+                   rows_per_partition: int = TARGET_ROWS_PER_PARTITION) -> int:
+    """Partition count for the per-loan stages: enough that the timeline
+    (at most ``loans x calendar_points`` rows) fits ``rows_per_partition`` per
+    task, and never fewer than ``at_least`` (the session's shuffle partitions)."""
+    bound = max(loans, 0) * max(calendar_points, 1)
+    return max(at_least, -(-bound // rows_per_partition), 1)
 
 
 def observed_calendar(obs: DataFrame, limit: int = CALENDAR_LIMIT) -> list[_dt.date] | None:

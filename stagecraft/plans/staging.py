@@ -78,10 +78,7 @@ class StagePlan:
         self.inputs = inputs
         self.params = params
         self.calendar_limit = calendar_limit
-        if partitions is None:
-            conf = inputs.dpd.sparkSession.conf
-            partitions = int(conf.get("spark.sql.shuffle.partitions", "200"))
-        self.partitions = partitions
+        self._partitions = partitions
         self.modified_by = modified_by
         self.impute_modified_by = impute_modified_by
 
@@ -94,6 +91,17 @@ class StagePlan:
     def population(self) -> DataFrame:
         return normalise_population(self.snapshot, self.params)
 
+    @functools.cached_property
+    def partitions(self) -> int:
+        """Partitions of the per-loan stages: as given, else sized from the timeline
+        bound (population loans x calendar points; one count job) but at least
+        ``spark.sql.shuffle.partitions``."""
+        if self._partitions is not None:
+            return self._partitions
+        at_least = int(self.inputs.dpd.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        points = len(self.calendar) if self.calendar is not None else self.calendar_limit
+        return tl.partitions_for(self.population.count(), points, at_least)
+
     @functools.cached_property
     def population_by_loan(self) -> DataFrame:
         """The population hash partitioned by loan; shared so the exchange is reused."""

@@ -77,3 +77,12 @@ def test_population_filter_and_restamp(spark):
     assert sorted(rows) == ["B", "R"]
     assert rows["R"].restructure_start_date is None  # after the reporting date
     assert all(r.reporting_date == PARAMS.reporting_date for r in rows.values())
+
+
+def test_partition_count_grows_with_the_timeline_bound():
+    from stagecraft.operators.timeline import partitions_for
+
+    assert partitions_for(1_500, 79, at_least=8) == 8
+    # reference scale: 1.56M loans x 23 points, and a thousand times that
+    assert partitions_for(1_555_590, 23, at_least=200) == 200
+    assert partitions_for(1_555_590_000, 23, at_least=200) == 17_890
