@@ -94,11 +94,14 @@ class StagePlan:
     @functools.cached_property
     def partitions(self) -> int:
         """Partitions of the per-loan stages: as given, else sized from the timeline
-        bound (population loans x calendar points; one count job) but at least
-        ``spark.sql.shuffle.partitions``."""
+        bound (population loans x calendar points; one count job), with a floor of
+        ``spark.sql.shuffle.partitions`` capped at twice the cluster's cores (small
+        inputs need no more tasks than cores; large ones are sized by the bound)."""
         if self._partitions is not None:
             return self._partitions
-        at_least = int(self.inputs.dpd.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        spark = self.inputs.dpd.sparkSession
+        shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        at_least = min(shuffle, 2 * spark.sparkContext.defaultParallelism)
         points = len(self.calendar) if self.calendar is not None else self.calendar_limit
         return tl.partitions_for(self.population.count(), points, at_least)
 
