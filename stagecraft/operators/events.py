@@ -15,9 +15,10 @@ from stagecraft.functions.dates import date_lit
 from stagecraft.operators.windows import BY_LOAN, DATE, KEY, exprs, last_date_sql, trailing_sql
 from stagecraft.sources.params import StageParams
 
-# Fixed values stamped on imputed DPD rows (the DPD table's entity and factor type).
-IMPUTED_ENTITY = "GHB"
+# Stamped on imputed DPD rows: the factor type is fixed; the entity code is a run
+# parameter (set it to the entity of the DPD table), this is only its default.
 IMPUTED_FACTOR_TYPE = "DPD"
+DEFAULT_ENTITY_CODE = "ENTITY"
 
 EVENT_FLAGS = ["dpd_12m_event", "dpd_9m_event", "dpd_3m_event", "dpd3090_event", "dpd_x_nontdrm_event"]
 
@@ -54,7 +55,9 @@ def event_flags(stats: DataFrame, params: StageParams) -> DataFrame:
     return stats.withColumns(exprs({k: flag_sql(c) for k, c in flags.items()}))
 
 
-def imputed_rows(filled: DataFrame, params: StageParams, modified_by: str) -> DataFrame:
+def imputed_rows(
+    filled: DataFrame, params: StageParams, modified_by: str, entity_code: str = DEFAULT_ENTITY_CODE
+) -> DataFrame:
     """S10/O5: spine rows with no base row, audit-stamped, ready to append.
 
     Base rows whose value was NULL are filled in memory but not written back:
@@ -62,7 +65,7 @@ def imputed_rows(filled: DataFrame, params: StageParams, modified_by: str) -> Da
     """
     cols = [
         KEY,
-        F.lit(IMPUTED_ENTITY).alias("entity"),
+        F.lit(entity_code).alias("entity"),
         F.lit(IMPUTED_FACTOR_TYPE).alias("factor_type"),
         DATE,
         "factor_value",

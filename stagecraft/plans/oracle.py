@@ -17,6 +17,9 @@ agreement means something:
 
 from __future__ import annotations
 
+from stagecraft.functions.bands import EXCLUDED_POOLS
+from stagecraft.operators.events import DEFAULT_ENTITY_CODE, IMPUTED_FACTOR_TYPE
+from stagecraft.plans.staging import DEFAULT_IMPUTE_MODIFIED_BY, DEFAULT_MODIFIED_BY
 from stagecraft.sources.fixtures import (
     ARCH_COB_DATE,
     ARCH_CODES,
@@ -102,14 +105,17 @@ dpd AS (
   WHERE t.m < 0 OR t.m > 22 OR substr(a.path, CAST(t.m + 1 AS INTEGER), 1) <> '.'
 )"""
 
-# The staging job over (p, seg, dpd).
-PIPELINE = """
+POOLS = ", ".join(str(p) for p in EXCLUDED_POOLS)
+
+# The staging job over (p, seg, dpd). Placeholders are filled from the library's
+# fixed values below.
+_PIPELINE_TEMPLATE = """
 pop AS (
   SELECT s.deal_tfi_id AS deal_id, p.rep_d AS reporting_date, s.value_date, s.segment_pool_id,
          CASE WHEN s.restructure_start_date > p.rep_d THEN NULL ELSE s.restructure_start_date END
            AS restructure_start_date
   FROM seg s CROSS JOIN p
-  WHERE s.reporting_date = p.seg_d AND s.value_date <= p.rep_d AND s.segment_pool_id NOT IN (2, 3, 4, 6, 7)
+  WHERE s.reporting_date = p.seg_d AND s.value_date <= p.rep_d AND s.segment_pool_id NOT IN ({POOLS})
 ),
 obs AS (
   SELECT d.deal_id, d.factor_date, d.factor_value
@@ -149,8 +155,8 @@ filled AS (
   FROM ht
 ),
 imputed AS (
-  SELECT f.deal_id, 'GHB' AS entity, 'DPD' AS factor_type, f.factor_date, f.factor_value,
-         'stage_status(impute)' AS modified_by
+  SELECT f.deal_id, '{ENTITY}' AS entity, '{FACTOR_TYPE}' AS factor_type, f.factor_date, f.factor_value,
+         '{IMPUTE_BY}' AS modified_by
   FROM filled f
   WHERE NOT EXISTS (SELECT 1 FROM dpd d WHERE d.deal_id = f.deal_id AND d.factor_date = f.factor_date)
 ),
@@ -390,7 +396,7 @@ clc_out AS (
 published AS (
   SELECT deal_id, prev_status, stg3_flag, path_tdr,
          CAST(CASE WHEN calculated_stage = 2 THEN m_stg2 + 1 ELSE 0 END AS INTEGER) AS m_stg2,
-         CAST(cure_flag AS INTEGER) AS cure_flag, 'stage_status' AS modified_by
+         CAST(cure_flag AS INTEGER) AS cure_flag, '{RESULT_BY}' AS modified_by
   FROM (SELECT deal_id, prev_status, stg3_flag, path_tdr, m_stg2, calculated_stage, cure_flag FROM cla
         UNION ALL
         SELECT deal_id, prev_status, stg3_flag, path_tdr, m_stg2, calculated_stage, cure_flag FROM clb
@@ -398,6 +404,22 @@ published AS (
         SELECT deal_id, prev_status, stg3_flag, path_tdr, m_stg2, calculated_stage, cure_flag FROM clc_out) u
 )"""
 
+
+def _fill(template: str) -> str:
+    values = {
+        "{POOLS}": POOLS,
+        "{ENTITY}": DEFAULT_ENTITY_CODE,
+        "{FACTOR_TYPE}": IMPUTED_FACTOR_TYPE,
+        "{IMPUTE_BY}": DEFAULT_IMPUTE_MODIFIED_BY,
+        "{RESULT_BY}": DEFAULT_MODIFIED_BY,
+    }
+    for key, value in values.items():
+        template = template.replace(key, value)
+    return template
+
+
+PIPELINE = _fill(_PIPELINE_TEMPLATE)
+
 OUTCOME = "CAST(condition_no AS INTEGER) AS condition_no, prev_status, CAST(calculated_stage AS INTEGER) AS calculated_stage, stg3_flag, path_tdr, m_stg2, CAST(cure_flag AS INTEGER) AS cure_flag"
 A_COLS = "deal_id, npl_date, restructure_date, zero3_start, zero3_end, zero9_date, stage2_first, stage2_last, zero_before_last2, stage2_after_zero"
 B_COLS = "deal_id, restructure_start_date, stage2_first, stage2_last, zero3_first, zero3_last, zero_before_last2, stage2_after_zero"
@@ -407,7 +429,7 @@ FINAL = {
     "CAST(x AS INTEGER) AS x_nontdr FROM p",
     "src_population": "SELECT s.deal_tfi_id, s.reporting_date, s.value_date, CAST(s.segment_pool_id AS INTEGER) "
     "AS segment_pool_id, s.restructure_start_date FROM seg s CROSS JOIN p WHERE s.reporting_date = p.seg_d "
-    "AND s.value_date <= p.rep_d AND s.segment_pool_id NOT IN (2, 3, 4, 6, 7)",
+    f"AND s.value_date <= p.rep_d AND s.segment_pool_id NOT IN ({POOLS})",
     "src_dpd_window": "SELECT deal_id, factor_date, CAST(factor_value AS INTEGER) AS factor_value FROM obs",
     "population_normalised": "SELECT deal_id, reporting_date, value_date, CAST(segment_pool_id AS INTEGER) AS "
     "segment_pool_id, restructure_start_date FROM pop",

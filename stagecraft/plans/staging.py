@@ -74,6 +74,7 @@ class StagePlan:
         partitions: int | None = None,
         modified_by: str = DEFAULT_MODIFIED_BY,
         impute_modified_by: str = DEFAULT_IMPUTE_MODIFIED_BY,
+        entity_code: str = ev.DEFAULT_ENTITY_CODE,
     ) -> None:
         self.inputs = inputs
         self.params = params
@@ -81,6 +82,7 @@ class StagePlan:
         self._partitions = partitions
         self.modified_by = modified_by
         self.impute_modified_by = impute_modified_by
+        self.entity_code = entity_code
 
     # -- sources ------------------------------------------------------------
     @functools.cached_property
@@ -143,7 +145,7 @@ class StagePlan:
     @functools.cached_property
     def imputed(self) -> DataFrame:
         # From the event table (not ``filled``) so a materialised event table serves both sinks.
-        return ev.imputed_rows(self.events, self.params, self.impute_modified_by)
+        return ev.imputed_rows(self.events, self.params, self.impute_modified_by, self.entity_code)
 
     # -- events -------------------------------------------------------------
     @functools.cached_property
