@@ -27,3 +27,24 @@ def test_run_writes_result_then_imputed_rows_and_is_idempotent(spark):
     assert second.imputed_rows == 0
     result2 = sorted(tuple(r) for r in spark.read.parquet(out_path).drop("last_modified").collect())
     assert result1 == result2
+
+
+def test_command_line_run(spark):
+    from stagecraft.__main__ import main
+
+    inputs, params = archetype_inputs(spark, SF_SMALL)
+    work = tempfile.mkdtemp(prefix="stagecraft-cli-", dir="/tmp")
+    paths = {}
+    for name in ("entity", "config", "population", "dpd"):
+        paths[name] = os.path.join(work, name)
+        getattr(inputs, name).write.parquet(paths[name])
+    out = main(
+        [*(x for n, p in paths.items() for x in (f"--{n}", p)),
+         "--min-factor-date", str(params.min_factor_date), "--result", os.path.join(work, "out"),
+         "--impute-into", paths["dpd"], "--run-ts", "2019-04-01T00:00:00"],
+        spark=spark,
+    )
+    assert out == {"reporting_date": "2019-02-28", "result_rows": 140, "imputed_rows": 108,
+                   "materialised": "checkpoint"}
+    written = spark.read.parquet(os.path.join(work, "out"))
+    assert "last_modified" in written.columns and written.count() == 140
