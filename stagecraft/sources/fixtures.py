@@ -16,7 +16,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagecraft.functions.dates import date_lit
+from stagecraft.functions.dates import date_lit, sql_date
 from stagecraft.sources.params import CURE_MONTHS_CONFIG_ID, StageParams, resolve_params
 from stagecraft.sources.tables import StageInputs
 
@@ -98,27 +98,26 @@ def natural_inputs(spark: SparkSession, sf_dir: str) -> tuple[StageInputs, Stage
     config = _config(spark, NATURAL_CURE_MONTHS)
     params = resolve_params(entity, config, NATURAL_MIN_FACTOR_DATE)
 
-    k = F.col("c_custkey")
-    base = date_lit(NATURAL_BASE_DATE)
-    population = customer.select(
-        _deal_key(k).alias("deal_tfi_id"),
-        date_lit(params.segmentation_date).alias("reporting_date"),
-        F.add_months(base, (k % 24).cast("int")).alias("value_date"),
-        F.lit(1).alias("segment_pool_id"),
-        F.when(k % 3 == 0, F.lit(None).cast("date"))
-        .otherwise(F.add_months(base, (F.lit(20) + (k * 7) % 56).cast("int")))
-        .alias("restructure_start_date"),
-    )
-
-    bucket = F.floor(F.col("o_totalprice")).cast("bigint") % 10
-    dpd_value = (
-        F.when(bucket <= 5, 0).when(bucket == 6, 20).when(bucket.isin(7, 8), 60).when(bucket == 9, 120)
+    base = sql_date(NATURAL_BASE_DATE)
+    population = customer.selectExpr(
+        "concat('D', CAST(c_custkey AS STRING)) AS deal_tfi_id",
+        f"{sql_date(params.segmentation_date)} AS reporting_date",
+        f"add_months({base}, CAST(c_custkey % 24 AS INT)) AS value_date",
+        "1 AS segment_pool_id",
+        f"CASE WHEN c_custkey % 3 = 0 THEN CAST(NULL AS DATE) "
+        f"ELSE add_months({base}, CAST(20 + (c_custkey * 7) % 56 AS INT)) END AS restructure_start_date",
     )
     dpd = (
-        orders.select(
-            _deal_key(F.col("o_custkey")).alias("deal_id"),
-            F.last_day(F.to_date("o_orderdate")).alias("factor_date"),
-            dpd_value.alias("factor_value"),
+        orders.selectExpr(
+            "concat('D', CAST(o_custkey AS STRING)) AS deal_id",
+            "last_day(to_date(o_orderdate)) AS factor_date",
+            "CAST(floor(o_totalprice) AS BIGINT) % 10 AS bucket",
+        )
+        .selectExpr(
+            "deal_id",
+            "factor_date",
+            "CASE WHEN bucket <= 5 THEN 0 WHEN bucket = 6 THEN 20 WHEN bucket IN (7, 8) THEN 60 "
+            "WHEN bucket = 9 THEN 120 END AS factor_value",
         )
         .groupBy("deal_id", "factor_date")
         .agg(F.max("factor_value").alias("factor_value"))

@@ -17,10 +17,9 @@ from __future__ import annotations
 import dataclasses
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from stagecraft.functions.bands import EXCLUDED_POOLS
-from stagecraft.functions.dates import date_lit
+from stagecraft.functions.dates import sql_date
 from stagecraft.sources.params import StageParams
 
 
@@ -46,16 +45,17 @@ def read_inputs(spark, paths: dict[str, str], fmt: str = "parquet") -> StageInpu
 def population_snapshot(population: DataFrame, params: StageParams) -> DataFrame:
     """S1: the snapshot at the segmentation date, originated by the reporting date,
     excluding segment pools 2, 3, 4, 6, 7 (a NULL pool is excluded too)."""
+    pools = ", ".join(str(p) for p in EXCLUDED_POOLS)
     return population.where(
-        (F.col("reporting_date") == date_lit(params.segmentation_date))
-        & (F.col("value_date") <= date_lit(params.reporting_date))
-        & ~F.col("segment_pool_id").isin(*EXCLUDED_POOLS)
-    ).select(
+        f"reporting_date = {sql_date(params.segmentation_date)} "
+        f"AND value_date <= {sql_date(params.reporting_date)} "
+        f"AND NOT segment_pool_id IN ({pools})"
+    ).selectExpr(
         "deal_tfi_id",
-        F.to_date("reporting_date").alias("reporting_date"),
-        F.to_date("value_date").alias("value_date"),
-        F.col("segment_pool_id").cast("int").alias("segment_pool_id"),
-        F.to_date("restructure_start_date").alias("restructure_start_date"),
+        "to_date(reporting_date) AS reporting_date",
+        "to_date(value_date) AS value_date",
+        "CAST(segment_pool_id AS INT) AS segment_pool_id",
+        "to_date(restructure_start_date) AS restructure_start_date",
     )
 
 
@@ -64,24 +64,19 @@ def normalise_population(snapshot: DataFrame, params: StageParams) -> DataFrame:
 
     Output is keyed by ``deal_id`` (renamed from ``deal_tfi_id``).
     """
-    rep = date_lit(params.reporting_date)
-    rsd = F.col("restructure_start_date")
-    return snapshot.select(
-        F.col("deal_tfi_id").alias("deal_id"),
-        rep.alias("reporting_date"),
+    rep = sql_date(params.reporting_date)
+    return snapshot.selectExpr(
+        "deal_tfi_id AS deal_id",
+        f"{rep} AS reporting_date",
         "value_date",
         "segment_pool_id",
-        F.when(rsd > rep, F.lit(None).cast("date")).otherwise(rsd).alias("restructure_start_date"),
+        f"CASE WHEN restructure_start_date > {rep} THEN CAST(NULL AS DATE) ELSE restructure_start_date END "
+        "AS restructure_start_date",
     )
 
 
 def dpd_window(dpd: DataFrame, params: StageParams) -> DataFrame:
     """S2: observations from the window start to the reporting date, three columns."""
-    d = F.col("factor_date")
     return dpd.where(
-        (d >= date_lit(params.min_factor_date)) & (d <= date_lit(params.reporting_date))
-    ).select(
-        "deal_id",
-        F.to_date("factor_date").alias("factor_date"),
-        F.col("factor_value").cast("int").alias("factor_value"),
-    )
+        f"factor_date >= {sql_date(params.min_factor_date)} AND factor_date <= {sql_date(params.reporting_date)}"
+    ).selectExpr("deal_id", "to_date(factor_date) AS factor_date", "CAST(factor_value AS INT) AS factor_value")
