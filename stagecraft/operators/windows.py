@@ -4,8 +4,13 @@ Every per-loan window uses the same partitioning, and all but the first level
 the same ordering, so the window stages of the job share one hash partitioning
 by ``deal_id`` and one sort by (``deal_id``, ``factor_date``): Catalyst plans no
 exchange and no re-sort between them. The first level runs in descending date
-order (the "next known value" lookup needs it to stay linear). Whole-loan aggregates use the same ordering with an unbounded
-frame for that reason instead of an unordered window.
+order (the "next known value" lookup needs it to stay linear). Whole-loan
+aggregates use the shared ordering with an unbounded frame, for the same reason,
+instead of an unordered window.
+
+Expressions are written as SQL text and parsed once each (see
+``stagecraft.functions.dates``); two Column forms remain for the operators that
+compose few expressions.
 """
 
 from __future__ import annotations
@@ -16,78 +21,40 @@ from pyspark.sql import functions as F
 KEY = "deal_id"
 DATE = "factor_date"
 
-
-def by_loan() -> WindowSpec:
-    return Window.partitionBy(KEY).orderBy(DATE)
-
-
-def whole_loan() -> WindowSpec:
-    return by_loan().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-
-
-def up_to_current() -> WindowSpec:
-    return by_loan().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-
-def by_loan_desc() -> WindowSpec:
-    return Window.partitionBy(KEY).orderBy(F.col(DATE).desc())
-
-
-def down_to_current() -> WindowSpec:
-    """From the loan's latest row back to the current one (a running frame in
-    descending date order). Use this, not a (current, unbounded following) frame,
-    which Spark recomputes for every row: quadratic per loan."""
-    return by_loan_desc().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-
-def whole_loan_desc() -> WindowSpec:
-    """Whole-loan frame on the descending ordering (shares its sort)."""
-    return by_loan_desc().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-
-
-def trailing(points: int) -> WindowSpec:
-    """The current row and the ``points - 1`` rows before it."""
-    return by_loan().rowsBetween(-(points - 1), Window.currentRow)
-
-
-def first_date(cond: Column) -> Column:
-    """Earliest ``factor_date`` of the loan where ``cond`` holds (NULL if none)."""
-    return F.min(F.when(cond, F.col(DATE))).over(whole_loan())
-
-
-def last_date(cond: Column, spec: WindowSpec | None = None) -> Column:
-    """Latest ``factor_date`` of the loan where ``cond`` holds (NULL if none)."""
-    return F.max(F.when(cond, F.col(DATE))).over(spec or whole_loan())
-
-
-def per_loan(value: Column, spec: WindowSpec | None = None) -> Column:
-    """A value that is constant within a loan, spread to every row of it."""
-    return F.max(value).over(spec or whole_loan())
-
-
-# -- SQL-text forms (one parse per expression, see functions.dates) ----------
 _SPEC = f"PARTITION BY {KEY} ORDER BY {DATE}"
+BY_LOAN = f"OVER ({_SPEC})"
 WHOLE_LOAN = f"OVER ({_SPEC} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
 UP_TO_CURRENT = f"OVER ({_SPEC} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-BY_LOAN = f"OVER ({_SPEC})"
 
 
 def trailing_sql(points: int) -> str:
+    """The current row and the ``points - 1`` rows before it."""
     return f"OVER ({_SPEC} ROWS BETWEEN {points - 1} PRECEDING AND CURRENT ROW)"
 
 
 def first_date_sql(cond: str) -> str:
+    """Earliest ``factor_date`` of the loan where ``cond`` holds (NULL if none)."""
     return f"min(CASE WHEN {cond} THEN {DATE} END) {WHOLE_LOAN}"
 
 
 def last_date_sql(cond: str) -> str:
+    """Latest ``factor_date`` of the loan where ``cond`` holds (NULL if none)."""
     return f"max(CASE WHEN {cond} THEN {DATE} END) {WHOLE_LOAN}"
 
 
 def per_loan_sql(value: str) -> str:
+    """A value that is constant within a loan, spread to every row of it."""
     return f"max({value}) {WHOLE_LOAN}"
 
 
 def exprs(mapping: dict[str, str]) -> dict[str, Column]:
     """Parse a {column: SQL expression} mapping (for ``withColumns``)."""
     return {name: F.expr(sql) for name, sql in mapping.items()}
+
+
+def by_loan() -> WindowSpec:
+    return Window.partitionBy(KEY).orderBy(DATE)
+
+
+def up_to_current() -> WindowSpec:
+    return by_loan().rowsBetween(Window.unboundedPreceding, Window.currentRow)
