@@ -110,6 +110,16 @@ def milestone_rows(events: DataFrame, params: StageParams) -> DataFrame:
     return out
 
 
+def stage_before_tdr_sql(params: StageParams) -> str:
+    """Stage just before the restructuring: NULL if it precedes the window, 2 if the
+    loan has a timeline row at the month-end before it, else 1 (also for loans
+    without any timeline row, so it is applied after the join to the population)."""
+    return (
+        f"CAST(CASE WHEN restructure_start_date < {sql_date(params.min_factor_date)} THEN NULL "
+        "WHEN b_row_before_tdr IS NOT NULL THEN 2 ELSE 1 END AS INT)"
+    )
+
+
 def per_loan_milestones(rows: DataFrame, params: StageParams) -> DataFrame:
     """Collapse the milestone rows to one row per loan (hash aggregate on the
     existing partitioning). The last link of each chain is computed here."""
@@ -135,7 +145,7 @@ def per_loan_milestones(rows: DataFrame, params: StageParams) -> DataFrame:
         "max(CAST(transferred AS INT)) AS transferred",
         f"min(CASE WHEN {two} AND factor_date > a_zero_before_last2 AND factor_date < a_stage2_last "
         f"THEN factor_date END) AS a_stage2_after_zero",
-        f"CAST({stage_before} AS INT) AS b_stage_before_tdr",
+        "max(b_row_before_tdr) AS b_row_before_tdr",
         f"{run_start} AS b_stage2_run_start",
         f"coalesce({run_start}, max(b_stage2_after_tdr)) AS b_stage2_first",
         f"min(CASE WHEN {two} AND factor_date > b_zero_before_last2 AND factor_date < b_stage2_last "

@@ -476,21 +476,11 @@ FINAL = {
     "months_on_book, CAST(date_diff('month', restructure_start_date, reporting_date) AS INTEGER) AS "
     "months_since_restructure FROM pop",
 }
-ARCH_KEYS = [
-    "milestones_a",
-    "classify_a",
-    "milestones_b",
-    "classify_b",
-    "classify_c",
-    "publish_stage_status",
-]
-
-
 def _query(fixture: str, final: str) -> str:
     return f"WITH {fixture},{PIPELINE}\n{final}"
 
 
 def oracle_sql() -> dict[str, str]:
     out = {k: _query(NATURAL_FIXTURE, v) for k, v in FINAL.items()}
-    out.update({f"{k}_arch": _query(ARCHETYPE_FIXTURE, FINAL[k]) for k in ARCH_KEYS})
+    out.update({f"{k}_arch": _query(ARCHETYPE_FIXTURE, v) for k, v in FINAL.items()})
     return out

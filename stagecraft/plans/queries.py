@@ -265,14 +265,10 @@ NATURAL = {
     "publish_stage_status": q_publish_stage_status,
     "scalar_dates": q_scalar_dates,
 }
-ARCHETYPE = {
-    "milestones_a_arch": q_milestones_a,
-    "classify_a_arch": q_classify_a,
-    "milestones_b_arch": q_milestones_b,
-    "classify_b_arch": q_classify_b,
-    "classify_c_arch": q_classify_c,
-    "publish_stage_status_arch": q_publish_stage_status,
-}
+# Every query again on the archetype fixture: NULL and missing DPD values, gaps,
+# excluded and NULL pools, two snapshots, loans without any DPD row,
+# restructurings before the window and cures before restructuring.
+ARCHETYPE = {f"{key}_arch": body for key, body in NATURAL.items()}
 
 
 def _bind(body: Callable[[StagePlan], DataFrame], build: Callable[[SparkSession, str], StagePlan]) -> Query:

@@ -171,7 +171,8 @@ class StagePlan:
         rows = ms.milestone_rows(self.events_final, self.params)
         loans = ms.per_loan_milestones(rows, self.params).drop("restructure_start_date")
         # Restructured loans without any timeline row still get a result (branch B).
-        return self.population_by_loan.select(KEY, "restructure_start_date").join(loans, KEY, "left")
+        joined = self.population_by_loan.select(KEY, "restructure_start_date").join(loans, KEY, "left")
+        return joined.withColumn("b_stage_before_tdr", F.expr(ms.stage_before_tdr_sql(self.params)))
 
     @functools.cached_property
     def classified(self) -> DataFrame:
