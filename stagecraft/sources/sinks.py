@@ -62,6 +62,10 @@ def write_table(df: DataFrame, target: str, mode: str, fmt: str) -> None:
         df.write.mode(mode).format(fmt).save(target)
 
 
+def read_table(spark, target: str, fmt: str) -> DataFrame:
+    return spark.table(target) if fmt == "table" else spark.read.format(fmt).load(target)
+
+
 def run_stage_status(
     inputs: StageInputs,
     params: StageParams,
@@ -78,9 +82,10 @@ def run_stage_status(
     try:
         result = plan.stage_status
         write_table(result, result_target, "overwrite", fmt)
-        n_result = result.count()
+        # Count what was written (file footers), not by running the plan again.
+        n_result = read_table(events.sparkSession, result_target, fmt).count()
         imputed = plan.imputed
-        n_imputed = imputed.count()
+        n_imputed = imputed.count()  # a filter over the materialised event table
         if imputed_target is not None:
             # Last: nothing of this run reads the DPD table after this append.
             write_table(imputed, imputed_target, "append", fmt)
