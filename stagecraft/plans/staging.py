@@ -168,7 +168,8 @@ class StagePlan:
     # -- per-loan milestones and classification -----------------------------
     @functools.cached_property
     def per_loan(self) -> DataFrame:
-        rows = ms.milestone_rows(self.events_final, self.params)
+        candidates = self.events_final.where(ms.candidate_rows_sql(self.params))
+        rows = ms.milestone_rows(candidates, self.params)
         loans = ms.per_loan_milestones(rows, self.params).drop("restructure_start_date")
         # Restructured loans without any timeline row still get a result (branch B).
         joined = self.population_by_loan.select(KEY, "restructure_start_date").join(loans, KEY, "left")
