@@ -75,23 +75,48 @@ def candidate_rows_sql(params: StageParams) -> str:
     )
 
 
+def zero3_candidates(params: StageParams) -> dict[str, str]:
+    """First link of chain A for both possible reset NPL dates, as whole-loan windows.
+
+    The reset NPL date of a branch-A loan is either its NPL date or the month-end
+    before its restructuring, so the first link (3-point zero events at least 3
+    months after it) can be computed for both in the same window level as the
+    reset itself; :func:`zero3_choice` then picks one. This saves a window level.
+    """
+    e3 = "dpd_3m_event = 1"
+    out = {}
+    for suffix, anchor in (("npl", "npl_date"), ("pme", prev_month_end_sql("restructure_start_date"))):
+        cond = f"{e3} AND {month_diff_sql(anchor, 'factor_date')} >= 3"
+        out[f"a_zero3_start_{suffix}"] = first_date_sql(cond)
+        out[f"a_zero3_end_{suffix}"] = last_date_sql(cond)
+    return out
+
+
+def zero3_choice(reset_to_month_end: str) -> dict[str, str]:
+    """``a_zero3_start`` / ``a_zero3_end`` for the loan's reset NPL date."""
+    return {
+        f"a_zero3_{part}": f"CASE WHEN {reset_to_month_end} THEN a_zero3_{part}_pme ELSE a_zero3_{part}_npl END"
+        for part in ("start", "end")
+    }
+
+
 def milestone_rows(events: DataFrame, params: StageParams) -> DataFrame:
     """Adds the chained milestone columns to every timeline row (whole-loan windows).
 
     Expects the final event table with ``npl_date`` (after the reset),
-    ``restructure_start_date``, the flags, ``row_no`` and ``run_start``/``run_start_row``.
+    ``restructure_start_date``, the flags, ``row_no``, ``run_start``/``run_start_row``
+    and the first link of chain A (``a_zero3_start``/``a_zero3_end``, see
+    :func:`zero3_candidates`).
     """
     e3, e9 = "dpd_3m_event = 1", "dpd_9m_event = 1"
     two, cure = "dpd3090_event = 1", "dpd_x_nontdrm_event = 1"
     rep = sql_date(params.reporting_date)
     before_tdr = prev_month_end_sql("restructure_start_date")
     after_tdr = "factor_date >= restructure_start_date"
-    after_npl = f"{month_diff_sql('npl_date', 'factor_date')} >= 3"
 
     level1 = {
         # A
-        "a_zero3_start": first_date_sql(f"{e3} AND {after_npl}"),
-        "a_zero3_end": last_date_sql(f"{e3} AND {after_npl}"),
+        "a_zero9_date": first_date_sql(f"{e9} AND {month_diff_sql('a_zero3_start', 'factor_date')} >= 9"),
         # B
         "b_row_before_tdr": per_loan_sql(f"CASE WHEN factor_date = {before_tdr} THEN 1 END"),
         "b_run_before_tdr": per_loan_sql(f"CASE WHEN factor_date = {before_tdr} AND {two} THEN run_start END"),
@@ -108,20 +133,17 @@ def milestone_rows(events: DataFrame, params: StageParams) -> DataFrame:
         "c_streak": per_loan_sql(f"CASE WHEN factor_date = {rep} AND {two} THEN row_no - run_start_row + 1 END"),
     }
     level2 = {
-        "a_zero9_date": first_date_sql(f"{e9} AND {month_diff_sql('a_zero3_start', 'factor_date')} >= 9"),
-        "b_zero_before_last2": last_date_sql(f"{e3} AND factor_date < b_stage2_last AND {after_tdr}"),
-    }
-    level3 = {
         "a_stage2_first": first_date_sql(f"{two} AND factor_date > a_zero9_date"),
         "a_stage2_last": last_date_sql(f"{two} AND factor_date > a_zero9_date"),
+        "b_zero_before_last2": last_date_sql(f"{e3} AND factor_date < b_stage2_last AND {after_tdr}"),
     }
-    level4 = {
+    level3 = {
         "a_zero_before_last2": last_date_sql(
             f"{e3} AND factor_date > a_stage2_first AND factor_date < a_stage2_last"
         ),
     }
     out = events
-    for level in (level1, level2, level3, level4):
+    for level in (level1, level2, level3):
         out = out.withColumns(exprs(level))
     return out
 

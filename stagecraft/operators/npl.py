@@ -38,6 +38,11 @@ def cure_between_date(params: StageParams) -> Column:
     )
 
 
+def reset_to_month_end() -> str:
+    """The reset replaces the NPL date with the month-end before the restructuring."""
+    return f"({_before_tdr()} AND zerobetween_date IS NULL)"
+
+
 def reset_columns() -> dict[str, Column]:
     """O10/O11 from ``zerobetween_date``: the reset NPL date and the transfer flag."""
     before = _before_tdr()

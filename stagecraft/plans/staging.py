@@ -6,7 +6,7 @@ built lazily and only once. Physical shape of the whole job:
 
     population --hash(deal_id)--> explode calendar --+
                                                       +-- union -> aggregate (deal,date)
-    dpd window --hash(deal_id)-----------------------+      -> ~8 window levels
+    dpd window --hash(deal_id)-----------------------+      -> 2 sorts, 7 window levels
                                                             -> aggregate per loan
     population --hash(deal_id) (same exchange, reused) -- left join -> classify
 
@@ -30,6 +30,7 @@ from stagecraft.operators import npl as npl_ops
 from stagecraft.operators import runs
 from stagecraft.operators import timeline as tl
 from stagecraft.operators.windows import DATE, KEY
+from stagecraft.operators.windows import exprs as tl_exprs
 from stagecraft.sources.params import StageParams
 from stagecraft.sources.tables import StageInputs, dpd_window, normalise_population, population_snapshot
 
@@ -157,11 +158,17 @@ class StagePlan:
     def events_final(self) -> DataFrame:
         """Event table after the NPL reset: ``npl_date`` is the reset date,
         ``npl_date_initial`` the original; plus stage-2 run starts."""
-        # One window level for both: the cure-between lookup and the run starts.
+        # One window level for the cure-between lookup, the run starts and both
+        # candidates of the first milestone of chain A.
         level = self.events.withColumns(
-            {"zerobetween_date": npl_ops.cure_between_date(self.params), **runs.run_start_columns()}
+            {
+                "zerobetween_date": npl_ops.cure_between_date(self.params),
+                **runs.run_start_columns(),
+                **tl_exprs(ms.zero3_candidates(self.params)),
+            }
         )
-        return level.withColumns(npl_ops.reset_columns()).withColumnsRenamed(
+        chosen = level.withColumns(tl_exprs(ms.zero3_choice(npl_ops.reset_to_month_end())))
+        return chosen.withColumns(npl_ops.reset_columns()).withColumnsRenamed(
             {"npl_date": "npl_date_initial", "npl_date_reset": "npl_date"}
         )
 
