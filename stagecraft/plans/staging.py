@@ -8,11 +8,12 @@ built lazily and only once. Physical shape of the whole job:
                                                       +-- union -> aggregate (deal,date)
     dpd window --hash(deal_id)-----------------------+      -> 2 sorts, 7 window levels
                                                             -> aggregate per loan
-    population --hash(deal_id) (same exchange, reused) -- left join -> classify
+    population --hash(deal_id) (2 columns) -- co-partitioned left join -> classify
 
-Two shuffles of input data (both keyed by ``deal_id``) plus one tiny distinct
-for the calendar; no shuffle after that. Rows per loan are bounded by the
-calendar length (checked), so no loan can be a hot key.
+The inputs are shuffled once each by ``deal_id`` (the population twice: a narrow
+copy for the final join), plus small jobs for the calendar and the population
+count; no shuffle after that. Rows per loan are bounded by the calendar length
+(checked), so no loan can be a hot key.
 """
 
 from __future__ import annotations
@@ -29,8 +30,7 @@ from stagecraft.operators import milestones as ms
 from stagecraft.operators import npl as npl_ops
 from stagecraft.operators import runs
 from stagecraft.operators import timeline as tl
-from stagecraft.operators.windows import DATE, KEY
-from stagecraft.operators.windows import exprs as tl_exprs
+from stagecraft.operators.windows import DATE, KEY, exprs
 from stagecraft.sources.params import StageParams
 from stagecraft.sources.tables import StageInputs, dpd_window, normalise_population, population_snapshot
 
@@ -164,10 +164,10 @@ class StagePlan:
             {
                 "zerobetween_date": npl_ops.cure_between_date(self.params),
                 **runs.run_start_columns(),
-                **tl_exprs(ms.zero3_candidates(self.params)),
+                **exprs(ms.zero3_candidates(self.params)),
             }
         )
-        chosen = level.withColumns(tl_exprs(ms.zero3_choice(npl_ops.reset_to_month_end())))
+        chosen = level.withColumns(exprs(ms.zero3_choice(npl_ops.reset_to_month_end())))
         return chosen.withColumns(npl_ops.reset_columns()).withColumnsRenamed(
             {"npl_date": "npl_date_initial", "npl_date_reset": "npl_date"}
         )
