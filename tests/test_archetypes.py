@@ -86,3 +86,10 @@ def test_expected_counts(arch_plan):
 def test_output_keys_unique(arch_plan):
     out = arch_plan.stage_status
     assert out.count() == out.select("deal_id").distinct().count()
+
+
+def test_dropped_loans_are_the_ones_without_reporting_row(arch_plan):
+    dropped = arch_plan.per_loan.where("restructure_start_date IS NULL AND c_has_rep_row IS NULL")
+    names = {ARCHETYPES[int(r.deal_id[1:]) % len(ARCHETYPES)][0] for r in dropped.collect()}
+    assert names == NO_ROW
+    assert arch_plan.population.count() == arch_plan.stage_status.count() + dropped.count()

@@ -51,3 +51,10 @@ def test_input_order_does_not_change_result(spark, plan):
     assert sorted(tuple(r) for r in plan.stage_status.collect()) == sorted(
         tuple(r) for r in other.stage_status.collect()
     )
+
+
+def test_every_population_loan_is_accounted_for(plan):
+    # H3: population = published rows + never-restructured loans without a row at the reporting date
+    pop = plan.population
+    dropped = plan.per_loan.where("restructure_start_date IS NULL AND c_has_rep_row IS NULL").count()
+    assert pop.count() == plan.stage_status.count() + dropped
