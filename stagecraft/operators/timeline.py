@@ -15,7 +15,7 @@ Plan shape (the point of this module):
   before use; no join is needed for it;
 * spine and observations are unioned (Spark keeps the common partitioning) and
   collapsed per (loan, date) with a hash aggregate - no exchange;
-* every later window runs on that partitioning with one sort.
+* every later window runs on that partitioning after one sort.
 
 If the calendar is larger than the bound, the spine is built with a salted
 equi-join on a month bucket instead (no broadcast, no hot key).
@@ -30,7 +30,16 @@ from pyspark.sql import functions as F
 
 from stagecraft.functions.bands import is_npl_sql
 from stagecraft.functions.dates import date_lit, sql_date
-from stagecraft.operators.windows import DATE, KEY, UP_TO_CURRENT, by_loan, exprs
+from stagecraft.operators.windows import (
+    BY_LOAN,
+    DATE,
+    KEY,
+    UP_TO_CURRENT,
+    by_loan,
+    exprs,
+    last_date_sql,
+    per_loan_sql,
+)
 from stagecraft.sources.params import StageParams
 
 # Largest calendar shipped inside the plan. Month-end data over a century has
@@ -207,20 +216,19 @@ def spine_of_observed_loans(tl: DataFrame) -> DataFrame:
     """Keep spine rows of loans with at least one observation in the window.
 
     Adds per-loan ``restructure_start_date``, ``npl_observed`` (latest base row
-    with DPD > 90, including rows before origination) and ``tail`` (first known
-    value at or after the date). All are computed in one window level over the
-    descending date order; ``tail`` is a running ``last`` there, linear per
-    loan. Off-spine rows (observations before origination) all precede the
-    spine, so they can never be a spine row's tail, and are masked anyway.
+    with DPD > 90, including rows before origination), ``head`` (last known value
+    at or before the date) and ``tail`` (first known value at or after it), all
+    in one window level: a running ``last`` and ``lead(.., 1) IGNORE NULLS``,
+    both linear per loan. The values of off-spine rows (observations before
+    origination, which all precede the spine) are masked out of head and tail.
     """
-    desc = f"PARTITION BY {KEY} ORDER BY {DATE} DESC"
-    whole = f"OVER ({desc} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
-    running = f"OVER ({desc} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    spine_value = "CASE WHEN on_spine THEN obs_value END"
     level = {
-        "has_obs": f"max(CAST(observed AS INT)) {whole} = 1",
-        "restructure_start_date": f"max(restructure_start_date) {whole}",
-        "npl_observed": f"max(CASE WHEN observed AND {is_npl_sql('obs_value')} THEN {DATE} END) {whole}",
-        "tail": f"last(CASE WHEN on_spine THEN obs_value END, true) {running}",
+        "has_obs": per_loan_sql("CAST(observed AS INT)") + " = 1",
+        "restructure_start_date": per_loan_sql("restructure_start_date"),
+        "npl_observed": last_date_sql(f"observed AND {is_npl_sql('obs_value')}"),
+        "head": f"last({spine_value}, true) {UP_TO_CURRENT}",
+        "tail": f"coalesce({spine_value}, lead({spine_value}, 1) IGNORE NULLS {BY_LOAN})",
     }
     return tl.withColumns(exprs(level)).where("on_spine AND has_obs").drop("has_obs", "on_spine")
 
@@ -235,12 +243,9 @@ def fill_rule(value: str, head: str, tail: str) -> str:
 
 
 def fill(spine_rows: DataFrame) -> DataFrame:
-    """O4: ``head`` = last known value at or before the date (``tail``, the first
-    known value at or after it, comes from :func:`spine_of_observed_loans`),
-    ``factor_value`` = filled value."""
-    return spine_rows.withColumn("head", F.expr(f"last(obs_value, true) {UP_TO_CURRENT}")).withColumn(
-        "factor_value", F.expr(fill_rule("obs_value", "head", "tail"))
-    )
+    """O4: ``factor_value`` = filled value from ``head`` and ``tail`` (computed by
+    :func:`spine_of_observed_loans`)."""
+    return spine_rows.withColumn("factor_value", F.expr(fill_rule("obs_value", "head", "tail")))
 
 
 def fill_groups(spine_rows: DataFrame) -> DataFrame:

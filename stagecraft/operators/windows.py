@@ -1,12 +1,12 @@
 """Window specifications shared by the per-loan operators.
 
-Every per-loan window uses the same partitioning, and all but the first level
-the same ordering, so the window stages of the job share one hash partitioning
-by ``deal_id`` and one sort by (``deal_id``, ``factor_date``): Catalyst plans no
-exchange and no re-sort between them. The first level runs in descending date
-order (the "next known value" lookup needs it to stay linear). Whole-loan
-aggregates use the shared ordering with an unbounded frame, for the same reason,
-instead of an unordered window.
+Every per-loan window uses the same partitioning and the same ordering, so the
+window stages of the job share one hash partitioning by ``deal_id`` and one sort
+by (``deal_id``, ``factor_date``): Catalyst plans no exchange and no re-sort
+between them. Whole-loan aggregates use the shared ordering with an unbounded
+frame, for that reason, instead of an unordered window. Frames are running or
+whole-loan (linear per loan); a (current row, unbounded following) frame is
+avoided because Spark recomputes it for every row.
 
 Expressions are written as SQL text and parsed once each (see
 ``stagecraft.functions.dates``); two Column forms remain for the operators that

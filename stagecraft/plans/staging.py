@@ -6,7 +6,7 @@ built lazily and only once. Physical shape of the whole job:
 
     population --hash(deal_id)--> explode calendar --+
                                                       +-- union -> aggregate (deal,date)
-    dpd window --hash(deal_id)-----------------------+      -> 2 sorts, 7 window levels
+    dpd window --hash(deal_id)-----------------------+      -> 1 sort, 6 window levels
                                                             -> aggregate per loan
     population --hash(deal_id) (2 columns) -- co-partitioned left join -> classify
 

@@ -33,5 +33,5 @@ def test_exchanges_only_on_inputs(spark, static_planning):
     assert sum("Exchange" in line for line in lines[join_at:union_at]) == 1
     windows = [line for line in lines if "Window [" in line]
     sorts = [line for line in lines if "Sort [deal_id" in line and "factor_date" in line]
-    assert len(windows) == 7
-    assert len(sorts) == 2  # descending first level, then one ascending sort for all others
+    assert len(windows) == 6
+    assert len(sorts) == 1  # one sort serves every window level
