@@ -86,3 +86,17 @@ def test_partition_count_grows_with_the_timeline_bound():
     # reference scale: 1.56M loans x 23 points, and a thousand times that
     assert partitions_for(1_555_590, 23, at_least=200) == 200
     assert partitions_for(1_555_590_000, 23, at_least=200) == 17_890
+
+
+def test_empty_window_leaves_only_restructured_loans(spark):
+    # No observation in the window: no calendar, no timeline; every restructured
+    # loan is classified by condition 7 and non-restructured loans get no row.
+    rows = [("A", 0, 120)]
+    base = inputs(spark, rows, ["A", "R"], rsd={"R": MONTHS[2]})
+    from stagecraft.sources.tables import StageInputs
+
+    empty = StageInputs(base.entity, base.config, base.population, base.dpd.where("factor_date > DATE'2030-01-01'"))
+    plan = StagePlan(empty, PARAMS)
+    assert plan.calendar == []
+    got = [(r.deal_id, r.branch, r.condition_no, r.calculated_stage) for r in plan.classified.collect()]
+    assert got == [("R", "B", 7, 1)]
