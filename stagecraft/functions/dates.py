@@ -62,6 +62,12 @@ def date_lit(d: _dt.date | str) -> Column:
 # each expression as SQL text and parse it once with ``F.expr`` instead.
 
 
+def sql_string(value: str) -> str:
+    """A SQL string literal (backslash and quote escaped)."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def sql_date(d: _dt.date) -> str:
     return f"DATE'{d.isoformat()}'"
 

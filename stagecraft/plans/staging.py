@@ -23,7 +23,7 @@ import functools
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stagecraft.functions.dates import date_lit
+from stagecraft.functions.dates import date_lit, sql_string
 from stagecraft.operators import classify as cls
 from stagecraft.operators import events as ev
 from stagecraft.operators import milestones as ms
@@ -191,8 +191,8 @@ class StagePlan:
         """O24: the published result, one row per loan."""
         cols = [KEY, "prev_status", "stg3_flag", "path_tdr", f"{cls.PUBLISHED_MONTHS_SQL} AS m_stg2", "cure_flag"]
         if self.params.run_ts is not None:
-            cols.append(f"CAST('{self.params.run_ts.isoformat(sep=' ')}' AS TIMESTAMP) AS last_modified")
-        cols.append(f"'{self.modified_by}' AS modified_by")
+            cols.append(f"CAST({sql_string(self.params.run_ts.isoformat(sep=' '))} AS TIMESTAMP) AS last_modified")
+        cols.append(f"{sql_string(self.modified_by)} AS modified_by")
         return self.classified.selectExpr(*cols)
 
     # -- views used by individual operator queries --------------------------

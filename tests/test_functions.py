@@ -38,3 +38,10 @@ def test_decision_table_first_match_and_default(spark):
     df = spark.createDataFrame([(None,), (20,), (7,), (1,)], "v int")
     got = [tuple(r) for r in df.select(F.expr(expr).alias("o")).select("o.k", "o.s").collect()]
     assert got == [(0, "null"), (2, "big20"), (1, "small"), (None, "small")]
+
+
+def test_sql_string_round_trips(spark):
+    from stagecraft.functions.dates import sql_string
+
+    for value in ["stage_status", "it's", "back\\slash", "mixed \\' quote"]:
+        assert spark.sql(f"SELECT {sql_string(value)} AS v").first().v == value
