@@ -6,17 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stagecraft.llm.decontaminate import DECONTAMINATION_SQL, decontamination_query
 from stagecraft.llm.language_id import language_query
 from stagecraft.llm.quality import quality_query
+from stagecraft.llm.url_filter import URL_SQL, url_query
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op5_quality_classifier": quality_query,
     "op7_language_id": language_query,
+    "op8_url_filter": url_query,
+    "op10_decontamination": decontamination_query,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_url_filter": URL_SQL,
+    "op10_decontamination": DECONTAMINATION_SQL,
+}
 
 
 def queries() -> dict[str, Query]:
