@@ -212,3 +212,53 @@ def distinct_sorted(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray
     new[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
     values, owner = values[new], owner[new]
     return values, np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(offsets) - 1))]).astype(np.int64)
+
+
+# -- encoding by parts -------------------------------------------------------
+class PartEncoder:
+    """Ids of texts that are encoded part by part: each distinct part is encoded once and
+    remembered; a text's ids are gathered from those of its parts.
+
+    ``encode`` maps a list of parts to their lists of ids. About ``limit`` parts are remembered.
+    """
+
+    def __init__(self, encode, limit: int = 400_000) -> None:
+        self._encode, self._limit = encode, limit
+        self._forget()
+
+    def _forget(self) -> None:
+        self._number: dict[str, int] = {}
+        self._ids = np.zeros(0, np.uint32)
+        self._sizes = np.zeros(0, np.int64)
+
+    def __call__(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, number of ids of each text) of texts given as their parts."""
+        parts = [p for text in texts for p in text]
+        ends = np.cumsum([len(text) for text in texts], dtype=np.int64)
+        if len(self._number) > self._limit:
+            self._forget()
+        new = list(set(parts).difference(self._number))
+        if new:
+            found = self._encode(new)
+            self._number.update(zip(new, range(len(self._sizes), len(self._sizes) + len(new))))
+            flat = np.fromiter((i for ids in found for i in ids), dtype=np.uint32)
+            self._ids = np.concatenate([self._ids, flat])
+            self._sizes = np.concatenate([self._sizes, np.array([len(ids) for ids in found], dtype=np.int64)])
+        at = np.fromiter(map(self._number.__getitem__, parts), dtype=np.int64, count=len(parts))
+        starts = np.cumsum(self._sizes) - self._sizes
+        sizes = self._sizes[at]
+        total = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self._ids[np.repeat(starts[at] - total[:-1], sizes) + np.arange(total[-1])]
+        return ids, np.diff(np.concatenate([[0], total[ends]])).astype(np.int64)
+
+
+def text_chunks(texts: list[str], limit: int = 2_000_000) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``limit`` characters."""
+    start = size = 0
+    for i, t in enumerate(texts):
+        if size and size + len(t) > limit:
+            yield start, i
+            start, size = i, 0
+        size += len(t)
+    if start < len(texts):
+        yield start, len(texts)
