@@ -9,19 +9,24 @@ from pyspark.sql import DataFrame, SparkSession
 from stagecraft.llm.decontaminate import DECONTAMINATION_SQL, decontamination_query
 from stagecraft.llm.language_id import language_query
 from stagecraft.llm.quality import quality_query
+from stagecraft.llm.sentencepiece_fst import sentencepiece_query
+from stagecraft.llm.token_output import token_query
 from stagecraft.llm.url_filter import URL_SQL, url_query
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op3_token_output": token_query,
     "op5_quality_classifier": quality_query,
     "op7_language_id": language_query,
     "op8_url_filter": url_query,
+    "op9_sentencepiece": sentencepiece_query,
     "op10_decontamination": decontamination_query,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op8_url_filter": URL_SQL,
+    "op9_sentencepiece": sentencepiece_query,
     "op10_decontamination": DECONTAMINATION_SQL,
 }
 

@@ -48,6 +48,11 @@ UNKNOWN_PENALTY = 10.0
 ARC_ENTRIES = 2_000_000
 
 
+def _alone(char: str) -> tuple[list, list]:
+    """The edges of a character without a piece: nothing ever merges it."""
+    return [(char, -math.inf)], [(char, -math.inf)]
+
+
 class Transducer:
     """A compiled model. Built on the driver from a model file; small (one entry per piece)."""
 
@@ -71,13 +76,15 @@ class Transducer:
         self.unknown = next(i for i, p in enumerate(model.pieces) if p.type == UNKNOWN)
         byte_ids = {int(p.piece[1:-1], 16): i for i, p in enumerate(model.pieces) if p.type == BYTE}
         self.bytes = [byte_ids[b] for b in range(256)] if len(byte_ids) == 256 else None
-        self.longest = max(map(len, self.id), default=1)
         self.by_words = all(SPACE not in p.lstrip(SPACE) for p in self.id)
         self.surface = [self._surface(p) for p in model.pieces]
         if self.bpe:
             self._compile_merges()
         else:
             self.unknown_cost = UNKNOWN_PENALTY - min(self.score.values(), default=0.0)
+        # What pieces end with: whether it is itself a piece (the input side of the machine,
+        # read backwards from where a piece ends).
+        self.suffixes = {p[i:]: False for p in self.id for i in range(len(p))} | dict.fromkeys(self.id, True)
 
     @staticmethod
     def _surface(piece) -> bytes:
@@ -104,8 +111,8 @@ class Transducer:
         return parts
 
     def _compile_merges(self) -> None:
-        """For each piece, the pieces on its left and right edge while it is being merged:
-        (score of the merge that ends each one, its text), from single character to piece."""
+        """For each piece, the pieces on its left and right edge while it is being merged, from
+        single character to the piece itself, each with the score of the merge that ends it."""
         self.edges: dict[str, tuple[list, list] | None] = {}
         for piece in list(self.id):
             found = self.merged(piece)
@@ -114,58 +121,62 @@ class Transducer:
                 continue
             sides = []
             for side in (1, 2):
-                chain, node = [found[0]], found[0]
+                chain, node = [piece], found[0]
                 while node[side]:
                     node = node[side]
-                    chain.append(node)
-                sides.append([n[0] for n in reversed(chain)])
-            ordered = all(
-                self.score[a] >= self.score[b] for s in sides for a, b in zip(s[1:], s[2:])
-            )
+                    chain.append(node[0])
+                chain.reverse()
+                sides.append([(p, self.score[q]) for p, q in zip(chain, chain[1:])] + [(piece, -math.inf)])
+            ordered = all(x[1] >= y[1] for s in sides for x, y in zip(s, s[1:]))
             self.edges[piece] = (sides[0], sides[1]) if ordered else None
 
     def stays(self, a: str, b: str) -> bool:
         """Whether merging ``a + b`` gives just (a, b)."""
         if len(a) > 1 and a not in self.edges or len(b) > 1 and b not in self.edges:
             return False
-        left, right = self.edges.get(a, ([a], [a])), self.edges.get(b, ([b], [b]))
+        left = self.edges[a] if a in self.edges else _alone(a)
+        right = self.edges[b] if b in self.edges else _alone(b)
         if left is None or right is None:  # merges out of score order: merge to see
             return [n[0] for n in self.merged(a + b)] == [a, b]
-        grow_a, grow_b = left[1], right[0]
-        i = j = 0
+        # The piece at the end of a and the one at the start of b, each with the score of the
+        # merge that ends it. Of equal scores the merge on the left comes first.
+        rest_a, rest_b = iter(left[1]), iter(right[0])
+        (end, next_a), (start, next_b) = next(rest_a), next(rest_b)
+        score = self.score
         while True:
-            # The next merge inside a, inside b, and across the border; ties go to the left.
-            next_a = self.score[grow_a[i + 1]] if i + 1 < len(grow_a) else -math.inf
-            next_b = self.score[grow_b[j + 1]] if j + 1 < len(grow_b) else -math.inf
-            across = self.score.get(grow_a[i] + grow_b[j])
+            across = score.get(end + start)
             if across is not None and across > next_a and across >= next_b:
                 return False
-            if i + 1 == len(grow_a) and j + 1 == len(grow_b):
-                return True
             if next_a >= next_b:
-                i += 1
+                if next_a == -math.inf:
+                    return True
+                end, next_a = next(rest_a)
             else:
-                j += 1
+                start, next_b = next(rest_b)
 
     # -- composition and shortest path
-    def shortest_path(self, text: str, arcs: dict[tuple[str, str], bool]) -> list[str]:
+    def shortest_path(self, text: str, arcs: dict[str, dict[str, bool]]) -> list[str]:
         """The pieces (or unknown characters) on the lightest path through ``text``."""
-        n, ids, longest = len(text), self.id, self.longest
+        n, ids, suffixes = len(text), self.id, self.suffixes
         back = [0] * (n + 1)
         if self.bpe:
-            last: list[str | None] = [None] * (n + 1)
+            last = [""] * (n + 1)
             for end in range(1, n + 1):
-                for start in range(max(0, end - longest), end):
+                for start in range(end - 1, -1, -1):
                     piece = text[start:end]
-                    if piece not in ids and end - start > 1:
+                    known = suffixes.get(piece)
+                    if known is None and end - start > 1:
+                        break  # no piece ends like this
+                    if known is False and end - start > 1:
                         continue
                     if start:
-                        pair = (last[start], piece)
-                        if pair[0] is None:
-                            continue
-                        fine = arcs.get(pair)
+                        before = last[start]
+                        after = arcs.get(before)
+                        if after is None:
+                            after = arcs[before] = {}
+                        fine = after.get(piece)
                         if fine is None:
-                            fine = arcs[pair] = self.stays(*pair)
+                            fine = after[piece] = self.stays(before, piece)
                         if not fine:
                             continue
                     last[end], back[end] = piece, start
@@ -173,8 +184,10 @@ class Transducer:
         else:
             cost = [0.0] + [math.inf] * n
             for end in range(1, n + 1):
-                for start in range(max(0, end - longest), end):
+                for start in range(end - 1, -1, -1):
                     piece = text[start:end]
+                    if piece not in suffixes and end - start > 1:
+                        break
                     if piece in ids:
                         weight = -self.score[piece]
                     elif end - start == 1:
@@ -222,11 +235,11 @@ class Encoder:
 
     def __init__(self, transducer: Transducer) -> None:
         self.transducer = transducer
-        self.arcs: dict[tuple[str, str], bool] = {}
+        self.arcs: dict[str, dict[str, bool]] = {}
         self.by_parts = PartEncoder(self._encode)
 
     def _encode(self, parts: list[str]) -> list[list[int]]:
-        if len(self.arcs) > ARC_ENTRIES:
+        if sum(map(len, self.arcs.values())) > ARC_ENTRIES:
             self.arcs.clear()
         t = self.transducer
         return [t.ids_of(t.shortest_path(p, self.arcs)) for p in parts]
