@@ -11,11 +11,13 @@ from stagecraft.llm.language_id import language_query
 from stagecraft.llm.quality import quality_query
 from stagecraft.llm.sentencepiece_fst import sentencepiece_query
 from stagecraft.llm.token_output import token_query
+from stagecraft.llm.topk_search import TOPK_SQL, topk_query
 from stagecraft.llm.url_filter import URL_SQL, url_query
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op1_topk_search": topk_query,
     "op3_token_output": token_query,
     "op5_quality_classifier": quality_query,
     "op7_language_id": language_query,
@@ -25,6 +27,7 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_topk_search": TOPK_SQL,
     "op8_url_filter": URL_SQL,
     "op9_sentencepiece": sentencepiece_query,
     "op10_decontamination": DECONTAMINATION_SQL,
