@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -219,10 +220,11 @@ class PartEncoder:
     """Ids of texts that are encoded part by part: each distinct part is encoded once and
     remembered; a text's ids are gathered from those of its parts.
 
-    ``encode`` maps a list of parts to their lists of ids. About ``limit`` parts are remembered.
+    ``encode`` deals a list of parts out into groups: it yields (parts, all their ids, number of
+    ids of each part). About ``limit`` parts are remembered.
     """
 
-    def __init__(self, encode, limit: int = 400_000) -> None:
+    def __init__(self, encode, limit: int = 600_000) -> None:
         self._encode, self._limit = encode, limit
         self._forget()
 
@@ -231,20 +233,25 @@ class PartEncoder:
         self._ids = np.zeros(0, np.uint32)
         self._sizes = np.zeros(0, np.int64)
 
+    def _numbers(self, parts: list[str]) -> np.ndarray:
+        return np.fromiter(map(self._number.get, parts, itertools.repeat(-1)), dtype=np.int64, count=len(parts))
+
     def __call__(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, number of ids of each text) of texts given as their parts."""
-        parts = [p for text in texts for p in text]
+        parts = list(itertools.chain.from_iterable(texts))
         ends = np.cumsum([len(text) for text in texts], dtype=np.int64)
         if len(self._number) > self._limit:
             self._forget()
-        new = list(set(parts).difference(self._number))
-        if new:
-            found = self._encode(new)
-            self._number.update(zip(new, range(len(self._sizes), len(self._sizes) + len(new))))
-            flat = np.fromiter((i for ids in found for i in ids), dtype=np.uint32)
-            self._ids = np.concatenate([self._ids, flat])
-            self._sizes = np.concatenate([self._sizes, np.array([len(ids) for ids in found], dtype=np.int64)])
-        at = np.fromiter(map(self._number.__getitem__, parts), dtype=np.int64, count=len(parts))
+        at = self._numbers(parts)
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            new = list({parts[i] for i in missing.tolist()})
+            groups = list(self._encode(new))
+            for known, ids, sizes in groups:
+                self._number.update(zip(known, itertools.count(len(self._number))))
+            self._ids = np.concatenate([self._ids, *[ids.astype(np.uint32) for _, ids, _ in groups]])
+            self._sizes = np.concatenate([self._sizes, *[sizes for _, _, sizes in groups]])
+            at[missing] = self._numbers([parts[i] for i in missing.tolist()])
         starts = np.cumsum(self._sizes) - self._sizes
         sizes = self._sizes[at]
         total = np.concatenate([[0], np.cumsum(sizes)])
@@ -252,13 +259,8 @@ class PartEncoder:
         return ids, np.diff(np.concatenate([[0], total[ends]])).astype(np.int64)
 
 
-def text_chunks(texts: list[str], limit: int = 2_000_000) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``limit`` characters."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > limit:
-            yield start, i
-            start, size = i, 0
-        size += len(t)
-    if start < len(texts):
-        yield start, len(texts)
+def text_slices(column: pa.Array, limit: int = CHUNK_BYTES // 2) -> Iterator[tuple[int, list[str]]]:
+    """(first row, texts) of parts of a string column of about ``limit`` bytes; null counts as empty."""
+    _, offsets = utf8_buffers(column)
+    for start, stop in pieces(offsets, limit):
+        yield start, [t or "" for t in column.slice(start, stop - start).to_pylist()]

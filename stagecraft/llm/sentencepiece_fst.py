@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stagecraft.llm.common import PartEncoder, text_chunks
+from stagecraft.llm.common import PartEncoder, text_slices
 
 SPACE = "\u2581"
 # Piece types of the model format.
@@ -155,52 +155,72 @@ class Transducer:
                 start, next_b = next(rest_b)
 
     # -- composition and shortest path
-    def shortest_path(self, text: str, arcs: dict[str, dict[str, bool]]) -> list[str]:
-        """The pieces (or unknown characters) on the lightest path through ``text``."""
-        n, ids, suffixes = len(text), self.id, self.suffixes
-        back = [0] * (n + 1)
-        if self.bpe:
-            last = [""] * (n + 1)
-            for end in range(1, n + 1):
-                for start in range(end - 1, -1, -1):
-                    piece = text[start:end]
-                    known = suffixes.get(piece)
-                    if known is None and end - start > 1:
+    def shortest_paths(self, texts: list[str], arcs: dict[str, dict[str, bool]]) -> Iterator[list[str]]:
+        """The pieces (or unknown characters) on the lightest path through each text. The path to
+        a place depends on what is before it alone, so a text that begins like the one before
+        (sort them) goes on where they part."""
+        longest = max(map(len, texts), default=0)
+        last, back = [""] * (longest + 1), [0] * (longest + 1)
+        cost = [0.0] * (longest + 1)
+        before = ""
+        for text in texts:
+            same = 0
+            for a, b in zip(before, text):
+                if a != b:
+                    break
+                same += 1
+            if self.bpe:
+                self._extend_merges(text, same, last, back, arcs)
+            else:
+                self._extend_scores(text, same, cost, back)
+            before = text
+            out = []
+            n = len(text)
+            while n:
+                out.append(text[back[n] : n])
+                n = back[n]
+            out.reverse()
+            yield out
+
+    def _extend_merges(self, text: str, same: int, last: list[str], back: list[int], arcs: dict) -> None:
+        suffixes = self.suffixes
+        for end in range(same + 1, len(text) + 1):
+            for start in range(end - 1, -1, -1):
+                piece = text[start:end]
+                known = suffixes.get(piece)
+                if not known and end - start > 1:
+                    if known is None:
                         break  # no piece ends like this
-                    if known is False and end - start > 1:
+                    continue
+                if start:
+                    before = last[start]
+                    after = arcs.get(before)
+                    if after is None:
+                        after = arcs[before] = {}
+                    fine = after.get(piece)
+                    if fine is None:
+                        fine = after[piece] = self.stays(before, piece)
+                    if not fine:
                         continue
-                    if start:
-                        before = last[start]
-                        after = arcs.get(before)
-                        if after is None:
-                            after = arcs[before] = {}
-                        fine = after.get(piece)
-                        if fine is None:
-                            fine = after[piece] = self.stays(before, piece)
-                        if not fine:
-                            continue
-                    last[end], back[end] = piece, start
+                last[end], back[end] = piece, start
+                break
+
+    def _extend_scores(self, text: str, same: int, cost: list[float], back: list[int]) -> None:
+        for end in range(same + 1, len(text) + 1):
+            best = math.inf
+            for start in range(end - 1, -1, -1):
+                piece = text[start:end]
+                if piece in self.id:
+                    weight = -self.score[piece]
+                elif end - start == 1:
+                    weight = self.unknown_cost
+                elif piece not in self.suffixes:
                     break
-        else:
-            cost = [0.0] + [math.inf] * n
-            for end in range(1, n + 1):
-                for start in range(end - 1, -1, -1):
-                    piece = text[start:end]
-                    if piece not in suffixes and end - start > 1:
-                        break
-                    if piece in ids:
-                        weight = -self.score[piece]
-                    elif end - start == 1:
-                        weight = self.unknown_cost
-                    else:
-                        continue
-                    if cost[start] + weight < cost[end]:
-                        cost[end], back[end] = cost[start] + weight, start
-        out = []
-        while n:
-            out.append(text[back[n] : n])
-            n = back[n]
-        return out[::-1]
+                else:
+                    continue
+                if cost[start] + weight < best:
+                    best = cost[end] = cost[start] + weight
+                    back[end] = start
 
     def ids_of(self, pieces: list[str]) -> list[int]:
         out: list[int] = []
@@ -238,11 +258,14 @@ class Encoder:
         self.arcs: dict[str, dict[str, bool]] = {}
         self.by_parts = PartEncoder(self._encode)
 
-    def _encode(self, parts: list[str]) -> list[list[int]]:
+    def _encode(self, parts: list[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
         if sum(map(len, self.arcs.values())) > ARC_ENTRIES:
             self.arcs.clear()
         t = self.transducer
-        return [t.ids_of(t.shortest_path(p, self.arcs)) for p in parts]
+        parts = sorted(parts)
+        found = [t.ids_of(path) for path in t.shortest_paths(parts, self.arcs)]
+        flat = np.fromiter((i for ids in found for i in ids), dtype=np.uint32)
+        yield parts, flat, np.array([len(ids) for ids in found], dtype=np.int64)
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, number of ids of each text)."""
@@ -261,19 +284,18 @@ def encode_documents(documents: DataFrame, model_file: str) -> DataFrame:
         encoder = sent.value  # stays in the worker, so later tasks find its words
         for batch in batches:
             doc_ids = batch.column(0)
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for start, stop in text_chunks(texts):
-                ids, sizes = encoder(texts[start:stop])
+            for start, texts in text_slices(batch.column(1)):
+                ids, sizes = encoder(texts)
                 ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                 ids = ids.astype(np.int32)
                 crc, same = [], []
-                for row in range(stop - start):
+                for row, text in enumerate(texts):
                     mine = ids[ends[row] : ends[row + 1]]
                     crc.append(zlib.crc32(mine.astype("<u4").tobytes()))
-                    same.append(encoder.transducer.decode(mine.tolist()) == texts[start + row])
+                    same.append(encoder.transducer.decode(mine.tolist()) == text)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        doc_ids.slice(start, stop - start).cast(pa.int64()),
+                        doc_ids.slice(start, len(texts)).cast(pa.int64()),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(ids)),
                         pa.array(sizes, pa.int64()),
                         pa.array(crc, pa.int64()),

@@ -27,6 +27,7 @@ whatever their names.
 from __future__ import annotations
 
 import json
+import os
 import re
 import struct
 import zlib
@@ -35,19 +36,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stagecraft.llm.common import PartEncoder, new_folder, text_chunks
+from stagecraft.llm.common import PartEncoder, new_folder, text_slices
 
 MAGIC = b"TOKPACK1"
 HEAD = "<6Q"
 BLOCK_IDS = 4096
+# Characters and parts that go to the library at once.
+ENCODE_CHARS = 100_000
+JOINED_PARTS = 2000
 SHARD_IDS = 4_000_000
-# Fixed value: the pre-tokens of byte-level BPE (public pattern).
-BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# A space and white space: there a pre-token may end elsewhere.
+AFTER_SPACE = [" " + c for c in " \t\n\x0b\x0c\r\x85\xa0"]
 # Characters whose classes all Unicode versions agree on; a text with others is encoded whole.
 SETTLED = re.compile("[^\\x00-\\u024f\\u2010-\\u2027\\u20a0-\\u20ac]")
 
@@ -117,9 +120,11 @@ class Shard:
 class Encoder:
     """Ids of whole texts by a ``tokenizers`` file.
 
-    Plain byte-level BPE never joins pre-tokens, so the library encodes each distinct pre-token
-    once and a text's ids are those of its pre-tokens. Other files, texts that spell a special
-    token, and texts with rare characters go through the library whole.
+    Plain byte-level BPE never joins pre-tokens, and before a space that a visible character
+    follows a pre-token always ends. So the library encodes each distinct part between such
+    spaces once, and a text's ids are those of its parts. Other files, and texts that spell a
+    special token, hold rare characters or have other white space after a space, go through the
+    library whole.
     """
 
     def __init__(self, spec: str) -> None:
@@ -128,7 +133,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(spec)
         told = json.loads(spec)
         before = told.get("pre_tokenizer") or {}
-        self.by_pre_token = (
+        self.in_parts = (
             before.get("type") == "ByteLevel"
             and before.get("use_regex", True)
             and not before.get("add_prefix_space")
@@ -138,32 +143,69 @@ class Encoder:
         )
         special = [t["content"] for t in told.get("added_tokens", [])]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        self.find = regex.compile(BYTE_LEVEL_PATTERN).findall
-        self.by_parts = PartEncoder(lambda words: [e.ids for e in self._encode(words)])
-
-    def _encode(self, texts: list[str]) -> list:
-        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        self.bytes_of = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), dtype=np.int64)
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
+            self.bytes_of[i] = len(token)  # byte-level: a character stands for a byte
+        self.by_parts = PartEncoder(self.parts)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, dtype=np.uint32) for e in self._encode(texts)]
+        """Ids of texts, a few at a time (the library's results are large)."""
+        out: list[np.ndarray] = []
+        start = size = 0
+        for i, t in enumerate(texts):
+            size += len(t)
+            if size >= ENCODE_CHARS or i + 1 == len(texts):
+                found = self.tokenizer.encode_batch_fast(texts[start : i + 1], add_special_tokens=False)
+                out += [np.array(e.ids, dtype=np.uint32) for e in found]
+                start, size = i + 1, 0
+        return out
+
+    def parts(self, keys: list[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+        """Ids of parts, in groups (keys, all ids, number of each). A key stands for itself after
+        a space; one that begins with a space stands for the rest of it, a text's start. Parts
+        after a space are joined and encoded in one go, and cut at their lengths in bytes."""
+        starts = [k for k in keys if k[0] == " "]
+        if starts:
+            found = self.whole([k[1:] for k in starts])
+            yield starts, np.concatenate(found), np.array([len(f) for f in found], dtype=np.int64)
+        later = [k for k in keys if k[0] != " "]
+        for i in range(0, len(later), JOINED_PARTS):
+            group = later[i : i + JOINED_PARTS]
+            text = " " + " ".join(group)
+            (ids,) = self.whole([text])
+            ends = np.cumsum(list(map(len, group)) if text.isascii() else [len(k.encode()) for k in group])
+            cut = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends + np.arange(1, len(group) + 1)) + 1
+            yield group, ids, np.diff(cut, prepend=0)
+
+    def regular(self, text: str) -> bool:
+        """Whether the text can be encoded in parts."""
+        return not (
+            text.endswith(" ")
+            or any(x in text for x in AFTER_SPACE)
+            or SETTLED.search(text)
+            or self.special
+            and self.special.search(text)
+        )
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, number of ids of each text)."""
-        direct = [
-            i
-            for i, t in enumerate(texts)
-            if not self.by_pre_token or SETTLED.search(t) or (self.special and self.special.search(t))
-        ]
-        if direct:
-            apart = dict(zip(direct, self.whole([texts[i] for i in direct])))
-            rest_ids, rest_sizes = self._by_pre_token([t for i, t in enumerate(texts) if i not in apart])
-            rest = iter(np.split(rest_ids, np.cumsum(rest_sizes)[:-1])) if len(rest_sizes) else iter(())
-            parts = [apart[i] if i in apart else next(rest) for i in range(len(texts))]
-            return np.concatenate(parts), np.array([len(p) for p in parts], dtype=np.int64)
-        return self._by_pre_token(texts)
-
-    def _by_pre_token(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        return self.by_parts([self.find(t) for t in texts])
+        direct = [i for i, t in enumerate(texts) if not self.in_parts or not self.regular(t)]
+        if not direct:
+            return self._in_parts(texts)
+        apart = dict(zip(direct, self.whole([texts[i] for i in direct])))
+        ids, sizes = self._in_parts([t for i, t in enumerate(texts) if i not in apart])
+        rest = iter(np.split(ids, np.cumsum(sizes)[:-1]) if len(sizes) else ())
+        found = [apart[i] if i in apart else next(rest) for i in range(len(texts))]
+        return np.concatenate(found), np.array([len(f) for f in found], dtype=np.int64)
+
+    def _in_parts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        keys = [t.split(" ") for t in texts]
+        for of in keys:
+            if of[0]:
+                of[0] = " " + of[0]
+            else:  # the text begins with a space (or is empty)
+                del of[0]
+        return self.by_parts(keys)
 
 
 # -- files -------------------------------------------------------------------
@@ -176,7 +218,7 @@ def write_tokens(documents: DataFrame, tokenizer_file: str, folder: str, end_id:
     with open(tokenizer_file, encoding="utf-8") as f:
         spec = f.read()
     bits = bits_for(max(Tokenizer.from_str(spec).get_vocab_size(with_added_tokens=True), end_id + 1))
-    sent = spark.sparkContext.broadcast(spec)
+    sent = spark.sparkContext.broadcast({"spec": spec})
     spread = F.xxhash64("text")
     ordered = (
         documents.select("doc_id", "text", spread.alias("spread"))
@@ -198,7 +240,10 @@ def open_folder(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
 
 def _writer(sent, folder: str, bits: int, end_id: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(sent.value)
+        if "encoder" not in sent.value:  # stays in the worker, so later tasks find its words
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            sent.value["encoder"] = Encoder(sent.value["spec"])
+        encode = sent.value["encoder"]
         task = TaskContext.get()
         files, path = open_folder(folder)
         files.create_dir(f"{path}/shards", recursive=True)
@@ -222,12 +267,11 @@ def _writer(sent, folder: str, bits: int, end_id: int):
 
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for start, stop in text_chunks(texts):
-                flat, counts = encode(texts[start:stop])
+            for start, texts in text_slices(batch.column(1)):
+                flat, counts = encode(texts)
                 ends = np.cumsum(counts)
                 flat = np.insert(flat, ends, end_id)  # after each document
-                docs += doc_ids[start:stop]
+                docs += doc_ids[start : start + len(texts)]
                 sizes.append(counts + 1)
                 ids.append(flat)
                 held += len(flat)
