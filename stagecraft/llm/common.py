@@ -215,6 +215,23 @@ def distinct_sorted(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray
     return values, np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(offsets) - 1))]).astype(np.int64)
 
 
+def universal_family(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(factors, terms) of n universal hashes x -> factor * x + term modulo 2**64."""
+    drawn = mix(np.arange(1, 2 * n + 1, dtype=np.uint64) * _BASE)
+    return drawn[:n] | np.uint64(1), drawn[n:]
+
+
+def minima(values: np.ndarray, starts: np.ndarray, factors: np.ndarray, terms: np.ndarray) -> np.ndarray:
+    """For each universal hash (rows), its minimum over each run of ``values`` that begins at ``starts``."""
+    out = np.empty((len(factors), len(starts)), dtype=np.uint64)
+    buffer = np.empty_like(values)
+    for m in range(len(factors)):
+        np.multiply(values, factors[m], out=buffer)
+        buffer += terms[m]
+        np.minimum.reduceat(buffer, starts, out=out[m])
+    return out
+
+
 # -- encoding by parts -------------------------------------------------------
 class PartEncoder:
     """Ids of texts that are encoded part by part: each distinct part is encoded once and

@@ -35,16 +35,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stagecraft.llm.common import WORD_PATTERN, distinct_sorted, mix, pieces, shingle_hashes, utf8_buffers, word_hashes
+from stagecraft.llm.common import (
+    WORD_PATTERN,
+    distinct_sorted,
+    minima,
+    pieces,
+    shingle_hashes,
+    universal_family,
+    utf8_buffers,
+    word_hashes,
+)
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 MINIMA = 64
 SMALL_ITEM = 8
 BLOCK_ITEMS = 20_000
-_A = mix(np.arange(1, 2 * MINIMA + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-FACTORS = (_A[:MINIMA] | np.uint64(1)).copy()
-TERMS = _A[MINIMA:].copy()
+FACTORS, TERMS = universal_family(MINIMA)
 
 
 @dataclasses.dataclass(frozen=True)
@@ -66,17 +73,6 @@ class Items:
     classes: list[ItemClass]
 
 
-def minima(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """For each universal hash, its minimum over each run of ``values`` that begins at ``starts``."""
-    out = np.empty((MINIMA, len(starts)), dtype=np.uint64)
-    buffer = np.empty_like(values)
-    for m in range(MINIMA):
-        np.multiply(values, FACTORS[m], out=buffer)
-        buffer += TERMS[m]
-        np.minimum.reduceat(buffer, starts, out=out[m])
-    return out
-
-
 def words_of(text: bytes) -> list[bytes]:
     """The words of a text, A-Z lowered."""
     return re.findall(WORD_PATTERN.encode(), text.lower())
@@ -106,7 +102,7 @@ def compile_items(rows: list[tuple[int, bytes]], k: int) -> Items:
         if level == 0:
             keys, items = [joined], [np.repeat(members, sizes)]
         else:
-            keys = list(minima(joined, np.concatenate([[0], np.cumsum(sizes)[:-1]])))
+            keys = list(minima(joined, np.cumsum(sizes) - sizes, FACTORS, TERMS))
             items = [np.array(members)] * MINIMA
         order = [np.argsort(x, kind="stable") for x in keys]
         classes.append(
@@ -150,7 +146,7 @@ def candidates(items: Items, values: np.ndarray, at: np.ndarray) -> set[tuple[in
             blocks = -(-np.diff(at) // group.upper)
             owner = np.repeat(np.arange(len(blocks)), blocks)
             nth = np.arange(len(owner)) - (np.cumsum(blocks) - blocks)[owner]
-            low = minima(values, at[owner] + nth * group.upper)
+            low = minima(values, at[owner] + nth * group.upper, FACTORS, TERMS)
             upper = group.upper
         while upper < group.upper:  # two blocks make one of the next class
             low, owner = joined_blocks(low, owner)
