@@ -13,8 +13,10 @@ Two documents are linked if the Jaccard similarity of their sets of distinct k-w
 4. A pair passes the signature check (the share of equal minima, from one byte of each, is not
    far below the threshold), then its full sets are compared exactly.
 5. Links become groups by alternating large-star and small-star.
-6. Buckets that still hold several groups: of a small one all pairs between groups are compared,
-   of a large one stars with other centres, until two rounds in a row find no link.
+6. Buckets that still hold several groups: where at most ``FEW_OUTSIDE`` members are outside the
+   largest group, these are compared with all members of other groups (so at most that many
+   pairs for each member); elsewhere stars with other centres go on until two rounds in a row
+   find no link. Two linked classes share eleven buckets on average.
 
 No group of documents is collected anywhere; a hot bucket or centre is a hot join key, which
 Spark splits (both sides of those joins are tables read back, so adaptive skew joins apply).
@@ -52,8 +54,8 @@ THRESHOLD_PERCENT = 80
 BANDS, ROWS = 42, 6
 # Share of equal minima that a pair needs; six standard deviations below similarity 0.8.
 SIGNATURE_SHARE = 0.65
-# Members of a bucket of which all pairs between groups are compared.
-SMALL_BUCKET = 32
+# Members of a bucket outside its largest group that are compared with all other groups' members.
+FEW_OUTSIDE = 32
 FACTORS, TERMS = universal_family(BANDS * ROWS)
 
 
@@ -221,7 +223,7 @@ class _Search:
 
 
 def near_duplicates(
-    documents: DataFrame, k: int = SHINGLE_WORDS, percent: int = THRESHOLD_PERCENT, small_bucket: int = SMALL_BUCKET
+    documents: DataFrame, k: int = SHINGLE_WORDS, percent: int = THRESHOLD_PERCENT, few_outside: int = FEW_OUTSIDE
 ) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id of the group) and kept of every row
     of ``documents`` (doc_id, text). Links need ``100 * intersection >= percent * union``."""
@@ -241,9 +243,9 @@ def near_duplicates(
     )
     rows = classes.select("node", F.explode("bands").alias("bucket"))
     centres = written(
-        rows.groupBy("bucket").agg(F.min("node").alias("centre"), F.count("*").alias("members")).where("members > 1"), "centres"
+        rows.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("last")).where("centre <> last"), "centres"
     )
-    shared = written(rows.join(centres, "bucket"), "buckets")
+    shared = written(rows.join(centres.drop("last"), "bucket"), "buckets")
     stars = written(
         shared.where("node <> centre").groupBy("node", "centre").agg(F.count("*").alias("n")), "stars"
     )
@@ -261,7 +263,7 @@ def near_duplicates(
     first = stars.groupBy("node").agg(F.max(F.struct("n", F.negative("centre").alias("c"))).alias("best"))
     search.verify(first.selectExpr("node AS u", "-best.c AS v"))
     search.verify(search.apart(stars.selectExpr("node AS u", "centre AS v")))
-    _between_groups(search, shared, small_bucket)
+    _between_groups(search, shared, few_outside)
 
     groups = classes.select("node", "a", "b", "first_id")
     groups = search.grouped(groups, "node", "group")
@@ -277,28 +279,36 @@ def near_duplicates(
     return grouped.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _between_groups(search: _Search, shared: DataFrame, small_bucket: int) -> None:
+def _between_groups(search: _Search, shared: DataFrame, few: int) -> None:
     """Links between groups that share a bucket, beyond those with the buckets' first members."""
     quiet = 0
     for turn in range(1, 1000):
-        in_groups = search.grouped(shared.select("bucket", "node", "members"), "node", "group")
-        mixed = in_groups.groupBy("bucket").agg(
-            F.min("group").alias("low"),
-            F.max("group").alias("high"),
-            F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("other"),
+        in_groups = written(search.grouped(shared.select("bucket", "node"), "node", "group"), "in-groups")
+        sizes = in_groups.groupBy("bucket", "group").agg(F.count("*").alias("n"))
+        mixed = sizes.groupBy("bucket").agg(
+            F.count("*").alias("groups"), (F.sum("n") - F.max("n")).alias("outside"), F.max_by("group", F.struct("n", "group")).alias("largest")
         )
-        mixed = written(mixed.where("low <> high").select("bucket", "other"), "mixed")
+        mixed = written(mixed.where("groups > 1").select("bucket", "outside", "largest"), "mixed")
         if mixed.isEmpty():
             return
-        open_rows = written(in_groups.join(mixed, "bucket"), "open")
-        large = open_rows.where(F.col("members") > small_bucket)
-        pairs = large.selectExpr("node AS u", "other AS v")
-        if turn == 1:  # all pairs between groups of the small buckets, once
-            small = open_rows.where(F.col("members") <= small_bucket)
-            left = small.selectExpr("bucket", "node AS u", "group AS gu")
-            right = small.selectExpr("bucket", "node AS v", "group AS gv")
-            pairs = pairs.union(left.join(right, "bucket").where("u < v AND gu <> gv").select("u", "v"))
-        elif large.isEmpty():
+        rows = written(in_groups.join(mixed, "bucket"), "mixed-rows")
+        pairs = None
+        if turn == 1:  # once, as it leaves no pair between groups of these buckets untried
+            near = rows.where(F.col("outside") <= few)
+            outside = near.where("group <> largest").selectExpr("bucket", "node AS u", "group AS gu")
+            pairs = (
+                outside.join(near.selectExpr("bucket", "node AS v", "group AS gv", "largest"), "bucket")
+                .where("gu <> gv AND (gv = largest OR u < v)")
+                .select("u", "v")
+            )
+        crowded = rows.where(F.col("outside") > few)
+        if not crowded.isEmpty():
+            other = written(
+                crowded.groupBy("bucket").agg(F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("v")), "others"
+            )
+            stars = crowded.select("bucket", F.col("node").alias("u")).join(other, "bucket").select("u", "v")
+            pairs = stars if pairs is None else pairs.union(stars)
+        elif pairs is None:
             return
         found = search.verify(search.apart(pairs))
         quiet = 0 if found else quiet + 1
