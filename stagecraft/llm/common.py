@@ -238,41 +238,39 @@ class PartEncoder:
     remembered; a text's ids are gathered from those of its parts.
 
     ``encode`` deals a list of parts out into groups: it yields (parts, all their ids, number of
-    ids of each part). About ``limit`` parts are remembered.
+    ids of each part). The first ``limit`` parts are remembered, which holds all frequent ones;
+    later ones are encoded again in every call that meets them.
     """
 
     def __init__(self, encode, limit: int = 600_000) -> None:
         self._encode, self._limit = encode, limit
-        self._forget()
-
-    def _forget(self) -> None:
         self._number: dict[str, int] = {}
         self._ids = np.zeros(0, np.uint32)
         self._sizes = np.zeros(0, np.int64)
 
-    def _numbers(self, parts: list[str]) -> np.ndarray:
-        return np.fromiter(map(self._number.get, parts, itertools.repeat(-1)), dtype=np.int64, count=len(parts))
-
     def __call__(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, number of ids of each text) of texts given as their parts."""
         parts = list(itertools.chain.from_iterable(texts))
         ends = np.cumsum([len(text) for text in texts], dtype=np.int64)
-        if len(self._number) > self._limit:
-            self._forget()
-        at = self._numbers(parts)
-        missing = np.flatnonzero(at < 0)
-        if len(missing):
-            new = list({parts[i] for i in missing.tolist()})
-            groups = list(self._encode(new))
-            for known, ids, sizes in groups:
-                self._number.update(zip(known, itertools.count(len(self._number))))
-            self._ids = np.concatenate([self._ids, *[ids.astype(np.uint32) for _, ids, _ in groups]])
-            self._sizes = np.concatenate([self._sizes, *[sizes for _, _, sizes in groups]])
-            at[missing] = self._numbers([parts[i] for i in missing.tolist()])
-        starts = np.cumsum(self._sizes) - self._sizes
-        sizes = self._sizes[at]
+        at = np.fromiter(map(self._number.get, parts, itertools.repeat(-1)), dtype=np.int64, count=len(parts))
+        missing = np.flatnonzero(at < 0).tolist()
+        known_ids, known_sizes = self._ids, self._sizes
+        if missing:
+            absent = [parts[i] for i in missing]
+            groups = list(self._encode(list(set(absent))))
+            new: dict[str, int] = {}
+            for of, _, _ in groups:
+                new.update(zip(of, itertools.count(len(known_sizes) + len(new))))
+            at[missing] = np.fromiter(map(new.__getitem__, absent), dtype=np.int64, count=len(absent))
+            known_ids = np.concatenate([known_ids, *[ids.astype(np.uint32) for _, ids, _ in groups]])
+            known_sizes = np.concatenate([known_sizes, *[sizes for _, _, sizes in groups]])
+            if len(self._number) < self._limit:
+                self._number.update(new)
+                self._ids, self._sizes = known_ids, known_sizes
+        starts = np.cumsum(known_sizes) - known_sizes
+        sizes = known_sizes[at]
         total = np.concatenate([[0], np.cumsum(sizes)])
-        ids = self._ids[np.repeat(starts[at] - total[:-1], sizes) + np.arange(total[-1])]
+        ids = known_ids[np.repeat(starts[at] - total[:-1], sizes) + np.arange(total[-1])]
         return ids, np.diff(np.concatenate([[0], total[ends]])).astype(np.int64)
 
 

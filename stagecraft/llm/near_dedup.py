@@ -15,8 +15,7 @@ Two documents are linked if the Jaccard similarity of their sets of distinct k-w
 5. Links become groups by alternating large-star and small-star.
 6. Buckets that still hold several groups: where at most ``FEW_OUTSIDE`` members are outside the
    largest group, these are compared with all members of other groups (so at most that many
-   pairs for each member); elsewhere stars with other centres go on until two rounds in a row
-   find no link. Two linked classes share eleven buckets on average.
+   pairs for each member); elsewhere stars with other centres go on until a round finds no link. Two linked classes share eleven buckets on average.
 
 No group of documents is collected anywhere; a hot bucket or centre is a hot join key, which
 Spark splits (both sides of those joins are tables read back, so adaptive skew joins apply).
@@ -37,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stagecraft.llm.bloom import bloom_semi_join
 from stagecraft.llm.common import (
     distinct_sorted,
     minima,
@@ -55,7 +55,9 @@ BANDS, ROWS = 42, 6
 # Share of equal minima that a pair needs; six standard deviations below similarity 0.8.
 SIGNATURE_SHARE = 0.65
 # Members of a bucket outside its largest group that are compared with all other groups' members.
-FEW_OUTSIDE = 32
+FEW_OUTSIDE = 8
+# Ways that the rows of a hub are dealt out while components are found.
+SALTS = 8
 FACTORS, TERMS = universal_family(BANDS * ROWS)
 
 
@@ -158,6 +160,13 @@ def common(x: pa.Array, y: pa.Array) -> pa.Array:
 
 
 # -- components --------------------------------------------------------------
+def _with_least(rows: DataFrame, least: DataFrame) -> DataFrame:
+    """``rows`` (u, v) with the ``m`` that ``least`` (u, m) has for u. A hub's rows are dealt out
+    by a salt, as a third of all rows may have one u."""
+    salted = least.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+    return rows.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(salted, ["u", "salt"]).drop("salt")
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """node and component (the least node reachable) of every node of ``edges`` (u, v: bigint),
     by alternating large-star and small-star until the edges no longer change."""
@@ -165,18 +174,17 @@ def connected_components(edges: DataFrame) -> DataFrame:
     seen = None
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = written(both.groupBy("u").agg(F.min("v").alias("m")).selectExpr("u", "least(u, m) AS m"), "least")
-        large = both.where("v > u").join(least, "u").selectExpr("v AS u", "m AS v").where("u <> v").distinct()
-        large = written(large, "large")
-        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
-        small = large.join(least, "u").where("v <> m").selectExpr("v AS u", "m AS v")
+        least = both.groupBy("u").agg(F.min("v").alias("m")).selectExpr("u", "least(u, m) AS m")
+        large = _with_least(both.where("v > u"), least).selectExpr("v AS u", "m AS v").where("u <> v").distinct()
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = _with_least(large, least).where("v <> m").selectExpr("v AS u", "m AS v")
         edges = written(small.union(least.selectExpr("u", "m AS v")).where("u <> v").distinct(), "edges")
         told = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if told == seen:
             break
         seen = told
-    roots = edges.select(F.col("v").alias("node")).distinct()
-    return edges.selectExpr("u AS node", "v AS component").unionByName(roots.withColumn("component", F.col("node"))).distinct()
+    roots = edges.selectExpr("v AS node", "v AS component").distinct()
+    return edges.selectExpr("u AS node", "v AS component").union(roots)
 
 
 # -- the search --------------------------------------------------------------
@@ -185,8 +193,7 @@ class _Search:
 
     def __init__(self, classes: DataFrame, sets: DataFrame, percent: int) -> None:
         self.classes, self.sets, self.percent = classes, sets, percent
-        self.links: DataFrame | None = None
-        self.groups: DataFrame | None = None
+        self.groups: DataFrame | None = None  # node, component: of linked classes
 
     def grouped(self, rows: DataFrame, node: str, to: str) -> DataFrame:
         """``rows`` with column ``to``: the group of column ``node`` (itself without a link)."""
@@ -195,31 +202,36 @@ class _Search:
         found = self.groups.select(F.col("node").alias(node), F.col("component").alias(to))
         return rows.join(found, node, "left").withColumn(to, F.coalesce(to, node))
 
-    def apart(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (u, v) whose classes are in different groups so far."""
-        return self.grouped(self.grouped(pairs, "u", "gu"), "v", "gv").where("gu <> gv").select("u", "v")
-
-    def verify(self, pairs: DataFrame) -> int:
-        """Link the pairs (u, v) that pass; the number of links."""
-        pairs = written(pairs.where("u <> v").selectExpr("least(u, v) AS u", "greatest(u, v) AS v").distinct(), "pairs")
+    def verify(self, pairs: DataFrame) -> bool:
+        """Link the pairs (u, v) of different groups that pass; whether there are any."""
+        pairs = pairs.where("u <> v").selectExpr("least(u, v) AS u", "greatest(u, v) AS v").distinct()
+        pairs = self.grouped(self.grouped(pairs, "u", "gu"), "v", "gv").where("gu <> gv")
         lows = self.classes.select("node", "lows")
         likely = (
             pairs.join(lows.selectExpr("node AS u", "lows AS lu"), "u")
             .join(lows.selectExpr("node AS v", "lows AS lv"), "v")
             .where(equal_share("lu", "lv") >= SIGNATURE_SHARE)
-            .select("u", "v")
+            .select("u", "v", "gu", "gv")
         )
+        likely = written(likely, "likely")
         full = (
             likely.join(self.sets.selectExpr("node AS u", "hashes AS hu"), "u")
             .join(self.sets.selectExpr("node AS v", "hashes AS hv"), "v")
-            .select("u", "v", (F.length("hu") / 8 + F.length("hv") / 8).cast("bigint").alias("total"), common("hu", "hv").alias("both"))
+            .select("gu", "gv", (F.length("hu") / 8 + F.length("hv") / 8).cast("bigint").alias("total"), common("hu", "hv").alias("both"))
         )
-        links = written(full.where(f"100 * both >= {self.percent} * (total - both)").select("u", "v"), "links")
-        n = links.count()
-        if n:
-            self.links = links if self.links is None else self.links.union(links)
-            self.groups = written(connected_components(self.links), "groups")
-        return n
+        passed = full.where(f"100 * both >= {self.percent} * (total - both)")
+        links = written(passed.selectExpr("gu AS u", "gv AS v").distinct(), "links")
+        if links.isEmpty():
+            return False
+        merged = connected_components(links)  # of whole groups
+        if self.groups is None:
+            self.groups = written(merged, "groups")
+        else:
+            onto = merged.selectExpr("node AS component", "component AS onto")
+            old = self.groups.join(onto, "component", "left").selectExpr("node", "coalesce(onto, component) AS component")
+            new = merged.join(self.groups.select("node"), "node", "left_anti")
+            self.groups = written(old.union(new.select("node", "component")), "groups")
+        return True
 
 
 def near_duplicates(
@@ -250,9 +262,11 @@ def near_duplicates(
         shared.where("node <> centre").groupBy("node", "centre").agg(F.count("*").alias("n")), "stars"
     )
     # Sets of the classes that share a bucket, from the text of one document of each.
-    wanted = classes.join(shared.select("node").distinct(), "node", "left_semi").select("node", "a", "b", "first_id")
+    wanted = written(
+        classes.join(shared.select("node").distinct(), "node", "left_semi").select("node", "a", "b", "first_id"), "wanted"
+    )
     sets = written(
-        texts.join(wanted.select(F.col("first_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+        bloom_semi_join(texts, wanted.select(F.col("first_id").alias("doc_id")), "doc_id")
         .mapInArrow(_sets(k), "a bigint, b bigint, hashes binary")
         .join(wanted, ["a", "b"])
         .select("node", "hashes")
@@ -262,7 +276,7 @@ def near_duplicates(
     search = _Search(classes, sets, percent)
     first = stars.groupBy("node").agg(F.max(F.struct("n", F.negative("centre").alias("c"))).alias("best"))
     search.verify(first.selectExpr("node AS u", "-best.c AS v"))
-    search.verify(search.apart(stars.selectExpr("node AS u", "centre AS v")))
+    search.verify(stars.selectExpr("node AS u", "centre AS v"))
     _between_groups(search, shared, few_outside)
 
     groups = classes.select("node", "a", "b", "first_id")
@@ -281,38 +295,29 @@ def near_duplicates(
 
 def _between_groups(search: _Search, shared: DataFrame, few: int) -> None:
     """Links between groups that share a bucket, beyond those with the buckets' first members."""
-    quiet = 0
-    for turn in range(1, 1000):
+    turn = 0
+    while True:
+        turn += 1
         in_groups = written(search.grouped(shared.select("bucket", "node"), "node", "group"), "in-groups")
-        sizes = in_groups.groupBy("bucket", "group").agg(F.count("*").alias("n"))
+        sizes = in_groups.groupBy("bucket", "group").agg(
+            F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), "node")).alias("pick")
+        )
         mixed = sizes.groupBy("bucket").agg(
-            F.count("*").alias("groups"), (F.sum("n") - F.max("n")).alias("outside"), F.max_by("group", F.struct("n", "group")).alias("largest")
+            F.count("*").alias("groups"),
+            (F.sum("n") - F.max("n")).alias("outside"),
+            F.max(F.struct("n", "group")).alias("most"),
+            F.min("pick").alias("pick"),
         )
-        mixed = written(mixed.where("groups > 1").select("bucket", "outside", "largest"), "mixed")
-        if mixed.isEmpty():
-            return
-        rows = written(in_groups.join(mixed, "bucket"), "mixed-rows")
-        pairs = None
+        mixed = mixed.where("groups > 1").selectExpr("bucket", "outside", "most.group AS largest", "pick.node AS v")
+        rows = written(in_groups.join(mixed, "bucket"), "mixed")
+        pairs = rows.where(F.col("outside") > few).selectExpr("node AS u", "v")
         if turn == 1:  # once, as it leaves no pair between groups of these buckets untried
             near = rows.where(F.col("outside") <= few)
             outside = near.where("group <> largest").selectExpr("bucket", "node AS u", "group AS gu")
-            pairs = (
-                outside.join(near.selectExpr("bucket", "node AS v", "group AS gv", "largest"), "bucket")
-                .where("gu <> gv AND (gv = largest OR u < v)")
-                .select("u", "v")
-            )
-        crowded = rows.where(F.col("outside") > few)
-        if not crowded.isEmpty():
-            other = written(
-                crowded.groupBy("bucket").agg(F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("v")), "others"
-            )
-            stars = crowded.select("bucket", F.col("node").alias("u")).join(other, "bucket").select("u", "v")
-            pairs = stars if pairs is None else pairs.union(stars)
-        elif pairs is None:
-            return
-        found = search.verify(search.apart(pairs))
-        quiet = 0 if found else quiet + 1
-        if quiet == 2:
+            others = near.selectExpr("bucket", "node AS v", "group AS gv", "largest")
+            crossed = outside.join(others, "bucket").where("gu <> gv AND (gv = largest OR u < v)")
+            pairs = pairs.union(crossed.select("u", "v"))
+        if rows.isEmpty() or not search.verify(pairs):
             return
 
 

@@ -5,10 +5,9 @@ judged by a list of URLs: a blocked Bloom filter of the listed canonical URLs le
 hits through to an exact hash join, which removes the filter's false positives. Everything is
 DataFrame expressions.
 
-* The filter has blocks of eight 64-bit words; a URL sets one bit in each word of its block.
-  It is a table of blocks, made by a grouped bitwise OR (combined before the shuffle), and has
-  ``MAX_BLOCKS`` rows at most, so it can be broadcast whatever the length of the list. A list
-  that fills it lets more false positives through, which the join removes.
+* The filter (``bloom.py``) is a table of ``MAX_BLOCKS`` rows at most, so it can be broadcast
+  whatever the length of the list. A list that fills it lets more false positives through,
+  which the join removes.
 * Only possible hits are shuffled for the join, on their canonical URL, and the listed side has
   each URL once. Spark splits the rows of a URL that many pages share (adaptive skew join).
 
@@ -25,12 +24,9 @@ import dataclasses
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stagecraft.llm.bloom import MAX_BLOCKS, with_maybe
 from stagecraft.llm.common import lower_ascii
 
-WORDS = 8
-BITS_PER_URL = 16
-MAX_BLOCKS = 1 << 16  # 4 MB of bits
-
 # The rules of the registered query.
 RULES = [
     ("com", "/", "allow"),
@@ -84,43 +80,6 @@ def by_rules(rules: list[Rule], host: Column, path: Column) -> tuple[Column, Col
     return name, verdict
 
 
-def _block_of(url: Column, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(url), F.lit(blocks))
-
-
-def _bit_of(url: Column, word: int) -> Column:
-    """The one bit that a URL sets in a word of its block."""
-    bits = F.xxhash64(url, F.lit("bloom"))
-    at = F.shiftright(bits, 6 * word).bitwiseAND(63).cast("int")
-    return F.call_function("shiftleft", F.lit(1).cast("long"), at)
-
-
-def bloom_filter(urls: DataFrame, blocks: int) -> DataFrame:
-    """The filter of column ``url`` as a table: block, w0 .. w7 (``blocks`` rows at most)."""
-    bits = urls.where("url IS NOT NULL").select(
-        _block_of(F.col("url"), blocks).alias("block"),
-        *[_bit_of(F.col("url"), i).alias(f"b{i}") for i in range(WORDS)],
-    )
-    return bits.groupBy("block").agg(*[F.bit_or(f"b{i}").alias(f"w{i}") for i in range(WORDS)])
-
-
-def blocks_for(urls: int, most: int = MAX_BLOCKS) -> int:
-    """A power of two that gives each URL ``BITS_PER_URL`` bits, up to ``most`` blocks."""
-    wanted = max(urls, 1) * BITS_PER_URL // (64 * WORDS) + 1
-    return min(1 << (wanted - 1).bit_length(), most)
-
-
-def possible_hits(urls: DataFrame, listed: DataFrame, max_blocks: int = MAX_BLOCKS) -> DataFrame:
-    """``urls`` (column url) with ``maybe``: whether the filter of ``listed`` (column url) passes it."""
-    blocks = blocks_for(listed.count(), max_blocks)
-    bloom = F.broadcast(bloom_filter(listed, blocks))  # at most MAX_BLOCKS rows
-    all_set = F.lit(True)
-    for i in range(WORDS):
-        all_set = all_set & (F.col(f"w{i}").bitwiseAND(_bit_of(F.col("url"), i)) != 0)
-    found = urls.withColumn("block", _block_of(F.col("url"), blocks)).join(bloom, "block", "left")
-    return found.withColumn("maybe", F.coalesce(all_set, F.lit(False))).drop("block", *[f"w{i}" for i in range(WORDS)])
-
-
 def filter_urls(
     pages: DataFrame, listed: DataFrame, rules: list[Rule], max_blocks: int = MAX_BLOCKS
 ) -> DataFrame:
@@ -138,7 +97,7 @@ def filter_urls(
         verdict.alias("by_rule"),
         canonical_url(F.col("host"), F.col("path")).alias("url"),
     )
-    judged = possible_hits(judged, listed, max_blocks)
+    judged = with_maybe(judged, "url", listed, "url", max_blocks)
     hits = judged.where("maybe").join(listed.withColumn("listed", F.lit(True)).hint("shuffle_hash"), "url", "left")
     passed = judged.where("NOT maybe").withColumn("listed", F.lit(False))
     return hits.unionByName(passed).select(
