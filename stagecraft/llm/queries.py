@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stagecraft.llm.decontaminate import DECONTAMINATION_SQL, decontamination_query
 from stagecraft.llm.language_id import language_query
+from stagecraft.llm.lm_scoring import lm_query
 from stagecraft.llm.near_dedup import near_dedup_query
 from stagecraft.llm.quality import quality_query
 from stagecraft.llm.sentencepiece_fst import sentencepiece_query
@@ -22,6 +23,7 @@ QUERIES: dict[str, Query] = {
     "op3_token_output": token_query,
     "op4_near_dedup": near_dedup_query,
     "op5_quality_classifier": quality_query,
+    "op6_lm_scoring": lm_query,
     "op7_language_id": language_query,
     "op8_url_filter": url_query,
     "op9_sentencepiece": sentencepiece_query,
