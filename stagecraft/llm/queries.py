@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stagecraft.llm.decontaminate import DECONTAMINATION_SQL, decontamination_query
 from stagecraft.llm.language_id import language_query
+from stagecraft.llm.line_dedup import line_dedup_query
 from stagecraft.llm.lm_scoring import lm_query
 from stagecraft.llm.near_dedup import near_dedup_query
 from stagecraft.llm.quality import quality_query
@@ -20,6 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op1_topk_search": topk_query,
+    "op2_line_dedup": line_dedup_query,
     "op3_token_output": token_query,
     "op4_near_dedup": near_dedup_query,
     "op5_quality_classifier": quality_query,
