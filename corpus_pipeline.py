@@ -13,7 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stagecraft.llm.common import written
+from stagecraft.llm.decontaminate import decontaminate
+from stagecraft.llm.line_dedup import deduplicate_lines
+from stagecraft.llm.near_dedup import near_duplicates
 from stagecraft.llm.quality import THRESHOLD, fit_quality, quality_score
+from stagecraft.llm.sentencepiece_fst import encode_documents
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -24,8 +28,40 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.where(quality_score(model, F.col("text")) >= THRESHOLD)
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that are similar to an earlier one; n_chars follows. A
+    document that had lines and keeps none goes: every one of them is in an earlier document."""
+    cleaned = deduplicate_lines(docs)
+    emptied = (F.col("removed_lines") > 0) & ~F.col("text").rlike(r"[^ \n]")
+    changed = F.when(F.col("removed_lines") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("bigint")
+    return cleaned.where(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", changed).select(*docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies (five-word shingles, similarity 0.8): the one
+    with the smallest id. Documents without an id stay."""
+    gone = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
+    return docs.join(written(gone, "near-copies"), "doc_id", "left_anti").select(*docs.columns)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*docs.columns)
+
+
+def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of the documents, and whether they decode to the text."""
+    import public_tokenizers
+
+    return encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality", quality),
+    ("line_dedup", lines),
+    ("near_dedup", near_copies),
+    ("decontamination", benchmark),
+    ("sentencepiece", pieces),
 ]
 
 #: The classifier learns from data, which SQL cannot express; the tests hold each stage

@@ -44,6 +44,7 @@ from stagecraft.llm.common import (
     universal_family,
     utf8_buffers,
     word_hashes,
+    written,
 )
 
 SHINGLE_WORDS = 5
@@ -220,7 +221,7 @@ def _search(sent, k: int, threshold: float):
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents without those that hold a benchmark item (all columns; null ids stay)."""
-    hits = find_items(documents, benchmark, **options).select("doc_id").distinct()
+    hits = written(find_items(documents, benchmark, **options).select("doc_id").distinct(), "hits")
     return documents.join(hits, "doc_id", "left_anti")
 
 
