@@ -35,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stagecraft.llm.bloom import bloom_semi_join
 from stagecraft.llm.common import (
@@ -138,7 +139,7 @@ def _sets(k: int):
     return sets
 
 
-@F.arrow_udf("double")
+@F.arrow_udf(T.DoubleType())
 def equal_share(x: pa.Array, y: pa.Array) -> pa.Array:
     """Share of equal bytes of two signatures, less what chance gives."""
     out = []
@@ -148,7 +149,7 @@ def equal_share(x: pa.Array, y: pa.Array) -> pa.Array:
     return pa.array(out, pa.float64())
 
 
-@F.arrow_udf("bigint")
+@F.arrow_udf(T.LongType())
 def common(x: pa.Array, y: pa.Array) -> pa.Array:
     """Size of the intersection of two sorted sets."""
     out = []
