@@ -58,7 +58,7 @@ SIGNATURE_SHARE = 0.65
 # Members of a bucket outside its largest group that are compared with all other groups' members.
 FEW_OUTSIDE = 16
 # Members of a crowded bucket's largest group that the others are compared with in one round.
-PICKS = 16
+PICKS = 8
 # Ways that the rows of a hub are dealt out while components are found.
 SALTS = 8
 FACTORS, TERMS = universal_family(BANDS * ROWS)
