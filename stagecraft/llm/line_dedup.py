@@ -28,7 +28,6 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,13 +66,13 @@ def rarity_table(lines: DataFrame) -> bytes:
         "xxhash64(xxhash64(get(h, i), get(h, i + 1)),"
         " CASE WHEN size(h) > i + 2 THEN xxhash64(get(h, i + 2), get(h, i + 3)) END, get(h, i + 4))"
     )
-    rows = at.select(F.pmod(token, F.lit(BUCKETS)).alias("bucket")).groupBy("bucket").count().toPandas()  # BUCKETS rows at most
-    counts = np.zeros(BUCKETS)
-    counts[rows["bucket"].to_numpy()] = rows["count"].to_numpy()
-    mean = max(counts.mean(), 1e-9)
-    with np.errstate(divide="ignore"):
-        classes = CLASSES // 2 + 8 * np.log2(counts / mean)
-    return np.clip(classes, 0, CLASSES - 1).astype(np.uint8).tobytes()
+    rows = at.select(F.pmod(token, F.lit(BUCKETS)).alias("bucket")).groupBy("bucket").count().collect()  # BUCKETS rows at most
+    mean = sum(r["count"] for r in rows) / BUCKETS
+    table = bytearray(BUCKETS)
+    for r in rows:
+        rarity = CLASSES // 2 + 8 * math.log2(r["count"] / mean)
+        table[r["bucket"]] = int(min(max(rarity, 0), CLASSES - 1))
+    return bytes(table)
 
 
 def in_order(table: bytes) -> Column:

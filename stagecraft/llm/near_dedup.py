@@ -56,9 +56,9 @@ BANDS, ROWS = 42, 6
 # Share of equal minima that a pair needs; six standard deviations below similarity 0.8.
 SIGNATURE_SHARE = 0.65
 # Members of a bucket outside its largest group that are compared with all other groups' members.
-FEW_OUTSIDE = 16
+FEW_OUTSIDE = 12
 # Members of a crowded bucket's largest group that the others are compared with in one round.
-PICKS = 8
+PICKS = 4
 # Ways that the rows of a hub are dealt out while components are found.
 SALTS = 8
 FACTORS, TERMS = universal_family(BANDS * ROWS)
@@ -302,37 +302,32 @@ def _between_groups(search: _Search, shared: DataFrame, few: int) -> None:
     while True:
         turn += 1
         in_groups = written(search.grouped(shared.select("bucket", "node"), "node", "group"), "in-groups")
-        order = F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), "node")
         mixed = (
             in_groups.groupBy("bucket", "group")
-            .agg(F.count("*").alias("n"), F.min(order).alias("pick"))
+            .agg(F.count("*").alias("n"))
             .groupBy("bucket")
-            .agg(
-                F.count("*").alias("groups"),
-                (F.sum("n") - F.max("n")).alias("outside"),
-                F.max(F.struct("n", "group")).alias("most"),
-                F.min("pick").alias("pick"),
-            )
+            .agg(F.count("*").alias("groups"), (F.sum("n") - F.max("n")).alias("outside"), F.max(F.struct("n", "group")).alias("most"))
             .where("groups > 1")
-            .selectExpr("bucket", "outside", "most.group AS largest", "most.n AS size", "pick.node AS v")
+            .selectExpr("bucket", "outside", "most.group AS largest", "most.n AS size")
         )
-        if turn > 1:
-            mixed = mixed.where((F.col("outside") > few) & (F.col("size") > 1))
+        crowded = (F.col("outside") > few) & (F.col("size") > 1)
+        mixed = mixed.where(crowded if turn > 1 else crowded | (F.col("outside") <= few))
         rows = written(in_groups.join(mixed, "bucket"), "mixed")
         if rows.isEmpty():
             return
+        order = F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), "node")
+        slot = F.pmod(F.xxhash64("node"), F.lit(PICKS))
+        full = rows.where(crowded)
+        picks = full.where("group = largest").groupBy("bucket", slot.alias("slot")).agg(F.min(order).alias("pick"))
+        outside = full.where("group <> largest").selectExpr("bucket", "node AS u")
+        pairs = outside.join(picks.selectExpr("bucket", "pick.node AS v"), "bucket").select("u", "v")
         if turn == 1:
             # Once, as it leaves no pair between groups of these buckets untried.
             near = rows.where(F.col("outside") <= few)
             outside = near.where("group <> largest").selectExpr("bucket", "node AS u", "group AS gu")
             others = near.selectExpr("bucket", "node AS v", "group AS gv", "largest")
             crossed = outside.join(others, "bucket").where("gu <> gv AND (gv = largest OR u < v)")
-            pairs = crossed.select("u", "v").union(rows.where(F.col("outside") > few).selectExpr("node AS u", "v"))
-        else:
-            slot = F.pmod(F.xxhash64("node"), F.lit(PICKS))
-            picks = rows.where("group = largest").groupBy("bucket", slot.alias("slot")).agg(F.min(order).alias("pick"))
-            outside = rows.where("group <> largest").selectExpr("bucket", "node AS u")
-            pairs = outside.join(picks.selectExpr("bucket", "pick.node AS v"), "bucket").select("u", "v")
+            pairs = pairs.union(crossed.select("u", "v"))
         if not search.verify(pairs) and turn > 1:
             return
 

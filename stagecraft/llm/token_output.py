@@ -48,6 +48,9 @@ BLOCK_IDS = 4096
 # Characters and parts that go to the library at once.
 ENCODE_CHARS = 100_000
 JOINED_PARTS = 2000
+# Parts that a worker remembers, and bytes of text that it encodes in one go.
+MEMO_PARTS = 1_000_000
+TEXT_BYTES = 6 << 20
 SHARD_IDS = 4_000_000
 # A space and white space: there a pre-token may end elsewhere.
 AFTER_SPACE = [" " + c for c in " \t\n\x0b\x0c\r\x85\xa0"]
@@ -146,7 +149,7 @@ class Encoder:
         self.bytes_of = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), dtype=np.int64)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
             self.bytes_of[i] = len(token)  # byte-level: a character stands for a byte
-        self.by_parts = PartEncoder(self.parts)
+        self.by_parts = PartEncoder(self.parts, limit=MEMO_PARTS)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of texts, a few at a time (the library's results are large)."""
@@ -267,7 +270,7 @@ def _writer(sent, folder: str, bits: int, end_id: int):
 
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
-            for start, texts in text_slices(batch.column(1)):
+            for start, texts in text_slices(batch.column(1), TEXT_BYTES):
                 flat, counts = encode(texts)
                 ends = np.cumsum(counts)
                 flat = np.insert(flat, ends, end_id)  # after each document
