@@ -10,7 +10,7 @@ Two documents are linked if the Jaccard similarity of their sets of distinct k-w
 3. Classes that share a band are in one bucket. Each bucket is a star: its members are compared
    with its first one, not with each other. A class first tries the centre that it meets in most
    buckets, then the other ones where that left the two in different groups.
-4. A pair passes the signature check (the share of equal minima, from one byte of each, is not
+4. A pair of sizes that can have the similarity passes the signature check (the share of equal minima, from one byte of each, is not
    far below the threshold), then its full sets are compared exactly.
 5. Links become groups by alternating large-star and small-star.
 6. Buckets that still hold several groups: where at most ``FEW_OUTSIDE`` members are outside the
@@ -53,8 +53,8 @@ from stagecraft.llm.common import (
 SHINGLE_WORDS = 5
 THRESHOLD_PERCENT = 80
 BANDS, ROWS = 42, 6
-# Share of equal minima that a pair needs; six standard deviations below similarity 0.8.
-SIGNATURE_SHARE = 0.65
+# Share of equal minima that a pair needs; four standard deviations below similarity 0.8.
+SIGNATURE_SHARE = 0.7
 # Members of a bucket outside its largest group that are compared with all other groups' members.
 FEW_OUTSIDE = 12
 # Members of a crowded bucket's largest group that the others are compared with in one round.
@@ -237,6 +237,11 @@ class _Search:
         return True
 
 
+def fitting(n: F.Column, m: F.Column, percent: int) -> F.Column:
+    """Whether sets of n and m shingles can have the similarity at all."""
+    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+
+
 def near_duplicates(
     documents: DataFrame, k: int = SHINGLE_WORDS, percent: int = THRESHOLD_PERCENT, few_outside: int = FEW_OUTSIDE
 ) -> DataFrame:
@@ -252,17 +257,30 @@ def near_duplicates(
     classes = written(
         signed.where("doc_id IS NOT NULL AND n_shingles > 0")
         .groupBy("a", "b")
-        .agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"), F.first("lows").alias("lows"))
+        .agg(
+            F.min("doc_id").alias("first_id"),
+            F.first("n_shingles").alias("n"),
+            F.first("bands").alias("bands"),
+            F.first("lows").alias("lows"),
+        )
         .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
-    rows = classes.select("node", F.explode("bands").alias("bucket"))
+    rows = classes.select("node", "n", F.explode("bands").alias("bucket"))
     centres = written(
-        rows.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("last")).where("centre <> last"), "centres"
+        rows.groupBy("bucket")
+        .agg(F.min(F.struct("node", "n")).alias("centre"), F.max("node").alias("last"))
+        .where("centre.node <> last")
+        .select("bucket", "centre"),
+        "centres",
     )
-    shared = written(rows.join(centres.drop("last"), "bucket"), "buckets")
+    shared = written(rows.join(centres, "bucket"), "buckets")
     stars = written(
-        shared.where("node <> centre").groupBy("node", "centre").agg(F.count("*").alias("n")), "stars"
+        shared.where("node <> centre.node")
+        .where(fitting(F.col("n"), F.col("centre.n"), percent))
+        .groupBy("node", F.col("centre.node").alias("centre"))
+        .agg(F.count("*").alias("times")),
+        "stars",
     )
     # Sets of the classes that share a bucket, from the text of one document of each.
     wanted = written(
@@ -277,10 +295,10 @@ def near_duplicates(
         "sets",
     )
     search = _Search(classes, sets, percent)
-    first = stars.groupBy("node").agg(F.max(F.struct("n", F.negative("centre").alias("c"))).alias("best"))
+    first = stars.groupBy("node").agg(F.max(F.struct("times", F.negative("centre").alias("c"))).alias("best"))
     search.verify(first.selectExpr("node AS u", "-best.c AS v"))
     search.verify(stars.selectExpr("node AS u", "centre AS v"))
-    _between_groups(search, shared, few_outside)
+    _between_groups(search, shared, few_outside, percent)
 
     groups = classes.select("node", "a", "b", "first_id")
     groups = search.grouped(groups, "node", "group")
@@ -296,37 +314,43 @@ def near_duplicates(
     return grouped.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _between_groups(search: _Search, shared: DataFrame, few: int) -> None:
+def _between_groups(search: _Search, shared: DataFrame, few: int, percent: int) -> None:
     """Links between groups that share a bucket, beyond those with the buckets' first members."""
     turn = 0
     while True:
         turn += 1
-        in_groups = written(search.grouped(shared.select("bucket", "node"), "node", "group"), "in-groups")
+        in_groups = written(search.grouped(shared.select("bucket", "node", "n"), "node", "group"), "in-groups")
         mixed = (
             in_groups.groupBy("bucket", "group")
-            .agg(F.count("*").alias("n"))
+            .agg(F.count("*").alias("size"))
             .groupBy("bucket")
-            .agg(F.count("*").alias("groups"), (F.sum("n") - F.max("n")).alias("outside"), F.max(F.struct("n", "group")).alias("most"))
+            .agg(
+                F.count("*").alias("groups"),
+                (F.sum("size") - F.max("size")).alias("outside"),
+                F.max(F.struct("size", "group")).alias("most"),
+            )
             .where("groups > 1")
-            .selectExpr("bucket", "outside", "most.group AS largest", "most.n AS size")
+            .selectExpr("bucket", "outside", "most.group AS largest", "most.size AS size")
         )
         crowded = (F.col("outside") > few) & (F.col("size") > 1)
         mixed = mixed.where(crowded if turn > 1 else crowded | (F.col("outside") <= few))
         rows = written(in_groups.join(mixed, "bucket"), "mixed")
         if rows.isEmpty():
             return
-        order = F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), "node")
+        order = F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), "node", "n")
         slot = F.pmod(F.xxhash64("node"), F.lit(PICKS))
         full = rows.where(crowded)
         picks = full.where("group = largest").groupBy("bucket", slot.alias("slot")).agg(F.min(order).alias("pick"))
-        outside = full.where("group <> largest").selectExpr("bucket", "node AS u")
-        pairs = outside.join(picks.selectExpr("bucket", "pick.node AS v"), "bucket").select("u", "v")
+        fits = fitting(F.col("nu"), F.col("nv"), percent)
+        outside = full.where("group <> largest").selectExpr("bucket", "node AS u", "n AS nu")
+        picks = picks.selectExpr("bucket", "pick.node AS v", "pick.n AS nv")
+        pairs = outside.join(picks, "bucket").where(fits).select("u", "v")
         if turn == 1:
             # Once, as it leaves no pair between groups of these buckets untried.
             near = rows.where(F.col("outside") <= few)
-            outside = near.where("group <> largest").selectExpr("bucket", "node AS u", "group AS gu")
-            others = near.selectExpr("bucket", "node AS v", "group AS gv", "largest")
-            crossed = outside.join(others, "bucket").where("gu <> gv AND (gv = largest OR u < v)")
+            outside = near.where("group <> largest").selectExpr("bucket", "node AS u", "group AS gu", "n AS nu")
+            others = near.selectExpr("bucket", "node AS v", "group AS gv", "n AS nv", "largest")
+            crossed = outside.join(others, "bucket").where(fits).where("gu <> gv AND (gv = largest OR u < v)")
             pairs = pairs.union(crossed.select("u", "v"))
         if not search.verify(pairs) and turn > 1:
             return
