@@ -1,6 +1,6 @@
 """Run the staging job for one cob date.
 
-    spark-submit -m stagecraft \\
+    python -m stagecraft \\
         --entity s3://.../entity --config s3://.../config \\
         --population s3://.../population --dpd s3://.../dpd \\
         --min-factor-date 2017-04-30 \\
@@ -8,7 +8,8 @@
 
 With ``--format table`` the four inputs and the targets are catalog table names.
 The session comes from the cluster (``getOrCreate``); its ``spark.checkpoint.dir``
-is used to checkpoint the event table.
+is used to checkpoint the per-loan table. (For ``spark-submit``, pass it this file and the
+package with ``--py-files``.)
 """
 
 from __future__ import annotations

@@ -1,17 +1,7 @@
 """Column-level helpers: dates, DPD bands, decision tables."""
 
-from stagecraft.functions.bands import flag, is_npl, is_performing, is_stage2_point
-from stagecraft.functions.dates import date_lit, later_of, month_diff, prev_month_end
+from stagecraft.functions.bands import is_npl
+from stagecraft.functions.dates import date_lit
 from stagecraft.functions.decision import decide
 
-__all__ = [
-    "date_lit",
-    "decide",
-    "flag",
-    "is_npl",
-    "is_performing",
-    "is_stage2_point",
-    "later_of",
-    "month_diff",
-    "prev_month_end",
-]
+__all__ = ["date_lit", "decide", "is_npl"]

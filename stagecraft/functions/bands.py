@@ -22,19 +22,6 @@ def is_npl(v: Column) -> Column:
     return v > NPL_THRESHOLD
 
 
-def is_stage2_point(v: Column) -> Column:
-    return (v > STAGE2_LOWER) & (v <= NPL_THRESHOLD)
-
-
-def is_performing(v: Column) -> Column:
-    return v <= STAGE2_LOWER
-
-
-def flag(cond: Column) -> Column:
-    """0/1 int flag; an unknown (NULL) condition counts as 0."""
-    return F.when(cond, F.lit(1)).otherwise(F.lit(0))
-
-
 def is_npl_sql(v: str) -> str:
     return f"({v} > {NPL_THRESHOLD})"
 

@@ -11,45 +11,12 @@ import datetime as _dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ColumnOrName = Column | str
-
-
-def _col(c: ColumnOrName) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def month_diff(start: ColumnOrName, end: ColumnOrName) -> Column:
-    """Number of calendar month boundaries crossed from ``start`` to ``end``.
-
-    2019-01-31 -> 2019-02-28 is 1 and 2019-01-30 -> 2019-02-01 is 1: only the
-    year and month parts count. This is neither ``months_between`` (fractional)
-    nor ``timestampdiff(MONTH, ..)`` (whole elapsed months). NULL in, NULL out.
-    """
-    s, e = _col(start), _col(end)
-    return ((F.year(e) - F.year(s)) * 12 + (F.month(e) - F.month(s))).cast("int")
-
-
-def prev_month_end(d: ColumnOrName) -> Column:
-    """Last day of the month before ``d`` (2019-03-31 and 2019-03-15 -> 2019-02-28)."""
-    return F.last_day(F.add_months(_col(d), -1))
-
-
 def prev_month_end_py(d: _dt.date) -> _dt.date:
-    """Driver-side twin of :func:`prev_month_end` for job parameters."""
+    """Driver-side form of :func:`prev_month_end_sql` for job parameters."""
     first = d.replace(day=1)
     return first - _dt.timedelta(days=1)
 
 
-def later_of(a: ColumnOrName, b: ColumnOrName) -> Column:
-    """``a`` if ``a > b`` else ``b``; NULL when the comparison is unknown falls to ``b``.
-
-    Unlike ``greatest`` this does not skip NULLs: a NULL ``b`` gives NULL, so a deal
-    without an origination date gets no timeline.
-    """
-    a, b = _col(a), _col(b)
-    return F.when(a > b, a).otherwise(b)
-
-
 def date_lit(d: _dt.date | str) -> Column:
     """Typed DATE literal, so comparisons with date columns need no cast."""
     if isinstance(d, str):
@@ -73,10 +40,15 @@ def sql_date(d: _dt.date) -> str:
 
 
 def month_diff_sql(start: str, end: str) -> str:
-    """SQL form of :func:`month_diff`."""
+    """Number of calendar month boundaries crossed from ``start`` to ``end``.
+
+    2019-01-31 -> 2019-02-28 is 1 and 2019-01-30 -> 2019-02-01 is 1: only the
+    year and month parts count. This is neither ``months_between`` (fractional)
+    nor ``timestampdiff(MONTH, ..)`` (whole elapsed months). NULL in, NULL out.
+    """
     return f"((year({end}) - year({start})) * 12 + (month({end}) - month({start})))"
 
 
 def prev_month_end_sql(d: str) -> str:
-    """SQL form of :func:`prev_month_end`."""
+    """Last day of the month before ``d`` (2019-03-31 and 2019-03-15 -> 2019-02-28)."""
     return f"last_day(add_months({d}, -1))"

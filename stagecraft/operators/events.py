@@ -56,9 +56,10 @@ def event_flags(stats: DataFrame, params: StageParams) -> DataFrame:
 
 
 def imputed_rows(
-    filled: DataFrame, params: StageParams, modified_by: str, entity_code: str = DEFAULT_ENTITY_CODE
+    rows: DataFrame, params: StageParams, modified_by: str, entity_code: str = DEFAULT_ENTITY_CODE
 ) -> DataFrame:
-    """S10/O5: spine rows with no base row, audit-stamped, ready to append.
+    """S10/O5: spine rows with no base row (deal_id, factor_date, factor_value), audit-stamped,
+    ready to append.
 
     Base rows whose value was NULL are filled in memory but not written back:
     their key already exists.
@@ -70,10 +71,9 @@ def imputed_rows(
         DATE,
         "factor_value",
     ]
-    if params.run_ts is not None:
-        cols.append(F.lit(params.run_ts).cast("timestamp").alias("last_modified"))
+    cols.append(F.expr(params.run_ts_sql).alias("last_modified"))
     cols.append(F.lit(modified_by).alias("modified_by"))
-    return filled.where(~F.col("observed")).select(*cols)
+    return rows.select(*cols)
 
 
 def last_npl_dates(obs: DataFrame, imputed: DataFrame, params: StageParams) -> DataFrame:

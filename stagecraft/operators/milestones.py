@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stagecraft.functions.dates import month_diff_sql, prev_month_end_sql, sql_date
-from stagecraft.operators.windows import KEY, exprs, first_date_sql, last_date_sql, per_loan_sql
+from stagecraft.operators.windows import DATE, KEY, exprs, first_date_sql, last_date_sql, per_loan_sql
 from stagecraft.sources.params import StageParams
 
 A_COLUMNS = [
@@ -46,16 +46,6 @@ A_COLUMNS = [
     "a_zero_before_last2",
     "a_stage2_after_zero",
 ]
-B_COLUMNS = [
-    "b_stage_before_tdr",
-    "b_stage2_run_start",
-    "b_stage2_first",
-    "b_stage2_last",
-    "b_zero3_first",
-    "b_zero3_last",
-    "b_zero_before_last2",
-    "b_stage2_after_zero",
-]
 C_COLUMNS = ["c_dpd_t", "c_has_rep_row", "c_last_cure_date", "c_streak"]
 
 
@@ -63,13 +53,14 @@ def candidate_rows_sql(params: StageParams) -> str:
     """Rows that can matter for a milestone or a per-loan value.
 
     Every milestone is the date of a row with an event flag set; the per-loan
-    values also read the reporting-date row, the row before the restructuring
-    and constants carried by any row (the first one is kept). Dropping the rest
+    values also read the reporting-date row, the row before the restructuring,
+    the imputed rows (for the write-back) and constants carried by any row (the
+    first one is kept). Dropping the rest
     before the chained windows shrinks every level (about a third of the rows on
     the natural fixture) without changing any result.
     """
     return (
-        "dpd_3m_event = 1 OR dpd_9m_event = 1 OR dpd3090_event = 1 OR dpd_x_nontdrm_event = 1 "
+        "NOT observed OR dpd_3m_event = 1 OR dpd_9m_event = 1 OR dpd3090_event = 1 OR dpd_x_nontdrm_event = 1 "
         f"OR factor_date = {sql_date(params.reporting_date)} "
         f"OR factor_date = {prev_month_end_sql('restructure_start_date')} OR row_no = 1"
     )
@@ -160,7 +151,7 @@ def stage_before_tdr_sql(params: StageParams) -> str:
 
 def per_loan_milestones(rows: DataFrame, params: StageParams) -> DataFrame:
     """Collapse the milestone rows to one row per loan (hash aggregate on the
-    existing partitioning). The last link of each chain is computed here."""
+    existing partitioning), with its imputed rows. ``own`` is 1 on a loan's own row. The last link of each chain is computed here."""
     two = "dpd3090_event = 1"
     in_window = f"max(restructure_start_date) >= {sql_date(params.min_factor_date)}"
     stage_before = (
@@ -168,7 +159,6 @@ def per_loan_milestones(rows: DataFrame, params: StageParams) -> DataFrame:
     )
     run_start = f"CASE WHEN ({stage_before}) = 2 THEN max(b_run_before_tdr) END"
     loan_values = [
-        "restructure_start_date",
         "npl_date_initial",
         "npl_date",
         "zerobetween_date",
@@ -179,11 +169,16 @@ def per_loan_milestones(rows: DataFrame, params: StageParams) -> DataFrame:
         "b_zero_before_last2",
         *C_COLUMNS,
     ]
+    once = "CASE WHEN sum(own) > 1 THEN raise_error('duplicate deal_id in population snapshot') ELSE "
     aggs = [f"max({c}) AS {c}" for c in loan_values] + [
+        f"{once}max(restructure_start_date) END AS restructure_start_date",
         "max(CAST(transferred AS INT)) AS transferred",
         f"min(CASE WHEN {two} AND factor_date > a_zero_before_last2 AND factor_date < a_stage2_last "
         f"THEN factor_date END) AS a_stage2_after_zero",
         "max(b_row_before_tdr) AS b_row_before_tdr",
+        # Bounded by the calendar's length; a row without a date is no timeline row.
+        f"collect_list(CASE WHEN NOT observed THEN named_struct('{DATE}', {DATE}, 'factor_value', factor_value) END) "
+        "AS imputed",
         f"{run_start} AS b_stage2_run_start",
         f"coalesce({run_start}, max(b_stage2_after_tdr)) AS b_stage2_first",
         f"min(CASE WHEN {two} AND factor_date > b_zero_before_last2 AND factor_date < b_stage2_last "

@@ -53,7 +53,3 @@ def run_start_columns() -> dict[str, F.Column]:
             f"last(CASE WHEN {starts_run} THEN row_no END, true) {UP_TO_CURRENT} END",
         }
     )
-
-
-def with_run_start(events: DataFrame) -> DataFrame:
-    return events.withColumns(run_start_columns())

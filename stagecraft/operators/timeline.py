@@ -11,25 +11,22 @@ Plan shape (the point of this module):
 * the population (one row per loan) and the observations are each hash
   partitioned by ``deal_id`` once;
 * spine rows are generated per loan with ``explode`` over the observed calendar,
-  a list whose size is bounded by the number of distinct month-ends and checked
-  before use; no join is needed for it;
+  a list that the window's length bounds (one date per day at most); no join is
+  needed for it;
 * spine and observations are unioned (Spark keeps the common partitioning) and
   collapsed per (loan, date) with a hash aggregate - no exchange;
 * every later window runs on that partitioning after one sort.
-
-If the calendar is larger than the bound, the spine is built with a salted
-equi-join on a month bucket instead (no broadcast, no hot key).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stagecraft.functions.bands import is_npl_sql
-from stagecraft.functions.dates import date_lit, sql_date
+from stagecraft.functions.dates import sql_date
 from stagecraft.operators.windows import (
     BY_LOAN,
     DATE,
@@ -42,11 +39,6 @@ from stagecraft.operators.windows import (
 )
 from stagecraft.sources.params import StageParams
 
-# Largest calendar shipped inside the plan. Month-end data over a century has
-# 1,200 dates; anything above this takes the salted-join path.
-CALENDAR_LIMIT = 5000
-# Salt fan-out of the calendar side in the large-calendar path.
-CALENDAR_SALTS = 64
 # Timeline rows per task of the per-loan stages (a row is ~150-250 bytes wide
 # through the window levels, so this keeps a task's working set near 0.5 GB).
 TARGET_ROWS_PER_PARTITION = 2_000_000
@@ -61,16 +53,13 @@ def partitions_for(loans: int, calendar_points: int, at_least: int,
     return max(at_least, -(-bound // rows_per_partition), 1)
 
 
-def observed_calendar(obs: DataFrame, limit: int = CALENDAR_LIMIT) -> list[_dt.date] | None:
-    """Distinct observation dates in the window, or ``None`` if there are more than ``limit``.
+def observed_calendar(obs: DataFrame) -> list[_dt.date]:
+    """Distinct observation dates in the window.
 
-    Runs one small job (a one-column scan and a distinct); at most ``limit + 1``
-    dates reach the driver.
+    Runs one small job (a one-column scan and a distinct). The result holds at most one
+    date for each day from the window start to the reporting date.
     """
-    rows = obs.select(DATE).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        return None
-    return sorted(r[0] for r in rows if r[0] is not None)
+    return sorted(r[0] for r in obs.select(DATE).distinct().collect() if r[0] is not None)
 
 
 def spine_dates(obs: DataFrame) -> DataFrame:
@@ -78,12 +67,8 @@ def spine_dates(obs: DataFrame) -> DataFrame:
     return obs.select(DATE).distinct()
 
 
-def loan_start(params: StageParams) -> Column:
-    """First admissible spine date of a loan: later of window start and origination."""
-    return F.expr(loan_start_sql(params))
-
-
 def loan_start_sql(params: StageParams) -> str:
+    """First admissible spine date of a loan: later of window start and origination."""
     m = sql_date(params.min_factor_date)
     # Not greatest(): a NULL origination must give no start at all.
     return f"CASE WHEN {m} > value_date THEN {m} ELSE value_date END"
@@ -94,7 +79,7 @@ def spine_starts(obs: DataFrame, population: DataFrame, params: StageParams) ->
     in the population (such loans get no spine)."""
     loans = obs.select(KEY).distinct()
     return loans.join(population.select(KEY, "value_date"), KEY, "left").select(
-        KEY, loan_start(params).alias("min_factor_date")
+        KEY, F.expr(loan_start_sql(params)).alias("min_factor_date")
     )
 
 
@@ -109,128 +94,92 @@ def by_loan_partitions(df: DataFrame, partitions: int) -> DataFrame:
     return df.repartition(partitions, KEY)
 
 
-def _spine_from_list(population: DataFrame, params: StageParams, calendar: list[_dt.date]) -> DataFrame:
-    cal = f"array({', '.join(sql_date(d) for d in calendar)})" if calendar else "CAST(array() AS array<date>)"
-    start = loan_start_sql(params)
-    return population.select(
-        KEY,
-        "restructure_start_date",
-        F.expr(f"explode(filter({cal}, d -> d >= {start}))").alias(DATE),
+def loans_packed(population: DataFrame, partitions: int) -> DataFrame:
+    """The population hash partitioned by loan: the key, and origination and restructuring
+    date in one array, so that the spine and the closing per-loan rows ask for the same
+    columns and read one exchange."""
+    return by_loan_partitions(
+        population.selectExpr(KEY, "array(value_date, restructure_start_date) AS loan_dates"), partitions
     )
 
 
-def _month_index(c: Column) -> Column:
-    return F.year(c) * 12 + F.month(c)
-
-
-def _spine_by_join(
-    population: DataFrame, obs: DataFrame, params: StageParams, salts: int, partitions: int
-) -> DataFrame:
-    start = loan_start(params)
-    cal = spine_dates(obs).withColumn("month_idx", _month_index(F.col(DATE)))
-    cal = cal.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    loans = population.select(
-        KEY,
-        "restructure_start_date",
-        start.alias("start"),
-        (F.abs(F.xxhash64(KEY)) % salts).cast("int").alias("salt"),
-        F.explode(
-            F.sequence(_month_index(start), _month_index(date_lit(params.reporting_date)))
-        ).alias("month_idx"),
-    )
+def spine_candidates(loans: DataFrame, params: StageParams, calendar: list[_dt.date]) -> DataFrame:
+    """(deal_id, restructure_start_date, factor_date) for every population loan and calendar
+    date on or after its start; ``loans`` comes from :func:`loans_packed`, and the spine is
+    exploded in place."""
+    cal = f"array({', '.join(sql_date(d) for d in calendar)})" if calendar else "CAST(array() AS array<date>)"
     return (
-        loans.join(cal, ["month_idx", "salt"])
-        .where(F.col(DATE) >= F.col("start"))
-        .select(KEY, "restructure_start_date", DATE)
-        .transform(lambda df: by_loan_partitions(df, partitions))
+        loans.selectExpr(KEY, "loan_dates[0] AS value_date", "loan_dates[1] AS restructure_start_date")
+        .selectExpr(KEY, "restructure_start_date", f"explode(filter({cal}, d -> d >= {loan_start_sql(params)})) AS {DATE}")
     )
 
 
-def spine_candidates(
-    population: DataFrame,
-    obs: DataFrame,
-    params: StageParams,
-    calendar: list[_dt.date] | None,
-    partitions: int,
-    salts: int = CALENDAR_SALTS,
-) -> DataFrame:
-    """(deal_id, restructure_start_date, factor_date) for every population loan and
-    calendar date on or after its start; hash partitioned by ``deal_id``.
-
-    ``population`` must already be partitioned with :func:`by_loan_partitions`
-    when the calendar is a list (the spine is exploded in place).
-    """
-    if calendar is not None:
-        return _spine_from_list(population, params, calendar)
-    return _spine_by_join(population, obs, params, salts, partitions)
-
-
 def timeline(spine: DataFrame, obs: DataFrame, partitions: int) -> DataFrame:
     """Union of spine rows and observations, one row per (loan, date).
 
-    Columns: ``obs_value`` (observed DPD, NULL if missing or observed NULL),
-    ``observed`` (a base row exists), ``on_spine``, ``restructure_start_date``.
-    Observations outside the spine are kept: they still count for the NPL date.
+    Columns: ``obs_value`` (observed DPD in its stored type, NULL if missing or observed
+    NULL), ``n_obs`` (base rows), ``n_spine`` (population rows), ``restructure_start_date``.
+    Observations outside the spine are kept: they still count for the NPL date. Rows without
+    a loan id belong to no loan; they only count for the calendar.
     """
+    value_type = obs.schema["factor_value"].dataType
     spine_rows = spine.select(
         KEY,
         DATE,
-        F.lit(None).cast("int").alias("obs_value"),
+        F.lit(None).cast(value_type).alias("obs_value"),
         F.lit(0).alias("n_obs"),
-        F.lit(1).alias("on_spine"),
+        F.lit(1).alias("n_spine"),
         "restructure_start_date",
     )
-    obs_rows = by_loan_partitions(obs, partitions).select(
+    obs_rows = by_loan_partitions(obs.where(F.col(KEY).isNotNull()), partitions).select(
         KEY,
         DATE,
         F.col("factor_value").alias("obs_value"),
         F.lit(1).alias("n_obs"),
-        F.lit(0).alias("on_spine"),
+        F.lit(0).alias("n_spine"),
         F.lit(None).cast("date").alias("restructure_start_date"),
     )
-    merged = (
+    return (
         spine_rows.unionByName(obs_rows)
         .groupBy(KEY, DATE)
         .agg(
             F.max("obs_value").alias("obs_value"),
             F.sum("n_obs").alias("n_obs"),
-            F.sum("on_spine").alias("on_spine"),
+            F.sum("n_spine").alias("n_spine"),
             F.max("restructure_start_date").alias("restructure_start_date"),
         )
     )
-    # (deal_id, factor_date) must be unique in the DPD source and deal_id in the
-    # population; a duplicate would fan out the result in the source job, so fail.
-    return merged.selectExpr(
-        KEY,
-        DATE,
-        "obs_value",
-        "CASE WHEN n_obs > 1 THEN raise_error('duplicate (deal_id, factor_date) in DPD source') "
-        "ELSE n_obs > 0 END AS observed",
-        "CASE WHEN on_spine > 1 THEN raise_error('duplicate deal_id in population snapshot') "
-        "ELSE on_spine = 1 END AS on_spine",
-        "restructure_start_date",
-    )
+
+
+# A duplicate key of a loan in the population would fan out the result in the source job, so
+# it is an error. Rows of other loans don't matter there and don't here.
+_CHECKED = (
+    "CASE WHEN n_spine > 1 THEN raise_error('duplicate deal_id in population snapshot') "
+    "WHEN most_obs > 1 THEN raise_error('duplicate (deal_id, factor_date) in DPD source') "
+    "ELSE n_obs > 0 END"
+)
 
 
 def spine_of_observed_loans(tl: DataFrame) -> DataFrame:
     """Keep spine rows of loans with at least one observation in the window.
 
-    Adds per-loan ``restructure_start_date``, ``npl_observed`` (latest base row
-    with DPD > 90, including rows before origination), ``head`` (last known value
-    at or before the date) and ``tail`` (first known value at or after it), all
-    in one window level: a running ``last`` and ``lead(.., 1) IGNORE NULLS``,
-    both linear per loan. The values of off-spine rows (observations before
-    origination, which all precede the spine) are masked out of head and tail.
+    Adds ``observed`` (a base row exists), per-loan ``restructure_start_date`` and
+    ``npl_observed`` (latest base row with DPD > 90, including rows before origination),
+    ``head`` (last known value at or before the date) and ``tail`` (first known value at or
+    after it), all in one window level: a running ``last`` and ``lead(.., 1) IGNORE NULLS``,
+    both linear per loan. The values of off-spine rows (observations before origination,
+    which all precede the spine) are masked out of head and tail.
     """
-    spine_value = "CASE WHEN on_spine THEN obs_value END"
+    spine_value = "CASE WHEN n_spine > 0 THEN obs_value END"
     level = {
-        "has_obs": per_loan_sql("CAST(observed AS INT)") + " = 1",
+        "most_obs": per_loan_sql("n_obs"),
         "restructure_start_date": per_loan_sql("restructure_start_date"),
-        "npl_observed": last_date_sql(f"observed AND {is_npl_sql('obs_value')}"),
+        "npl_observed": last_date_sql(f"n_obs > 0 AND {is_npl_sql('obs_value')}"),
         "head": f"last({spine_value}, true) {UP_TO_CURRENT}",
         "tail": f"coalesce({spine_value}, lead({spine_value}, 1) IGNORE NULLS {BY_LOAN})",
     }
-    return tl.withColumns(exprs(level)).where("on_spine AND has_obs").drop("has_obs", "on_spine")
+    rows = tl.withColumns(exprs(level)).where("n_spine > 0 AND most_obs > 0")
+    return rows.withColumn("observed", F.expr(_CHECKED)).drop("n_obs", "n_spine", "most_obs")
 
 
 def fill_rule(value: str, head: str, tail: str) -> str:

@@ -3,7 +3,7 @@
 Every query takes ``(spark, sf_dir)``, derives the staging inputs from the
 tables in ``sf_dir`` (natural fixture; ``*_arch`` keys use the archetype
 fixture) and returns one named intermediate of the staging plan. Output
-columns and types match the SQL oracle in ``stagecraft.plans.oracle``.
+columns and types match the SQL oracle in ``tools/oracle.py``.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagecraft.functions.dates import month_diff, prev_month_end
+from stagecraft.functions.dates import month_diff_sql, prev_month_end_sql, sql_date
 from stagecraft.operators import events as ev
 from stagecraft.operators import runs
 from stagecraft.operators import timeline as tl
@@ -21,7 +21,7 @@ from stagecraft.operators.classify import OUTCOME_COLUMNS
 from stagecraft.operators.events import EVENT_FLAGS
 from stagecraft.operators.windows import DATE, KEY
 from stagecraft.plans.staging import EVENT_BASE_COLUMNS, PUBLISHED_COLUMNS, StagePlan
-from stagecraft.sources.fixtures import archetype_inputs, natural_inputs
+from stagecraft.sources.fixtures import archetype_inputs, fractional_inputs, natural_inputs
 from stagecraft.sources.params import params_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,10 @@ def archetype_plan(spark: SparkSession, sf_dir: str) -> StagePlan:
     return StagePlan(*archetype_inputs(spark, sf_dir))
 
 
+def fractional_plan(spark: SparkSession, sf_dir: str) -> StagePlan:
+    return StagePlan(*fractional_inputs(spark, sf_dir))
+
+
 def _renamed(mapping: dict[str, str]) -> list:
     return [F.col(k).alias(v) for k, v in mapping.items()]
 
@@ -217,16 +221,16 @@ def q_classify_c(p: StagePlan) -> DataFrame:
 
 
 def q_publish_stage_status(p: StagePlan) -> DataFrame:
-    return p.stage_status.select(*PUBLISHED_COLUMNS, "modified_by")
+    return p.stage_status.select(*PUBLISHED_COLUMNS)
 
 
 def q_scalar_dates(p: StagePlan) -> DataFrame:
-    rep = p.rep
-    return p.population.select(
+    rep = sql_date(p.params.reporting_date)
+    return p.population.selectExpr(
         KEY,
-        prev_month_end("restructure_start_date").alias("restructure_prev_month_end"),
-        month_diff("value_date", rep).alias("months_on_book"),
-        month_diff("restructure_start_date", rep).alias("months_since_restructure"),
+        f"{prev_month_end_sql('restructure_start_date')} AS restructure_prev_month_end",
+        f"{month_diff_sql('value_date', rep)} AS months_on_book",
+        f"{month_diff_sql('restructure_start_date', rep)} AS months_since_restructure",
     )
 
 
@@ -268,7 +272,10 @@ NATURAL = {
 # Every query again on the archetype fixture: NULL and missing DPD values, gaps,
 # excluded and NULL pools, two snapshots, loans without any DPD row,
 # restructurings before the window and cures before restructuring.
-ARCHETYPE = {f"{key}_arch": body for key, body in NATURAL.items()}
+# Not the parameters: the fixture's are fixed, so that query would read no stored value.
+ARCHETYPE = {f"{key}_arch": body for key, body in NATURAL.items() if key != "param_dates"}
+# What fractional DPD decides, on the natural fixture with fractional values.
+FRACTIONAL = {f"{key}_dec": NATURAL[key] for key in ("event_flags", "last_npl_date", "publish_stage_status")}
 
 
 def _bind(body: Callable[[StagePlan], DataFrame], build: Callable[[SparkSession, str], StagePlan]) -> Query:
@@ -283,4 +290,5 @@ def _bind(body: Callable[[StagePlan], DataFrame], build: Callable[[SparkSession,
 def queries() -> dict[str, Query]:
     out = {k: _bind(v, natural_plan) for k, v in NATURAL.items()}
     out.update({k: _bind(v, archetype_plan) for k, v in ARCHETYPE.items()})
+    out.update({k: _bind(v, fractional_plan) for k, v in FRACTIONAL.items()})
     return out

@@ -2,18 +2,21 @@
 
 ``StagePlan`` wires the operators together; each attribute is a named
 intermediate DataFrame (the counterpart of one temp table of the source job),
-built lazily and only once. Physical shape of the whole job:
+built lazily and only once. (Building one runs small jobs: the calendar and the
+population count.) Physical shape of the whole job:
 
     population --hash(deal_id)--> explode calendar --+
                                                       +-- union -> aggregate (deal,date)
     dpd window --hash(deal_id)-----------------------+      -> 1 sort, 6 window levels
-                                                            -> aggregate per loan
-    population --hash(deal_id) (2 columns) -- co-partitioned left join -> classify
+    population (the same exchange), a row per loan ---- union -> aggregate per loan -> classify
 
-The inputs are shuffled once each by ``deal_id`` (the population twice: a narrow
-copy for the final join), plus small jobs for the calendar and the population
-count; no shuffle after that. Rows per loan are bounded by the calendar length
-(checked), so no loan can be a hot key.
+The inputs are shuffled once each by ``deal_id``; there is no shuffle and no join
+after that. Rows per loan are bounded by the calendar length (checked), so no
+loan can be a hot key.
+
+``per_loan`` has everything that both sinks need, a row per loan: the milestones,
+and the loan's imputed rows as an array that the calendar's length bounds. A run
+materialises that table and derives both sinks from it row by row.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ import functools
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stagecraft.functions.dates import date_lit, sql_string
+from stagecraft.functions.dates import sql_string
 from stagecraft.operators import classify as cls
 from stagecraft.operators import events as ev
 from stagecraft.operators import milestones as ms
@@ -49,41 +52,27 @@ EVENT_BASE_COLUMNS = [
     "max_dpd_12m",
     "max_x_nontdrm",
 ]
-PUBLISHED_COLUMNS = [KEY, "prev_status", "stg3_flag", "path_tdr", "m_stg2", "cure_flag"]
-# What the two sinks need from the event table (the rolling statistics themselves,
-# head/tail and the NPL parts are only diagnostics); materialised by the run.
-SINK_EVENT_COLUMNS = [
-    KEY,
-    DATE,
-    "factor_value",
-    "observed",
-    "restructure_start_date",
-    "npl_date",
-    "row_no",
-    "prev_stage2",
-    *ev.EVENT_FLAGS,
-]
-
-
+PUBLISHED_COLUMNS = [KEY, "prev_status", "stg3_flag", "path_tdr", "m_stg2", "cure_flag", "last_modified", "modified_by"]
 class StagePlan:
     def __init__(
         self,
         inputs: StageInputs,
         params: StageParams,
         *,
-        calendar_limit: int = tl.CALENDAR_LIMIT,
         partitions: int | None = None,
         modified_by: str = DEFAULT_MODIFIED_BY,
         impute_modified_by: str = DEFAULT_IMPUTE_MODIFIED_BY,
         entity_code: str = ev.DEFAULT_ENTITY_CODE,
+        per_loan: DataFrame | None = None,
     ) -> None:
+        """``per_loan``: the materialised table of that name, if there is one."""
         self.inputs = inputs
         self.params = params
-        self.calendar_limit = calendar_limit
         self._partitions = partitions
         self.modified_by = modified_by
         self.impute_modified_by = impute_modified_by
         self.entity_code = entity_code
+        self._per_loan = per_loan
 
     # -- sources ------------------------------------------------------------
     @functools.cached_property
@@ -97,23 +86,18 @@ class StagePlan:
     @functools.cached_property
     def partitions(self) -> int:
         """Partitions of the per-loan stages: as given, else sized from the timeline
-        bound (population loans x calendar points; one count job), with a floor of
-        ``spark.sql.shuffle.partitions`` capped at twice the cluster's cores (small
-        inputs need no more tasks than cores; large ones are sized by the bound)."""
+        bound (population loans x calendar points; one count job), and at least
+        ``spark.sql.shuffle.partitions``."""
         if self._partitions is not None:
             return self._partitions
         spark = self.inputs.dpd.sparkSession
-        shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-        at_least = min(shuffle, 2 * spark.sparkContext.defaultParallelism)
-        points = len(self.calendar) if self.calendar is not None else self.calendar_limit
-        return tl.partitions_for(self.population.count(), points, at_least)
+        at_least = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        return tl.partitions_for(self.population.count(), len(self.calendar), at_least)
 
     @functools.cached_property
     def population_by_loan(self) -> DataFrame:
-        """The population hash partitioned by loan; shared so the exchange is reused."""
-        return tl.by_loan_partitions(
-            self.population.select(KEY, "value_date", "restructure_start_date"), self.partitions
-        )
+        """The population hash partitioned by loan; read twice, shuffled once."""
+        return tl.loans_packed(self.population, self.partitions)
 
     @functools.cached_property
     def observations(self) -> DataFrame:
@@ -122,13 +106,11 @@ class StagePlan:
     # -- timeline and fill --------------------------------------------------
     @functools.cached_property
     def calendar(self):
-        return tl.observed_calendar(self.observations, self.calendar_limit)
+        return tl.observed_calendar(self.observations)
 
     @functools.cached_property
     def spine_candidates(self) -> DataFrame:
-        return tl.spine_candidates(
-            self.population_by_loan, self.observations, self.params, self.calendar, self.partitions
-        )
+        return tl.spine_candidates(self.population_by_loan, self.params, self.calendar)
 
     @functools.cached_property
     def timeline(self) -> DataFrame:
@@ -145,8 +127,8 @@ class StagePlan:
 
     @functools.cached_property
     def imputed(self) -> DataFrame:
-        # From the event table (not ``filled``) so a materialised event table serves both sinks.
-        return ev.imputed_rows(self.events, self.params, self.impute_modified_by, self.entity_code)
+        rows = self.per_loan.select(KEY, F.explode("imputed").alias("row")).select(KEY, "row.*")
+        return ev.imputed_rows(rows, self.params, self.impute_modified_by, self.entity_code)
 
     # -- events -------------------------------------------------------------
     @functools.cached_property
@@ -175,12 +157,15 @@ class StagePlan:
     # -- per-loan milestones and classification -----------------------------
     @functools.cached_property
     def per_loan(self) -> DataFrame:
+        if self._per_loan is not None:
+            return self._per_loan
         candidates = self.events_final.where(ms.candidate_rows_sql(self.params))
         rows = ms.milestone_rows(candidates, self.params)
-        loans = ms.per_loan_milestones(rows, self.params).drop("restructure_start_date")
-        # Restructured loans without any timeline row still get a result (branch B).
-        joined = self.population_by_loan.select(KEY, "restructure_start_date").join(loans, KEY, "left")
-        return joined.withColumn("b_stage_before_tdr", F.expr(ms.stage_before_tdr_sql(self.params)))
+        # A row of its own for each loan: restructured loans without any timeline row still
+        # get a result (branch B). It has no date and no flags, so no milestone sees it.
+        own = self.population_by_loan.selectExpr(KEY, "loan_dates[1] AS restructure_start_date", "1 AS own")
+        loans = ms.per_loan_milestones(rows.unionByName(own, allowMissingColumns=True), self.params)
+        return loans.withColumn("b_stage_before_tdr", F.expr(ms.stage_before_tdr_sql(self.params)))
 
     @functools.cached_property
     def classified(self) -> DataFrame:
@@ -189,11 +174,16 @@ class StagePlan:
     @functools.cached_property
     def stage_status(self) -> DataFrame:
         """O24: the published result, one row per loan."""
-        cols = [KEY, "prev_status", "stg3_flag", "path_tdr", f"{cls.PUBLISHED_MONTHS_SQL} AS m_stg2", "cure_flag"]
-        if self.params.run_ts is not None:
-            cols.append(f"CAST({sql_string(self.params.run_ts.isoformat(sep=' '))} AS TIMESTAMP) AS last_modified")
-        cols.append(f"{sql_string(self.modified_by)} AS modified_by")
-        return self.classified.selectExpr(*cols)
+        return self.classified.selectExpr(
+            KEY,
+            "prev_status",
+            "stg3_flag",
+            "path_tdr",
+            f"{cls.PUBLISHED_MONTHS_SQL} AS m_stg2",
+            "cure_flag",
+            f"{self.params.run_ts_sql} AS last_modified",
+            f"{sql_string(self.modified_by)} AS modified_by",
+        )
 
     # -- views used by individual operator queries --------------------------
     def branch(self, name: str) -> DataFrame:
@@ -202,7 +192,3 @@ class StagePlan:
     @functools.cached_property
     def stage2_runs(self) -> DataFrame:
         return runs.stage2_runs(self.events_final)
-
-    @property
-    def rep(self):
-        return date_lit(self.params.reporting_date)

@@ -11,6 +11,7 @@ so that their size grows with the scale factor:
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,7 @@ from stagecraft.sources.tables import StageInputs
 NATURAL_MIN_FACTOR_DATE = _dt.date(1995, 1, 31)
 NATURAL_BASE_DATE = _dt.date(1995, 1, 15)
 NATURAL_CURE_MONTHS = 12
+RUN_TS = _dt.datetime(2024, 1, 31, 12, 0, 0)
 
 # ---------------------------------------------------------------------------
 # Archetype fixture. Calendar and the 40 archetype rows
@@ -36,6 +38,7 @@ ARCH_COB_DATE = _dt.date(2019, 3, 31)
 ARCH_PREVIOUS_SNAPSHOT = _dt.date(2019, 2, 28)
 ARCH_CURE_MONTHS = 12
 ARCH_CODES = {"0": 0, "1": 15, "2": 45, "3": 120}
+ARCH_POOLS = {40: 2, 39: None, 30: 7, 26: 3, 17: 4, 9: 6, 3: 5}
 ARCHETYPES = [
     ("R01", "00100010000000100010000", "2017-04-15", None),
     ("R02", "00000000000010000000222", "2017-04-15", None),
@@ -96,7 +99,7 @@ def natural_inputs(spark: SparkSession, sf_dir: str) -> tuple[StageInputs, Stage
     # The cob date is the month-end of the latest order.
     entity = orders.agg(F.last_day(F.to_date(F.max("o_orderdate"))).alias("cob_date"))
     config = _config(spark, NATURAL_CURE_MONTHS)
-    params = resolve_params(entity, config, NATURAL_MIN_FACTOR_DATE)
+    params = resolve_params(entity, config, NATURAL_MIN_FACTOR_DATE, RUN_TS)
 
     base = sql_date(NATURAL_BASE_DATE)
     population = customer.selectExpr(
@@ -144,10 +147,13 @@ def archetype_inputs(spark: SparkSession, sf_dir: str) -> tuple[StageInputs, Sta
 
     entity = customer.agg(F.max(date_lit(ARCH_COB_DATE)).alias("cob_date"))
     config = _config(spark, ARCH_CURE_MONTHS)
-    params = resolve_params(entity, config, ARCH_MIN_FACTOR_DATE)
+    params = resolve_params(entity, config, ARCH_MIN_FACTOR_DATE, RUN_TS)
 
     k = F.col("c_custkey")
-    pool = F.when(k % 41 == 40, F.lit(2)).when(k % 41 == 39, F.lit(None)).otherwise(F.lit(1))
+    # Pools by c_custkey % 41: every excluded one, one that is not in use, and none.
+    pool = F.lit(1)
+    for rest, value in ARCH_POOLS.items():
+        pool = F.when(k % 41 == rest, F.lit(value)).otherwise(pool)
     population = deals.select(
         _deal_key(k).alias("deal_tfi_id"),
         F.explode(F.array(date_lit(ARCH_PREVIOUS_SNAPSHOT), date_lit(ARCH_COB_DATE))).alias("reporting_date"),
@@ -173,7 +179,30 @@ def archetype_inputs(spark: SparkSession, sf_dir: str) -> tuple[StageInputs, Sta
             value.cast("int").alias("factor_value"),
         )
     )
+    # Rows that the job ignores: the same date twice for a loan outside the population, rows
+    # without a loan id (their dates count for the calendar), and blanks at the end of ids.
+    outside = customer.where("c_custkey % 50 = 0").selectExpr(
+        "concat('X', CAST(c_custkey AS STRING)) AS deal_id",
+        f"{sql_date(ARCH_MIN_FACTOR_DATE)} AS factor_date",
+        "explode(array(60, 120)) AS factor_value",
+    )
+    unnamed = outside.selectExpr("CAST(NULL AS STRING) AS deal_id", "factor_date", "factor_value")
+    padded = dpd.withColumn("deal_id", F.concat("deal_id", F.lit("  ")))
+    dpd = padded.unionByName(outside).unionByName(unnamed)
     return StageInputs(entity=entity, config=config, population=population, dpd=dpd), params
 
 
-FIXTURES = {"natural": natural_inputs, "archetype": archetype_inputs}
+def fractional_inputs(spark: SparkSession, sf_dir: str) -> tuple[StageInputs, StageParams]:
+    """The natural fixture with fractional DPD: 0.5, 30.5 and 90.5 among the values, so that a
+    value cut to a whole number falls into another band."""
+    inputs, params = natural_inputs(spark, sf_dir)
+    value = (
+        F.when(F.col("factor_value") == 0, F.when(F.dayofyear("factor_date") % 3 == 0, 0.5).otherwise(0.0))
+        .when(F.col("factor_value") == 20, 30.5)
+        .when(F.col("factor_value") == 60, F.when(F.dayofyear("factor_date") % 2 == 0, 90.5).otherwise(60.25))
+        .otherwise(F.col("factor_value").cast("double"))
+    )
+    return dataclasses.replace(inputs, dpd=inputs.dpd.withColumn("factor_value", value)), params
+
+
+FIXTURES = {"natural": natural_inputs, "archetype": archetype_inputs, "fractional": fractional_inputs}

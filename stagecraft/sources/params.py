@@ -32,7 +32,8 @@ class StageParams:
     ``segmentation_date`` snapshot date of the population (the entity's cob date)
     ``reporting_date``    month-end before the segmentation date
     ``cure_months``       consecutive zero-DPD months that count as a cure ("x")
-    ``run_ts``            audit timestamp stamped on written rows
+    ``run_ts``            audit timestamp stamped on written rows, without a zone (as the
+                          source job's); required in a run
     """
 
     min_factor_date: _dt.date
@@ -56,6 +57,14 @@ class StageParams:
     def reporting_date(self) -> _dt.date:
         return prev_month_end_py(self.segmentation_date)
 
+    @property
+    def run_ts_sql(self) -> str:
+        """The audit timestamp of every row that a run writes: one expression for both
+        sinks, and no zone in it, so neither process nor session zone can shift it."""
+        if self.run_ts is None:
+            return "CAST(NULL AS TIMESTAMP_NTZ)"
+        return f"CAST('{self.run_ts.replace(tzinfo=None).isoformat(sep=' ')}' AS TIMESTAMP_NTZ)"
+
     @property
     def x(self) -> int:
         return int(self.cure_months)
@@ -91,12 +100,11 @@ def resolve_params(
 
 def params_frame(entity: DataFrame, params: StageParams) -> DataFrame:
     """The resolved parameters as a one-row DataFrame built over ``entity``."""
-    from stagecraft.functions.dates import date_lit, prev_month_end
+    from stagecraft.functions.dates import date_lit, prev_month_end_sql
 
-    cob = F.to_date(F.col("cob_date"))
     return entity.select(
         date_lit(params.min_factor_date).alias("min_factor_date"),
-        cob.alias("segmentation_date"),
-        prev_month_end(cob).alias("reporting_date"),
+        F.to_date("cob_date").alias("segmentation_date"),
+        F.expr(prev_month_end_sql("to_date(cob_date)")).alias("reporting_date"),
         F.lit(params.x).cast("int").alias("x_nontdr"),
     )

@@ -2,24 +2,35 @@
 
 The job has two outputs:
 
-* the stage status table, fully replaced by one overwrite (readers never see
-  the empty table between a truncate and the inserts);
+* the stage status table, fully replaced;
 * the imputed DPD rows, appended to the DPD table (only keys that were missing).
 
-Both are computed from one materialised event table. The result is written
-first and the imputed rows last, so no job of this run reads the DPD table
-after it has been appended to.
+Both are derived from one materialised table with a row per loan, without another shuffle.
+The result is written first and the imputed rows last, so no job of this run reads the DPD
+table after it has been appended to.
+
+What is guaranteed:
+
+* Replace: the new result is written whole to a folder of its own first. If that fails, the
+  old result is untouched. A path target is then swapped by two renames (old away, new in
+  place; if the second fails the first is undone); between the two a reader finds no folder.
+  A catalog table's location is switched in one catalog operation. File systems without an
+  atomic rename (object stores) need a transactional table format instead.
+* Append: the rows get the target's column types, by name, before anything is written; a
+  column that the target doesn't have is an error. A target that doesn't exist is created.
 """
 
 from __future__ import annotations
 
 import dataclasses
+import uuid
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stagecraft.plans.staging import SINK_EVENT_COLUMNS, StagePlan
-from stagecraft.sources.params import StageParams
+from stagecraft.plans.staging import StagePlan
+from stagecraft.sources.params import ParameterError, StageParams
 from stagecraft.sources.tables import StageInputs
 
 
@@ -30,40 +41,93 @@ class RunReport:
     materialised: str  # "checkpoint" or "persist"
 
 
-def checkpoint_dir(spark) -> str | None:
+def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names (``spark.checkpoint.dir``), if any."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    return None
-
-
-def materialise(df: DataFrame) -> tuple[DataFrame, str]:
-    """Cut the lineage of ``df`` with a reliable checkpoint when the session has a
-    checkpoint folder (survives lost executors without recomputation); otherwise
-    persist it (lost blocks are recomputed from lineage)."""
-    if checkpoint_dir(df.sparkSession):
-        return df.checkpoint(eager=True), "checkpoint"
+    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if current and current.startswith("file:") and not sc.master.startswith("local"):
+        raise ParameterError(f"checkpoint folder {current} is local to each machine of the cluster")
+    if current and not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return sc.getCheckpointDir()
+
+
+def materialise(df: DataFrame, how: str = "checkpoint") -> DataFrame:
+    """Compute ``df`` once. ``checkpoint`` cuts the lineage (a lost executor costs no
+    recomputation) and needs a checkpoint folder; ``persist`` keeps blocks on the executors
+    and recomputes lost ones."""
+    if how == "checkpoint":
+        if not checkpoint_dir(df.sparkSession):
+            raise ParameterError("set spark.checkpoint.dir, or ask for materialise_by='persist'")
+        return df.checkpoint(eager=True)
+    if how != "persist":
+        raise ParameterError(f"unknown way to materialise: {how!r}")
     out = df.persist(StorageLevel.MEMORY_AND_DISK)
     out.count()
-    return out, "persist"
+    return out
+
+
+def read_table(spark: SparkSession, target: str, fmt: str) -> DataFrame:
+    return spark.table(target) if fmt == "table" else spark.read.format(fmt).load(target)
+
 
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path as its object."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
-def write_table(df: DataFrame, target: str, mode: str, fmt: str) -> None:
-    """``target`` is a path, or a catalog table name when ``fmt`` is ``"table"``."""
+
+def exists(spark: SparkSession, target: str, fmt: str) -> bool:
     if fmt == "table":
-        df.write.mode(mode).saveAsTable(target)
-    else:
-        df.write.mode(mode).format(fmt).save(target)
+        return spark.catalog.tableExists(target)
+    files, path = _file_system(spark, target)
+    return files.exists(path)
 
 
-def read_table(spark, target: str, fmt: str) -> DataFrame:
-    return spark.table(target) if fmt == "table" else spark.read.format(fmt).load(target)
+def replace_table(df: DataFrame, target: str, fmt: str) -> None:
+    """Replace ``target`` (a path, or a table name when ``fmt`` is ``"table"``) by ``df``."""
+    spark = df.sparkSession
+    mark = uuid.uuid4().hex
+    if fmt == "table":
+        if not exists(spark, target, fmt):
+            df.write.saveAsTable(target)
+            return
+        told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {target}").collect()}
+        home = f"{told['Location'].rstrip('/')}-{mark}"
+        df.write.format(told["Provider"]).save(home)
+        spark.sql(f"ALTER TABLE {target} SET LOCATION '{home}'")
+        spark.catalog.refreshTable(target)
+        return
+    new, old = f"{target.rstrip('/')}-new-{mark}", f"{target.rstrip('/')}-old-{mark}"
+    df.write.format(fmt).save(new)
+    files, path = _file_system(spark, target)
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    had = files.exists(path)
+    if had and not files.rename(path, path_of(old)):
+        raise OSError(f"cannot move {target} aside; the new result is in {new}")
+    if not files.rename(path_of(new), path):
+        if had:
+            files.rename(path_of(old), path)
+        raise OSError(f"cannot move {new} to {target}")
+    if had:
+        files.delete(path_of(old), True)
+
+
+def matched_to(df: DataFrame, target: DataFrame) -> DataFrame:
+    """``df`` with the columns and types of ``target``, by name; a column that ``df`` lacks is
+    null, one that ``target`` lacks is an error."""
+    unknown = [c for c in df.columns if c not in target.columns]
+    if unknown:
+        raise ParameterError(f"columns unknown to the table to append to: {', '.join(unknown)}")
+    mine = set(df.columns)
+    return df.select(*[(F.col(f.name) if f.name in mine else F.lit(None)).cast(f.dataType).alias(f.name) for f in target.schema])
+
+
+def append_rows(df: DataFrame, target: str, fmt: str) -> None:
+    if fmt == "table":
+        df.write.mode("append").saveAsTable(target)
+    else:
+        df.write.mode("append").format(fmt).save(target)
 
 
 def run_stage_status(
@@ -72,24 +136,32 @@ def run_stage_status(
     result_target: str,
     imputed_target: str | None = None,
     fmt: str = "parquet",
+    materialise_by: str = "checkpoint",
     **plan_options,
 ) -> RunReport:
-    """Run the whole job: publish the stage status (overwrite), then append the
-    imputed DPD rows to ``imputed_target`` (the DPD table) if given."""
-    plan = StagePlan(inputs, params, **plan_options)
-    events, how = materialise(plan.events.select(*SINK_EVENT_COLUMNS))
-    plan.__dict__["events"] = events  # downstream intermediates read the materialised table
+    """Run the whole job: publish the stage status (replacing it), then append the
+    imputed DPD rows to ``imputed_target`` (the DPD table) if given. ``params.run_ts`` is
+    stamped on the rows of both."""
+    if params.run_ts is None:
+        raise ParameterError("a run needs run_ts, the audit timestamp of the rows it writes")
+    spark = inputs.dpd.sparkSession
+    lazy = StagePlan(inputs, params, **plan_options)
+    shape = lazy.imputed
+    target = None
+    if imputed_target is not None and exists(spark, imputed_target, fmt):
+        target = read_table(spark, imputed_target, fmt)
+        matched_to(shape, target)  # fails before anything is written
+    per_loan = materialise(lazy.per_loan, materialise_by)
+    plan = StagePlan(inputs, params, per_loan=per_loan, **plan_options)
     try:
-        result = plan.stage_status
-        write_table(result, result_target, "overwrite", fmt)
+        replace_table(plan.stage_status, result_target, fmt)
         # Count what was written (file footers), not by running the plan again.
-        n_result = read_table(events.sparkSession, result_target, fmt).count()
-        imputed = plan.imputed
-        n_imputed = imputed.count()  # a filter over the materialised event table
+        n_result = read_table(spark, result_target, fmt).count()
+        n_imputed = per_loan.agg(F.sum(F.size("imputed"))).first()[0] or 0
         if imputed_target is not None:
             # Last: nothing of this run reads the DPD table after this append.
-            write_table(imputed, imputed_target, "append", fmt)
+            append_rows(matched_to(plan.imputed, target) if target is not None else plan.imputed, imputed_target, fmt)
     finally:
-        if how == "persist":
-            events.unpersist()
-    return RunReport(result_rows=n_result, imputed_rows=n_imputed, materialised=how)
+        if materialise_by == "persist":
+            per_loan.unpersist()
+    return RunReport(result_rows=n_result, imputed_rows=n_imputed, materialised=materialise_by)

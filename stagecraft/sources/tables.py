@@ -10,6 +10,8 @@ The job reads four tables:
 
 Both scans keep predicates on plain columns and select only the columns used,
 so a parquet/Delta source sees ``PushedFilters`` and a narrow ``ReadSchema``.
+Ids that are strings are right-trimmed here, once, as blanks at the end don't tell
+ids apart in the source job. DPD values keep the type they are stored in.
 """
 
 from __future__ import annotations
@@ -42,6 +44,11 @@ def read_inputs(spark, paths: dict[str, str], fmt: str = "parquet") -> StageInpu
     )
 
 
+def id_sql(df: DataFrame, column: str) -> str:
+    """A loan id without blanks at its end (other types as they are)."""
+    return f"rtrim({column})" if df.schema[column].dataType.typeName() == "string" else column
+
+
 def population_snapshot(population: DataFrame, params: StageParams) -> DataFrame:
     """S1: the snapshot at the segmentation date, originated by the reporting date,
     excluding segment pools 2, 3, 4, 6, 7 (a NULL pool is excluded too)."""
@@ -51,7 +58,7 @@ def population_snapshot(population: DataFrame, params: StageParams) -> DataFrame
         f"AND value_date <= {sql_date(params.reporting_date)} "
         f"AND NOT segment_pool_id IN ({pools})"
     ).selectExpr(
-        "deal_tfi_id",
+        f"{id_sql(population, 'deal_tfi_id')} AS deal_tfi_id",
         "to_date(reporting_date) AS reporting_date",
         "to_date(value_date) AS value_date",
         "CAST(segment_pool_id AS INT) AS segment_pool_id",
@@ -76,7 +83,8 @@ def normalise_population(snapshot: DataFrame, params: StageParams) -> DataFrame:
 
 
 def dpd_window(dpd: DataFrame, params: StageParams) -> DataFrame:
-    """S2: observations from the window start to the reporting date, three columns."""
+    """S2: observations from the window start to the reporting date, three columns; the
+    value as it is stored (integer, decimal or floating point)."""
     return dpd.where(
         f"factor_date >= {sql_date(params.min_factor_date)} AND factor_date <= {sql_date(params.reporting_date)}"
-    ).selectExpr("deal_id", "to_date(factor_date) AS factor_date", "CAST(factor_value AS INT) AS factor_value")
+    ).selectExpr(f"{id_sql(dpd, 'deal_id')} AS deal_id", "to_date(factor_date) AS factor_date", "factor_value")

@@ -78,9 +78,9 @@ def test_every_archetype_matches(arch_results):
 
 
 def test_expected_counts(arch_plan):
-    assert arch_plan.population.count() == 144
-    assert arch_plan.stage_status.count() == 140
-    assert arch_plan.imputed.count() == 108
+    assert arch_plan.population.count() == 129
+    assert arch_plan.stage_status.count() == 125
+    assert arch_plan.imputed.count() == 85
 
 
 def test_output_keys_unique(arch_plan):

@@ -13,6 +13,8 @@ KEYS = [
     "param_dates", "fill_value", "event_flags", "npl_date_reset", "stage2_runs", "stage_before_tdr",
     "classify_a", "classify_b", "classify_c", "publish_stage_status", "publish_stage_status_arch",
     "stage_before_tdr_arch",  # restructured loans without any DPD row
+    "src_population_arch", "impute_writeback_arch", "last_npl_date_arch", "spine_start_arch",
+    "event_flags_dec", "last_npl_date_dec", "publish_stage_status_dec",
 ]
 
 
@@ -25,7 +27,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    from stagecraft.plans import queries
+    from tools import oracle
+
+    assert set(queries.queries()) == set(oracle.oracle_sql())
 
 
 @pytest.mark.parametrize("key", KEYS)
@@ -41,5 +46,5 @@ def test_query_matches_oracle(spark, con, key):
 
 def test_entry_smoke(spark):
     df = entry.entry(spark)
-    assert df.columns[:6] == ["deal_id", "prev_status", "stg3_flag", "path_tdr", "m_stg2", "cure_flag"]
+    assert df.columns == ["deal_id", "prev_status", "stg3_flag", "path_tdr", "m_stg2", "cure_flag", "last_modified", "modified_by"]
     assert df.count() == 150

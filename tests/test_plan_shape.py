@@ -1,10 +1,16 @@
-"""Plan regression: the whole job shuffles only its inputs (by loan), never after the union."""
+"""Plan regression: the job shuffles each input once (by loan), and nothing after the union.
+
+The last test runs with adaptive execution on, over the table that a run materialises.
+"""
+
+import re
 
 import pytest
 
 from conftest import SF_SMALL
 from stagecraft.plans.staging import StagePlan
-from stagecraft.sources.fixtures import natural_inputs
+from stagecraft.sources.fixtures import archetype_inputs, natural_inputs
+from stagecraft.sources.sinks import materialise
 
 
 @pytest.fixture
@@ -17,21 +23,33 @@ def static_planning(spark):
         spark.conf.set(k, v)
 
 
+def executed(df):
+    return df._jdf.queryExecution().executedPlan().toString().splitlines()
+
+
 def test_exchanges_only_on_inputs(spark, static_planning):
-    plan = StagePlan(*natural_inputs(spark, SF_SMALL))
-    text = plan.stage_status._jdf.queryExecution().executedPlan().toString()
-    lines = text.splitlines()
-    exchanges = [line for line in lines if "Exchange " in line]
-    # population (spine side), population (join side), observations, plus the
-    # fixture's own (deal_id, factor_date) aggregate of the orders table
-    assert len(exchanges) == 4, "\n".join(exchanges)
+    lines = executed(StagePlan(*natural_inputs(spark, SF_SMALL)).stage_status)
+    exchanges = [line for line in lines if "Exchange " in line and "ReusedExchange" not in line]
+    # population, observations, and the fixture's own (deal_id, factor_date) aggregate of orders
+    assert len(exchanges) == 3, "\n".join(exchanges)
     assert all("hashpartitioning(deal_id" in line for line in exchanges)
-    union_at = next(i for i, line in enumerate(lines) if line.strip().endswith("Union"))
-    join_at = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
-    # Between the final join and the union only the population side of the join
-    # shuffles; the per-loan side (windows, aggregates) reuses the loan partitioning.
-    assert sum("Exchange" in line for line in lines[join_at:union_at]) == 1
+    assert sum("ReusedExchange" in line for line in lines) == 1  # the population, for the rows of its own
+    assert not any("Join" in line for line in lines)
     windows = [line for line in lines if "Window [" in line]
     sorts = [line for line in lines if "Sort [deal_id" in line and "factor_date" in line]
     assert len(windows) == 6
     assert len(sorts) == 1  # one sort serves every window level
+
+
+@pytest.mark.parametrize("fixture", [natural_inputs, archetype_inputs])
+def test_both_sinks_follow_from_the_materialised_table(spark, fixture):
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    inputs, params = fixture(spark, SF_SMALL)
+    lazy = StagePlan(inputs, params)
+    plan = StagePlan(inputs, params, per_loan=materialise(lazy.per_loan))
+    for sink in (plan.stage_status, plan.imputed):
+        sink.collect()
+        text = "\n".join(executed(sink))
+        assert "Scan ExistingRDD" in text
+        assert not re.search("Exchange|Sort|Window|Aggregate|Join", text), text
+    assert sorted(map(tuple, plan.stage_status.collect())) == sorted(map(tuple, lazy.stage_status.collect()))

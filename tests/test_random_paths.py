@@ -13,10 +13,10 @@ import duckdb
 import pandas as pd
 import pytest
 
-from stagecraft.plans import oracle
 from stagecraft.plans.staging import StagePlan
 from stagecraft.sources.params import StageParams
 from stagecraft.sources.tables import StageInputs
+from tools import oracle
 from tools.compare import digest
 
 MIN = dt.date(2017, 4, 30)
@@ -70,7 +70,7 @@ def test_random_portfolio_matches_oracle(spark, seed, x):
     from stagecraft.plans import queries as q
 
     seg, dpd = portfolio(seed)
-    params = StageParams(min_factor_date=MIN, segmentation_date=COB, cure_months=x)
+    params = StageParams(min_factor_date=MIN, segmentation_date=COB, cure_months=x, run_ts=dt.datetime(2024, 1, 31, 12))
     inputs = StageInputs(
         entity=spark.createDataFrame([(COB,)], "cob_date date"),
         config=spark.createDataFrame([(7002, str(x))], "config_id int, config_value string"),

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from portfolio import MONTHS, PARAMS, inputs
 from stagecraft.plans.staging import StagePlan
@@ -43,13 +44,24 @@ def test_loan_without_population_row_gets_no_timeline(spark):
     assert plan.filled.where("deal_id = 'Z'").count() == 0
 
 
-def test_large_calendar_path_gives_same_timeline(spark):
-    rows = [("A", 1, 5), ("A", 3, 120), ("E", 4, 45)]
-    base = StagePlan(inputs(spark, CALENDAR + rows, ["A", "B", "E"]), PARAMS)
-    salted = StagePlan(inputs(spark, CALENDAR + rows, ["A", "B", "E"]), PARAMS, calendar_limit=1)
-    assert salted.calendar is None
-    cols = ["deal_id", "factor_date", "factor_value", "npl_date", "row_no"]
-    assert sorted(base.events.select(cols).collect()) == sorted(salted.events.select(cols).collect())
+def test_daily_calendar_of_more_than_5000_dates(spark):
+    """The longest calendar that a window of 14 years can have: a date for each day."""
+    import dataclasses
+    import datetime as dt
+
+    from stagecraft.sources.tables import StageInputs
+
+    start = dt.date(2005, 4, 30)
+    params = dataclasses.replace(PARAMS, min_factor_date=start)
+    days = (params.reporting_date - start).days + 1
+    base = inputs(spark, [], ["A", "B"])
+    daily = spark.range(days).selectExpr("'B' AS deal_id", f"date_add(DATE'{start}', CAST(id AS INT)) AS factor_date", "0 AS factor_value")
+    one = spark.createDataFrame([("A", params.reporting_date, 45)], "deal_id string, factor_date date, factor_value int")
+    population = base.population.withColumn("value_date", F.lit(start))
+    plan = StagePlan(StageInputs(base.entity, base.config, population, daily.union(one)), params)
+    assert days > 5000 and len(plan.calendar) == days
+    got = plan.filled.groupBy("deal_id").agg(F.count("*"), F.sum("factor_value")).collect()
+    assert sorted(tuple(r) for r in got) == [("A", days, 45 * days), ("B", days, 0)]
 
 
 def test_duplicate_observation_fails(spark):
@@ -58,6 +70,53 @@ def test_duplicate_observation_fails(spark):
         plan.filled.collect()
 
 
+def test_rows_that_the_job_drops_do_no_harm(spark):
+    """Duplicates of loans outside the population, excluded pools and rows without an id."""
+    from stagecraft.sources.tables import StageInputs
+
+    base = inputs(spark, CALENDAR + [("Z", 1, 5), ("Z", 1, 6), ("P", 2, 5), ("P", 2, 5)], ["B", "P"], pools={"P": 4})
+    unnamed = spark.createDataFrame([(None, MONTHS[0], 120), (None, MONTHS[0], 120)], base.dpd.schema)
+    plan = StagePlan(StageInputs(base.entity, base.config, base.population, base.dpd.union(unnamed)), PARAMS)
+    assert {r.deal_id for r in plan.filled.collect()} == {"B"}
+    assert [r.deal_id for r in plan.stage_status.collect()] == ["B"]
+
+
+def test_blanks_at_the_end_of_ids_do_not_matter(spark):
+    from stagecraft.sources.tables import StageInputs
+
+    base = inputs(spark, CALENDAR + [("A", 4, 45)], ["B", "A"])
+    padded = base.population.withColumn("deal_tfi_id", F.concat("deal_tfi_id", F.lit("   ")))
+    plan = StagePlan(StageInputs(base.entity, base.config, padded, base.dpd), PARAMS)
+    assert sorted(r.deal_id for r in plan.stage_status.collect()) == ["A", "B"]
+
+
+def test_fractional_values_keep_their_bands(spark):
+    """0.5, 0.5, 0.5, 90.5, 30.5: an NPL date at 90.5, no zero event, a stage-2 point at 30.5."""
+    from stagecraft.sources.tables import StageInputs
+
+    base = inputs(spark, CALENDAR, ["A", "B"])
+    values = [0.5, 0.5, 0.5, 90.5, 30.5]
+    for kind in ("double", "decimal(10,2)"):
+        rows = spark.createDataFrame([("A", MONTHS[i], v) for i, v in enumerate(values)], "deal_id string, factor_date date, factor_value double")
+        dpd = base.dpd.unionByName(rows).withColumn("factor_value", F.col("factor_value").cast(kind))
+        plan = StagePlan(StageInputs(base.entity, base.config, base.population, dpd), PARAMS)
+        events = plan.events.where("deal_id = 'A'").orderBy("factor_date").collect()
+        assert [float(e.factor_value) for e in events] == values
+        assert {e.npl_date for e in events} == {MONTHS[3]}
+        assert [e.dpd_3m_event for e in events] == [0] * 5
+        assert [e.dpd3090_event for e in events] == [0, 0, 0, 0, 1]
+        assert [e.max_x_nontdrm for e in events] == [0, 0, 0, 90, 90]
+
+
+def test_duplicate_population_row_without_observations_fails(spark):
+    from stagecraft.sources.tables import StageInputs
+
+    base = inputs(spark, CALENDAR, ["B", "R"], rsd={"R": MONTHS[2]})
+    twice = base.population.unionByName(base.population.where("deal_tfi_id = 'R'"))
+    with pytest.raises(Exception, match="duplicate deal_id"):
+        StagePlan(StageInputs(base.entity, base.config, twice, base.dpd), PARAMS).stage_status.collect()
+
+
 def test_duplicate_population_row_fails(spark):
     from stagecraft.sources.tables import StageInputs
 

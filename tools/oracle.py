@@ -17,20 +17,15 @@ agreement means something:
 
 from __future__ import annotations
 
-from stagecraft.functions.bands import EXCLUDED_POOLS
-from stagecraft.operators.events import DEFAULT_ENTITY_CODE, IMPUTED_FACTOR_TYPE
-from stagecraft.plans.staging import DEFAULT_IMPUTE_MODIFIED_BY, DEFAULT_MODIFIED_BY
-from stagecraft.sources.fixtures import (
-    ARCH_COB_DATE,
-    ARCH_CODES,
-    ARCH_CURE_MONTHS,
-    ARCH_MIN_FACTOR_DATE,
-    ARCH_PREVIOUS_SNAPSHOT,
-    ARCHETYPES,
-    NATURAL_BASE_DATE,
-    NATURAL_CURE_MONTHS,
-    NATURAL_MIN_FACTOR_DATE,
-)
+# The fixtures' 40 paths and their codes are inputs, not results, so they are shared.
+from stagecraft.sources.fixtures import ARCH_CODES, ARCHETYPES
+
+# Fixed values of the job and of the fixtures, written out here so that a wrong one in the
+# library shows.
+POOLS = "2, 3, 4, 6, 7"
+NATURAL_MIN_FACTOR_DATE, NATURAL_BASE_DATE, NATURAL_CURE_MONTHS = "1995-01-31", "1995-01-15", 12
+ARCH_MIN_FACTOR_DATE, ARCH_COB_DATE, ARCH_PREVIOUS_SNAPSHOT, ARCH_CURE_MONTHS = "2017-04-30", "2019-03-31", "2019-02-28", 12
+RUN_TS = "TIMESTAMP '2024-01-31 12:00:00'"
 
 NATURAL_FIXTURE = f"""
 p AS (
@@ -91,7 +86,8 @@ seg AS (
   SELECT 'D' || CAST(a.c_custkey AS VARCHAR) AS deal_tfi_id,
          s.reporting_date,
          a.value_date,
-         CASE WHEN a.c_custkey % 41 = 40 THEN 2 WHEN a.c_custkey % 41 = 39 THEN NULL ELSE 1 END AS segment_pool_id,
+         CASE a.c_custkey % 41 WHEN 40 THEN 2 WHEN 39 THEN NULL WHEN 26 THEN 3 WHEN 17 THEN 4 WHEN 9 THEN 6
+              WHEN 30 THEN 7 WHEN 3 THEN 5 ELSE 1 END AS segment_pool_id,
          a.restructure_start_date
   FROM arch_loans a
   CROSS JOIN (VALUES (DATE '{ARCH_PREVIOUS_SNAPSHOT}'), (DATE '{ARCH_COB_DATE}')) s(reporting_date)
@@ -103,9 +99,22 @@ dpd AS (
            AS factor_value
   FROM arch_loans a CROSS JOIN generate_series(-1, 23) t(m)
   WHERE t.m < 0 OR t.m > 22 OR substr(a.path, CAST(t.m + 1 AS INTEGER), 1) <> '.'
+  UNION ALL
+  SELECT CASE WHEN u.named THEN 'X' || CAST(c_custkey AS VARCHAR) END, DATE '{ARCH_MIN_FACTOR_DATE}', v.value
+  FROM customer CROSS JOIN (VALUES (true), (false)) u(named) CROSS JOIN (VALUES (60), (120)) v(value)
+  WHERE c_custkey % 50 = 0
 )"""
 
-POOLS = ", ".join(str(p) for p in EXCLUDED_POOLS)
+# The natural fixture with fractional values.
+FRACTIONAL_FIXTURE = NATURAL_FIXTURE.replace("dpd AS (", "dpd_whole AS (", 1) + """,
+dpd AS (
+  SELECT deal_id, factor_date,
+         CASE factor_value WHEN 0 THEN CASE WHEN dayofyear(factor_date) % 3 = 0 THEN 0.5 ELSE 0.0 END
+              WHEN 20 THEN 30.5
+              WHEN 60 THEN CASE WHEN dayofyear(factor_date) % 2 = 0 THEN 90.5 ELSE 60.25 END
+              ELSE factor_value END::DOUBLE AS factor_value
+  FROM dpd_whole
+)"""
 
 # The staging job over (p, seg, dpd). Placeholders are filled from the library's
 # fixed values below.
@@ -156,7 +165,7 @@ filled AS (
 ),
 imputed AS (
   SELECT f.deal_id, '{ENTITY}' AS entity, '{FACTOR_TYPE}' AS factor_type, f.factor_date, f.factor_value,
-         '{IMPUTE_BY}' AS modified_by
+         {RUN_TS} AS last_modified, '{IMPUTE_BY}' AS modified_by
   FROM filled f
   WHERE NOT EXISTS (SELECT 1 FROM dpd d WHERE d.deal_id = f.deal_id AND d.factor_date = f.factor_date)
 ),
@@ -175,10 +184,10 @@ numbered AS (
 ),
 rolled AS (
   SELECT a.deal_id, a.factor_date, a.factor_value, a.row_no,
-         CAST(sum(b.factor_value) FILTER (WHERE b.row_no > a.row_no - 3) AS BIGINT) AS sum_dpd_3m,
+         CAST(sum(b.factor_value) FILTER (WHERE b.row_no > a.row_no - 3) AS {SUM_TYPE}) AS sum_dpd_3m,
          max(b.factor_value) FILTER (WHERE b.row_no > a.row_no - 9) AS max_dpd_9m,
          max(b.factor_value) FILTER (WHERE b.row_no > a.row_no - 12) AS max_dpd_12m,
-         CAST(max(b.factor_value) FILTER (WHERE b.row_no > a.row_no - p.x) AS INTEGER) AS max_x_nontdrm
+         CAST(trunc(max(b.factor_value) FILTER (WHERE b.row_no > a.row_no - p.x)) AS INTEGER) AS max_x_nontdrm
   FROM numbered a
   JOIN numbered b ON b.deal_id = a.deal_id AND b.row_no <= a.row_no
   CROSS JOIN p
@@ -396,7 +405,7 @@ clc_out AS (
 published AS (
   SELECT deal_id, prev_status, stg3_flag, path_tdr,
          CAST(CASE WHEN calculated_stage = 2 THEN m_stg2 + 1 ELSE 0 END AS INTEGER) AS m_stg2,
-         CAST(cure_flag AS INTEGER) AS cure_flag, '{RESULT_BY}' AS modified_by
+         CAST(cure_flag AS INTEGER) AS cure_flag, {RUN_TS} AS last_modified, '{RESULT_BY}' AS modified_by
   FROM (SELECT deal_id, prev_status, stg3_flag, path_tdr, m_stg2, calculated_stage, cure_flag FROM cla
         UNION ALL
         SELECT deal_id, prev_status, stg3_flag, path_tdr, m_stg2, calculated_stage, cure_flag FROM clb
@@ -405,20 +414,23 @@ published AS (
 )"""
 
 
-def _fill(template: str) -> str:
+def _fill(template: str, sum_type: str) -> str:
     values = {
         "{POOLS}": POOLS,
-        "{ENTITY}": DEFAULT_ENTITY_CODE,
-        "{FACTOR_TYPE}": IMPUTED_FACTOR_TYPE,
-        "{IMPUTE_BY}": DEFAULT_IMPUTE_MODIFIED_BY,
-        "{RESULT_BY}": DEFAULT_MODIFIED_BY,
+        "{ENTITY}": "ENTITY",
+        "{FACTOR_TYPE}": "DPD",
+        "{IMPUTE_BY}": "stage_status(impute)",
+        "{RESULT_BY}": "stage_status",
+        "{RUN_TS}": RUN_TS,
+        "{SUM_TYPE}": sum_type,
     }
     for key, value in values.items():
         template = template.replace(key, value)
     return template
 
 
-PIPELINE = _fill(_PIPELINE_TEMPLATE)
+PIPELINE = _fill(_PIPELINE_TEMPLATE, "BIGINT")
+FRACTIONAL_PIPELINE = _fill(_PIPELINE_TEMPLATE, "DOUBLE")
 
 OUTCOME = "CAST(condition_no AS INTEGER) AS condition_no, prev_status, CAST(calculated_stage AS INTEGER) AS calculated_stage, stg3_flag, path_tdr, m_stg2, CAST(cure_flag AS INTEGER) AS cure_flag"
 A_COLS = "deal_id, npl_date, restructure_date, zero3_start, zero3_end, zero9_date, stage2_first, stage2_last, zero_before_last2, stage2_after_zero"
@@ -442,7 +454,7 @@ FINAL = {
     "count(factor_value) OVER (PARTITION BY deal_id ORDER BY factor_date DESC) AS tail_group FROM na",
     "fill_head_tail": "SELECT deal_id, factor_date, factor_value, head, tail FROM ht",
     "fill_value": "SELECT deal_id, factor_date, head, tail, factor_value FROM filled",
-    "impute_writeback": "SELECT deal_id, entity, factor_type, factor_date, factor_value, modified_by FROM imputed",
+    "impute_writeback": "SELECT deal_id, entity, factor_type, factor_date, factor_value, last_modified, modified_by FROM imputed",
     "roll_max_x": "SELECT deal_id, factor_date, row_no, max_x_nontdrm FROM rolled",
     "event_base": "SELECT deal_id, npl_date, restructure_start_date, factor_date, factor_value, row_no, "
     "sum_dpd_3m, max_dpd_9m, max_dpd_12m, max_x_nontdrm FROM ev",
@@ -469,18 +481,22 @@ FINAL = {
     "nontdr_population": "SELECT deal_id, npl_date, dpd_t FROM cpop",
     "last_cure_date": "SELECT deal_id, npl_date, dpd_t, last_cure_date FROM clc",
     "classify_c": f"SELECT deal_id, npl_date, dpd_t, last_cure_date, {OUTCOME} FROM clc_out",
-    "publish_stage_status": "SELECT deal_id, prev_status, stg3_flag, path_tdr, m_stg2, cure_flag, modified_by "
+    "publish_stage_status": "SELECT deal_id, prev_status, stg3_flag, path_tdr, m_stg2, cure_flag, last_modified, modified_by "
     "FROM published",
     "scalar_dates": "SELECT deal_id, last_day(restructure_start_date - INTERVAL 1 MONTH) AS "
     "restructure_prev_month_end, CAST(date_diff('month', value_date, reporting_date) AS INTEGER) AS "
     "months_on_book, CAST(date_diff('month', restructure_start_date, reporting_date) AS INTEGER) AS "
     "months_since_restructure FROM pop",
 }
-def _query(fixture: str, final: str) -> str:
-    return f"WITH {fixture},{PIPELINE}\n{final}"
+
+
+def _query(fixture: str, final: str, pipeline: str = PIPELINE) -> str:
+    return f"WITH {fixture},{pipeline}\n{final}"
 
 
 def oracle_sql() -> dict[str, str]:
     out = {k: _query(NATURAL_FIXTURE, v) for k, v in FINAL.items()}
-    out.update({f"{k}_arch": _query(ARCHETYPE_FIXTURE, v) for k, v in FINAL.items()})
+    out.update({f"{k}_arch": _query(ARCHETYPE_FIXTURE, v) for k, v in FINAL.items() if k != "param_dates"})
+    for k in ("event_flags", "last_npl_date", "publish_stage_status"):
+        out[f"{k}_dec"] = _query(FRACTIONAL_FIXTURE, FINAL[k], FRACTIONAL_PIPELINE)
     return out
