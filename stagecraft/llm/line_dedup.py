@@ -35,17 +35,17 @@ from stagecraft.llm.bloom import bloom_semi_join, with_maybe
 from stagecraft.llm.common import written
 
 SHINGLE_WORDS = 5
-BUCKETS = 1 << 16
+BUCKETS = 1 << 14
 CLASSES = 64  # of rarity
 LINE = ["doc_id", "spread", "line_no"]
 
 
 # -- expressions -------------------------------------------------------------
-def lines_of(texts: DataFrame) -> DataFrame:
-    """doc_id, spread (hash of the text), line_no and h (hashes of the words) of each line with a word."""
-    lines = texts.where("text IS NOT NULL").select(
-        "doc_id", F.xxhash64("text").alias("spread"), F.posexplode(F.split("text", "\n")).alias("line_no", "line")
-    )
+def lines_of(texts: DataFrame, among: str = "true") -> DataFrame:
+    """doc_id, spread (hash of the text), line_no and h (hashes of the words) of each line with a
+    word, among those that meet a condition on ``line_no``."""
+    hashed = texts.where("text IS NOT NULL").withColumn("spread", F.xxhash64("text"))  # once a text, not once a line
+    lines = hashed.select("*", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).where(among)
     words = F.expr("transform(array_remove(split(line, ' '), ''), x -> xxhash64(x))")
     return lines.select(*LINE, words.alias("h")).where("size(h) > 0")
 
@@ -59,7 +59,7 @@ def with_tokens(lines: DataFrame) -> DataFrame:
     return lines.withColumn("p", pairs).select(*LINE, F.array_distinct(fives).alias("tokens"))
 
 
-def rarity_table(lines: DataFrame) -> bytes:
+def rarity_table(lines: DataFrame) -> list[int]:
     """For each bucket of token hashes, a class from 0 (rare) to 63, by the logarithm of its count."""
     at = lines.select("h", F.expr(f"explode(sequence(0, greatest(size(h) - {SHINGLE_WORDS}, 0)))").alias("i"))
     token = F.expr(
@@ -68,20 +68,19 @@ def rarity_table(lines: DataFrame) -> bytes:
     )
     rows = at.select(F.pmod(token, F.lit(BUCKETS)).alias("bucket")).groupBy("bucket").count().collect()  # BUCKETS rows at most
     mean = sum(r["count"] for r in rows) / BUCKETS
-    table = bytearray(BUCKETS)
+    table = [0] * BUCKETS
     for r in rows:
         rarity = CLASSES // 2 + 8 * math.log2(r["count"] / mean)
         table[r["bucket"]] = int(min(max(rarity, 0), CLASSES - 1))
-    return bytes(table)
+    return table
 
 
-def in_order(table: bytes) -> Column:
+def in_order(table: list[int]) -> Column:
     """The tokens as sorted numbers: six bits of rarity, then the upper bits of the hash."""
+    upper = F.split(F.lit(",".join(str(rarity << 57) for rarity in table)), ",").cast("array<bigint>")  # folded once
 
     def key(x: Column) -> Column:
-        place = (F.pmod(x, F.lit(BUCKETS)) + 1).cast("int")
-        rarity = F.ascii(F.substring(F.lit(table), place, F.lit(1)).cast("string")).cast("bigint")
-        return F.shiftleft(rarity, 57).bitwiseOR(F.shiftrightunsigned(x, 7))
+        return F.get(upper, F.pmod(x, F.lit(BUCKETS)).cast("int")).bitwiseOR(F.shiftrightunsigned(x, 7))
 
     return F.sort_array(F.transform("tokens", key))
 
@@ -132,13 +131,20 @@ def removed_lines(documents: DataFrame) -> DataFrame:
     shared = written(bloom_semi_join(prefixes, repeated, "key"), "shared")
 
     # Whole sets of the classes that share a token.
-    wanted = written(shared.select("line.spread", "line.line_no").distinct(), "wanted")
-    again = bloom_semi_join(texts.where("text IS NOT NULL").withColumn("spread", F.xxhash64("text")), wanted, "spread")
+    wanted = written(
+        shared.select("line.*")
+        .groupBy("doc_id", "spread")
+        .agg(F.collect_set("line_no").alias("wanted"))  # of one text
+        .select(F.col("doc_id").alias("of"), F.col("spread").alias("place"), "wanted"),
+        "wanted",
+    )
+    again = with_maybe(texts.where("text IS NOT NULL").withColumn("place", F.xxhash64("text")), "place", wanted, "place")
+    again = again.where("maybe").select("doc_id", "text", F.col("place").alias("at"))
+    again = again.join(wanted, (F.col("at") == F.col("place")) & F.col("doc_id").eqNullSafe(F.col("of")))
     sets = written(
-        with_tokens(lines_of(again.select("doc_id", "text")))
-        .join(wanted, ["spread", "line_no"])
-        .groupBy("spread", "line_no")
-        .agg(F.first("tokens").alias("tokens")),
+        with_tokens(lines_of(again.select("doc_id", "text", "wanted"), "array_contains(wanted, line_no)"))
+        .select("spread", "line_no", "tokens")
+        .dropDuplicates(["spread", "line_no"]),
         "line-sets",
     )
 
