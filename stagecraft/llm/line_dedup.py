@@ -199,11 +199,42 @@ def deduplicate_lines(documents: DataFrame) -> DataFrame:
 
 
 def line_dedup_query(spark, sf_dir: str) -> DataFrame:
-    """Op 2: doc_id, lines, lines removed and the crc32 of what is left, of every document."""
+    """Op 2: doc_id, lines, lines removed and the md5 of what is left, of every document."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return deduplicate_lines(documents.withColumn("n_lines", F.size(F.split("text", "\n")))).select(
         "doc_id",
         F.when(F.col("text").isNull() & (F.col("n_lines") < 0), 0).otherwise(F.coalesce("n_lines", F.lit(0))).alias("n_lines"),
         F.col("removed_lines").alias("n_removed"),
-        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+        F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"),
     )
+
+
+LINE_SQL = """
+WITH split AS (
+    SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL
+), lines AS (
+    SELECT doc_id, unnest(range(len(l))) AS line_no, unnest(l) AS line FROM split
+), words AS (
+    SELECT doc_id, line_no, list_filter(string_split(line, ' '), lambda x: x <> '') AS w FROM lines
+), places AS (
+    SELECT doc_id, line_no, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS pos FROM words WHERE len(w) > 0
+), tokens AS (
+    SELECT DISTINCT doc_id, line_no, array_to_string(w[pos : pos + 4], ' ') AS token FROM places
+), sizes AS (
+    SELECT doc_id, line_no, count(*) AS n FROM tokens GROUP BY ALL
+), pairs AS (
+    SELECT b.doc_id, b.line_no, a.doc_id AS other_doc, a.line_no AS other_no, count(*) AS common
+    FROM tokens a JOIN tokens b ON a.token = b.token AND (a.doc_id, a.line_no) < (b.doc_id, b.line_no)
+    GROUP BY ALL
+), gone AS (
+    SELECT DISTINCT p.doc_id, p.line_no
+    FROM pairs p JOIN sizes x ON x.doc_id = p.doc_id AND x.line_no = p.line_no
+        JOIN sizes y ON y.doc_id = p.other_doc AND y.line_no = p.other_no
+    WHERE 9 * p.common >= 4 * (x.n + y.n)
+)
+SELECT d.doc_id, count(l.line_no)::INTEGER AS n_lines, count(g.line_no)::INTEGER AS n_removed,
+    md5(coalesce(string_agg(l.line, chr(10) ORDER BY l.line_no) FILTER (WHERE g.line_no IS NULL), '')) AS text_md5
+FROM documents d LEFT JOIN lines l ON l.doc_id = d.doc_id
+    LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.line_no = l.line_no
+GROUP BY d.doc_id
+"""

@@ -359,3 +359,33 @@ def _between_groups(search: _Search, shared: DataFrame, few: int, percent: int)
 def near_dedup_query(spark, sf_dir: str) -> DataFrame:
     """Op 4: groups of all documents by 4-word shingles."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), k=4)
+
+
+NEAR_SQL = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(text,
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), places AS (
+    SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS pos FROM words WHERE len(w) > 0
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[pos : pos + 3], ' ') AS s FROM places
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), pairs AS (
+    SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS common
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+    SELECT u, v FROM pairs JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v
+    WHERE 100 * common >= 80 * (x.n + y.n - common)
+), edges AS (
+    SELECT u, v FROM links UNION ALL SELECT v, u FROM links
+), reach(doc_id, r) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION
+    SELECT reach.doc_id, e.v FROM reach JOIN edges e ON e.u = reach.r
+), least AS (
+    SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN least c USING (doc_id)
+"""

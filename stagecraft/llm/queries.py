@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stagecraft.llm.decontaminate import DECONTAMINATION_SQL, decontamination_query
 from stagecraft.llm.language_id import language_query
-from stagecraft.llm.line_dedup import line_dedup_query
+from stagecraft.llm.line_dedup import LINE_SQL, line_dedup_query
 from stagecraft.llm.lm_scoring import lm_query
-from stagecraft.llm.near_dedup import near_dedup_query
+from stagecraft.llm.near_dedup import NEAR_SQL, near_dedup_query
 from stagecraft.llm.quality import quality_query
 from stagecraft.llm.sentencepiece_fst import sentencepiece_query
 from stagecraft.llm.token_output import token_query
@@ -34,6 +34,8 @@ QUERIES: dict[str, Query] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_topk_search": TOPK_SQL,
+    "op2_line_dedup": LINE_SQL,
+    "op4_near_dedup": NEAR_SQL,
     "op8_url_filter": URL_SQL,
     "op9_sentencepiece": sentencepiece_query,
     "op10_decontamination": DECONTAMINATION_SQL,
