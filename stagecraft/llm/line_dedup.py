@@ -135,16 +135,15 @@ def removed_lines(documents: DataFrame) -> DataFrame:
         shared.select("line.*")
         .groupBy("doc_id", "spread")
         .agg(F.collect_set("line_no").alias("wanted"))  # of one text
-        .select(F.col("doc_id").alias("of"), F.col("spread").alias("place"), "wanted"),
+        .select(F.xxhash64("doc_id", "spread").alias("row"), "wanted"),
         "wanted",
     )
-    again = with_maybe(texts.where("text IS NOT NULL").withColumn("place", F.xxhash64("text")), "place", wanted, "place")
-    again = again.where("maybe").select("doc_id", "text", F.col("place").alias("at"))
-    again = again.join(wanted, (F.col("at") == F.col("place")) & F.col("doc_id").eqNullSafe(F.col("of")))
+    placed = texts.where("text IS NOT NULL").withColumn("row", F.xxhash64("doc_id", F.xxhash64("text")))
+    again = with_maybe(placed, "row", wanted, "row").where("maybe").join(wanted, "row").dropDuplicates(["row"])
     sets = written(
-        with_tokens(lines_of(again.select("doc_id", "text", "wanted"), "array_contains(wanted, line_no)"))
-        .select("spread", "line_no", "tokens")
-        .dropDuplicates(["spread", "line_no"]),
+        with_tokens(lines_of(again.select("doc_id", "text", "wanted"), "array_contains(wanted, line_no)")).select(
+            "spread", "line_no", "tokens"
+        ),
         "line-sets",
     )
 
@@ -165,7 +164,7 @@ def removed_lines(documents: DataFrame) -> DataFrame:
 
     judged = classes.join(matched.withColumn("gone", F.lit(True)), "line", "left")
     judged = written(judged.where("lines > 1 OR gone").select("a", "b", "n", "line", "gone"), "judged")
-    found = signed.select(*LINE, "a", "b", "n").join(judged, ["a", "b", "n"])
+    found = with_maybe(signed.select(*LINE, "a", "b", "n"), "a", judged, "a").where("maybe").join(judged, ["a", "b", "n"])
     # Of a class without a match, lines that are the first one (or equal it as rows) stay.
     return found.where(F.col("gone") | (F.struct(*LINE) != F.col("line"))).select(*LINE).distinct()
 
