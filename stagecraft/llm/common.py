@@ -64,6 +64,32 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables that an operator writes on its way, and drops once nothing reads them any more."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self._spark, self._paths = spark, {}
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written and read back, as :func:`written`; an older table of that name is
+        dropped, so nothing but the new one may have been made of it."""
+        path = new_folder(self._spark, name)
+        df.write.parquet(path)
+        self.drop(name)
+        self._paths[name] = path
+        return self._spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        """Delete the tables of these names."""
+        for name in names:
+            if path := self._paths.pop(name, None):
+                at = self._spark._jvm.org.apache.hadoop.fs.Path(path)
+                at.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(at, True)
+
+    def drop_all(self, *but: str) -> None:
+        self.drop(*[name for name in self._paths if name not in but])
+
+
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     """True for the documents a model must not learn from; a null id is held out too."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % modulus == remainder, F.lit(True))

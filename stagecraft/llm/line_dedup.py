@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stagecraft.llm.bloom import bloom_semi_join, with_maybe
-from stagecraft.llm.common import written
+from stagecraft.llm.common import Scratch, written
 
 SHINGLE_WORDS = 5
 BUCKETS = 1 << 14
@@ -104,8 +104,10 @@ def _candidates(later: DataFrame, earlier: DataFrame) -> DataFrame:
 
 
 # -- the operator ------------------------------------------------------------
-def removed_lines(documents: DataFrame) -> DataFrame:
-    """doc_id, spread and line_no of the lines of ``documents`` (doc_id, text) that go."""
+def removed_lines(documents: DataFrame, scratch: Scratch) -> DataFrame:
+    """doc_id, spread and line_no of the lines of ``documents`` (doc_id, text) that go. The
+    result reads tables of ``scratch``."""
+    written = scratch.written
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     lines = lines_of(texts)
     table = rarity_table(lines)
@@ -129,6 +131,7 @@ def removed_lines(documents: DataFrame) -> DataFrame:
         classes.select(F.explode("prefix").alias("key")).groupBy("key").count().where("count > 1").select("key"), "keys"
     )
     shared = written(bloom_semi_join(prefixes, repeated, "key"), "shared")
+    scratch.drop("keys")
 
     # Whole sets of the classes that share a token.
     wanted = written(
@@ -147,7 +150,7 @@ def removed_lines(documents: DataFrame) -> DataFrame:
         "line-sets",
     )
 
-    def verified(pairs: DataFrame) -> DataFrame:
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
         mine = sets.select(F.struct("spread", "line_no").alias("l"), F.col("tokens").alias("tl"))
         theirs = sets.select(F.struct("spread", "line_no").alias("o"), F.col("tokens").alias("to"))
         content = lambda c: F.struct(F.col(f"{c}.spread"), F.col(f"{c}.line_no"))
@@ -155,15 +158,16 @@ def removed_lines(documents: DataFrame) -> DataFrame:
             pairs.withColumns({"l": content("line"), "o": content("other")}).join(mine, "l").join(theirs, "o")
         )
         common = F.size(F.array_intersect("tl", "to"))
-        return written(both.where(similar(common, F.size("tl"), F.size("to"))).select("line").distinct(), "matched")
+        return written(both.where(similar(common, F.size("tl"), F.size("to"))).select("line").distinct(), name)
 
     first = shared.groupBy("key").agg(F.min(F.struct("line", "n", "place")).alias("c")).select("key", "c.*")
-    matched = verified(_candidates(shared, written(first, "firsts")))
+    matched = verified(_candidates(shared, written(first, "firsts")), "matched")
     open_ = shared.join(matched, "line", "left_anti")
-    matched = matched.union(verified(_candidates(open_, shared)))
+    matched = matched.union(verified(_candidates(open_, shared), "matched-later"))
 
     judged = classes.join(matched.withColumn("gone", F.lit(True)), "line", "left")
     judged = written(judged.where("lines > 1 OR gone").select("a", "b", "n", "line", "gone"), "judged")
+    scratch.drop_all("lines", "judged")
     found = with_maybe(signed.select(*LINE, "a", "b", "n"), "a", judged, "a").where("maybe").join(judged, ["a", "b", "n"])
     # Of a class without a match, lines that are the first one (or equal it as rows) stay.
     return found.where(F.col("gone") | (F.struct(*LINE) != F.col("line"))).select(*LINE).distinct()
@@ -172,13 +176,15 @@ def removed_lines(documents: DataFrame) -> DataFrame:
 def deduplicate_lines(documents: DataFrame) -> DataFrame:
     """``documents`` without the lines that go (column text; all others as they are), with
     ``removed_lines``, the number of them. Documents that lose no line aren't shuffled."""
+    scratch = Scratch(documents.sparkSession)
     gone = written(
-        removed_lines(documents)
+        removed_lines(documents, scratch)
         .groupBy("doc_id", "spread")
         .agg(F.collect_set("line_no").alias("line_nos"))
         .select(F.col("doc_id").alias("gone_id"), F.col("spread").alias("gone_spread"), "line_nos"),
         "gone",
     )
+    scratch.drop_all()
     columns = [F.col(c) for c in documents.columns]
     keyed = documents.select(F.struct(*columns).alias("row")).withColumn("gone_spread", F.xxhash64("row.text"))
     asked = with_maybe(keyed, "gone_spread", gone, "gone_spread")

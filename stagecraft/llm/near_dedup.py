@@ -39,6 +39,7 @@ from pyspark.sql import types as T
 
 from stagecraft.llm.bloom import bloom_semi_join
 from stagecraft.llm.common import (
+    Scratch,
     distinct_sorted,
     minima,
     mix,
@@ -47,7 +48,6 @@ from stagecraft.llm.common import (
     universal_family,
     utf8_buffers,
     word_hashes,
-    written,
 )
 
 SHINGLE_WORDS = 5
@@ -170,10 +170,11 @@ def _with_least(rows: DataFrame, least: DataFrame) -> DataFrame:
     return rows.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(salted, ["u", "salt"]).drop("salt")
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """node and component (the least node reachable) of every node of ``edges`` (u, v: bigint),
     by alternating large-star and small-star until the edges no longer change."""
-    edges = written(edges.selectExpr("greatest(u, v) AS u", "least(u, v) AS v").where("u <> v").distinct(), "edges")
+    scratch = scratch or Scratch(edges.sparkSession)
+    edges = scratch.written(edges.selectExpr("greatest(u, v) AS u", "least(u, v) AS v").where("u <> v").distinct(), "edges")
     seen = None
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -181,7 +182,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         large = _with_least(both.where("v > u"), least).selectExpr("v AS u", "m AS v").where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = _with_least(large, least).where("v <> m").selectExpr("v AS u", "m AS v")
-        edges = written(small.union(least.selectExpr("u", "m AS v")).where("u <> v").distinct(), "edges")
+        edges = scratch.written(small.union(least.selectExpr("u", "m AS v")).where("u <> v").distinct(), "edges")
         told = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if told == seen:
             break
@@ -194,8 +195,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
 class _Search:
     """Candidate pairs of classes, their verification, and the groups found so far."""
 
-    def __init__(self, classes: DataFrame, sets: DataFrame, percent: int) -> None:
-        self.classes, self.sets, self.percent = classes, sets, percent
+    def __init__(self, classes: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> None:
+        self.classes, self.sets, self.percent, self.scratch = classes, sets, percent, scratch
         self.groups: DataFrame | None = None  # node, component: of linked classes
 
     def grouped(self, rows: DataFrame, node: str, to: str) -> DataFrame:
@@ -216,24 +217,24 @@ class _Search:
             .where(equal_share("lu", "lv") >= SIGNATURE_SHARE)
             .select("u", "v", "gu", "gv")
         )
-        likely = written(likely, "likely")
+        likely = self.scratch.written(likely, "likely")
         full = (
             likely.join(self.sets.selectExpr("node AS u", "hashes AS hu"), "u")
             .join(self.sets.selectExpr("node AS v", "hashes AS hv"), "v")
             .select("gu", "gv", (F.length("hu") / 8 + F.length("hv") / 8).cast("bigint").alias("total"), common("hu", "hv").alias("both"))
         )
         passed = full.where(f"100 * both >= {self.percent} * (total - both)")
-        links = written(passed.selectExpr("gu AS u", "gv AS v").distinct(), "links")
+        links = self.scratch.written(passed.selectExpr("gu AS u", "gv AS v").distinct(), "links")
         if links.isEmpty():
             return False
-        merged = connected_components(links)  # of whole groups
+        merged = connected_components(links, self.scratch)  # of whole groups
         if self.groups is None:
-            self.groups = written(merged, "groups")
+            self.groups = self.scratch.written(merged, "groups")
         else:
             onto = merged.selectExpr("node AS component", "component AS onto")
             old = self.groups.join(onto, "component", "left").selectExpr("node", "coalesce(onto, component) AS component")
             new = merged.join(self.groups.select("node"), "node", "left_anti")
-            self.groups = written(old.union(new.select("node", "component")), "groups")
+            self.groups = self.scratch.written(old.union(new.select("node", "component")), "groups")
         return True
 
 
@@ -247,6 +248,8 @@ def near_duplicates(
 ) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id of the group) and kept of every row
     of ``documents`` (doc_id, text). Links need ``100 * intersection >= percent * union``."""
+    scratch = Scratch(documents.sparkSession)
+    written = scratch.written
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     signed = written(
         texts.mapInArrow(
@@ -294,7 +297,7 @@ def near_duplicates(
         .dropDuplicates(["node"]),
         "sets",
     )
-    search = _Search(classes, sets, percent)
+    search = _Search(classes, sets, percent, scratch)
     first = stars.groupBy("node").agg(F.max(F.struct("times", F.negative("centre").alias("c"))).alias("best"))
     search.verify(first.selectExpr("node AS u", "-best.c AS v"))
     search.verify(stars.selectExpr("node AS u", "centre AS v"))
@@ -303,12 +306,13 @@ def near_duplicates(
     groups = classes.select("node", "a", "b", "first_id")
     groups = search.grouped(groups, "node", "group")
     smallest = written(groups.groupBy("group").agg(F.min("first_id").alias("component_id")), "smallest")
-    named = groups.join(smallest, "group").select("a", "b", "component_id")
+    named = written(groups.join(smallest, "group").select("a", "b", "component_id"), "named")
+    scratch.drop_all("signed", "named")  # which the result reads
     alone = signed.where("doc_id IS NULL OR n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     grouped = (
         signed.where("doc_id IS NOT NULL AND n_shingles > 0")
         .select("doc_id", "n_shingles", "a", "b")
-        .join(written(named, "named"), ["a", "b"])
+        .join(named, ["a", "b"])
         .select("doc_id", "n_shingles", "component_id")
     )
     return grouped.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
@@ -319,7 +323,7 @@ def _between_groups(search: _Search, shared: DataFrame, few: int, percent: int)
     turn = 0
     while True:
         turn += 1
-        in_groups = written(search.grouped(shared.select("bucket", "node", "n"), "node", "group"), "in-groups")
+        in_groups = search.scratch.written(search.grouped(shared.select("bucket", "node", "n"), "node", "group"), "in-groups")
         mixed = (
             in_groups.groupBy("bucket", "group")
             .agg(F.count("*").alias("size"))
@@ -334,7 +338,7 @@ def _between_groups(search: _Search, shared: DataFrame, few: int, percent: int)
         )
         crowded = (F.col("outside") > few) & (F.col("size") > 1)
         mixed = mixed.where(crowded if turn > 1 else crowded | (F.col("outside") <= few))
-        rows = written(in_groups.join(mixed, "bucket"), "mixed")
+        rows = search.scratch.written(in_groups.join(mixed, "bucket"), "mixed")
         if rows.isEmpty():
             return
         order = F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), "node", "n")
