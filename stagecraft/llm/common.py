@@ -20,7 +20,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 # Bytes of text that one numpy pass handles at once; a single longer text is its own pass.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 _M1 = np.uint64(0xBF58476D1CE4E5B9)
 _M2 = np.uint64(0x94D049BB133111EB)
@@ -300,7 +300,7 @@ class PartEncoder:
         return ids, np.diff(np.concatenate([[0], total[ends]])).astype(np.int64)
 
 
-def text_slices(column: pa.Array, limit: int = CHUNK_BYTES // 2) -> Iterator[tuple[int, list[str]]]:
+def text_slices(column: pa.Array, limit: int = 2 << 20) -> Iterator[tuple[int, list[str]]]:
     """(first row, texts) of parts of a string column of about ``limit`` bytes; null counts as empty."""
     _, offsets = utf8_buffers(column)
     for start, stop in pieces(offsets, limit):

@@ -45,7 +45,9 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 # What an unknown character costs in a unigram model beyond the worst piece.
 UNKNOWN_PENALTY = 10.0
-ARC_ENTRIES = 2_000_000
+ARC_ENTRIES = 1_000_000
+# Words that a worker remembers.
+MEMO_PARTS = 400_000
 
 
 def _alone(char: str) -> tuple[list, list]:
@@ -256,7 +258,7 @@ class Encoder:
     def __init__(self, transducer: Transducer) -> None:
         self.transducer = transducer
         self.arcs: dict[str, dict[str, bool]] = {}
-        self.by_parts = PartEncoder(self._encode)
+        self.by_parts = PartEncoder(self._encode, limit=MEMO_PARTS)
 
     def _encode(self, parts: list[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
         if sum(map(len, self.arcs.values())) > ARC_ENTRIES:
