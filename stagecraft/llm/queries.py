@@ -37,7 +37,6 @@ ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": LINE_SQL,
     "op4_near_dedup": NEAR_SQL,
     "op8_url_filter": URL_SQL,
-    "op9_sentencepiece": sentencepiece_query,
     "op10_decontamination": DECONTAMINATION_SQL,
 }
 
