@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,6 +65,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Shared:
+    """A broadcast object of one of this package's classes. It is pickled with its class, as
+    plain broadcasts aren't; a worker unpickles it once and keeps it for later tasks."""
+
+    def __init__(self, spark: SparkSession, value) -> None:
+        self._sent = spark.sparkContext.broadcast({"pickled": cloudpickle.dumps(value)})
+
+    @property
+    def value(self):
+        held = self._sent.value
+        if "value" not in held:
+            held["value"] = cloudpickle.loads(held["pickled"])
+        return held["value"]
+
+
 class Scratch:
     """Tables that an operator writes on its way, and drops once nothing reads them any more."""
 

@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from stagecraft.llm.common import (
     WORD_PATTERN,
+    Shared,
     distinct_sorted,
     minima,
     pieces,
@@ -185,7 +186,7 @@ def find_items(documents: DataFrame, benchmark: DataFrame, k: int = SHINGLE_WORD
         part = wanted if n_blocks == 1 else wanted.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == b)
         items = compile_items([(r[0], r[1].encode()) for r in part.collect()], k)
         if items.ids:
-            sent = spark.sparkContext.broadcast(items)
+            sent = Shared(spark, items)
             out = out.union(docs.mapInArrow(_search(sent, k, threshold), schema)) if b else docs.mapInArrow(
                 _search(sent, k, threshold), schema
             )

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stagecraft.llm.common import PartEncoder, text_slices
+from stagecraft.llm.common import PartEncoder, Shared, text_slices
 
 SPACE = "\u2581"
 # Piece types of the model format.
@@ -280,7 +280,7 @@ ENCODED = "doc_id bigint, ids array<int>, n_ids bigint, ids_crc32 bigint, round_
 def encode_documents(documents: DataFrame, model_file: str) -> DataFrame:
     """doc_id, ids, n_ids, ids_crc32 (of the ids as little-endian 32-bit integers) and
     round_trip (whether the ids decode to the text) of every whole text."""
-    sent = documents.sparkSession.sparkContext.broadcast(Encoder(Transducer(model_file)))
+    sent = Shared(documents.sparkSession, Encoder(Transducer(model_file)))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = sent.value  # stays in the worker, so later tasks find its words
@@ -311,7 +311,7 @@ def encode_documents(documents: DataFrame, model_file: str) -> DataFrame:
 
 def decode_documents(encoded: DataFrame, model_file: str) -> DataFrame:
     """doc_id and text of rows with doc_id and ids (a null list decodes to the empty text)."""
-    sent = encoded.sparkSession.sparkContext.broadcast(Transducer(model_file))
+    sent = Shared(encoded.sparkSession, Transducer(model_file))
 
     @F.arrow_udf("string")
     def decode(ids: pa.Array) -> pa.Array:
