@@ -16,6 +16,8 @@ Two documents are linked if the Jaccard similarity of their sets of distinct k-w
 6. Buckets that still hold several groups: where at most ``FEW_OUTSIDE`` members are outside the
    largest group, these are compared with all members of other groups (so at most that many
    pairs for each member); elsewhere stars with other centres go on until a round finds no link. Two linked classes share eleven buckets on average.
+7. The classes of buckets that are mixed even then go through an exact set-similarity join on their
+   shingles (rarest first, prefix, length and positional filters), so no pair of theirs stays untried.
 
 No group of documents is collected anywhere; a hot bucket or centre is a hot join key, which
 Spark splits (both sides of those joins are tables read back, so adaptive skew joins apply).
@@ -336,14 +338,12 @@ def _between_groups(search: _Search, shared: DataFrame, few: int, percent: int)
             .where("groups > 1")
             .selectExpr("bucket", "outside", "most.group AS largest", "most.size AS size")
         )
-        crowded = (F.col("outside") > few) & (F.col("size") > 1)
-        mixed = mixed.where(crowded if turn > 1 else crowded | (F.col("outside") <= few))
         rows = search.scratch.written(in_groups.join(mixed, "bucket"), "mixed")
         if rows.isEmpty():
             return
         order = F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), "node", "n")
         slot = F.pmod(F.xxhash64("node"), F.lit(PICKS))
-        full = rows.where(crowded)
+        full = rows.where((F.col("outside") > few) & (F.col("size") > 1))
         picks = full.where("group = largest").groupBy("bucket", slot.alias("slot")).agg(F.min(order).alias("pick"))
         fits = fitting(F.col("nu"), F.col("nv"), percent)
         outside = full.where("group <> largest").selectExpr("bucket", "node AS u", "n AS nu")
@@ -356,8 +356,65 @@ def _between_groups(search: _Search, shared: DataFrame, few: int, percent: int)
             others = near.selectExpr("bucket", "node AS v", "group AS gv", "n AS nv", "largest")
             crossed = outside.join(others, "bucket").where(fits).where("gu <> gv AND (gv = largest OR u < v)")
             pairs = pairs.union(crossed.select("u", "v"))
+            # The buckets that aren't compared in full, here and in later turns.
+            shared = search.scratch.written(rows.where(F.col("outside") > few).select("bucket", "node", "n"), "crowded")
         if not search.verify(pairs) and turn > 1:
-            return
+            break
+    # The picks found no more; every pair that they left is tried by its shingles.
+    nodes = search.scratch.written(rows.select("node", "group", "n").distinct(), "crowded-nodes")
+    search.verify(shingle_pairs(search.sets, nodes, percent, search.scratch))
+
+
+def _explode_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        data, offsets = utf8_buffers(batch.column(1))
+        for start, stop in pieces(offsets):
+            shingle = np.frombuffer(data[offsets[start] : offsets[stop]].tobytes(), np.int64)
+            node = np.repeat(batch.column(0).slice(start, stop - start).to_numpy(), np.diff(offsets[start : stop + 1]) // 8)
+            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(shingle)], names=["node", "shingle"])
+
+
+def shingle_pairs(sets: DataFrame, nodes: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Pairs (u, v) of ``nodes`` (node, group, n) of different groups: at least all that have the
+    similarity, by an exact join on their shingles, rarest first.
+
+    Sets of n >= m shingles have the similarity if they share ``percent / (100 + percent) * (n + m)``.
+    If the first one that they share is number i of the one and j of the other (from 0), they share
+    at most min(n - i, m - j); so only pairs that meet in a shingle where this is enough are made.
+    The shorter set has fewer shingles to meet in, and those that a large family shares come last.
+    """
+    shingles = scratch.written(
+        sets.join(nodes.select("node"), "node", "left_semi").select("node", "hashes").mapInArrow(_explode_sets, "node bigint, shingle bigint"),
+        "shingles",
+    )
+    # Shingles of one set alone come first and make no pair.
+    times = scratch.written(shingles.groupBy("shingle").agg(F.count("*").alias("times")).where("times > 1"), "times")
+    ordered = shingles.join(times, "shingle").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("times", "shingle"))).alias("by"))
+    placed = (
+        ordered.join(nodes, "node")
+        .select("node", "group", "n", F.size("by").alias("some"), F.posexplode("by").alias("pos", "one"))
+        .select("node", "group", "n", (F.col("n") - F.col("some") + F.col("pos")).alias("at"), F.col("one.shingle").alias("shingle"))
+        .where(f"100 * (n - at) >= {percent} * n")
+    )
+    placed = scratch.written(placed, "placed")
+    scratch.drop("shingles", "times")
+    held = (
+        placed.groupBy("shingle", "group")
+        .agg(F.count("*").alias("size"))
+        .groupBy("shingle")
+        .agg(F.count("*").alias("groups"), F.max(F.struct("size", "group")).alias("most"))
+        .where("groups > 1")
+        .selectExpr("shingle", "most.group AS largest")
+    )
+    meeting = scratch.written(placed.join(held, "shingle"), "meeting")
+    shorter = meeting.where(f"{100 + percent} * (n - at) >= {2 * percent} * n")
+    shorter = shorter.selectExpr("shingle", "node AS v", "group AS gv", "n AS nv", "n - at AS rv", "largest AS lv")
+    longer = meeting.selectExpr("shingle", "node AS u", "group AS gu", "n AS nu", "n - at AS ru", "largest AS lu")
+    enough = f"(nu > nv OR (nu = nv AND u > v)) AND gu <> gv AND {100 + percent} * least(ru, rv) >= {percent} * (nu + nv)"
+    # A member of the largest group meets those outside it only.
+    outer = longer.where("gu <> lu").join(shorter, "shingle")
+    inner = longer.where("gu = lu").join(shorter.where("gv <> lv"), "shingle")
+    return outer.union(inner).where(enough).select("u", "v")
 
 
 def near_dedup_query(spark, sf_dir: str) -> DataFrame:

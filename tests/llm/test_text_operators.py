@@ -206,6 +206,24 @@ def test_near_duplicates_against_brute_force(spark):
         assert got == expected
 
 
+def groups_of_words(spark, sets):
+    """(component_id of each document by the operator, by brute force); a document is a list of words."""
+    rows = [(i, " ".join(s)) for i, s in enumerate(sets)]
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), k=1).collect()
+    return {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in got}, groups_by_force(rows, 1)
+
+
+def test_near_duplicates_in_a_family_without_a_group(spark):
+    """Template pages just under the threshold; pairs among them that share two words more."""
+    template = [f"t{i}" for i in range(110)]
+    own = [[f"o{i}x{j}" for j in range(15)] for i in range(200)]
+    for i in range(40, 200, 4):
+        own[i + 1][:2] = own[i][:2]
+    got, expected = groups_of_words(spark, [template + x for x in own])
+    assert len({c for _, c in expected.values()}) == 160
+    assert got == expected
+
+
 def test_near_duplicates_odd_inputs(spark):
     docs = odd_documents(spark)
     got = [(x["doc_id"], x["n_shingles"], x["component_id"], x["kept"]) for x in near_dedup.near_duplicates(docs, k=4).collect()]
