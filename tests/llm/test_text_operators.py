@@ -224,6 +224,17 @@ def test_near_duplicates_in_a_family_without_a_group(spark):
     assert got == expected
 
 
+def test_near_duplicates_linked_to_one_member_of_a_large_group(spark):
+    """Documents around a large group: each is linked to one member of it, or to one other outsider."""
+    template = [f"t{i}" for i in range(100)]
+    inside = [[f"i{i}x{j}" for j in range(10)] for i in range(150)]
+    single = [[*inside[i + 30][:2], *(f"s{i}x{j}" for j in range(16))] for i in range(60)]
+    paired = [[f"p{i // 2 if j < 4 else -i}x{j}" for j in range(16)] for i in range(1, 81)]
+    got, expected = groups_of_words(spark, [template + x for x in inside + single + paired])
+    assert len({c for _, c in expected.values()}) == 1 + 41
+    assert got == expected
+
+
 def test_near_duplicates_odd_inputs(spark):
     docs = odd_documents(spark)
     got = [(x["doc_id"], x["n_shingles"], x["component_id"], x["kept"]) for x in near_dedup.near_duplicates(docs, k=4).collect()]
