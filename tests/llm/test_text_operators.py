@@ -235,6 +235,14 @@ def test_near_duplicates_linked_to_one_member_of_a_large_group(spark):
     assert got == expected
 
 
+def test_near_duplicates_with_unlucky_signatures(spark):
+    """Pairs of similarity 0.8 that share a band, and less than 0.7 of the minima."""
+    sets = [[*(f"c{t}x{j}" for j in range(8)), f"{own}{t}"] for t in (4987, 11817, 16313, 16659) for own in "ab"]
+    got, expected = groups_of_words(spark, sets)
+    assert len({c for _, c in expected.values()}) == 4
+    assert got == expected
+
+
 def test_near_duplicates_odd_inputs(spark):
     docs = odd_documents(spark)
     got = [(x["doc_id"], x["n_shingles"], x["component_id"], x["kept"]) for x in near_dedup.near_duplicates(docs, k=4).collect()]
