@@ -10,12 +10,15 @@ from stagecraft.llm.decontaminate import DECONTAMINATION_SQL, decontamination_qu
 from stagecraft.llm.language_id import language_query
 from stagecraft.llm.line_dedup import LINE_SQL, line_dedup_query
 from stagecraft.llm.lm_scoring import lm_query
+from stagecraft.llm.merkle import MERKLE_SQL, merkle_query
 from stagecraft.llm.near_dedup import NEAR_SQL, near_dedup_query
+from stagecraft.llm.personal_data import PERSONAL_DATA_SQL, personal_data_query
 from stagecraft.llm.quality import quality_query
 from stagecraft.llm.sentencepiece_fst import sentencepiece_query
 from stagecraft.llm.token_output import token_query
 from stagecraft.llm.topk_search import TOPK_SQL, topk_query
 from stagecraft.llm.url_filter import URL_SQL, url_query
+from stagecraft.llm.whitening import whitening_query
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +33,9 @@ QUERIES: dict[str, Query] = {
     "op8_url_filter": url_query,
     "op9_sentencepiece": sentencepiece_query,
     "op10_decontamination": decontamination_query,
+    "op11_whitening": whitening_query,
+    "op12_personal_data": personal_data_query,
+    "op13_merkle_manifest": merkle_query,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -38,6 +44,8 @@ ORACLE_SQL: dict[str, str] = {
     "op4_near_dedup": NEAR_SQL,
     "op8_url_filter": URL_SQL,
     "op10_decontamination": DECONTAMINATION_SQL,
+    "op12_personal_data": PERSONAL_DATA_SQL,
+    "op13_merkle_manifest": MERKLE_SQL,
 }
 
 

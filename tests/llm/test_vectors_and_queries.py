@@ -71,7 +71,7 @@ def test_queries_equal_their_sql(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert {q.split("_")[0] for q in queries.queries()} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in queries.queries()} == {f"op{n}" for n in range(1, 14)}
 
 
 def test_pipeline_stages(spark):
