@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from stagecraft.functions.bands import NPL_THRESHOLD, flag_sql, is_npl, is_npl_sql, is_stage2_point_sql
 from stagecraft.functions.dates import date_lit
 from stagecraft.operators.windows import BY_LOAN, DATE, KEY, exprs, last_date_sql, trailing_sql
+from stagecraft.operators.timeline import preferred
 from stagecraft.sources.params import StageParams
 
 # Stamped on imputed DPD rows: the factor type is fixed; the entity code is a run
@@ -79,7 +80,7 @@ def imputed_rows(
 def last_npl_dates(obs: DataFrame, imputed: DataFrame, params: StageParams) -> DataFrame:
     """O8 as a standalone operator: latest NPL date per loan over base plus imputed
     rows inside the window (a pre-aggregation before any join)."""
-    rows = obs.select(KEY, DATE, "factor_value").unionByName(imputed.select(KEY, DATE, "factor_value"))
+    rows = preferred(obs).unionByName(imputed.select(KEY, DATE, "factor_value"))
     d = F.col(DATE)
     return (
         rows.where(

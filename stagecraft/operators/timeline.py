@@ -121,6 +121,9 @@ def timeline(spine: DataFrame, obs: DataFrame, partitions: int) -> DataFrame:
     NULL), ``n_obs`` (base rows), ``n_spine`` (population rows), ``restructure_start_date``.
     Observations outside the spine are kept: they still count for the NPL date. Rows without
     a loan id belong to no loan; they only count for the calendar.
+
+    Where ``obs`` tells imputed rows apart (``imputed``), an observed row supersedes an imputed
+    one of its key, also by a NULL value; ``n_superseded`` counts the latter.
     """
     value_type = obs.schema["factor_value"].dataType
     spine_rows = spine.select(
@@ -139,6 +142,8 @@ def timeline(spine: DataFrame, obs: DataFrame, partitions: int) -> DataFrame:
         F.lit(0).alias("n_spine"),
         F.lit(None).cast("date").alias("restructure_start_date"),
     )
+    if "imputed" in obs.columns:
+        return _with_precedence(spine_rows, obs, partitions)
     return (
         spine_rows.unionByName(obs_rows)
         .groupBy(KEY, DATE)
@@ -151,6 +156,45 @@ def timeline(spine: DataFrame, obs: DataFrame, partitions: int) -> DataFrame:
     )
 
 
+def _with_precedence(spine_rows: DataFrame, obs: DataFrame, partitions: int) -> DataFrame:
+    """The timeline where observed rows go before imputed ones, in the same one aggregate."""
+    own = by_loan_partitions(obs.where(F.col(KEY).isNotNull()), partitions).selectExpr(
+        KEY, DATE, "factor_value AS obs_value", "imputed", "1 AS n_obs", "0 AS n_spine", "CAST(NULL AS DATE) AS restructure_start_date"
+    )
+    both = spine_rows.withColumn("imputed", F.lit(None).cast("boolean")).unionByName(own)
+    chosen = "CASE WHEN n_real > 0 THEN {} ELSE {} END"
+    return (
+        both.groupBy(KEY, DATE)
+        .agg(
+            F.expr("max(CASE WHEN NOT imputed THEN obs_value END) AS real_value"),
+            F.expr("max(CASE WHEN imputed THEN obs_value END) AS imputed_value"),
+            F.expr("count_if(NOT imputed) AS n_real"),
+            F.expr("count_if(imputed) AS n_imputed"),
+            F.sum("n_spine").alias("n_spine"),
+            F.max("restructure_start_date").alias("restructure_start_date"),
+        )
+        .selectExpr(
+            KEY,
+            DATE,
+            f"{chosen.format('real_value', 'imputed_value')} AS obs_value",
+            f"{chosen.format('n_real', 'n_imputed')} AS n_obs",
+            "n_spine",
+            "restructure_start_date",
+            f"{chosen.format('n_imputed', '0')} AS n_superseded",
+        )
+    )
+
+
+def preferred(obs: DataFrame) -> DataFrame:
+    """Observations (deal_id, factor_date, factor_value) without the imputed rows that an observed
+    row of their key supersedes."""
+    if "imputed" not in obs.columns:
+        return obs.select(KEY, DATE, "factor_value")
+    # false < true, so the least struct is an observed row where there is one.
+    first = obs.groupBy(KEY, DATE).agg(F.min(F.struct("imputed", "factor_value")).alias("row"))
+    return first.select(KEY, DATE, "row.factor_value")
+
+
 # A duplicate key of a loan in the population would fan out the result in the source job, so
 # it is an error. Rows of other loans don't matter there and don't here.
 _CHECKED = (
@@ -160,6 +204,13 @@ _CHECKED = (
 )
 
 
+def loans_without_spine(tl: DataFrame) -> DataFrame:
+    """Adds ``no_spine`` (the loan has observations only) and ``first_row`` (the loan's first date)."""
+    return tl.withColumns(
+        exprs({"no_spine": f"{per_loan_sql('n_spine')} = 0", "first_row": f"lag({DATE}, 1) {BY_LOAN} IS NULL"})
+    )
+
+
 def spine_of_observed_loans(tl: DataFrame) -> DataFrame:
     """Keep spine rows of loans with at least one observation in the window.
 
@@ -179,7 +230,7 @@ def spine_of_observed_loans(tl: DataFrame) -> DataFrame:
         "tail": f"coalesce({spine_value}, lead({spine_value}, 1) IGNORE NULLS {BY_LOAN})",
     }
     rows = tl.withColumns(exprs(level)).where("n_spine > 0 AND most_obs > 0")
-    return rows.withColumn("observed", F.expr(_CHECKED)).drop("n_obs", "n_spine", "most_obs")
+    return rows.withColumn("observed", F.expr(_CHECKED)).drop("n_obs", "n_spine", "most_obs", "n_superseded")
 
 
 def fill_rule(value: str, head: str, tail: str) -> str:

@@ -17,12 +17,14 @@ from stagecraft.functions.dates import month_diff_sql, prev_month_end_sql, sql_d
 from stagecraft.operators import events as ev
 from stagecraft.operators import runs
 from stagecraft.operators import timeline as tl
+from stagecraft.operators.asof import event_after, rows_in_interval
 from stagecraft.operators.classify import OUTCOME_COLUMNS
 from stagecraft.operators.events import EVENT_FLAGS
 from stagecraft.operators.windows import DATE, KEY
 from stagecraft.plans.staging import EVENT_BASE_COLUMNS, PUBLISHED_COLUMNS, StagePlan
-from stagecraft.sources.fixtures import archetype_inputs, fractional_inputs, natural_inputs
+from stagecraft.sources.fixtures import archetype_inputs, fractional_inputs, late_inputs, natural_inputs
 from stagecraft.sources.params import params_frame
+from stagecraft.sources.storage import missing_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +59,10 @@ def fractional_plan(spark: SparkSession, sf_dir: str) -> StagePlan:
     return StagePlan(*fractional_inputs(spark, sf_dir))
 
 
+def late_plan(spark: SparkSession, sf_dir: str) -> StagePlan:
+    return StagePlan(*late_inputs(spark, sf_dir))
+
+
 def _renamed(mapping: dict[str, str]) -> list:
     return [F.col(k).alias(v) for k, v in mapping.items()]
 
@@ -71,7 +77,7 @@ def q_src_population(p: StagePlan) -> DataFrame:
 
 
 def q_src_dpd_window(p: StagePlan) -> DataFrame:
-    return p.observations
+    return p.observations.select(KEY, DATE, "factor_value")
 
 
 def q_population_normalised(p: StagePlan) -> DataFrame:
@@ -234,6 +240,38 @@ def q_scalar_dates(p: StagePlan) -> DataFrame:
     )
 
 
+# -- operators over two tables, and what a run does ---------------------------
+def q_append_missing(p: StagePlan) -> DataFrame:
+    """The imputed rows that a table lacks which holds those of even months already (its ids
+    padded, its dates timestamps)."""
+    held = p.imputed.where(f"month({DATE}) % 2 = 0").selectExpr(f"{KEY} || '  ' AS {KEY}", f"CAST({DATE} AS TIMESTAMP) AS {DATE}")
+    return missing_rows(p.imputed, held, [KEY, DATE])
+
+
+def q_event_after_restructure(p: StagePlan) -> DataFrame:
+    """For each loan: the first observation with over 30 days after its restructuring, the last one
+    three or more months after its origination, and the first from its origination on."""
+    late = p.observations.where("factor_value > 30").select(KEY, DATE)
+    loans = p.population.select(KEY, "value_date", "restructure_start_date")
+    loans = event_after(loans, late, KEY, "restructure_start_date", DATE, "first_late")
+    loans = event_after(loans, late, KEY, "value_date", DATE, "last_late", which="last", months=3)
+    return event_after(loans, late, KEY, "value_date", DATE, "first_from_origination", inclusive=True)
+
+
+def q_observations_in_runs(p: StagePlan) -> DataFrame:
+    """Each observation of a loan, with the stage-2 run that it lies in, if any."""
+    points = p.observations.where(f"{KEY} IS NOT NULL").select(KEY, DATE, "factor_value")
+    return rows_in_interval(points, p.stage2_runs, KEY, DATE, "start_date", "end_date", keep=("streak",))
+
+
+def q_run_counts(p: StagePlan) -> DataFrame:
+    """What a run drops and fills, as its report gives it: one row."""
+    plan = StagePlan(p.inputs, p.params, measured=True)
+    plan.per_loan.write.format("noop").mode("overwrite").save()
+    counts = plan.measures()
+    return p.inputs.dpd.sparkSession.createDataFrame([tuple(counts.values())], ", ".join(f"{c} bigint" for c in counts))
+
+
 NATURAL = {
     "param_dates": q_param_dates,
     "src_population": q_src_population,
@@ -268,6 +306,10 @@ NATURAL = {
     "classify_c": q_classify_c,
     "publish_stage_status": q_publish_stage_status,
     "scalar_dates": q_scalar_dates,
+    "append_missing": q_append_missing,
+    "event_after_restructure": q_event_after_restructure,
+    "observations_in_runs": q_observations_in_runs,
+    "run_counts": q_run_counts,
 }
 # Every query again on the archetype fixture: NULL and missing DPD values, gaps,
 # excluded and NULL pools, two snapshots, loans without any DPD row,
@@ -276,6 +318,11 @@ NATURAL = {
 ARCHETYPE = {f"{key}_arch": body for key, body in NATURAL.items() if key != "param_dates"}
 # What fractional DPD decides, on the natural fixture with fractional values.
 FRACTIONAL = {f"{key}_dec": NATURAL[key] for key in ("event_flags", "last_npl_date", "publish_stage_status")}
+# Rows that an earlier run imputed, beside observed rows that came late.
+LATE = {
+    f"{key}_late": NATURAL[key]
+    for key in ("spine_filled_na", "impute_writeback", "last_npl_date", "stage2_runs", "publish_stage_status", "run_counts")
+}
 
 
 def _bind(body: Callable[[StagePlan], DataFrame], build: Callable[[SparkSession, str], StagePlan]) -> Query:
@@ -291,4 +338,5 @@ def queries() -> dict[str, Query]:
     out = {k: _bind(v, natural_plan) for k, v in NATURAL.items()}
     out.update({k: _bind(v, archetype_plan) for k, v in ARCHETYPE.items()})
     out.update({k: _bind(v, fractional_plan) for k, v in FRACTIONAL.items()})
+    out.update({k: _bind(v, late_plan) for k, v in LATE.items()})
     return out

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stagecraft.functions.dates import sql_string
@@ -53,6 +53,8 @@ EVENT_BASE_COLUMNS = [
     "max_x_nontdrm",
 ]
 PUBLISHED_COLUMNS = [KEY, "prev_status", "stg3_flag", "path_tdr", "m_stg2", "cure_flag", "last_modified", "modified_by"]
+
+
 class StagePlan:
     def __init__(
         self,
@@ -64,8 +66,10 @@ class StagePlan:
         impute_modified_by: str = DEFAULT_IMPUTE_MODIFIED_BY,
         entity_code: str = ev.DEFAULT_ENTITY_CODE,
         per_loan: DataFrame | None = None,
+        measured: bool = False,
     ) -> None:
-        """``per_loan``: the materialised table of that name, if there is one."""
+        """``per_loan``: the materialised table of that name, if there is one. ``measured``: count
+        what is dropped and filled while ``per_loan`` is computed (see :meth:`measures`)."""
         self.inputs = inputs
         self.params = params
         self._partitions = partitions
@@ -73,6 +77,19 @@ class StagePlan:
         self.impute_modified_by = impute_modified_by
         self.entity_code = entity_code
         self._per_loan = per_loan
+        self._observed: list[Observation] = []
+        self._measured = measured and per_loan is None
+
+    def _measure(self, df: DataFrame, **counts: str) -> DataFrame:
+        """``df``, counted on its way: no job and no column of its own."""
+        if not self._measured:
+            return df
+        self._observed.append(Observation())
+        return df.observe(self._observed[-1], *[F.expr(c).alias(name) for name, c in counts.items()])
+
+    def measures(self) -> dict[str, int]:
+        """The counts, once a job has computed ``per_loan``; empty if the plan isn't measured."""
+        return {name: value or 0 for o in self._observed for name, value in o.get.items()}
 
     # -- sources ------------------------------------------------------------
     @functools.cached_property
@@ -101,7 +118,7 @@ class StagePlan:
 
     @functools.cached_property
     def observations(self) -> DataFrame:
-        return dpd_window(self.inputs.dpd, self.params)
+        return dpd_window(self.inputs.dpd, self.params, self.impute_modified_by)
 
     # -- timeline and fill --------------------------------------------------
     @functools.cached_property
@@ -114,16 +131,28 @@ class StagePlan:
 
     @functools.cached_property
     def timeline(self) -> DataFrame:
-        return tl.timeline(self.spine_candidates, self.observations, self.partitions)
+        counted = self._measure(self.observations, rows_without_id=f"count_if({KEY} IS NULL)")
+        return tl.timeline(self.spine_candidates, counted, self.partitions)
 
     @functools.cached_property
     def spine(self) -> DataFrame:
         """Spine rows with the observed value (NULL if missing) and ``observed``."""
-        return tl.spine_of_observed_loans(self.timeline)
+        if not self._measured:
+            return tl.spine_of_observed_loans(self.timeline)
+        superseded = {"superseded_rows": "sum(n_superseded)"} if "n_superseded" in self.timeline.columns else {}
+        own = self._measure(
+            tl.loans_without_spine(self.timeline),
+            **superseded,
+            unmatched_rows="sum(CASE WHEN no_spine THEN n_obs END)",
+            unmatched_loans="count_if(no_spine AND first_row)",
+        )
+        return tl.spine_of_observed_loans(own.drop("no_spine", "first_row"))
 
     @functools.cached_property
     def filled(self) -> DataFrame:
-        return tl.fill(self.spine)
+        return self._measure(
+            tl.fill(self.spine), filled_rows="count_if(observed AND obs_value IS NULL AND factor_value IS NOT NULL)"
+        )
 
     @functools.cached_property
     def imputed(self) -> DataFrame:
@@ -165,7 +194,11 @@ class StagePlan:
         # get a result (branch B). It has no date and no flags, so no milestone sees it.
         own = self.population_by_loan.selectExpr(KEY, "loan_dates[1] AS restructure_start_date", "1 AS own")
         loans = ms.per_loan_milestones(rows.unionByName(own, allowMissingColumns=True), self.params)
-        return loans.withColumn("b_stage_before_tdr", F.expr(ms.stage_before_tdr_sql(self.params)))
+        return self._measure(
+            loans.withColumn("b_stage_before_tdr", F.expr(ms.stage_before_tdr_sql(self.params))),
+            loans="count(1)",
+            loans_without_rep_row="count_if(restructure_start_date IS NULL AND c_has_rep_row IS NULL)",
+        )
 
     @functools.cached_property
     def classified(self) -> DataFrame:

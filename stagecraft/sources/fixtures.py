@@ -205,4 +205,15 @@ def fractional_inputs(spark: SparkSession, sf_dir: str) -> tuple[StageInputs, St
     return dataclasses.replace(inputs, dpd=inputs.dpd.withColumn("factor_value", value)), params
 
 
-FIXTURES = {"natural": natural_inputs, "archetype": archetype_inputs, "fractional": fractional_inputs}
+def late_inputs(spark: SparkSession, sf_dir: str) -> tuple[StageInputs, StageParams]:
+    """The natural fixture after an earlier run: loans with an even number have imputed rows a
+    month after each observed one, beside which late observed rows have come for some."""
+    inputs, params = natural_inputs(spark, sf_dir)
+    real = inputs.dpd.withColumn("modified_by", F.lit("load"))
+    imputed = inputs.dpd.where("CAST(substr(deal_id, 2) AS BIGINT) % 2 = 0").selectExpr(
+        "deal_id", "last_day(add_months(factor_date, 1)) AS factor_date", "60 AS factor_value", "'stage_status(impute)' AS modified_by"
+    )
+    return dataclasses.replace(inputs, dpd=real.unionByName(imputed)), params
+
+
+FIXTURES = {"natural": natural_inputs, "archetype": archetype_inputs, "fractional": fractional_inputs, "late": late_inputs}

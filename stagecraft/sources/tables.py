@@ -21,7 +21,7 @@ import dataclasses
 from pyspark.sql import DataFrame
 
 from stagecraft.functions.bands import EXCLUDED_POOLS
-from stagecraft.functions.dates import sql_date
+from stagecraft.functions.dates import sql_date, sql_string
 from stagecraft.sources.params import StageParams
 
 
@@ -82,9 +82,15 @@ def normalise_population(snapshot: DataFrame, params: StageParams) -> DataFrame:
     )
 
 
-def dpd_window(dpd: DataFrame, params: StageParams) -> DataFrame:
+def dpd_window(dpd: DataFrame, params: StageParams, imputed_by: str | None = None) -> DataFrame:
     """S2: observations from the window start to the reporting date, three columns; the
-    value as it is stored (integer, decimal or floating point)."""
+    value as it is stored (integer, decimal or floating point).
+
+    Rows that an earlier run imputed look like observations (H6). Where the table says who wrote
+    a row (``modified_by``), a fourth column ``imputed`` tells them apart: those by ``imputed_by``."""
+    origin = []
+    if imputed_by is not None and "modified_by" in dpd.columns:
+        origin = [f"coalesce(rtrim(modified_by) = {sql_string(imputed_by)}, false) AS imputed"]
     return dpd.where(
         f"factor_date >= {sql_date(params.min_factor_date)} AND factor_date <= {sql_date(params.reporting_date)}"
-    ).selectExpr(f"{id_sql(dpd, 'deal_id')} AS deal_id", "to_date(factor_date) AS factor_date", "factor_value")
+    ).selectExpr(f"{id_sql(dpd, 'deal_id')} AS deal_id", "to_date(factor_date) AS factor_date", "factor_value", *origin)

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from stagecraft.sources.fixtures import archetype_inputs
 from stagecraft.sources.params import ParameterError
-from stagecraft.sources.sinks import matched_to, replace_table, run_stage_status
+from stagecraft.sources.sinks import run_stage_status
+from stagecraft.sources.storage import matched_to, replace_table
 from stagecraft.sources.tables import StageInputs
 
 

@@ -116,6 +116,19 @@ dpd AS (
   FROM dpd_whole
 )"""
 
+# The natural fixture after an earlier run: an imputed row counts only where no observed row has its key.
+LATE_FIXTURE = NATURAL_FIXTURE.replace("dpd AS (", "dpd_observed AS (", 1) + """,
+dpd_imputed AS (
+  SELECT deal_id, last_day(CAST(factor_date + INTERVAL 1 DAY AS DATE)) AS factor_date, 60 AS factor_value
+  FROM dpd_observed WHERE CAST(substr(deal_id, 2) AS BIGINT) % 2 = 0
+),
+dpd AS (
+  SELECT * FROM dpd_observed
+  UNION ALL
+  SELECT i.* FROM dpd_imputed i
+  WHERE NOT EXISTS (SELECT 1 FROM dpd_observed o WHERE o.deal_id = i.deal_id AND o.factor_date = i.factor_date)
+)"""
+
 # The staging job over (p, seg, dpd). Placeholders are filled from the library's
 # fixed values below.
 _PIPELINE_TEMPLATE = """
@@ -489,6 +502,32 @@ FINAL = {
     "months_since_restructure FROM pop",
 }
 
+RUN_COUNTS = """
+SELECT (SELECT count(*) FROM obs WHERE deal_id IS NULL) AS rows_without_id,{more}
+  (SELECT count(*) FROM obs o WHERE deal_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM spine s WHERE s.deal_id = o.deal_id)) AS unmatched_rows,
+  (SELECT count(DISTINCT deal_id) FROM obs o WHERE NOT EXISTS (SELECT 1 FROM spine s WHERE s.deal_id = o.deal_id)) AS unmatched_loans,
+  (SELECT count(*) FROM na n JOIN filled f USING (deal_id, factor_date)
+    WHERE n.is_observed = 1 AND n.factor_value IS NULL AND f.factor_value IS NOT NULL) AS filled_rows,
+  (SELECT count(*) FROM pop) AS loans,
+  (SELECT count(*) FROM pop WHERE restructure_start_date IS NULL AND deal_id NOT IN (SELECT deal_id FROM cpop)) AS loans_without_rep_row"""
+FINAL |= {
+    "append_missing": FINAL["impute_writeback"] + " WHERE month(factor_date) % 2 = 1",
+    "event_after_restructure": "SELECT deal_id, value_date, restructure_start_date, "
+    "(SELECT min(factor_date) FROM obs o WHERE o.deal_id = pop.deal_id AND factor_value > 30 "
+    "AND factor_date > restructure_start_date) AS first_late, "
+    "(SELECT max(factor_date) FROM obs o WHERE o.deal_id = pop.deal_id AND factor_value > 30 "
+    "AND date_diff('month', value_date, factor_date) >= 3) AS last_late, "
+    "(SELECT min(factor_date) FROM obs o WHERE o.deal_id = pop.deal_id AND factor_value > 30 "
+    "AND factor_date >= value_date) AS first_from_origination FROM pop",
+    "observations_in_runs": "SELECT o.deal_id, o.factor_date, o.factor_value, r.start_date, r.end_date, r.streak "
+    "FROM obs o LEFT JOIN runs_all r ON r.deal_id = o.deal_id AND o.factor_date BETWEEN r.start_date AND r.end_date "
+    "WHERE o.deal_id IS NOT NULL",
+    "run_counts": RUN_COUNTS.replace("{more}", ""),
+}
+SUPERSEDED = """
+  (SELECT count(*) FROM dpd_imputed i CROSS JOIN p WHERE i.factor_date BETWEEN p.min_d AND p.rep_d
+    AND EXISTS (SELECT 1 FROM dpd_observed o WHERE o.deal_id = i.deal_id AND o.factor_date = i.factor_date)) AS superseded_rows,"""
+
 
 def _query(fixture: str, final: str, pipeline: str = PIPELINE) -> str:
     return f"WITH {fixture},{pipeline}\n{final}"
@@ -499,4 +538,7 @@ def oracle_sql() -> dict[str, str]:
     out.update({f"{k}_arch": _query(ARCHETYPE_FIXTURE, v) for k, v in FINAL.items() if k != "param_dates"})
     for k in ("event_flags", "last_npl_date", "publish_stage_status"):
         out[f"{k}_dec"] = _query(FRACTIONAL_FIXTURE, FINAL[k], FRACTIONAL_PIPELINE)
+    for k in ("spine_filled_na", "impute_writeback", "last_npl_date", "stage2_runs", "publish_stage_status"):
+        out[f"{k}_late"] = _query(LATE_FIXTURE, FINAL[k])
+    out["run_counts_late"] = _query(LATE_FIXTURE, RUN_COUNTS.replace("{more}", SUPERSEDED))
     return out
