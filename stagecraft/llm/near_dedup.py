@@ -8,16 +8,17 @@ Two documents are linked if the Jaccard similarity of their sets of distinct k-w
 2. Signature: ``BANDS * ROWS`` universal hash minima, in bands of ``ROWS``. Two sets of similarity
    0.8 share none of the bands with a probability of (1 - 0.8^ROWS)^BANDS = 3 in a million.
 3. Classes that share a band are in one bucket. Each bucket is a star: its members are compared
-   with its first one, not with each other. A class first tries the centre that it meets in most
-   buckets, then the other ones where that left the two in different groups.
+   with its first one, not with each other.
 4. A pair of sizes that can have the similarity passes the signature check (the share of equal minima, from one byte of each, is not
    far below the threshold), then its full sets are compared exactly.
 5. Links become groups by alternating large-star and small-star.
-6. Buckets that still hold several groups: where at most ``FEW_OUTSIDE`` members are outside the
-   largest group, these are compared with all members of other groups (so at most that many
-   pairs for each member); elsewhere stars with other centres go on until a round finds no link. Two linked classes share eleven buckets on average.
-7. The classes of buckets that are mixed even then go through an exact set-similarity join on their
-   shingles (rarest first, prefix, length and positional filters), so no pair of theirs stays untried.
+6. The classes of buckets that still hold several groups go through one exact set-similarity join
+   on their shingles (rarest first, prefix, length and positional filters), which makes each pair
+   of different groups once and leaves none that has the similarity untried. Its links merge
+   groups in one more computation of components. So there are two passes, however the links lie.
+
+The work of step 6 grows with the classes outside a family's largest group times those inside it,
+for families whose similarities lie around the threshold.
 
 No group of documents is collected anywhere; a hot bucket or centre is a hot join key, which
 Spark splits (both sides of those joins are tables read back, so adaptive skew joins apply).
@@ -57,12 +58,6 @@ THRESHOLD_PERCENT = 80
 BANDS, ROWS = 42, 6
 # Share of equal minima that a pair needs; six standard deviations below similarity 0.8.
 SIGNATURE_SHARE = 0.65
-# Members of a bucket outside its largest group that are compared with all other groups' members.
-FEW_OUTSIDE = 12
-# Members of a crowded bucket's largest group that the others are compared with in one round.
-PICKS = 4
-# Ways that the rows of a hub are dealt out while components are found.
-SALTS = 8
 FACTORS, TERMS = universal_family(BANDS * ROWS)
 
 
@@ -144,11 +139,13 @@ def _sets(k: int):
 @F.arrow_udf(T.DoubleType())
 def equal_share(x: pa.Array, y: pa.Array) -> pa.Array:
     """Share of equal bytes of two signatures, less what chance gives."""
-    out = []
-    for p, q in zip(x.to_pylist(), y.to_pylist()):
-        same = np.count_nonzero(np.frombuffer(p, np.uint8) == np.frombuffer(q, np.uint8)) / len(p)
-        out.append((same - 1 / 256) / (1 - 1 / 256))
-    return pa.array(out, pa.float64())
+    width = BANDS * ROWS
+    p, q = (utf8_buffers(c) for c in (x, y))
+    p, q = (data[at[0] : at[-1]].reshape(-1, width) for data, at in (p, q))
+    same = np.empty(len(p))
+    for i in range(0, len(p), 4096):  # at most a megabyte of comparisons at once
+        same[i : i + 4096] = (p[i : i + 4096] == q[i : i + 4096]).mean(axis=1)
+    return pa.array((same - 1 / 256) / (1 - 1 / 256), pa.float64())
 
 
 @F.arrow_udf(T.LongType())
@@ -166,29 +163,30 @@ def common(x: pa.Array, y: pa.Array) -> pa.Array:
 
 # -- components --------------------------------------------------------------
 def _with_least(rows: DataFrame, least: DataFrame) -> DataFrame:
-    """``rows`` (u, v) with the ``m`` that ``least`` (u, m) has for u. A hub's rows are dealt out
-    by a salt, as a third of all rows may have one u."""
-    salted = least.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
-    return rows.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(salted, ["u", "salt"]).drop("salt")
+    """``rows`` (u, v) with the ``m`` that ``least`` (u, m) has for u. A third of all rows may have one
+    u. With a hash beside the key the join asks for exchanges of its own on both sides, whose large
+    partitions adaptive execution splits; the one that has aggregated ``least`` it couldn't."""
+    key = F.xxhash64("u").alias("h")
+    return rows.select("*", key).join(least.select("*", key), ["u", "h"]).drop("h")
 
 
 def connected_components(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """node and component (the least node reachable) of every node of ``edges`` (u, v: bigint),
-    by alternating large-star and small-star until the edges no longer change."""
+    by alternating large-star and small-star until every node points to its component's root."""
     scratch = scratch or Scratch(edges.sparkSession)
     edges = scratch.written(edges.selectExpr("greatest(u, v) AS u", "least(u, v) AS v").where("u <> v").distinct(), "edges")
-    seen = None
-    while True:
+    while not edges.isEmpty():
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).selectExpr("u", "least(u, m) AS m")
-        large = _with_least(both.where("v > u"), least).selectExpr("v AS u", "m AS v").where("u <> v").distinct()
+        large = _with_least(both.where("v > u"), least).selectExpr("v AS u", "m AS v").where("u <> v")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = _with_least(large, least).where("v <> m").selectExpr("v AS u", "m AS v")
         edges = scratch.written(small.union(least.selectExpr("u", "m AS v")).where("u <> v").distinct(), "edges")
-        told = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if told == seen:
+        # Done when no node has two edges down, or both one down and one up.
+        ends = edges.selectExpr("u AS node", "1 AS down", "0 AS up").union(edges.selectExpr("v", "0", "1"))
+        ends = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+        if ends.where("down > 1 OR (down = 1 AND up = 1)").isEmpty():
             break
-        seen = told
     roots = edges.selectExpr("v AS node", "v AS component").distinct()
     return edges.selectExpr("u AS node", "v AS component").union(roots)
 
@@ -246,7 +244,7 @@ def fitting(n: F.Column, m: F.Column, percent: int) -> F.Column:
 
 
 def near_duplicates(
-    documents: DataFrame, k: int = SHINGLE_WORDS, percent: int = THRESHOLD_PERCENT, few_outside: int = FEW_OUTSIDE
+    documents: DataFrame, k: int = SHINGLE_WORDS, percent: int = THRESHOLD_PERCENT
 ) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id of the group) and kept of every row
     of ``documents`` (doc_id, text). Links need ``100 * intersection >= percent * union``."""
@@ -283,8 +281,8 @@ def near_duplicates(
     stars = written(
         shared.where("node <> centre.node")
         .where(fitting(F.col("n"), F.col("centre.n"), percent))
-        .groupBy("node", F.col("centre.node").alias("centre"))
-        .agg(F.count("*").alias("times")),
+        .select("node", F.col("centre.node").alias("centre"))
+        .distinct(),
         "stars",
     )
     # Sets of the classes that share a bucket, from the text of one document of each.
@@ -300,10 +298,11 @@ def near_duplicates(
         "sets",
     )
     search = _Search(classes, sets, percent, scratch)
-    first = stars.groupBy("node").agg(F.max(F.struct("times", F.negative("centre").alias("c"))).alias("best"))
-    search.verify(first.selectExpr("node AS u", "-best.c AS v"))
     search.verify(stars.selectExpr("node AS u", "centre AS v"))
-    _between_groups(search, shared, few_outside, percent)
+    mixed = _mixed(search, shared)
+    if not mixed.isEmpty():
+        placed = prefixes(sets, mixed, percent, scratch)
+        search.verify(prefix_pairs(_meeting(search, placed), percent))
 
     groups = classes.select("node", "a", "b", "first_id")
     groups = search.grouped(groups, "node", "group")
@@ -320,49 +319,11 @@ def near_duplicates(
     return grouped.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _between_groups(search: _Search, shared: DataFrame, few: int, percent: int) -> None:
-    """Links between groups that share a bucket, beyond those with the buckets' first members."""
-    turn = 0
-    while True:
-        turn += 1
-        in_groups = search.scratch.written(search.grouped(shared.select("bucket", "node", "n"), "node", "group"), "in-groups")
-        mixed = (
-            in_groups.groupBy("bucket", "group")
-            .agg(F.count("*").alias("size"))
-            .groupBy("bucket")
-            .agg(
-                F.count("*").alias("groups"),
-                (F.sum("size") - F.max("size")).alias("outside"),
-                F.max(F.struct("size", "group")).alias("most"),
-            )
-            .where("groups > 1")
-            .selectExpr("bucket", "outside", "most.group AS largest", "most.size AS size")
-        )
-        rows = search.scratch.written(in_groups.join(mixed, "bucket"), "mixed")
-        if rows.isEmpty():
-            return
-        order = F.struct(F.xxhash64("node", F.lit(turn)).alias("order"), "node", "n")
-        slot = F.pmod(F.xxhash64("node"), F.lit(PICKS))
-        full = rows.where((F.col("outside") > few) & (F.col("size") > 1))
-        picks = full.where("group = largest").groupBy("bucket", slot.alias("slot")).agg(F.min(order).alias("pick"))
-        fits = fitting(F.col("nu"), F.col("nv"), percent)
-        outside = full.where("group <> largest").selectExpr("bucket", "node AS u", "n AS nu")
-        picks = picks.selectExpr("bucket", "pick.node AS v", "pick.n AS nv")
-        pairs = outside.join(picks, "bucket").where(fits).select("u", "v")
-        if turn == 1:
-            # Once, as it leaves no pair between groups of these buckets untried.
-            near = rows.where(F.col("outside") <= few)
-            outside = near.where("group <> largest").selectExpr("bucket", "node AS u", "group AS gu", "n AS nu")
-            others = near.selectExpr("bucket", "node AS v", "group AS gv", "n AS nv", "largest")
-            crossed = outside.join(others, "bucket").where(fits).where("gu <> gv AND (gv = largest OR u < v)")
-            pairs = pairs.union(crossed.select("u", "v"))
-            # The buckets that aren't compared in full, here and in later turns.
-            shared = search.scratch.written(rows.where(F.col("outside") > few).select("bucket", "node", "n"), "crowded")
-        if not search.verify(pairs) and turn > 1:
-            break
-    # The picks found no more; every pair that they left is tried by its shingles.
-    nodes = search.scratch.written(rows.select("node", "group", "n").distinct(), "crowded-nodes")
-    search.verify(shingle_pairs(search.sets, nodes, percent, search.scratch))
+def _mixed(search: _Search, shared: DataFrame) -> DataFrame:
+    """node and n of the classes that share a bucket with one of another group."""
+    rows = search.scratch.written(search.grouped(shared.select("bucket", "node", "n"), "node", "group"), "in-groups")
+    buckets = rows.groupBy("bucket").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high")
+    return search.scratch.written(rows.join(buckets.select("bucket"), "bucket").select("node", "n").distinct(), "mixed")
 
 
 def _explode_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -374,14 +335,14 @@ def _explode_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(shingle)], names=["node", "shingle"])
 
 
-def shingle_pairs(sets: DataFrame, nodes: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """Pairs (u, v) of ``nodes`` (node, group, n) of different groups: at least all that have the
-    similarity, by an exact join on their shingles, rarest first.
+def prefixes(sets: DataFrame, nodes: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """node, n, at and shingle: the rarest shingles of each of ``nodes`` (node, n), and their place
+    in the order from rare to frequent, as far as a pair that has the similarity can meet first.
 
     Sets of n >= m shingles have the similarity if they share ``percent / (100 + percent) * (n + m)``.
     If the first one that they share is number i of the one and j of the other (from 0), they share
-    at most min(n - i, m - j); so only pairs that meet in a shingle where this is enough are made.
-    The shorter set has fewer shingles to meet in, and those that a large family shares come last.
+    at most min(n - i, m - j), so i is below ``(100 - percent) / 100 * n``. Shingles that a large
+    family shares come last.
     """
     shingles = scratch.written(
         sets.join(nodes.select("node"), "node", "left_semi").select("node", "hashes").mapInArrow(_explode_sets, "node bigint, shingle bigint"),
@@ -392,21 +353,33 @@ def shingle_pairs(sets: DataFrame, nodes: DataFrame, percent: int, scratch: Scra
     ordered = shingles.join(times, "shingle").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("times", "shingle"))).alias("by"))
     placed = (
         ordered.join(nodes, "node")
-        .select("node", "group", "n", F.size("by").alias("some"), F.posexplode("by").alias("pos", "one"))
-        .select("node", "group", "n", (F.col("n") - F.col("some") + F.col("pos")).alias("at"), F.col("one.shingle").alias("shingle"))
+        .select("node", "n", F.size("by").alias("some"), F.posexplode("by").alias("pos", "one"))
+        .select("node", "n", (F.col("n") - F.col("some") + F.col("pos")).alias("at"), F.col("one.shingle").alias("shingle"))
         .where(f"100 * (n - at) >= {percent} * n")
     )
     placed = scratch.written(placed, "placed")
     scratch.drop("shingles", "times")
+    return placed
+
+
+def _meeting(search: _Search, placed: DataFrame) -> DataFrame:
+    """The rows of :func:`prefixes` whose shingle classes of several groups have, with the class's
+    group and the shingle's largest group."""
+    rows = search.scratch.written(search.grouped(placed, "node", "group"), "prefixes")
     held = (
-        placed.groupBy("shingle", "group")
+        rows.groupBy("shingle", "group")
         .agg(F.count("*").alias("size"))
         .groupBy("shingle")
         .agg(F.count("*").alias("groups"), F.max(F.struct("size", "group")).alias("most"))
         .where("groups > 1")
         .selectExpr("shingle", "most.group AS largest")
     )
-    meeting = scratch.written(placed.join(held, "shingle"), "meeting")
+    return search.scratch.written(rows.join(held, "shingle"), "meeting")
+
+
+def prefix_pairs(meeting: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) of classes of different groups: at least all that have the similarity. The
+    shorter set has fewer shingles to meet in than the longer one."""
     shorter = meeting.where(f"{100 + percent} * (n - at) >= {2 * percent} * n")
     shorter = shorter.selectExpr("shingle", "node AS v", "group AS gv", "n AS nv", "n - at AS rv", "largest AS lv")
     longer = meeting.selectExpr("shingle", "node AS u", "group AS gu", "n AS nu", "n - at AS ru", "largest AS lu")

@@ -202,7 +202,7 @@ def test_near_duplicates_against_brute_force(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     for k in (4, 5):
         expected = groups_by_force(rows, k)
-        got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in near_dedup.near_duplicates(docs, k=k, few_outside=4).collect()}
+        got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in near_dedup.near_duplicates(docs, k=k).collect()}
         assert got == expected
 
 
@@ -243,6 +243,30 @@ def test_near_duplicates_with_unlucky_signatures(spark):
     assert got == expected
 
 
+def test_near_duplicates_of_one_large_family_take_few_passes(spark):
+    """1,200 edited copies of one text around the threshold: as brute force, whatever their number
+    without a round for each of them."""
+    r = random.Random(11)
+    vocabulary = [f"v{i}" for i in range(5000)]
+    base = [r.choice(vocabulary) for _ in range(120)]
+    rows = []
+    for i in range(1200):
+        w = list(base)
+        for at in r.sample(range(120), r.randint(2, 5)):
+            w[at] = r.choice(vocabulary)
+        rows.append((i, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    sc, group = spark.sparkContext, "near-copies-family"
+    sc.setJobGroup(group, "")
+    found = near_dedup.near_duplicates(docs, k=4).collect()
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in found}
+    assert got == groups_by_force(rows, 4)
+    jobs = len(sc.statusTracker().getJobIdsForGroup(group))
+    print(len({c for _, c in got.values()}), "groups", jobs, "jobs")
+    assert jobs < 150
+
+
 def test_near_duplicates_odd_inputs(spark):
     docs = odd_documents(spark)
     got = [(x["doc_id"], x["n_shingles"], x["component_id"], x["kept"]) for x in near_dedup.near_duplicates(docs, k=4).collect()]
