@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import itertools
 import tempfile
 import uuid
@@ -116,6 +117,15 @@ def lower_ascii(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
+def release() -> None:
+    """Give memory that a task has freed back to the system. Python workers live on from stage to
+    stage, and what Arrow and the allocator keep for later counts against the next one's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 # -- Arrow batches -----------------------------------------------------------
 def utf8_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; a null text counts as empty."""

@@ -41,6 +41,7 @@ from stagecraft.llm.common import (
     distinct_sorted,
     minima,
     pieces,
+    release,
     shingle_hashes,
     universal_family,
     utf8_buffers,
@@ -216,6 +217,7 @@ def _search(sent, k: int, threshold: float):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int64()) for c in columns], names=["doc_id", "item_id", "n_found", "n_shingles"]
             )
+        release()
 
     return search
 

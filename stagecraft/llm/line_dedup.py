@@ -173,9 +173,12 @@ def removed_lines(documents: DataFrame, scratch: Scratch) -> DataFrame:
     return found.where(F.col("gone") | (F.struct(*LINE) != F.col("line"))).select(*LINE).distinct()
 
 
-def deduplicate_lines(documents: DataFrame) -> DataFrame:
+def deduplicate_lines(documents: DataFrame, count_column: str = "removed_lines") -> DataFrame:
     """``documents`` without the lines that go (column text; all others as they are), with
-    ``removed_lines``, the number of them. Documents that lose no line aren't shuffled."""
+    ``count_column``, the number of them, which must be a new name. Documents that lose no line
+    aren't shuffled."""
+    if count_column.lower() in (c.lower() for c in documents.columns):
+        raise ValueError(f"documents has a column {count_column} already")
     scratch = Scratch(documents.sparkSession)
     gone = written(
         removed_lines(documents, scratch)
@@ -198,8 +201,8 @@ def deduplicate_lines(documents: DataFrame) -> DataFrame:
     as_before = [F.col("row").getField(c).alias(c) if c != "text" else None for c in documents.columns]
     out = lambda t: [x if x is not None else t.alias("text") for x in as_before]
     removed = F.coalesce(F.size("line_nos"), F.lit(0))
-    changed = touched.select(*out(text), F.when(F.col("line_nos").isNull(), 0).otherwise(removed).alias("removed_lines"))
-    same = asked.where("NOT maybe").select(*out(F.col("row.text")), F.lit(0).alias("removed_lines"))
+    changed = touched.select(*out(text), F.when(F.col("line_nos").isNull(), 0).otherwise(removed).alias(count_column))
+    same = asked.where("NOT maybe").select(*out(F.col("row.text")), F.lit(0).alias(count_column))
     return changed.union(same)
 
 

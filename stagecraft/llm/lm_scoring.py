@@ -43,6 +43,8 @@ from stagecraft.llm.common import Shared, held_out, mix, pieces, utf8_buffers, w
 ORDER = 3
 SHARE = 1e-6
 COMMON_SHARE = 2e-7
+# Words of a text that are read one after another; its segments are read side by side.
+SEGMENT = 48
 DISCOUNT = 0.7
 # The hash that stands for the end of a text.
 END = np.uint64(0xE0D0E0D0E0D0E0D1)
@@ -202,14 +204,19 @@ def compile_automaton(levels: list[Level], common: Level, total: int, distinct:
 
 def traverse(model: Automaton, words: np.ndarray, unigram: np.ndarray, at: np.ndarray) -> np.ndarray:
     """log10 probability of each text: its words are read left to right, with a carried state.
-    ``unigram`` is each word's log10 unigram probability."""
-    score = np.zeros(len(at) - 1)
-    sizes = np.diff(at)
+    ``unigram`` is each word's log10 unigram probability. A long text is read in segments side by
+    side, so the number of numpy steps doesn't grow with it."""
+    texts = np.repeat(np.arange(len(at) - 1), -(-np.diff(at) // SEGMENT))
+    nth = np.arange(len(texts)) - np.searchsorted(texts, texts)
+    begin = at[texts] + nth * SEGMENT
+    # A state is made by the last ORDER - 1 words, so a segment reads those before it first.
+    before = np.minimum(nth * SEGMENT, ORDER - 1)
+    sizes = np.minimum(at[texts + 1] - begin, SEGMENT) + before
     order = np.argsort(-sizes, kind="stable")
-    starts = at[:-1][order]
+    starts, before = (begin - before)[order], before[order]
     state = np.zeros(len(order), dtype=np.int64)
     total = np.zeros(len(order))
-    # Texts that still have a word, longest first, so that they stay the first ones.
+    # Segments that still have a word, longest first, so that they stay the first ones.
     left = np.searchsorted(-sizes[order], -np.arange(sizes.max() if len(sizes) else 0), side="left")
     first = member(words, model.words)
     word_state = np.where(first >= 0, first + 1, 0)
@@ -233,9 +240,8 @@ def traverse(model: Automaton, words: np.ndarray, unigram: np.ndarray, at: np.nd
         rest = np.flatnonzero(~landed)
         gained[rest] += unigram[here[rest]]
         s[rest] = word_state[here[rest]]
-        total[:n] += gained
-    score[order] = total
-    return score
+        total[:n] += np.where(step >= before[:n], gained, 0.0)
+    return np.bincount(texts[order], weights=total, minlength=len(at) - 1)
 
 
 # -- training and scoring over documents -------------------------------------

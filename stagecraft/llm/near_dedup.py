@@ -47,6 +47,7 @@ from stagecraft.llm.common import (
     minima,
     mix,
     pieces,
+    release,
     shingle_hashes,
     universal_family,
     utf8_buffers,
@@ -113,6 +114,7 @@ def _sign(k: int):
                     ],
                     names=["doc_id", "n_shingles", "a", "b", "bands", "lows"],
                 )
+        release()
 
     return sign
 
@@ -132,6 +134,7 @@ def _sets(k: int):
                     ],
                     names=["a", "b", "hashes"],
                 )
+        release()
 
     return sets
 

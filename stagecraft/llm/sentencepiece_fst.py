@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stagecraft.llm.common import PartEncoder, Shared, text_slices
+from stagecraft.llm.common import PartEncoder, Shared, release, text_slices
 
 SPACE = "\u2581"
 # Piece types of the model format.
@@ -45,9 +45,9 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 # What an unknown character costs in a unigram model beyond the worst piece.
 UNKNOWN_PENALTY = 10.0
-ARC_ENTRIES = 1_000_000
-# Words that a worker remembers.
-MEMO_PARTS = 400_000
+# Arcs and words that a worker remembers (about 100 and 250 bytes each).
+ARC_ENTRIES = 400_000
+MEMO_PARTS = 200_000
 
 
 def _alone(char: str) -> tuple[list, list]:
@@ -305,6 +305,7 @@ def encode_documents(documents: DataFrame, model_file: str) -> DataFrame:
                     ],
                     names=["doc_id", "ids", "n_ids", "ids_crc32", "round_trip"],
                 )
+        release()
 
     return documents.select("doc_id", "text").mapInArrow(encode, ENCODED)
 

@@ -6,11 +6,16 @@ import os
 import corpus_pipeline
 import duckdb
 import numpy as np
+import public_tokenizers
 import pytest
+import sentencepiece
 from conftest import SF_MID, SF_SMALL
 from pyspark.sql import functions as F
 
+from test_text_operators import groups_by_force, shingles
+
 from stagecraft.llm import queries, topk_search
+from stagecraft.llm.line_dedup import deduplicate_lines
 
 TABLES = "documents embeddings pages benchmark labels".split()
 
@@ -48,6 +53,30 @@ def test_top_k_against_brute_force(spark, monkeypatch, seed):
     assert sorted(tuple(x) for x in got) == expected
 
 
+@pytest.mark.parametrize("size", [30000.0, 1e7, 3e9, 1e12])
+def test_top_k_of_large_components(spark, size):
+    """Ties of many equal vectors go to the smaller ids, also where a double can't hold a score."""
+    rows = [(i, [size] * 8) for i in range(120)] + [(200 + i, [size] * 7 + [size - i]) for i in range(5)] + [(300, [1e300] + [0.0] * 7)]
+    got = topk_search.top_k(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), F.col("vec_id") % 50 == 0).collect()
+    score = min(8 * (256 * int(size)) ** 2, (1 << 63) - 1)
+    expected = [(q, r, i, score) for q in (0, 50, 100, 200) for r, i in enumerate([i for i in range(6) if i != q][:5], 1)]
+    assert sorted(tuple(x) for x in got) == expected
+
+
+def test_top_k_sends_a_chunk_only_to_blocks_that_visit_it(spark, monkeypatch):
+    """Many blocks of queries over far clusters: few vector rows are sent, and all results right."""
+    monkeypatch.setattr(topk_search, "QUERY_BLOCK", 1)
+    sent = []
+    scored = topk_search.scored
+    monkeypatch.setattr(topk_search, "scored", lambda chunks, *rest: sent.append(chunks.count()) or scored(chunks, *rest))
+    r = np.random.default_rng(4)
+    centres = r.normal(size=(30, 6)) * 40
+    rows = [(i, (centres[i % 30] + r.normal(size=6) * 0.1).tolist()) for i in range(1500)]
+    got = topk_search.top_k(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), F.col("vec_id") % 50 == 0).collect()
+    assert sorted(tuple(x) for x in got) == best_by_force(rows, 5)
+    assert sum(sent) < 0.5 * 30 * len(rows)  # of 30 blocks times all rows
+
+
 def test_top_k_with_few_or_no_rows(spark):
     few = spark.createDataFrame([(0, [1.0]), (1, [2.0]), (2, [-1.0])], "vec_id bigint, embedding array<double>")
     got = topk_search.top_k(few, F.col("vec_id") % 50 == 0).collect()
@@ -89,6 +118,65 @@ def test_pipeline_stages(spark):
     assert docs.where("NOT round_trip").count() == 0
 
 
+def as_documents(spark, rows):
+    """Documents from (doc_id, text), with a column of each name that the stages use themselves."""
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    frame = frame.selectExpr("doc_id", "text", "'en' AS lang", "'s' AS source", "CAST(length(text) AS BIGINT) AS n_chars")
+    return frame.withColumn("removed_lines", F.lit("mine")).withColumn("kept", F.lit("mine"))
+
+
+def kept_texts(out):
+    return sorted(((x["doc_id"], x["text"]) for x in out.collect()), key=repr)
+
+
+def test_near_copies_stage_against_brute_force(spark):
+    """All documents of sf0.001, some without their id, repeated, or with two texts for one id."""
+    given = [(x["doc_id"], x["text"]) for x in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    rows = given + given[:3] + [(None, t) for _, t in given[3:6]] + [(given[6][0], given[7][1]), (given[8][0], "one more text of its own here")]
+    docs = as_documents(spark, rows)
+    groups = groups_by_force([(i, t) for i, (_, t) in enumerate(rows)], 5)
+    first = {}
+    for i, (n, group) in groups.items():
+        key = (rows[i][0] is None, rows[i][0] or 0)
+        if n and (group not in first or key < first[group][0]):
+            first[group] = (key, i)
+    expected = sorted((rows[i] for i, (n, g) in groups.items() if not n or first[g][1] == i), key=repr)
+    out = corpus_pipeline.near_copies(spark, docs, SF_SMALL)
+    assert out.columns == docs.columns
+    got = kept_texts(out)
+    # Of rows with equal ids in one group any one stays.
+    assert [i for i, _ in got] == [i for i, _ in expected] and set(got) <= set(rows) and len(got) < len(given)
+
+
+def test_decontamination_stage_against_brute_force(spark):
+    given = [(x["doc_id"], x["text"]) for x in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    items = [shingles(x["text"], 5) for x in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
+    dirty = lambda t: any(s and len(s & shingles(t, 5)) >= 0.8 * len(s) for s in items)
+    hit = [(i, t) for i, t in given if dirty(t)]
+    clean = next((i, t) for i, t in given if not dirty(t))
+    rows = given + [(None, hit[0][1]), (clean[0], hit[1][1]), hit[2], (None, None)]
+    out = corpus_pipeline.benchmark(spark, as_documents(spark, rows), SF_SMALL)
+    assert len(hit) > 2 and kept_texts(out) == sorted((x for x in rows if not dirty(x[1])), key=repr)
+
+
+def test_line_stage_with_a_column_of_its_count(spark):
+    text = "alpha beta gamma delta epsilon zeta"
+    docs = as_documents(spark, [(1, text), (2, f"{text}\nsomething else of one line here"), (3, text)])
+    out = corpus_pipeline.lines(spark, docs, SF_SMALL)
+    assert out.columns == docs.columns
+    assert kept_texts(out) == [(1, text), (2, "something else of one line here")]
+    with pytest.raises(ValueError, match="removed_lines"):
+        deduplicate_lines(docs)
+
+
+def test_sentencepiece_stage_against_the_library(spark):
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    texts = {x["doc_id"]: x["text"] or "" for x in docs.collect()}
+    for x in corpus_pipeline.pieces(spark, docs, SF_SMALL).collect():
+        assert list(x["ids"]) == library.encode(texts[x["doc_id"]])
+
+
 def test_pipeline_stages_with_odd_documents(spark):
     rows = [(None, None, None, None, None), (1, None, "en", "a", 0), (2, "", "en", "a", 0), (3, "x y z" * 5000, None, None, 5), (3, "x y z" * 5000, None, None, 5)]
     docs = spark.createDataFrame(rows, spark.read.parquet(f"{SF_SMALL}/documents.parquet").schema)
