@@ -148,6 +148,7 @@ class Automaton:
 
     total: int
     distinct: int
+    order: int
     hashes: np.ndarray
     fail: np.ndarray
     backoff: np.ndarray
@@ -190,6 +191,7 @@ def compile_automaton(levels: list[Level], common: Level, total: int, distinct:
     return Automaton(
         total,
         distinct,
+        len(levels),
         hashes,
         fail,
         backoff,
@@ -209,8 +211,8 @@ def traverse(model: Automaton, words: np.ndarray, unigram: np.ndarray, at: np.nd
     texts = np.repeat(np.arange(len(at) - 1), -(-np.diff(at) // SEGMENT))
     nth = np.arange(len(texts)) - np.searchsorted(texts, texts)
     begin = at[texts] + nth * SEGMENT
-    # A state is made by the last ORDER - 1 words, so a segment reads those before it first.
-    before = np.minimum(nth * SEGMENT, ORDER - 1)
+    # The last order - 1 words make a state, so a segment reads those before it first.
+    before = np.minimum(nth * SEGMENT, model.order - 1)
     sizes = np.minimum(at[texts + 1] - begin, SEGMENT) + before
     order = np.argsort(-sizes, kind="stable")
     starts, before = (begin - before)[order], before[order]
