@@ -13,8 +13,9 @@ Two documents are linked if the Jaccard similarity of their sets of distinct k-w
    far below the threshold), then its full sets are compared exactly.
 5. Links become groups by alternating large-star and small-star.
 6. The classes of buckets that still hold several groups go through one exact set-similarity join
-   on their shingles (rarest first, prefix, length and positional filters), which makes each pair
-   of different groups once and leaves none that has the similarity untried. Its links merge
+   on their shingles (rarest first; prefix, length and positional filters, and one bit of each
+   minimum, compared inside the join), which makes each pair of different groups once and leaves
+   none that has the similarity untried (but for six standard deviations). Its links merge
    groups in one more computation of components. So there are two passes, however the links lie.
 
 The work of step 6 grows with the classes outside a family's largest group times those inside it,
@@ -32,6 +33,7 @@ their names.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -57,8 +59,9 @@ from stagecraft.llm.common import (
 SHINGLE_WORDS = 5
 THRESHOLD_PERCENT = 80
 BANDS, ROWS = 42, 6
-# Share of equal minima that a pair needs; six standard deviations below similarity 0.8.
-SIGNATURE_SHARE = 0.65
+# Checks of signatures give way by so many standard deviations.
+DEVIATIONS = 6
+BIT_WORDS = -(-BANDS * ROWS // 64)
 FACTORS, TERMS = universal_family(BANDS * ROWS)
 
 
@@ -89,6 +92,26 @@ def signatures(values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.ascontiguousarray(bands.T).view(np.int64), np.ascontiguousarray((mix(low) >> np.uint64(56)).astype(np.uint8).T)
 
 
+def least_share(percent: int) -> float:
+    """Share of equal minima that a pair needs to be compared in full."""
+    s = percent / 100
+    return s - DEVIATIONS * math.sqrt(s * (1 - s) / (BANDS * ROWS))
+
+
+def most_bits(percent: int) -> int:
+    """How many bits of a pair may differ; one differs with probability (1 - similarity) / 2."""
+    p = (1 - percent / 100) / 2
+    return int(BANDS * ROWS * p + DEVIATIONS * math.sqrt(BANDS * ROWS * p * (1 - p)))
+
+
+def low_bits(lows: np.ndarray) -> np.ndarray:
+    """The lowest bit of each of a set's minima, packed into BIT_WORDS whole numbers."""
+    packed = np.zeros((len(lows), 8 * BIT_WORDS), dtype=np.uint8)
+    bits = np.packbits(lows & 1, axis=1)
+    packed[:, : bits.shape[1]] = bits
+    return packed.view(np.int64)
+
+
 def _sign(k: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -103,6 +126,7 @@ def _sign(k: int):
                     bands, lows = signatures(values, np.append(at[some], at[-1]))
                 ends = np.concatenate([[0], np.cumsum(np.where(n > 0, BANDS, 0))]).astype(np.int32)
                 rows = iter(lows)
+                bit_ends = np.concatenate([[0], np.cumsum(np.where(n > 0, BIT_WORDS, 0))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(start, stop - start).cast(pa.int64()),
@@ -111,8 +135,9 @@ def _sign(k: int):
                         pa.array(b),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(bands.ravel())),
                         pa.array([next(rows).tobytes() if x else None for x in n.tolist()], pa.binary()),
+                        pa.ListArray.from_arrays(pa.array(bit_ends), pa.array(low_bits(lows).ravel())),
                     ],
-                    names=["doc_id", "n_shingles", "a", "b", "bands", "lows"],
+                    names=["doc_id", "n_shingles", "a", "b", "bands", "lows", "bits"],
                 )
         release()
 
@@ -217,7 +242,7 @@ class _Search:
         likely = (
             pairs.join(lows.selectExpr("node AS u", "lows AS lu"), "u")
             .join(lows.selectExpr("node AS v", "lows AS lv"), "v")
-            .where(equal_share("lu", "lv") >= SIGNATURE_SHARE)
+            .where(equal_share("lu", "lv") >= least_share(self.percent))
             .select("u", "v", "gu", "gv")
         )
         likely = self.scratch.written(likely, "likely")
@@ -256,7 +281,7 @@ def near_duplicates(
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     signed = written(
         texts.mapInArrow(
-            _sign(k), "doc_id bigint, n_shingles bigint, a bigint, b bigint, bands array<bigint>, lows binary"
+            _sign(k), "doc_id bigint, n_shingles bigint, a bigint, b bigint, bands array<bigint>, lows binary, bits array<bigint>"
         ),
         "signed",
     )
@@ -268,6 +293,7 @@ def near_duplicates(
             F.first("n_shingles").alias("n"),
             F.first("bands").alias("bands"),
             F.first("lows").alias("lows"),
+            F.first("bits").alias("bits"),
         )
         .withColumn("node", F.monotonically_increasing_id()),
         "classes",
@@ -368,7 +394,8 @@ def prefixes(sets: DataFrame, nodes: DataFrame, percent: int, scratch: Scratch)
 def _meeting(search: _Search, placed: DataFrame) -> DataFrame:
     """The rows of :func:`prefixes` whose shingle classes of several groups have, with the class's
     group and the shingle's largest group."""
-    rows = search.scratch.written(search.grouped(placed, "node", "group"), "prefixes")
+    bits = search.classes.select("node", *[F.get("bits", F.lit(i)).alias(f"bits{i}") for i in range(BIT_WORDS)])
+    rows = search.scratch.written(search.grouped(placed, "node", "group").join(bits, "node"), "prefixes")
     held = (
         rows.groupBy("shingle", "group")
         .agg(F.count("*").alias("size"))
@@ -384,9 +411,14 @@ def prefix_pairs(meeting: DataFrame, percent: int) -> DataFrame:
     """Pairs (u, v) of classes of different groups: at least all that have the similarity. The
     shorter set has fewer shingles to meet in than the longer one."""
     shorter = meeting.where(f"{100 + percent} * (n - at) >= {2 * percent} * n")
-    shorter = shorter.selectExpr("shingle", "node AS v", "group AS gv", "n AS nv", "n - at AS rv", "largest AS lv")
-    longer = meeting.selectExpr("shingle", "node AS u", "group AS gu", "n AS nu", "n - at AS ru", "largest AS lu")
-    enough = f"(nu > nv OR (nu = nv AND u > v)) AND gu <> gv AND {100 + percent} * least(ru, rv) >= {percent} * (nu + nv)"
+    bits = lambda side: [f"bits{i} AS {side}{i}" for i in range(BIT_WORDS)]
+    shorter = shorter.selectExpr("shingle", "node AS v", "group AS gv", "n AS nv", "n - at AS rv", "largest AS lv", *bits("y"))
+    longer = meeting.selectExpr("shingle", "node AS u", "group AS gu", "n AS nu", "n - at AS ru", "largest AS lu", *bits("x"))
+    differ = " + ".join(f"bit_count(x{i} ^ y{i})" for i in range(BIT_WORDS))
+    enough = (
+        f"(nu > nv OR (nu = nv AND u > v)) AND gu <> gv AND {100 + percent} * least(ru, rv) >= {percent} * (nu + nv) "
+        f"AND {differ} <= {most_bits(percent)}"
+    )
     # A member of the largest group meets those outside it only.
     outer = longer.where("gu <> lu").join(shorter, "shingle")
     inner = longer.where("gu = lu").join(shorter.where("gv <> lv"), "shingle")
