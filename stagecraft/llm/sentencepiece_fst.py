@@ -47,7 +47,9 @@ UNIGRAM, BPE = 1, 2
 UNKNOWN_PENALTY = 10.0
 # Arcs and words that a worker remembers (about 100 and 250 bytes each).
 ARC_ENTRIES = 400_000
-MEMO_PARTS = 200_000
+MEMO_PARTS = 120_000
+# Bytes of text whose words and ids are Python objects at one time.
+SLICE_BYTES = 1 << 19
 
 
 def _alone(char: str) -> tuple[list, list]:
@@ -286,7 +288,7 @@ def encode_documents(documents: DataFrame, model_file: str) -> DataFrame:
         encoder = sent.value  # stays in the worker, so later tasks find its words
         for batch in batches:
             doc_ids = batch.column(0)
-            for start, texts in text_slices(batch.column(1)):
+            for start, texts in text_slices(batch.column(1), SLICE_BYTES):
                 ids, sizes = encoder(texts)
                 ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                 ids = ids.astype(np.int32)
@@ -305,7 +307,7 @@ def encode_documents(documents: DataFrame, model_file: str) -> DataFrame:
                     ],
                     names=["doc_id", "ids", "n_ids", "ids_crc32", "round_trip"],
                 )
-        release()
+            release()
 
     return documents.select("doc_id", "text").mapInArrow(encode, ENCODED)
 
