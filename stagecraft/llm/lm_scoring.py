@@ -1,51 +1,56 @@
 """Operator 6: language-model scores by a weighted backoff automaton.
 
-Training counts words (A-Z lowered) and one end per text over all training documents.
-
-* Unigrams: the exact count of every word, a table by word hash.
-* Longer n-grams, up to ``ORDER`` words, are kept if they make up a share ``SHARE`` of all training
-  tokens (and occur twice). At most ``1 / SHARE`` of each length can, so the automaton has a
-  proven size and is broadcast, whatever the size of the corpus. An n-gram only reaches that
-  share if its first and its last n - 1 words do, so the counting of each length skips all
-  others; the counts of the rest are exact and cover all training documents.
-
-States of the automaton are the kept n-grams of fewer than ORDER words, and the empty one. It
-reads a text word by word and carries its state, the longest kept n-gram that ends here. If the
-state has an arc for the next word, that arc's log probability is added (interpolated absolute
-discounting); else the failure arc to the state without its first word adds the log of the
-backoff weight, down to the empty state, where the unigram (c + 1) / (N + V + 1) is added. Texts of a
-batch are read side by side: one numpy step moves all texts that still have a word.
-
-Words that make up a share ``COMMON_SHARE`` have their counts broadcast too (again a proven
-number of them). Other words are in no state and on no arc, so all they add to a score is their
-unigram: those of all texts are joined with the table of counts and summed for each text.
+Training counts words (A-Z lowered, and one end per text) and all n-grams of up to ``ORDER`` of
+them over the texts that are learned from. Every n-gram that occurs is in the model, whatever the
+size of the corpus; none is pruned and no table of them is collected or broadcast.
+
+Smoothing: p(w | h) = (c(hw) + STRENGTH * p(w | h')) / (c(h) + STRENGTH), h' being h without its
+first word; p(w) = (c(w) + 1) / (N + V + 1). The shares of a context add up to one.
+
+States of the automaton are the empty one and the n-grams of fewer than ORDER words. It reads a
+text word by word and carries its state, the longest known n-gram that ends here. If the state has
+an arc for the next word, that arc's log probability is added; else the failure arc to the state
+without its first word adds the log of STRENGTH / (c(h) + STRENGTH), down to the empty state, where
+the unigram is added. Segments of texts are read side by side, so the number of numpy steps
+doesn't grow with the longest text.
+
+The automaton is distributed with the texts:
+
+1. ``blocks``: texts are cut into blocks of about ``BLOCK_TOKENS`` tokens (or one longer text),
+   written as word numbers with the block's distinct words.
+2. ``asked``: each block sends the hashes of its distinct n-grams with their counts in its training
+   texts, to the bucket of the hash. A frequent n-gram is one entry a block, so none is hot; buckets
+   grow with the corpus, to about ``BUCKET_TOKENS`` entries each.
+3. ``answers``: a bucket adds the counts up and sends each block the sums, in the block's order.
+4. A block compiles the states and arcs that its texts can reach and reads them. An n-gram's
+   context and suffix occur where it does, so the block knows their counts as well.
 
 Words are known by a 64-bit hash. Defined results: a null or empty text is its end alone. A null
-id is held out. Without training documents N = V = 0 and every token is unknown. Repeated rows
-count and are scored each; an empty table gives an empty result; other columns are ignored,
-whatever their names.
+id is not learned from by the query. Without training documents N = V = 0 and every token is
+unknown, with a score of 0. Repeated rows count and are scored each; an empty table gives an empty
+result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import dataclasses
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stagecraft.llm.common import Shared, held_out, mix, pieces, utf8_buffers, word_hashes, written
+from stagecraft.llm.common import CHUNK_BYTES, Scratch, held_out, mix, pieces, release, utf8_buffers, word_hashes, written
 
 ORDER = 3
-SHARE = 1e-6
-COMMON_SHARE = 2e-7
+STRENGTH = 4.0
+BLOCK_TOKENS = 2_000_000
+BUCKET_TOKENS = 1_000_000
 # Words of a text that are read one after another; its segments are read side by side.
 SEGMENT = 48
-DISCOUNT = 0.7
 # The hash that stands for the end of a text.
 END = np.uint64(0xE0D0E0D0E0D0E0D1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -71,83 +76,40 @@ def member(values: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == values, at, -1)
 
 
+def grams(words: np.ndarray, at: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(position, gram, context, suffix) of the n-grams of each length up to ``order``, position
+    being that of the first word; context and suffix are the n-grams without the last and first word."""
+    owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    gram = context = suffix = words
+    for n in range(order):
+        if n:
+            # gram[i] is the n-gram that begins at i; make those of n + 1 words.
+            context, suffix = gram[:-1], gram[1:]
+            gram = joined(context, words[n:])
+        inside = np.flatnonzero(owner[: len(gram)] == owner[n:])
+        yield inside, gram[inside], context[inside], suffix[inside]
+
+
+# -- the automaton -----------------------------------------------------------
 @dataclasses.dataclass(frozen=True)
 class Level:
-    """The kept n-grams of one length, sorted by hash, with the hashes of their first n - 1 words
-    (context), their last n - 1 words (suffix) and their last word."""
+    """Known n-grams of one length, sorted by hash, with their counts and the hashes of their first
+    n - 1 words (context) and last n - 1 words (suffix)."""
 
     gram: np.ndarray
     n: np.ndarray
     context: np.ndarray
     suffix: np.ndarray
-    last: np.ndarray
 
 
-def grams(words: np.ndarray, at: np.ndarray, kept: list[np.ndarray]) -> list[np.ndarray]:
-    """[gram, context, suffix, last] of the (len(kept) + 1)-grams whose first and last words are
-    kept n-grams; ``kept`` has the sorted hashes of each shorter length."""
-    owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
-    gram, ok = words, np.ones(len(words), dtype=bool)
-    context = suffix = words
-    for n, keys in enumerate(kept, 1):
-        # gram[i] is the n-gram that begins at i; make those of n + 1 words.
-        ok = ok & (member(gram, keys) >= 0)
-        ok = ok[:-1] & ok[1:] & (owner[: max(len(words) - n, 0)] == owner[n:])
-        context, suffix = gram[:-1], gram[1:]
-        gram = joined(context, words[n:])
-    return [x[ok] for x in (gram, context, suffix, words[len(kept) :])]
-
-
-def _counter(sent):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["gram", "n", "context", "suffix", "last"]
-        for batch in batches:
-            data, offsets = utf8_buffers(batch.column(0))
-            found = [grams(*tokens(data, offsets[a : b + 1]), sent.value) for a, b in pieces(offsets)]
-            if found:
-                gram, *rest = (np.concatenate(x) for x in zip(*found))
-                gram, first, n = np.unique(gram, return_index=True, return_counts=True)
-                columns = [gram.view(np.int64), n, *[x[first].view(np.int64) for x in rest]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
-
-    return count
-
-
-def count_grams(texts: DataFrame, kept: list[np.ndarray]) -> DataFrame:
-    """gram, n, context, suffix, last: counts of the n-grams one word longer than ``kept`` in all
-    ``texts`` (column text), summed in each batch before the shuffle."""
-    sent = texts.sparkSession.sparkContext.broadcast(kept)  # at most 1 / SHARE hashes of each length
-    partial = texts.select("text").mapInArrow(
-        _counter(sent), "gram bigint, n bigint, context bigint, suffix bigint, last bigint"
-    )
-    if not kept:  # words alone
-        return partial.groupBy("gram").agg(F.sum("n").alias("n"))
-    # The rest is a function of the n-gram, so any of its values will do.
-    rest = [F.max(c).alias(c) for c in ("context", "suffix", "last")]
-    return partial.groupBy("gram").agg(F.sum("n").alias("n"), *rest)
-
-
-def collected(rows: DataFrame) -> Level:
-    """Counted n-grams (a proven number of them) as arrays sorted by hash."""
-    table = rows.toArrow()
-    columns = {c: table.column(c).to_numpy().astype(np.int64) for c in table.column_names}
-    gram = columns["gram"].view(np.uint64)
-    order = np.argsort(gram)
-    as_hash = lambda c: columns[c].view(np.uint64)[order] if c in columns else gram[order]
-    return Level(gram[order], columns["n"][order], as_hash("context"), as_hash("suffix"), as_hash("last"))
-
-
-# -- the automaton -----------------------------------------------------------
 @dataclasses.dataclass(frozen=True)
 class Automaton:
-    """State 0 is the empty one; 1, 2, ... are the kept n-grams of fewer than ORDER words, by
+    """State 0 is the empty one; 1, 2, ... are the known n-grams of fewer than ORDER words, by
     length, with their hashes, ``fail`` (the state without the first word) and ``backoff`` (its
-    log10 weight). ``arcs`` are the sorted hashes of the kept n-grams of two words or more, an arc
-    from their context: its log10 ``weight`` and the state it leads ``to``. ``common`` are the
-    words whose counts are here; the first states are the words in ``words``."""
+    log10 weight). ``arcs`` are the sorted hashes of the known n-grams of two words or more, an arc
+    from their context: its log10 ``weight`` and the state it leads ``to``. The first states are
+    the words in ``words``."""
 
-    total: int
-    distinct: int
     order: int
     hashes: np.ndarray
     fail: np.ndarray
@@ -156,30 +118,22 @@ class Automaton:
     weight: np.ndarray
     to: np.ndarray
     words: np.ndarray
-    common: np.ndarray
-    common_n: np.ndarray
 
-    def unigram(self, n: np.ndarray) -> np.ndarray:
-        return np.log10((n + 1.0) / (self.total + self.distinct + 1.0))
 
-
-def compile_automaton(levels: list[Level], common: Level, total: int, distinct: int) -> Automaton:
-    """p(w | h) = max(c(hw) - D, 0) / c(h) + b(h) p(w | h'), h' without the first word of h, and
-    b(h) what the discounted shares of h's kept n-grams leave. The first part is there for kept
-    n-grams alone; so every other word goes by the failure arc with weight b(h)."""
+def compile_automaton(levels: list[Level], total: int, distinct: int, strength: float) -> Automaton:
+    """States and arcs of the n-grams in ``levels``, by length; ``total`` and ``distinct`` are N and V."""
     inner = levels[:-1]
     first = np.cumsum([1, *[len(x.gram) for x in inner]])  # number of each length's first state
     hashes = np.concatenate([np.zeros(1, np.uint64), *[x.gram for x in inner]])
     fail, backoff = np.zeros(len(hashes), dtype=np.int64), np.zeros(len(hashes))
     p = (levels[0].n + 1.0) / (total + distinct + 1.0)
-    arcs, weight, to = [], [], []
+    arcs, weight, to = [np.zeros(0, np.uint64)], [np.zeros(0)], [np.zeros(0, np.int64)]
     for length in range(1, len(levels)):
         here, below = levels[length], levels[length - 1]
         of, under = member(here.context, below.gram), member(here.suffix, below.gram)
-        share = np.maximum(here.n - DISCOUNT, 0.0) / below.n[of]
-        left = np.maximum(1.0 - np.bincount(of, weights=share, minlength=len(below.gram)), 1e-12)
-        backoff[first[length - 1] + np.arange(len(below.gram))] = np.log10(left)
-        p = share + left[of] * p[under]
+        # A context never ends in a text's end, so its count is that of all its continuations.
+        p = (here.n + strength * p[under]) / (below.n[of] + strength)
+        backoff[first[length - 1] + np.arange(len(below.gram))] = np.log10(strength / (below.n + strength))
         arcs.append(here.gram)
         weight.append(np.log10(p))
         if length < len(inner):
@@ -187,20 +141,16 @@ def compile_automaton(levels: list[Level], common: Level, total: int, distinct:
             fail[to[-1]] = first[length - 1] + under
         else:  # as long as they get: on to the state that they end with
             to.append(first[length - 1] + under)
-    order = np.argsort(np.concatenate([np.zeros(0, np.uint64), *arcs]))
+    by_hash = np.argsort(np.concatenate(arcs))
     return Automaton(
-        total,
-        distinct,
         len(levels),
         hashes,
         fail,
         backoff,
-        np.concatenate([np.zeros(0, np.uint64), *arcs])[order],
-        np.concatenate([np.zeros(0), *weight])[order],
-        np.concatenate([np.zeros(0, np.int64), *to])[order],
+        np.concatenate(arcs)[by_hash],
+        np.concatenate(weight)[by_hash],
+        np.concatenate(to)[by_hash],
         levels[0].gram if inner else np.zeros(0, np.uint64),
-        common.gram,
-        common.n,
     )
 
 
@@ -246,87 +196,200 @@ def traverse(model: Automaton, words: np.ndarray, unigram: np.ndarray, at: np.nd
     return np.bincount(texts[order], weights=total, minlength=len(at) - 1)
 
 
-# -- training and scoring over documents -------------------------------------
-def train(texts: DataFrame, order: int = ORDER, share: float = SHARE) -> tuple[Automaton, DataFrame]:
-    """(automaton, counts of all words: gram, n) of ``texts`` (column text)."""
-    words = written(count_grams(texts, []), "word-counts")
-    total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    least = max(2, math.ceil(share * total))  # so at most total / least <= 1 / share n-grams
-    common = collected(words.where(F.col("n") >= max(1, math.ceil(min(COMMON_SHARE, share) * total))))
-    pick = common.n >= least
-    levels = [Level(*[x[pick] for x in (common.gram, common.n, common.context, common.suffix, common.last)])]
-    for _ in range(1, order):
-        counted = count_grams(texts, [x.gram for x in levels])
-        levels.append(collected(counted.where(F.col("n") >= least)))
-    return compile_automaton(levels, common, total, distinct), words
-
-
-def _scorer(sent):
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
-        row = TaskContext.get().partitionId() << 33
+# -- blocks of texts ---------------------------------------------------------
+def packed(values: np.ndarray) -> bytes:
+    """Numbers as compressed bytes, all first bytes before all second ones and so on."""
+    return zstandard.compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T), 1)
+
+
+def unpacked(data, dtype) -> np.ndarray:
+    """The numbers of :func:`packed`."""
+    planes = np.frombuffer(zstandard.decompress(data), dtype=np.uint8).reshape(np.dtype(dtype).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(dtype).ravel()
+
+
+BLOCK = (
+    "block bigint, n_tokens bigint, n_taught bigint, doc_ids array<bigint>, taught array<boolean>, "
+    "sizes array<bigint>, words binary, numbers binary"
+)
+
+
+def _row(names: list[str], columns: list[pa.Array]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(columns, names=names)
+
+
+def _block(block: int, parts: list) -> pa.RecordBatch:
+    words, sizes, ids, taught = (list(x) for x in zip(*parts))
+    words, sizes = np.concatenate(words), np.concatenate(sizes)
+    ids, taught = pa.concat_arrays(ids), np.concatenate(taught)
+    distinct, numbers, n = np.unique(words, return_inverse=True, return_counts=True)
+    by_count = np.argsort(-n, kind="stable")  # frequent words get small numbers
+    rank = np.empty(len(distinct), dtype=np.uint32)
+    rank[by_count] = np.arange(len(distinct), dtype=np.uint32)
+    one = lambda x, t: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x, t))
+    return _row(
+        ["block", "n_tokens", "n_taught", "doc_ids", "taught", "sizes", "words", "numbers"],
+        [
+            pa.array([block], pa.int64()),
+            pa.array([len(words)], pa.int64()),
+            pa.array([int(sizes[taught].sum())], pa.int64()),
+            one(ids, pa.int64()),
+            one(taught, pa.bool_()),
+            one(sizes, pa.int64()),
+            pa.array([distinct[by_count].tobytes()], pa.binary()),
+            pa.array([packed(rank[numbers])], pa.binary()),
+        ],
+    )
+
+
+def _cutter(limit: int):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, parts, size = TaskContext.get().partitionId() << 33, [], 0
         for batch in batches:
             data, offsets = utf8_buffers(batch.column(1))
-            for start, stop in pieces(offsets):
+            for start, stop in pieces(offsets, min(CHUNK_BYTES, 8 * limit)):
                 words, at = tokens(data, offsets[start : stop + 1])
-                n = np.diff(at)
-                known = member(words, model.common)
-                here = known >= 0
-                # What a rare word adds comes later.
-                unigram = np.where(here, model.unigram(model.common_n[known] if len(model.common) else known), 0.0)
-                rare_at = np.concatenate([[0], np.cumsum(~here)])[at]
-                before = np.concatenate([[0.0], np.cumsum(unigram)])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(row + np.arange(len(n)), pa.int64()),
-                        batch.column(0).slice(start, stop - start).cast(pa.int64()),
-                        pa.array(n, pa.int64()),
-                        pa.array(n - np.diff(rare_at), pa.int64()),
-                        pa.array(before[at[1:]] - before[at[:-1]]),
-                        pa.array(traverse(model, words, unigram, at)),
-                        pa.ListArray.from_arrays(pa.array(rare_at, pa.int32()), pa.array(words[~here].view(np.int64))),
-                    ],
-                    names=["row", "doc_id", "n_tokens", "n_common", "base", "score", "rare"],
-                )
-                row += len(n)
-
-    return score
-
-
-def score_documents(documents: DataFrame, model: Automaton, words: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score and score of every whole text."""
-    sent = Shared(documents.sparkSession, model)
-    texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    parts = written(
-        texts.mapInArrow(
-            _scorer(sent),
-            "row bigint, doc_id bigint, n_tokens bigint, n_common bigint, base double, score double, rare array<bigint>",
-        ),
-        "scored",
-    )
-    rare = parts.select("row", F.explode("rare").alias("gram")).join(words, "gram", "left")
-    of_model = F.lit(float(model.total + model.distinct + 1))
-    added = rare.groupBy("row").agg(
-        F.sum(F.log10((F.coalesce("n", F.lit(0)) + 1) / of_model)).alias("added"), F.count("n").alias("more")
-    )
-    whole = parts.drop("rare").join(added, "row", "left").withColumns(
-        {"added": F.coalesce("added", F.lit(0.0)), "more": F.coalesce("more", F.lit(0))}
+                if parts and size + len(words) > limit:
+                    yield _block(block, parts)
+                    block, parts, size = block + 1, [], 0
+                taught = batch.column(2).slice(start, stop - start).to_numpy(zero_copy_only=False).astype(bool)
+                parts.append((words, np.diff(at), batch.column(0).slice(start, stop - start), taught))
+                size += len(words)
+        if parts:
+            yield _block(block, parts)
+        release()
+
+    return cut
+
+
+def _texts_of_block(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word hashes, text's offsets, whether each word is learned from) of a block."""
+    words = np.frombuffer(row["words"], dtype=np.uint64)[unpacked(row["numbers"], np.uint32)]
+    sizes = np.array(row["sizes"], dtype=np.int64)
+    return words, np.concatenate([[0], np.cumsum(sizes)]), np.repeat(np.array(row["taught"], dtype=bool), sizes)
+
+
+def _buckets(distinct: np.ndarray, n: int) -> np.ndarray:
+    """Where each of ``n`` buckets begins in sorted hashes: buckets are ranges of hashes."""
+    starts = [np.uint64(-(-(i << 64) // n)) for i in range(n)]
+    return np.concatenate([np.searchsorted(distinct, np.array(starts, dtype=np.uint64)), [len(distinct)]])
+
+
+def _blobs(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Consecutive parts of ``values`` as binary values."""
+    size = values.itemsize
+    offsets = pa.py_buffer((np.concatenate([[0], ends]) * size).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, offsets, pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _asker(order: int, buckets: int):
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                words, at, taught = _texts_of_block(row)
+                for length, (position, gram, _, _) in enumerate(grams(words, at, order)):
+                    distinct, which = np.unique(gram, return_inverse=True)
+                    n = np.bincount(which, weights=taught[position], minlength=len(distinct)).astype(np.uint32)
+                    starts = _buckets(distinct, buckets)
+                    used = np.flatnonzero(np.diff(starts))
+                    if len(used):
+                        ends = starts[used + 1]
+                        yield _row(
+                            ["bucket", "block", "grams", "n"],
+                            [
+                                pa.array(length * buckets + used, pa.int64()),
+                                pa.array(np.full(len(used), row["block"]), pa.int64()),
+                                _blobs(distinct, ends),
+                                _blobs(n, ends),
+                            ],
+                        )
+        release()
+
+    return ask
+
+
+def _answer(asked: pa.Table) -> pa.Table:
+    """The sums of a bucket: what each block asked for, in its order; ``known`` (on one row) is the
+    number of distinct n-grams that occur in training texts."""
+    blobs = asked.column("grams").to_pylist()
+    distinct, which = np.unique(np.frombuffer(b"".join(blobs), dtype=np.uint64), return_inverse=True)
+    n = np.frombuffer(b"".join(asked.column("n").to_pylist()), dtype=np.uint32)
+    sums = np.bincount(which, weights=n, minlength=len(distinct)).astype(np.int64)
+    parts = np.split(sums[which], np.cumsum([len(x) // 8 for x in blobs])[:-1])
+    known = np.zeros(len(blobs), dtype=np.int64)
+    known[0] = np.count_nonzero(sums)
+    return pa.table(
+        {
+            "block": asked.column("block"),
+            "bucket": asked.column("bucket"),
+            "known": pa.array(known),
+            "sums": pa.array([packed(x) for x in parts], pa.binary()),
+        }
     )
-    return whole.select(
-        "doc_id",
-        "n_tokens",
-        (F.col("n_common") + F.col("more")).alias("n_known"),
-        F.lit(model.total).cast("bigint").alias("train_tokens"),
-        (F.col("base") + F.col("added")).alias("base_score"),
-        (F.col("score") + F.col("added")).alias("score"),
+
+
+def _reader(order: int, buckets: int, total: int, distinct: int, strength: float):
+    def read(block: pa.Table, answers: pa.Table) -> pa.Table:
+        row = block.to_pylist()[0]
+        words, at, _ = _texts_of_block(row)
+        answers = answers.sort_by("bucket")
+        of = answers.column("bucket").to_numpy() // buckets
+        sums = answers.column("sums")
+        levels, count = [], np.zeros(len(words), dtype=np.int64)
+        for length, (_, gram, context, suffix) in enumerate(grams(words, at, order)):
+            found, first, which = np.unique(gram, return_index=True, return_inverse=True)
+            mine = [unpacked(sums[i].as_py(), np.int64) for i in np.flatnonzero(of == length)]
+            n = np.concatenate([np.zeros(0, np.int64), *mine])
+            if length == 0:
+                count = n[which]
+            seen = n > 0
+            levels.append(Level(found[seen], n[seen], context[first[seen]], suffix[first[seen]]))
+        model = compile_automaton(levels, total, distinct, strength)
+        unigram = np.log10((count + 1.0) / (total + distinct + 1.0))
+        text = np.repeat(np.arange(len(at) - 1), np.diff(at))
+        over = lambda x: np.bincount(text, weights=x, minlength=len(at) - 1)
+        scored = pa.table(
+            {
+                "doc_id": pa.array(row["doc_ids"], pa.int64()),
+                "n_tokens": pa.array(np.diff(at), pa.int64()),
+                "n_known": pa.array(over(count > 0).astype(np.int64)),
+                "train_tokens": pa.array(np.full(len(at) - 1, total), pa.int64()),
+                "base_score": pa.array(over(unigram)),
+                "score": pa.array(traverse(model, words, unigram, at)),
+            }
+        )
+        release()
+        return scored
+
+    return read
+
+
+SCORES = "doc_id bigint, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
+
+
+def score_documents(documents: DataFrame, taught: Column, order: int = ORDER, strength: float = STRENGTH) -> DataFrame:
+    """doc_id, n_tokens, n_known, train_tokens, base_score and score of every whole text, by the
+    model of those rows for which ``taught`` is true (null is false)."""
+    scratch = Scratch(documents.sparkSession)
+    texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.coalesce(taught, F.lit(False)).alias("taught"))
+    blocks = scratch.written(texts.mapInArrow(_cutter(BLOCK_TOKENS), BLOCK), "lm-blocks")
+    tokens_, total = blocks.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_taught"), F.lit(0))).first()
+    buckets = max(1, -(-tokens_ // BUCKET_TOKENS))
+    asked = blocks.mapInArrow(_asker(order, buckets), "bucket bigint, block bigint, grams binary, n binary")
+    answers = scratch.written(
+        asked.groupBy("bucket").applyInArrow(_answer, "block bigint, bucket bigint, known bigint, sums binary"), "lm-answers"
     )
+    distinct = answers.where(F.col("bucket") < buckets).agg(F.coalesce(F.sum("known"), F.lit(0))).first()[0]
+    read = _reader(order, buckets, total, distinct, strength)
+    scored = written(blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(read, SCORES), "lm-scores")
+    scratch.drop_all()
+    return scored
 
 
 def lm_query(spark, sf_dir: str) -> DataFrame:
     """Op 6 over all documents, learning from ids with crc32(doc_id) mod 7 <> 2."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     apart = held_out(F.col("doc_id"), 7, 2)
-    model, words = train(documents.where(~apart))
-    return score_documents(documents, model, words).select(
+    return score_documents(documents, ~apart).select(
         "doc_id", apart.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )

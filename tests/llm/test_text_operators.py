@@ -325,26 +325,17 @@ def test_quality_odd_inputs(spark):
 
 
 # -- 6: language model -------------------------------------------------------
-def lm_by_force(rows, train, order, share, discount):
+def lm_by_force(rows, train, order, strength):
     w = [[*words(t), None] for _, t in rows]
     taught = [x for x, t in zip(w, train) if t]
     counts = [collections.Counter(tuple(x[i : i + n]) for x in taught for i in range(len(x) - n + 1)) for n in range(1, order + 1)]
     total, distinct = sum(counts[0].values()), len(counts[0])
-    least = max(2, math.ceil(share * total))
-    kept = [{g: n for g, n in c.items() if n >= least} for c in counts]
-    given = [collections.Counter() for _ in range(order)]
-    for n in range(1, order):
-        for g, c in kept[n].items():
-            given[n][g[:-1]] += max(c - discount, 0) / kept[n - 1][g[:-1]]
 
     def p(h, x):
         if not h:
             return (counts[0][(x,)] + 1) / (total + distinct + 1)
-        if h not in kept[len(h) - 1]:
-            return p(h[1:], x)
         n = len(h)
-        own = max(kept[n][h + (x,)] - discount, 0) / kept[n - 1][h] if h + (x,) in kept[n] else 0
-        return own + (1 - given[n][h]) * p(h[1:], x)
+        return (counts[n][h + (x,)] + strength * p(h[1:], x)) / (counts[n - 1][h] + strength)
 
     out = []
     for x in w:
@@ -354,18 +345,65 @@ def lm_by_force(rows, train, order, share, discount):
     return out
 
 
+def same_scores(got, expected):
+    by = lambda rs: sorted(rs, key=lambda x: (repr(x[0]), x[1], round(x[4], 3)))
+    for g, e in zip(by([tuple(x) for x in got]), by(expected), strict=True):
+        assert g[:4] == e[:4] and g[4] == pytest.approx(e[4], rel=1e-9) and g[5] == pytest.approx(e[5], rel=1e-9)
+
+
 @pytest.mark.parametrize("order", [1, 2, 3, 4])
 def test_language_model_against_brute_force(spark, monkeypatch, order):
-    monkeypatch.setattr(lm_scoring, "COMMON_SHARE", 0.001)  # so that there are rare words
+    monkeypatch.setattr(lm_scoring, "BLOCK_TOKENS", 700)  # so that there are many blocks and buckets
+    monkeypatch.setattr(lm_scoring, "BUCKET_TOKENS", 1500)
     rows = [(i, t[:3000]) for i, t in list(texts_of(spark, SF_SMALL).items())[:60]] + [(i and 1000 + i, t) for i, t in ODD if t is None or len(t) < 1000]
     train = [i is not None and i % 3 != 0 for i, _ in rows]
-    docs = odd_documents(spark, rows)
-    model, counts = lm_scoring.train(docs.where("doc_id % 3 <> 0"), order=order, share=0.002)
-    got = sorted(lm_scoring.score_documents(docs, model, counts).collect(), key=repr)
-    expected = sorted(((i, *x) for (i, _), x in zip(rows, lm_by_force(rows, train, order, 0.002, lm_scoring.DISCOUNT))), key=repr)
-    by = lambda rs: sorted(rs, key=lambda x: (repr(x[0]), x[1], round(x[4], 3)))
-    for g, e in zip(by([tuple(x) for x in got]), by(expected), strict=True):
-        assert g[:4] == e[:4] and g[4] == pytest.approx(e[4], rel=1e-9) and g[5] == pytest.approx(e[5], rel=1e-9)
+    got = lm_scoring.score_documents(odd_documents(spark, rows), F.expr("doc_id % 3 <> 0"), order=order).collect()
+    same_scores(got, [(i, *x) for (i, _), x in zip(rows, lm_by_force(rows, train, order, lm_scoring.STRENGTH))])
+
+
+def test_language_model_query_against_brute_force(spark):
+    """The query with its own parameters, over the whole table."""
+    rows = list(texts_of(spark, SF_SMALL).items())
+    train = [zlib.crc32(str(i).encode()) % 7 != 2 for i, _ in rows]
+    got = lm_scoring.lm_query(spark, SF_SMALL).collect()
+    assert {x["doc_id"]: x["held_out"] for x in got} == {i: not t for (i, _), t in zip(rows, train)}
+    kept = [(x["doc_id"], x["n_tokens"], x["n_known"], x["train_tokens"], x["base_score"], x["score"]) for x in got]
+    same_scores(kept, [(i, *x) for (i, _), x in zip(rows, lm_by_force(rows, train, lm_scoring.ORDER, lm_scoring.STRENGTH))])
+
+
+def test_an_ngram_is_known_in_a_corpus_of_any_size(spark):
+    """A passage that occurs twice is known among few texts and among many of other words."""
+    twice = "one passage that is in two texts and in no other text of the table"
+    for others in (3, 3000):
+        rows = [(1, twice), (2, twice)] + [(i, " ".join(f"w{i}x{j}" for j in range(20))) for i in range(3, 3 + others)]
+        got = {x["doc_id"]: x for x in lm_scoring.score_documents(odd_documents(spark, rows), F.lit(True)).collect()}
+        assert got[1]["score"] == got[2]["score"]
+        # All but the first word and the second come from known trigrams: at least 2 / (2 + STRENGTH).
+        known = (got[1]["n_tokens"] - 2) * math.log10(2 / (2 + lm_scoring.STRENGTH))
+        assert got[1]["score"] > known + 2 * math.log10(1 / (22 * others + 100)) and got[1]["score"] > got[1]["base_score"]
+
+
+def test_language_model_shares_add_up_to_one():
+    """All words after a context, and what is left for unknown ones."""
+    texts = [["a", "b", "a"], ["a", "b", "c"], ["b", "a"]]
+    h = {w: np.uint64(i + 5) for i, w in enumerate("abc")} | {None: lm_scoring.END}
+    every = [[*x, None] for x in texts]
+    words_, at = np.array([h[w] for x in every for w in x], dtype=np.uint64), np.cumsum([0, *map(len, every)])
+    levels = []
+    for _, gram, context, suffix in lm_scoring.grams(words_, at, 3):
+        found, first, n = np.unique(gram, return_index=True, return_counts=True)
+        levels.append(lm_scoring.Level(found, n, context[first], suffix[first]))
+    total, distinct = len(words_), 4
+    model = lm_scoring.compile_automaton(levels, total, distinct, 4.0)
+    counts = collections.Counter(words_.tolist())
+    for context in (["a"], ["a", "b"], ["b", "c"], ["c", "c"]):
+        share = 0.0
+        for last in [*h.values(), np.uint64(99)]:  # 99 is any unknown word
+            line = np.array([*[h[w] for w in context], last], dtype=np.uint64)
+            unigram = np.log10([(counts[w] + 1) / (total + distinct + 1) for w in line.tolist()])
+            ends = np.array([0, len(line)])
+            share += 10 ** float(lm_scoring.traverse(model, line, unigram, ends)[0] - lm_scoring.traverse(model, line[:-1], unigram, ends - [0, 1])[0])
+        assert share == pytest.approx(1.0)
 
 
 def test_language_model_beats_its_unigrams_on_held_out_texts(spark):
@@ -375,11 +413,9 @@ def test_language_model_beats_its_unigrams_on_held_out_texts(spark):
 
 def test_language_model_without_rows(spark):
     docs = odd_documents(spark)
-    model, counts = lm_scoring.train(docs.limit(0))
-    rows = lm_scoring.score_documents(docs, model, counts).collect()
+    rows = lm_scoring.score_documents(docs, F.lit(False)).collect()
     assert len(rows) == len(ODD) and {x["score"] for x in rows} == {0.0} and {x["n_known"] for x in rows} == {0}
-    model, counts = lm_scoring.train(docs)
-    assert lm_scoring.score_documents(docs.limit(0), model, counts).count() == 0
+    assert lm_scoring.score_documents(docs.limit(0), F.lit(True)).count() == 0
 
 
 # -- 7: language -------------------------------------------------------------
