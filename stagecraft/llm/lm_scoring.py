@@ -33,6 +33,7 @@ result; other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+import contextlib
 import dataclasses
 from collections.abc import Iterator
 
@@ -40,7 +41,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stagecraft.llm.common import CHUNK_BYTES, Scratch, held_out, mix, pieces, release, utf8_buffers, word_hashes, written
@@ -69,35 +70,25 @@ def joined(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix(context * _STEP + word)
 
 
-def member(values: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Position of each value in the sorted ``keys``, or -1."""
-    if not len(keys):
-        return np.full(len(values), -1, dtype=np.int64)
-    at = np.minimum(np.searchsorted(keys, values), len(keys) - 1)
-    return np.where(keys[at] == values, at, -1)
-
-
-def grams(words: np.ndarray, at: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(position, gram, context, suffix) of the n-grams of each length up to ``order``, position
-    being that of the first word; context and suffix are the n-grams without the last and first word."""
+def grams(words: np.ndarray, at: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(position of the first word, hash) of the n-grams of each length up to ``order``."""
     owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
-    gram = context = suffix = words
+    gram = words
     for n in range(order):
         if n:
             # gram[i] is the n-gram that begins at i; make those of n + 1 words.
-            context, suffix = gram[:-1], gram[1:]
-            gram = joined(context, words[n:])
+            gram = joined(gram[:-1], words[n:])
         inside = np.flatnonzero(owner[: len(gram)] == owner[n:])
-        yield inside, gram[inside], context[inside], suffix[inside]
+        yield inside, gram[inside]
 
 
 # -- the automaton -----------------------------------------------------------
 @dataclasses.dataclass(frozen=True)
 class Level:
-    """Known n-grams of one length, sorted by hash, with their counts and the hashes of their first
-    n - 1 words (context) and last n - 1 words (suffix)."""
+    """The known n-grams of one length that occur in some texts: their counts in all training
+    texts, and the numbers, one level below, of their first n - 1 words (context) and their last
+    n - 1 words (suffix)."""
 
-    gram: np.ndarray
     n: np.ndarray
     context: np.ndarray
     suffix: np.ndarray
@@ -106,59 +97,74 @@ class Level:
 @dataclasses.dataclass(frozen=True)
 class Automaton:
     """State 0 is the empty one; 1, 2, ... are the known n-grams of fewer than ORDER words, by
-    length, with their hashes, ``fail`` (the state without the first word) and ``backoff`` (its
-    log10 weight). ``arcs`` are the sorted hashes of the known n-grams of two words or more, an arc
-    from their context: its log10 ``weight`` and the state it leads ``to``. The first states are
-    the words in ``words``."""
+    length, with their ``length``, ``fail`` (the state without the first word) and ``backoff`` (its
+    log10 weight). Every known n-gram of two words or more is an arc from its context, numbered by
+    length: its log10 ``weight`` and the state it leads ``to``."""
 
     order: int
-    hashes: np.ndarray
+    length: np.ndarray
     fail: np.ndarray
     backoff: np.ndarray
-    arcs: np.ndarray
     weight: np.ndarray
     to: np.ndarray
-    words: np.ndarray
 
 
 def compile_automaton(levels: list[Level], total: int, distinct: int, strength: float) -> Automaton:
     """States and arcs of the n-grams in ``levels``, by length; ``total`` and ``distinct`` are N and V."""
-    inner = levels[:-1]
-    first = np.cumsum([1, *[len(x.gram) for x in inner]])  # number of each length's first state
-    hashes = np.concatenate([np.zeros(1, np.uint64), *[x.gram for x in inner]])
-    fail, backoff = np.zeros(len(hashes), dtype=np.int64), np.zeros(len(hashes))
+    inner = [len(x.n) for x in levels[:-1]]
+    first = np.cumsum([1, *inner])  # number of each length's first state
+    length = np.repeat(np.arange(len(levels)), [1, *inner])
+    fail, backoff = np.zeros(len(length), dtype=np.int64), np.zeros(len(length))
     p = (levels[0].n + 1.0) / (total + distinct + 1.0)
-    arcs, weight, to = [np.zeros(0, np.uint64)], [np.zeros(0)], [np.zeros(0, np.int64)]
-    for length in range(1, len(levels)):
-        here, below = levels[length], levels[length - 1]
-        of, under = member(here.context, below.gram), member(here.suffix, below.gram)
+    weight, to = [np.zeros(0)], [np.zeros(0, np.int64)]
+    for n in range(1, len(levels)):
+        here, below = levels[n], levels[n - 1]
         # A context never ends in a text's end, so its count is that of all its continuations.
-        p = (here.n + strength * p[under]) / (below.n[of] + strength)
-        backoff[first[length - 1] + np.arange(len(below.gram))] = np.log10(strength / (below.n + strength))
-        arcs.append(here.gram)
+        p = (here.n + strength * p[here.suffix]) / (below.n[here.context] + strength)
+        backoff[first[n - 1] : first[n]] = np.log10(strength / (below.n + strength))
         weight.append(np.log10(p))
-        if length < len(inner):
-            to.append(first[length] + np.arange(len(here.gram)))
-            fail[to[-1]] = first[length - 1] + under
+        if n < len(inner):
+            to.append(first[n] + np.arange(len(here.n)))
+            fail[to[-1]] = first[n - 1] + here.suffix
         else:  # as long as they get: on to the state that they end with
-            to.append(first[length - 1] + under)
-    by_hash = np.argsort(np.concatenate(arcs))
-    return Automaton(
-        len(levels),
-        hashes,
-        fail,
-        backoff,
-        np.concatenate(arcs)[by_hash],
-        np.concatenate(weight)[by_hash],
-        np.concatenate(to)[by_hash],
-        levels[0].gram if inner else np.zeros(0, np.uint64),
-    )
-
-
-def traverse(model: Automaton, words: np.ndarray, unigram: np.ndarray, at: np.ndarray) -> np.ndarray:
+            to.append(first[n - 1] + here.suffix)
+    return Automaton(len(levels), length, fail, backoff, np.concatenate(weight), np.concatenate(to))
+
+
+def compose(words: np.ndarray, at: np.ndarray, order: int, counts) -> tuple[list[Level], np.ndarray, np.ndarray]:
+    """(levels, arcs, count of each word) of some texts; ``counts(n, hashes)`` gives the counts in
+    training texts of their distinct n-grams of n + 1 words, sorted by hash.
+
+    ``arcs[n]`` has for each word the arc of the n + 1 words that end with it, or -1; ``arcs[0]``
+    the state that the empty one goes to with it."""
+    arcs = np.full((order, len(words)), -1, dtype=np.int64)
+    levels, begins, known, count = [], np.zeros(0, np.int64), 0, np.zeros(len(words), np.int64)
+    for n, (position, gram) in enumerate(grams(words, at, order)):
+        found, which = np.unique(gram, return_inverse=True)
+        of = counts(n, found)
+        seen = of > 0
+        number = np.where(seen, np.cumsum(seen) - 1, -1)
+        place = np.empty(len(found), dtype=np.int64)
+        place[which] = position  # where one of its occurrences begins
+        place = place[seen]
+        if n:
+            levels.append(Level(of[seen], begins[place], begins[place + 1]))
+            arcs[n, position + n] = np.where(seen, number + known, -1)[which]
+            known += len(place)
+        else:
+            levels.append(Level(of[seen], place, place))  # both are the empty state
+            arcs[0] = (number + 1)[which] if order > 1 else 0
+            count = of[which]
+        begins = np.full(len(words), -1, dtype=np.int64)
+        begins[position] = number[which]
+    return levels, arcs, count
+
+
+def traverse(model: Automaton, arcs: np.ndarray, unigram: np.ndarray, at: np.ndarray) -> np.ndarray:
     """log10 probability of each text: its words are read left to right, with a carried state.
-    ``unigram`` is each word's log10 unigram probability. A long text is read in segments side by
-    side, so the number of numpy steps doesn't grow with it."""
+    ``unigram`` is each word's log10 unigram probability, ``arcs`` as :func:`compose` gives them
+    (a state of n words is the last n words, so its arc is that of the n + 1 words that end here). A
+    long text is read in segments side by side, so the number of numpy steps doesn't grow with it."""
     texts = np.repeat(np.arange(len(at) - 1), -(-np.diff(at) // SEGMENT))
     nth = np.arange(len(texts)) - np.searchsorted(texts, texts)
     begin = at[texts] + nth * SEGMENT
@@ -171,16 +177,13 @@ def traverse(model: Automaton, words: np.ndarray, unigram: np.ndarray, at: np.nd
     total = np.zeros(len(order))
     # Segments that still have a word, longest first, so that they stay the first ones.
     left = np.searchsorted(-sizes[order], -np.arange(sizes.max() if len(sizes) else 0), side="left")
-    first = member(words, model.words)
-    word_state = np.where(first >= 0, first + 1, 0)
     for step, n in enumerate(left.tolist()):
-        here = starts[:n] + step
-        word, s = words[here], state[:n]
+        here, s = starts[:n] + step, state[:n]
         gained = np.zeros(n)
         open_ = np.flatnonzero(s > 0)
         landed = np.zeros(n, dtype=bool)
         while len(open_):
-            arc = member(joined(model.hashes[s[open_]], word[open_]), model.arcs)
+            arc = arcs[model.length[s[open_]], here[open_]]
             hit = arc >= 0
             on = open_[hit]
             gained[on] += model.weight[arc[hit]]
@@ -192,7 +195,7 @@ def traverse(model: Automaton, words: np.ndarray, unigram: np.ndarray, at: np.nd
             open_ = off[s[off] > 0]
         rest = np.flatnonzero(~landed)
         gained[rest] += unigram[here[rest]]
-        s[rest] = word_state[here[rest]]
+        s[rest] = arcs[0, here[rest]]
         total[:n] += np.where(step >= before[:n], gained, 0.0)
     return np.bincount(texts[order], weights=total, minlength=len(at) - 1)
 
@@ -276,34 +279,27 @@ def _buckets(distinct: np.ndarray, n: int) -> np.ndarray:
     return np.concatenate([np.searchsorted(distinct, np.array(starts, dtype=np.uint64)), [len(distinct)]])
 
 
-def _blobs(values: np.ndarray, ends: np.ndarray) -> pa.Array:
-    """Consecutive parts of ``values`` as binary values."""
-    size = values.itemsize
-    offsets = pa.py_buffer((np.concatenate([[0], ends]) * size).astype(np.int32))
-    return pa.Array.from_buffers(pa.binary(), len(ends), [None, offsets, pa.py_buffer(np.ascontiguousarray(values))])
-
-
 def _asker(order: int, buckets: int):
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 words, at, taught = _texts_of_block(row)
-                for length, (position, gram, _, _) in enumerate(grams(words, at, order)):
+                for length, (position, gram) in enumerate(grams(words, at, order)):
                     distinct, which = np.unique(gram, return_inverse=True)
                     n = np.bincount(which, weights=taught[position], minlength=len(distinct)).astype(np.uint32)
                     starts = _buckets(distinct, buckets)
                     used = np.flatnonzero(np.diff(starts))
-                    if len(used):
-                        ends = starts[used + 1]
-                        yield _row(
-                            ["bucket", "block", "grams", "n"],
-                            [
-                                pa.array(length * buckets + used, pa.int64()),
-                                pa.array(np.full(len(used), row["block"]), pa.int64()),
-                                _blobs(distinct, ends),
-                                _blobs(n, ends),
-                            ],
-                        )
+                    parts = [slice(a, b) for a, b in zip(starts[used], starts[used + 1])]
+                    yield _row(
+                        ["bucket", "block", "grams", "n"],
+                        [
+                            pa.array(length * buckets + used, pa.int64()),
+                            pa.array(np.full(len(used), row["block"]), pa.int64()),
+                            # Differences of sorted hashes take fewer bytes.
+                            pa.array([packed(np.diff(distinct[x], prepend=np.uint64(0))) for x in parts], pa.binary()),
+                            pa.array([packed(n[x]) for x in parts], pa.binary()),
+                        ],
+                    )
         release()
 
     return ask
@@ -312,12 +308,12 @@ def _asker(order: int, buckets: int):
 def _answer(asked: pa.Table) -> pa.Table:
     """The sums of a bucket: what each block asked for, in its order; ``known`` (on one row) is the
     number of distinct n-grams that occur in training texts."""
-    blobs = asked.column("grams").to_pylist()
-    distinct, which = np.unique(np.frombuffer(b"".join(blobs), dtype=np.uint64), return_inverse=True)
-    n = np.frombuffer(b"".join(asked.column("n").to_pylist()), dtype=np.uint32)
+    grams_ = [np.cumsum(unpacked(x, np.uint64), dtype=np.uint64) for x in asked.column("grams").to_pylist()]
+    distinct, which = np.unique(np.concatenate(grams_), return_inverse=True)
+    n = np.concatenate([unpacked(x, np.uint32) for x in asked.column("n").to_pylist()])
     sums = np.bincount(which, weights=n, minlength=len(distinct)).astype(np.int64)
-    parts = np.split(sums[which], np.cumsum([len(x) // 8 for x in blobs])[:-1])
-    known = np.zeros(len(blobs), dtype=np.int64)
+    parts = np.split(sums[which], np.cumsum([len(x) for x in grams_])[:-1])
+    known = np.zeros(len(parts), dtype=np.int64)
     known[0] = np.count_nonzero(sums)
     return pa.table(
         {
@@ -336,15 +332,12 @@ def _reader(order: int, buckets: int, total: int, distinct: int, strength: float
         answers = answers.sort_by("bucket")
         of = answers.column("bucket").to_numpy() // buckets
         sums = answers.column("sums")
-        levels, count = [], np.zeros(len(words), dtype=np.int64)
-        for length, (_, gram, context, suffix) in enumerate(grams(words, at, order)):
-            found, first, which = np.unique(gram, return_index=True, return_inverse=True)
-            mine = [unpacked(sums[i].as_py(), np.int64) for i in np.flatnonzero(of == length)]
-            n = np.concatenate([np.zeros(0, np.int64), *mine])
-            if length == 0:
-                count = n[which]
-            seen = n > 0
-            levels.append(Level(found[seen], n[seen], context[first[seen]], suffix[first[seen]]))
+
+        def counts(n: int, found: np.ndarray) -> np.ndarray:
+            mine = [unpacked(sums[i].as_py(), np.int64) for i in np.flatnonzero(of == n)]
+            return np.concatenate([np.zeros(0, np.int64), *mine])
+
+        levels, arcs, count = compose(words, at, order, counts)
         model = compile_automaton(levels, total, distinct, strength)
         unigram = np.log10((count + 1.0) / (total + distinct + 1.0))
         text = np.repeat(np.arange(len(at) - 1), np.diff(at))
@@ -356,7 +349,7 @@ def _reader(order: int, buckets: int, total: int, distinct: int, strength: float
                 "n_known": pa.array(over(count > 0).astype(np.int64)),
                 "train_tokens": pa.array(np.full(len(at) - 1, total), pa.int64()),
                 "base_score": pa.array(over(unigram)),
-                "score": pa.array(traverse(model, words, unigram, at)),
+                "score": pa.array(traverse(model, arcs, unigram, at)),
             }
         )
         release()
@@ -368,6 +361,18 @@ def _reader(order: int, buckets: int, total: int, distinct: int, strength: float
 SCORES = "doc_id bigint, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
 
+@contextlib.contextmanager
+def _shuffles_dropped(spark: SparkSession):
+    """Queries made in here delete their shuffle files when they end."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    old = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if old is None else spark.conf.set(name, old)
+
+
 def score_documents(documents: DataFrame, taught: Column, order: int = ORDER, strength: float = STRENGTH) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of every whole text, by the
     model of those rows for which ``taught`` is true (null is false)."""
@@ -377,9 +382,10 @@ def score_documents(documents: DataFrame, taught: Column, order: int = ORDER, st
     tokens_, total = blocks.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_taught"), F.lit(0))).first()
     buckets = max(1, -(-tokens_ // BUCKET_TOKENS))
     asked = blocks.mapInArrow(_asker(order, buckets), "bucket bigint, block bigint, grams binary, n binary")
-    answers = scratch.written(
-        asked.groupBy("bucket").applyInArrow(_answer, "block bigint, bucket bigint, known bigint, sums binary"), "lm-answers"
-    )
+    with _shuffles_dropped(documents.sparkSession):
+        answers = scratch.written(
+            asked.groupBy("bucket").applyInArrow(_answer, "block bigint, bucket bigint, known bigint, sums binary"), "lm-answers"
+        )
     distinct = answers.where(F.col("bucket") < buckets).agg(F.coalesce(F.sum("known"), F.lit(0))).first()[0]
     read = _reader(order, buckets, total, distinct, strength)
     scored = written(blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(read, SCORES), "lm-scores")

@@ -388,21 +388,20 @@ def test_language_model_shares_add_up_to_one():
     texts = [["a", "b", "a"], ["a", "b", "c"], ["b", "a"]]
     h = {w: np.uint64(i + 5) for i, w in enumerate("abc")} | {None: lm_scoring.END}
     every = [[*x, None] for x in texts]
-    words_, at = np.array([h[w] for x in every for w in x], dtype=np.uint64), np.cumsum([0, *map(len, every)])
-    levels = []
-    for _, gram, context, suffix in lm_scoring.grams(words_, at, 3):
-        found, first, n = np.unique(gram, return_index=True, return_counts=True)
-        levels.append(lm_scoring.Level(found, n, context[first], suffix[first]))
-    total, distinct = len(words_), 4
-    model = lm_scoring.compile_automaton(levels, total, distinct, 4.0)
-    counts = collections.Counter(words_.tolist())
+    flat = np.array([h[w] for x in every for w in x], dtype=np.uint64)
+    counts = [collections.Counter(g.tolist()) for _, g in lm_scoring.grams(flat, np.cumsum([0, *map(len, every)]), 3)]
+    total, distinct = len(flat), 4
+
+    def score(line):
+        ends = np.array([0, len(line)])
+        levels, arcs, n = lm_scoring.compose(line, ends, 3, lambda n, found: np.array([counts[n][x] for x in found.tolist()], dtype=np.int64))
+        model = lm_scoring.compile_automaton(levels, total, distinct, 4.0)
+        return float(lm_scoring.traverse(model, arcs, np.log10((n + 1) / (total + distinct + 1)), ends)[0])
+
     for context in (["a"], ["a", "b"], ["b", "c"], ["c", "c"]):
-        share = 0.0
-        for last in [*h.values(), np.uint64(99)]:  # 99 is any unknown word
-            line = np.array([*[h[w] for w in context], last], dtype=np.uint64)
-            unigram = np.log10([(counts[w] + 1) / (total + distinct + 1) for w in line.tolist()])
-            ends = np.array([0, len(line)])
-            share += 10 ** float(lm_scoring.traverse(model, line, unigram, ends)[0] - lm_scoring.traverse(model, line[:-1], unigram, ends - [0, 1])[0])
+        line = [h[w] for w in context]
+        # 99 is any unknown word.
+        share = sum(10 ** (score(np.array([*line, x], dtype=np.uint64)) - score(np.array(line, dtype=np.uint64))) for x in [*h.values(), np.uint64(99)])
         assert share == pytest.approx(1.0)
 
 
