@@ -2,11 +2,11 @@
 
 Each language has a raw-content zstandard dictionary of training text. A text in lower case is compressed
 against every dictionary; the smallest size names the language. The margin is the difference
-between the two smallest sizes, divided by the larger; with ``min_margin`` an answer of a
-smaller margin is rejected.
+between the two smallest sizes, divided by the larger; an answer with a margin under ``min_margin``
+is rejected.
 
-Fitting uses a bounded sample: of each language, one text (``SNIPPET_CHARS`` of it) for each of
-``SALTS`` hash slots of the ids, the one with the smallest hash. Prediction reads every text as
+Fitting uses a bounded sample: of each language, one text for each of ``SALTS`` hash slots of the
+ids, the one with the smallest hash; a passage of it of ``PASSAGE_CHARS`` from a place that the hash chooses. Prediction reads every text as
 a whole.
 
 Defined results: a null text or one without a letter is ``und`` with score 0, and so is every
@@ -26,13 +26,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stagecraft.llm.common import held_out, texts_of
-from stagecraft.llm.compression import Sizer, dictionary
+from stagecraft.llm.compression import Sizer, dictionary, passage
 
 UNDETERMINED = "und"
 SALTS = 256
-SNIPPET_CHARS = 1000
+PASSAGE_CHARS = 1000
 # Turns a difference in compressed bytes into odds between two languages.
 BYTES_PER_E = 4.0
+# Of held-out texts of sf0.1, 0.8 % have a smaller margin, a quarter of them right (99.5 % of the others).
+MIN_MARGIN = 0.005
 
 
 def fit_languages(documents: DataFrame, train: Column | None = None, salts: int = SALTS) -> dict[str, bytes]:
@@ -49,7 +51,7 @@ def fit_languages(documents: DataFrame, train: Column | None = None, salts: int
         rows.groupBy("lang", F.pmod(order, F.lit(salts)).alias("slot")).agg(F.min(order).alias("first")).select("lang", "first")
     )
     snippets = (
-        rows.select("lang", order.alias("first"), F.lower(F.substring("text", 1, SNIPPET_CHARS)).alias("snippet"))
+        rows.select("lang", order.alias("first"), F.lower(passage(F.col("text"), F.col("doc_id"), PASSAGE_CHARS)).alias("snippet"))
         .join(F.broadcast(first), ["lang", "first"])  # at most `salts` rows of each language
         .groupBy("lang", "first")
         .agg(F.min("snippet").alias("snippet"))
@@ -70,7 +72,7 @@ def guess(sizes: list[int]) -> tuple[int, float, float]:
     return best, 1.0 / total, margin
 
 
-def identify(dictionaries: dict[str, bytes], text: Column | str = "text", min_margin: float = 0.0) -> Column:
+def identify(dictionaries: dict[str, bytes], text: Column | str = "text", min_margin: float = MIN_MARGIN) -> Column:
     """struct(lang_pred, score, margin); ``und`` where the margin is under ``min_margin``."""
     names = list(dictionaries)
 
@@ -94,7 +96,7 @@ def identify(dictionaries: dict[str, bytes], text: Column | str = "text", min_ma
     return predict(text)
 
 
-def identify_languages(documents: DataFrame, dictionaries: dict[str, bytes], min_margin: float = 0.0) -> DataFrame:
+def identify_languages(documents: DataFrame, dictionaries: dict[str, bytes], min_margin: float = MIN_MARGIN) -> DataFrame:
     """doc_id, lang_pred, score and margin of every document."""
     return documents.select("doc_id", identify(dictionaries, min_margin=min_margin).alias("guess")).select("doc_id", "guess.*")
 
@@ -105,4 +107,4 @@ def language_query(spark, sf_dir: str) -> DataFrame:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     apart = held_out(F.col("doc_id"), 5, 0)
     model = fit_languages(documents, train=~apart)
-    return identify_languages(documents, model).select("doc_id", apart.alias("held_out"), "lang_pred", "score", "margin")
+    return identify_languages(documents, model, min_margin=0.0).select("doc_id", apart.alias("held_out"), "lang_pred", "score", "margin")

@@ -8,7 +8,8 @@ repeats itself shrinks to almost nothing against either dictionary, so the diffe
 says little about it.
 
 Fitting uses a bounded sample: ``per_class`` labelled texts of each label, the ones with the
-smallest hash of their id, ``SNIPPET_BYTES`` of each. Scoring reads every text as a whole.
+smallest hash of their id. Every other one of them gives a dictionary a passage from a place that
+its hash chooses; the rest calibrate, read as a whole in the tasks. Scoring reads every text as a whole.
 
 Defined results: a null or empty text scores as a text whose features are all 0; without
 training texts of both labels every score is the share of label 1 among the training labels
@@ -28,13 +29,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stagecraft.llm.common import held_out, texts_of
-from stagecraft.llm.compression import Sizer, dictionary
+from stagecraft.llm.compression import Sizer, dictionary, passage
 
 THRESHOLD = 0.3
 PER_CLASS = 1500
-SNIPPET_BYTES = 2000
-# Of a snippet, what enters a dictionary (more texts fit, so more languages and topics do).
-DICTIONARY_SNIPPET_BYTES = 600
+# Characters of a passage; a dictionary cuts the longest so that all of its passages fit.
+PASSAGE_CHARS = 2000
 
 
 @dataclasses.dataclass(frozen=True)
@@ -87,7 +87,7 @@ def fit_quality(
     """Learn from ``labels`` (doc_id, quality) of ``documents`` (doc_id, text).
 
     ``train`` is a condition on ``doc_id`` that a labelled row must meet to be learned from.
-    At most ``2 * per_class`` ids are broadcast and as many snippets reach the driver.
+    At most ``2 * per_class`` ids are broadcast; as many passages and features reach the driver.
     """
     marked = labels.select("doc_id", "quality").where("doc_id IS NOT NULL AND quality IN (0, 1)")
     if train is not None:
@@ -96,33 +96,30 @@ def fit_quality(
     order = F.xxhash64(F.col("doc_id").cast("string"))
     picked = [marked.where(F.col("quality") == q).orderBy(order, "doc_id").limit(per_class) for q in (0, 1)]
     ids = F.broadcast(picked[0].unionByName(picked[1]))  # at most 2 * per_class rows
-    rows = (
-        documents.select("doc_id", "text")
-        .where("text IS NOT NULL")
-        .join(ids, "doc_id")
-        .groupBy("doc_id", "quality")
-        .agg(F.min(F.substring("text", 1, SNIPPET_BYTES)).alias("text"))
+    texts = documents.select("doc_id", "text").where("text IS NOT NULL").join(ids, "doc_id")
+    found = (
+        texts.groupBy("doc_id", "quality")
+        .agg(F.min(passage(F.col("text"), F.col("doc_id"), PASSAGE_CHARS)).alias("passage"))
         .collect()
     )
-    return model_from([(r["doc_id"], r["quality"], r["text"].encode()) for r in rows])
-
-
-def model_from(rows: list[tuple[int, int, bytes]]) -> QualityModel:
-    """The model of labelled snippets (id, label, bytes): of each label, one half makes the
-    dictionary and the other half calibrates."""
-    rows = sorted(rows, key=lambda r: (_spread(r[0]), r[2]))
-    texts = {q: [t for _, label, t in rows if label == q] for q in (0, 1)}
-    n = len(rows)
-    share = len(texts[1]) / n if n else 0.5
-    if min(len(texts[0]), len(texts[1])) < 2:
-        share = min(max(share, 1e-6), 1 - 1e-6)
+    # Every other one makes the dictionary of its label, the rest calibrate.
+    found = sorted(found, key=lambda r: (_spread(r["doc_id"]), r["doc_id"]))
+    of = {q: [r for r in found if r["quality"] == q] for q in (0, 1)}
+    if min(len(of[0]), len(of[1])) < 2:
+        share = min(max(len(of[1]) / len(found) if found else 0.5, 1e-6), 1 - 1e-6)
         return QualityModel(b"", b"", (0.0, 0.0, 0.0, math.log(share / (1 - share))))
-    halves = {q: (t[::2], t[1::2]) for q, t in texts.items()}
-    dictionaries = {q: dictionary([t[:DICTIONARY_SNIPPET_BYTES] for t in halves[q][0]]) for q in (0, 1)}
-    model = QualityModel(dictionaries[1], dictionaries[0], ())
-    apart = [(q, t) for q in (0, 1) for t in halves[q][1]]
-    x = features(model, [memoryview(t) for _, t in apart])
-    return dataclasses.replace(model, weights=fit_logistic(x, np.array([q for q, _ in apart], dtype=np.float64)))
+    model = QualityModel(*[dictionary([r["passage"].encode() for r in of[q][::2]]) for q in (1, 0)], ())
+    apart = documents.sparkSession.createDataFrame([(r["doc_id"],) for q in (0, 1) for r in of[q][1::2]], ids.select("doc_id").schema)
+    rows = (
+        texts.join(F.broadcast(apart), "doc_id", "left_semi")
+        .select("doc_id", F.col("quality").alias("label"), _features_of(model, "text").alias("x"))
+        .groupBy("doc_id", "label")
+        .agg(F.min("x").alias("x"))
+        .orderBy("doc_id")
+        .collect()
+    )
+    x = np.array([r["x"] for r in rows], dtype=np.float64)
+    return dataclasses.replace(model, weights=fit_logistic(x, np.array([r["label"] for r in rows], dtype=np.float64)))
 
 
 def _spread(doc_id) -> int:
@@ -130,6 +127,14 @@ def _spread(doc_id) -> int:
     return int.from_bytes(str(doc_id).encode()[::-1], "big") * 0x9E3779B97F4A7C15 % (1 << 64)
 
 
+def _features_of(model: QualityModel, text: Column | str) -> Column:
+    @F.arrow_udf("array<double>")
+    def compute(column: pa.Array) -> pa.Array:
+        return pa.array(features(model, texts_of(column)).tolist(), pa.list_(pa.float64()))
+
+    return compute(text)
+
+
 def quality_score(model: QualityModel, text: Column | str = "text") -> Column:
     """P(label 1) of a whole text."""
 

@@ -8,10 +8,12 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
+import zstandard
 from conftest import SF_MID, SF_SMALL
 from pyspark.sql import functions as F
 
-from stagecraft.llm import common, decontaminate, language_id, line_dedup, lm_scoring, near_dedup, quality
+from stagecraft.llm import common, compression, decontaminate, language_id, line_dedup, lm_scoring, near_dedup, quality
 from stagecraft.llm import sentencepiece_fst as sp_fst
 from stagecraft.llm import token_output, url_filter
 
@@ -324,6 +326,88 @@ def test_quality_odd_inputs(spark):
     assert quality.score_quality(docs.limit(0), model).count() == 0
 
 
+def spark_hash(*values):
+    """Spark's xxhash64 of strings."""
+    seed = 42
+    for v in values:
+        seed = xxhash.xxh64(v.encode(), seed=seed).intdigest()
+    return seed - (1 << 64) if seed >= 1 << 63 else seed
+
+
+def passage_by_force(i, text, chars):
+    start = spark_hash(str(i), "place") % max(len(text) - chars + 1, 1)
+    return text[start : start + chars]
+
+
+def dictionary_by_force(snippets):
+    limit = max(n for n in range(4001) if sum(min(len(x), n) + 1 for x in snippets) <= 256 * 1024 or n == 0)
+    return b"\n".join(x[:limit] for x in snippets)
+
+
+def size_by_force(content, text):
+    """Each 4096 bytes of a text alone against a raw-content dictionary."""
+    of = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    of.precompute_compress(level=3)
+    codec = zstandard.ZstdCompressor(level=3, dict_data=of, write_content_size=False, write_checksum=False, write_dict_id=False)
+    return sum(len(codec.compress(text[i : i + 4096])) for i in range(0, len(text), 4096))
+
+
+def test_quality_query_against_brute_force(spark):
+    texts = texts_of(spark, SF_SMALL)
+    marks = {}
+    for i, q in spark.read.parquet(f"{SF_SMALL}/labels.parquet").select("doc_id", "quality").collect():
+        if i is not None and q in (0, 1) and zlib.crc32(str(i).encode()) % 5:
+            marks[i] = min(q, marks.get(i, 1))
+    of = {}
+    for q in (0, 1):
+        ids = sorted((i for i in marks if marks[i] == q), key=lambda i: (spark_hash(str(i)), i))[:1500]
+        of[q] = sorted((i for i in ids if texts.get(i) is not None), key=lambda i: int(str(i)[::-1].encode().hex(), 16) * 0x9E3779B97F4A7C15 % 2**64)
+    good, bad = (dictionary_by_force([passage_by_force(i, texts[i], 2000).encode() for i in of[q][::2]]) for q in (1, 0))
+
+    def row(text):
+        g, b = size_by_force(good, text.encode()), size_by_force(bad, text.encode())
+        ratio = math.log(min(g, b) / len(text.encode())) if text else 0.0
+        return [(g - b) / (g + b) if text else 0.0, ratio, ratio**2]
+
+    apart = sorted((i, q) for q in (0, 1) for i in of[q][1::2])
+    w = quality.fit_logistic(np.array([row(texts[i]) for i, _ in apart]), np.array([float(q) for _, q in apart]))
+    got = {x["doc_id"]: x for x in quality.quality_query(spark, SF_SMALL).collect()}
+    assert len(got) == len(texts) and len(apart) > 10
+    for i, text in texts.items():
+        score = 1 / (1 + math.exp(-sum(a * b for a, b in zip(w, [*row(text or ""), 1.0]))))
+        assert got[i]["score"] == pytest.approx(score, rel=1e-9) and got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0)
+        assert got[i]["predicted"] == (got[i]["score"] >= 0.3)
+
+
+def test_language_query_against_brute_force(spark):
+    rows = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text", "lang").collect()
+    first = {}
+    for i, text, lang in rows:
+        if i is not None and lang is not None and text is not None and zlib.crc32(str(i).encode()) % 5:
+            order = spark_hash(str(i), "language")
+            key = lang, order % 256
+            first[key] = min(first.get(key, (order, i, text)), (order, i, text))
+    content = {
+        lang: dictionary_by_force([passage_by_force(i, t, 1000).lower().encode() for (x, _), (_, i, t) in sorted(first.items(), key=lambda f: f[1]) if x == lang])
+        for lang in sorted({x for x, _ in first})
+    }
+    got = {x["doc_id"]: x["lang_pred"] for x in language_id.language_query(spark, SF_SMALL).collect()}
+    assert len(got) == len(rows)
+    for i, text, _ in rows:
+        if not any(c.isalpha() for c in text or ""):
+            assert got[i] == "und"
+        else:
+            assert got[i] == min(content, key=lambda x: size_by_force(content[x], text.lower().encode()))
+
+
+def test_every_passage_is_in_the_dictionary():
+    snippets = [bytes([65 + i]) * n for i, n in enumerate((10, 400, 30, 3000, 7, 900))]
+    made = compression.dictionary(snippets, 500)
+    assert len(made) <= 500 and set(made) == {10, *range(65, 71)}
+    assert made.split(b"\n")[0] == snippets[0] and compression.dictionary(snippets, 10_000) == b"\n".join(snippets)
+    assert compression.dictionary([]) == b""
+
+
 # -- 6: language model -------------------------------------------------------
 def lm_by_force(rows, train, order, strength):
     w = [[*words(t), None] for _, t in rows]
