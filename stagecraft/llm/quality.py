@@ -33,7 +33,7 @@ from stagecraft.llm.compression import Sizer, dictionary, passage
 
 THRESHOLD = 0.3
 PER_CLASS = 1500
-# Characters of a passage; a dictionary cuts the longest so that all of its passages fit.
+# Characters of a passage (chosen of 600 and 2000 on held-out texts of sf0.01, sf0.1 and check_s); a dictionary cuts the longest so that all of its passages fit.
 PASSAGE_CHARS = 2000
 
 
