@@ -14,8 +14,9 @@ hit needs a share ``threshold`` of an item's distinct k-word shingles in the doc
 * Items under ``SMALL_ITEM`` shingles are found by each of their shingles, which is exact.
 * Every candidate is verified by exact containment of the shingles' words in the whole document.
 
-The benchmark is the stated query set and meets all documents in blocks of ``BLOCK_ITEMS``
-items; a block is a bounded broadcast. Documents are neither shuffled nor sorted.
+The benchmark is the stated query set and meets all documents in blocks of at most ``BLOCK_ITEMS``
+items and ``BLOCK_BYTES`` of their texts (or one longer item); a block is a bounded broadcast.
+Documents are neither shuffled nor sorted.
 
 Defined results: a null or empty text, of a document or an item, holds nothing and is found
 nowhere. A text of fewer than k words has its whole word sequence as its one shingle, so such an
@@ -27,6 +28,7 @@ Other columns are ignored, whatever their names.
 from __future__ import annotations
 
 import dataclasses
+import functools
 import re
 from collections.abc import Iterator
 
@@ -54,6 +56,9 @@ THRESHOLD = 0.8
 MINIMA = 64
 SMALL_ITEM = 8
 BLOCK_ITEMS = 20_000
+BLOCK_BYTES = 16 << 20
+# Parts of a block that its items are dealt into first, so that blocks can be filled evenly.
+SLOTS = 16
 FACTORS, TERMS = universal_family(MINIMA)
 
 
@@ -163,35 +168,55 @@ def candidates(items: Items, values: np.ndarray, at: np.ndarray) -> set[tuple[in
     return found
 
 
-def contained(items: Items, item: int, text: bytes, k: int) -> tuple[int, int]:
-    """(distinct shingles of the item that the text holds, distinct shingles of the item), exact."""
+def contained(items: Items, item: int, held: set[tuple[bytes, ...]], k: int) -> tuple[int, int]:
+    """(distinct shingles of the item that are in ``held``, distinct shingles of the item), exact."""
     wanted = shingle_set(items.words[item], k)
-    return len(wanted & shingle_set(words_of(text), k)), len(wanted)
+    return len(wanted & held), len(wanted)
+
+
+def item_blocks(wanted: DataFrame, block_items: int, block_bytes: int) -> list[DataFrame]:
+    """``wanted`` (item_id, text) in parts of at most so many items and bytes of text, or of one item.
+
+    Items are dealt into slots by a hash, more slots until none is over a bound; adjacent slots
+    then make up a block. Only the slots' sizes come to the driver."""
+    size = (F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes"))
+    whole = wanted.agg(*size).first()
+    if whole.n <= block_items and whole.bytes <= block_bytes:
+        return [wanted] if whole.n else []
+    slots = SLOTS * max(-(-whole.n // block_items), -(-whole.bytes // block_bytes))
+    while True:
+        slot = F.pmod(F.xxhash64("item_id", "text"), F.lit(slots))
+        sizes = sorted(wanted.groupBy(slot.alias("slot")).agg(*size).collect())
+        if all(x.n == 1 or (x.n <= block_items and x.bytes <= block_bytes) for x in sizes):
+            break
+        slots *= 2
+    blocks, n, held = [], 0, 0
+    for x in sizes:
+        if not blocks or n + x.n > block_items or held + x.bytes > block_bytes:
+            blocks.append([x.slot, x.slot])
+            n = held = 0
+        blocks[-1][1] = x.slot
+        n, held = n + x.n, held + x.bytes
+    return [wanted.where(slot.between(first, last)) for first, last in blocks]
 
 
 def find_items(documents: DataFrame, benchmark: DataFrame, k: int = SHINGLE_WORDS, threshold: float = THRESHOLD,
-               block_items: int = BLOCK_ITEMS) -> DataFrame:
+               block_items: int = BLOCK_ITEMS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, item_id, n_found and n_shingles (of the item) of every hit.
 
     ``documents`` has doc_id and text, ``benchmark`` item_id and text. The benchmark comes to the
-    driver block by block; a benchmark over ``block_items`` items reads the documents once a block.
+    driver block by block (:func:`item_blocks`); the documents are read once a block.
     """
     spark = documents.sparkSession
     docs = documents.select("doc_id", "text")
     wanted = benchmark.select("item_id", "text").where("text IS NOT NULL AND item_id IS NOT NULL").distinct()
-    n = wanted.count()
-    n_blocks = -(-n // block_items)
     schema = "doc_id bigint, item_id bigint, n_found bigint, n_shingles bigint"
-    out = spark.createDataFrame([], schema)
-    for b in range(n_blocks):
-        part = wanted if n_blocks == 1 else wanted.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == b)
-        items = compile_items([(r[0], r[1].encode()) for r in part.collect()], k)
+    found = []
+    for block in item_blocks(wanted, block_items, block_bytes):
+        items = compile_items([(r[0], r[1].encode()) for r in block.collect()], k)
         if items.ids:
-            sent = Shared(spark, items)
-            out = out.union(docs.mapInArrow(_search(sent, k, threshold), schema)) if b else docs.mapInArrow(
-                _search(sent, k, threshold), schema
-            )
-    return out
+            found.append(docs.mapInArrow(_search(Shared(spark, items), k, threshold), schema))
+    return functools.reduce(DataFrame.union, found) if found else spark.createDataFrame([], schema)
 
 
 def _search(sent, k: int, threshold: float):
@@ -205,12 +230,15 @@ def _search(sent, k: int, threshold: float):
                 here = offsets[start : stop + 1]
                 hashes, word_at, _, _ = word_hashes(data, here)
                 values, at = shingle_hashes(hashes, word_at, k)
+                split, held = -1, set()
                 for row, item in sorted(candidates(items, values, at)):
                     # Few of a row's shingles settle most chance candidates, without its words.
                     mine = items.shingles[item]
                     if np.isin(mine, values[at[row] : at[row + 1]]).sum() < threshold * len(mine):
                         continue
-                    n, of = contained(items, item, data[here[row] : here[row + 1]].tobytes(), k)
+                    if row != split:  # a row's own shingles, once for all its candidates
+                        split, held = row, shingle_set(words_of(data[here[row] : here[row + 1]].tobytes()), k)
+                    n, of = contained(items, item, held, k)
                     if n >= threshold * of:
                         out.append((ids[start + row], items.ids[item], n, of))
             columns = list(zip(*out)) if out else [()] * 4

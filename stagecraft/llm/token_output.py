@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stagecraft.llm.common import PartEncoder, new_folder, text_slices
+from stagecraft.llm.common import PartEncoder, new_folder, qualified, text_slices
 
 MAGIC = b"TOKPACK1"
 HEAD = "<6Q"
@@ -218,6 +218,7 @@ def write_tokens(documents: DataFrame, tokenizer_file: str, folder: str, end_id:
     from tokenizers import Tokenizer
 
     spark = documents.sparkSession
+    folder = qualified(spark, folder)
     with open(tokenizer_file, encoding="utf-8") as f:
         spec = f.read()
     bits = bits_for(max(Tokenizer.from_str(spec).get_vocab_size(with_added_tokens=True), end_id + 1))
@@ -235,7 +236,7 @@ def write_tokens(documents: DataFrame, tokenizer_file: str, folder: str, end_id:
 
 
 def open_folder(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    """File system and path of a folder's URI (a path without a scheme is local)."""
+    """File system and path of a folder's qualified URI (``file:/..`` is local)."""
     if "://" in uri:
         return pyarrow.fs.FileSystem.from_uri(uri)
     return pyarrow.fs.LocalFileSystem(), uri.removeprefix("file:")

@@ -159,6 +159,18 @@ def test_token_files_against_the_library(spark, tmp_path):
         start += x["n_tokens"]
 
 
+def test_paths_of_the_default_file_system_are_qualified(spark, tmp_path):
+    conf = spark._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    assert token_output.open_folder(common.qualified(spark, str(tmp_path)))[1] == str(tmp_path)
+    try:
+        conf.set("fs.defaultFS", "hdfs://localhost:8020")  # nothing connects
+        assert common.qualified(spark, "/checkpoints/x") == "hdfs://localhost:8020/checkpoints/x"
+        assert common.qualified(spark, f"file:{tmp_path}") == f"file:{tmp_path}"
+    finally:
+        conf.set("fs.defaultFS", before)
+
+
 def test_token_files_of_an_empty_table(spark, tmp_path):
     docs = odd_documents(spark).limit(0)
     assert token_output.write_tokens(docs, P.path("byte_bpe_50k.json"), f"file://{tmp_path}/t").count() == 0
@@ -570,6 +582,18 @@ def test_sentencepiece_rows(spark):
 
 
 # -- 10: decontamination -----------------------------------------------------
+def test_item_blocks_keep_both_bounds(spark):
+    r = random.Random(5)
+    rows = [(i, "w" * r.choice([0, 5, 90, 400])) for i in range(200)] + [(900, "w" * 5000), (900, "v" * 5000)]
+    wanted = spark.createDataFrame(rows, "item_id bigint, text string")
+    blocks = [[tuple(x) for x in b.collect()] for b in decontaminate.item_blocks(wanted, 30, 2000)]
+    assert sorted(x for b in blocks for x in b) == sorted(rows)
+    assert all(len(b) == 1 or (len(b) <= 30 and sum(len(t) for _, t in b) <= 2000) for b in blocks)
+    assert len(blocks) < 40  # 44,000 bytes or so: blocks are filled
+    assert decontaminate.item_blocks(wanted.limit(0), 30, 2000) == []
+    assert len(decontaminate.item_blocks(wanted, 1000, 1 << 20)) == 1
+
+
 def test_decontamination_against_brute_force(spark):
     r = random.Random(11)
     vocabulary = [f"v{i}" for i in range(3000)]
@@ -593,9 +617,9 @@ def test_decontamination_against_brute_force(spark):
             v = shingles(u, 5)
             if j is not None and v and len(s & v) >= 0.8 * len(v):
                 expected.add((i, j, len(s & v), len(v)))
-    for block in (20_000, 9):  # one block of items, and several
-        got = {tuple(x) for x in decontaminate.find_items(frame, bench, block_items=block).collect()}
-        assert got == expected
+    for bounds in ({}, {"block_items": 9}, {"block_bytes": 3000}):  # one block of items, and several
+        found = decontaminate.find_items(frame, bench, **bounds)
+        assert {tuple(x) for x in found.collect()} == expected
     clean = {x["doc_id"] for x in decontaminate.decontaminate(frame, bench).collect()}
     assert clean == {i for i, _ in docs} - {i for i, *_ in expected if i is not None}
     assert decontaminate.find_items(frame.limit(0), bench).count() == 0
