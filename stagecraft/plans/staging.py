@@ -156,7 +156,12 @@ class StagePlan:
 
     @functools.cached_property
     def imputed(self) -> DataFrame:
-        rows = self.per_loan.select(KEY, F.explode("imputed").alias("row")).select(KEY, "row.*")
+        """The rows to write back: from ``per_loan`` if it is materialised, else all that is needed
+        is the filled timeline (no event, milestone or aggregate per loan)."""
+        if self._per_loan is not None:
+            rows = self._per_loan.select(KEY, F.explode("imputed").alias("row")).select(KEY, "row.*")
+        else:
+            rows = self.filled.where("NOT observed")
         return ev.imputed_rows(rows, self.params, self.impute_modified_by, self.entity_code)
 
     # -- events -------------------------------------------------------------

@@ -53,3 +53,13 @@ def test_both_sinks_follow_from_the_materialised_table(spark, fixture):
         assert "Scan ExistingRDD" in text
         assert not re.search("Exchange|Sort|Window|Aggregate|Join", text), text
     assert sorted(map(tuple, plan.stage_status.collect())) == sorted(map(tuple, lazy.stage_status.collect()))
+
+
+@pytest.mark.parametrize("fixture", [natural_inputs, archetype_inputs])
+def test_imputed_rows_need_the_filled_timeline_only(spark, static_planning, fixture):
+    inputs, params = fixture(spark, SF_SMALL)
+    lazy = StagePlan(inputs, params)
+    text = "\n".join(executed(lazy.imputed))
+    assert "collect_list" not in text and len(re.findall(r"Window \[", text)) <= 2, text
+    from_loans = StagePlan(inputs, params, per_loan=lazy.per_loan)
+    assert sorted(map(str, lazy.imputed.collect())) == sorted(map(str, from_loans.imputed.collect()))
