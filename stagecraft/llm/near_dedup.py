@@ -13,10 +13,11 @@ Two documents are linked if the Jaccard similarity of their sets of distinct k-w
    far below the threshold), then its full sets are compared exactly.
 5. Links become groups by alternating large-star and small-star.
 6. The classes of buckets that still hold several groups go through one exact set-similarity join
-   on their shingles (rarest first; prefix, length and positional filters, and one bit of each
-   minimum, compared inside the join), which makes each pair of different groups once and leaves
-   none that has the similarity untried (but for six standard deviations). Its links merge
-   groups in one more computation of components. So there are two passes, however the links lie.
+   on their shingles (rarest first; prefix, length and positional filters, parities of the sets
+   and one bit of each minimum, compared inside the join), which leaves no pair of different
+   groups that has the similarity untried (but for six standard deviations of the minima's bits;
+   parities are a bound). Its links merge groups in one more computation of components. So there
+   are two passes, however the links lie.
 
 The work of step 6 grows with the classes outside a family's largest group times those inside it,
 for families whose similarities lie around the threshold.
@@ -62,6 +63,9 @@ BANDS, ROWS = 42, 6
 # Checks of signatures give way by so many standard deviations.
 DEVIATIONS = 6
 BIT_WORDS = -(-BANDS * ROWS // 64)
+# Parities of a set, and sets that are counted at once.
+PARITY_WORDS = 8
+PARITY_ROWS = 4096
 FACTORS, TERMS = universal_family(BANDS * ROWS)
 
 
@@ -112,6 +116,22 @@ def low_bits(lows: np.ndarray) -> np.ndarray:
     return packed.view(np.int64)
 
 
+def parities(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """For each of PARITY_WORDS * 64 ranges of hashes, whether an odd number of a set's are in it, packed.
+
+    A hash that is in one of two sets alone changes one parity, one in both none: two sets differ in
+    at least as many hashes as parities."""
+    width = 64 * PARITY_WORDS
+    out = np.zeros((len(at) - 1, PARITY_WORDS), dtype=np.int64)
+    for start in range(0, len(out), PARITY_ROWS):
+        ends = at[start : start + PARITY_ROWS + 1]
+        held = values[ends[0] : ends[-1]] // np.uint64((1 << 64) // width)
+        place = np.repeat(np.arange(len(ends) - 1) * width, np.diff(ends)) + held.astype(np.int64)
+        odd = (np.bincount(place, minlength=(len(ends) - 1) * width) & 1).astype(np.uint8)
+        out[start : start + PARITY_ROWS] = np.packbits(odd.reshape(-1, width), axis=1).view(np.int64)
+    return out
+
+
 def _sign(k: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -151,13 +171,15 @@ def _sets(k: int):
             for start, stop in pieces(offsets):
                 values, at = shingle_sets(data, offsets[start : stop + 1], k)
                 a, b = fingerprints(values, at)
+                ends = pa.array(np.arange(len(at), dtype=np.int32) * PARITY_WORDS)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(a),
                         pa.array(b),
                         pa.array([values[x:y].tobytes() for x, y in zip(at[:-1], at[1:])], pa.binary()),
+                        pa.ListArray.from_arrays(ends, pa.array(parities(values, at).ravel())),
                     ],
-                    names=["a", "b", "hashes"],
+                    names=["a", "b", "hashes", "parities"],
                 )
         release()
 
@@ -320,9 +342,9 @@ def near_duplicates(
     )
     sets = written(
         bloom_semi_join(texts, wanted.select(F.col("first_id").alias("doc_id")), "doc_id")
-        .mapInArrow(_sets(k), "a bigint, b bigint, hashes binary")
+        .mapInArrow(_sets(k), "a bigint, b bigint, hashes binary, parities array<bigint>")
         .join(wanted, ["a", "b"])
-        .select("node", "hashes")
+        .select("node", "hashes", "parities")
         .dropDuplicates(["node"]),
         "sets",
     )
@@ -395,7 +417,8 @@ def _meeting(search: _Search, placed: DataFrame) -> DataFrame:
     """The rows of :func:`prefixes` whose shingle classes of several groups have, with the class's
     group and the shingle's largest group."""
     bits = search.classes.select("node", *[F.get("bits", F.lit(i)).alias(f"bits{i}") for i in range(BIT_WORDS)])
-    rows = search.scratch.written(search.grouped(placed, "node", "group").join(bits, "node"), "prefixes")
+    odd = search.sets.select("node", *[F.get("parities", F.lit(i)).alias(f"odd{i}") for i in range(PARITY_WORDS)])
+    rows = search.scratch.written(search.grouped(placed, "node", "group").join(bits, "node").join(odd, "node"), "prefixes")
     held = (
         rows.groupBy("shingle", "group")
         .agg(F.count("*").alias("size"))
@@ -411,13 +434,18 @@ def prefix_pairs(meeting: DataFrame, percent: int) -> DataFrame:
     """Pairs (u, v) of classes of different groups: at least all that have the similarity. The
     shorter set has fewer shingles to meet in than the longer one."""
     shorter = meeting.where(f"{100 + percent} * (n - at) >= {2 * percent} * n")
-    bits = lambda side: [f"bits{i} AS {side}{i}" for i in range(BIT_WORDS)]
+    bits = lambda side: [
+        *[f"bits{i} AS {side}{i}" for i in range(BIT_WORDS)],
+        *[f"odd{i} AS {side}odd{i}" for i in range(PARITY_WORDS)],
+    ]
     shorter = shorter.selectExpr("shingle", "node AS v", "group AS gv", "n AS nv", "n - at AS rv", "largest AS lv", *bits("y"))
     longer = meeting.selectExpr("shingle", "node AS u", "group AS gu", "n AS nu", "n - at AS ru", "largest AS lu", *bits("x"))
     differ = " + ".join(f"bit_count(x{i} ^ y{i})" for i in range(BIT_WORDS))
+    # Sets that have the similarity differ in (100 - percent) / (100 + percent) * (n + m) shingles at most.
+    apart = " + ".join(f"bit_count(xodd{i} ^ yodd{i})" for i in range(PARITY_WORDS))
     enough = (
         f"(nu > nv OR (nu = nv AND u > v)) AND gu <> gv AND {100 + percent} * least(ru, rv) >= {percent} * (nu + nv) "
-        f"AND {differ} <= {most_bits(percent)}"
+        f"AND {100 + percent} * ({apart}) <= {100 - percent} * (nu + nv) AND {differ} <= {most_bits(percent)}"
     )
     # A member of the largest group meets those outside it only.
     outer = longer.where("gu <> lu").join(shorter, "shingle")

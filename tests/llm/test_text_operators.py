@@ -281,6 +281,54 @@ def test_near_duplicates_of_one_large_family_take_few_passes(spark):
     assert jobs < 150
 
 
+def test_near_duplicates_parities_bound_the_difference():
+    """Two sets differ in at least as many hashes as parities, whatever their sizes."""
+    r = np.random.default_rng(3)
+    pool = np.unique(r.integers(0, 1 << 64, 6000, dtype=np.uint64))
+    sets = [np.sort(r.choice(pool, n, replace=False)) for n in (0, 1, 2, 40, 150, 150, 900, 5000)]
+    sets += [sets[4][10:], np.sort(np.concatenate([sets[4][20:], pool[:20]])), *[pool[i : i + 1] for i in range(near_dedup.PARITY_ROWS)]]
+    packed = near_dedup.parities(np.concatenate(sets), np.cumsum([0, *map(len, sets)]))
+    assert packed.shape == (len(sets), near_dedup.PARITY_WORDS)
+    bits = np.unpackbits(packed.view(np.uint8), axis=1)
+    for i, x in enumerate(sets[:12]):
+        for j, y in enumerate(sets):
+            apart = int((bits[i] != bits[j]).sum())
+            assert apart <= len(np.setxor1d(x, y)) and (apart - len(np.setxor1d(x, y))) % 2 == 0
+
+
+def test_near_duplicates_pairs_of_a_family_under_the_threshold(spark):
+    """Copies of one text that are all under the threshold, and some over it, share frequent shingles:
+    the exact join makes few pairs besides those that are linked."""
+    r = random.Random(4)
+    base = [f"b{i}" for i in range(140)]
+    sets = []
+    for i in range(150):
+        out = set(r.sample(range(140), 12))  # 0.70 to 0.72 between two of them
+        sets.append({w for j, w in enumerate(base) if j not in out} | {f"o{i}x{j}" for j in range(12)})
+    sets += [{*sorted(sets[i])[:-2], f"n{i}"} for i in range(10)]
+    hashes = [np.sort(np.array([xxhash.xxh64_intdigest(w) for w in x], dtype=np.uint64)) for x in sets]
+    at = np.cumsum([0, *map(len, hashes)])
+    values = np.concatenate(hashes)
+    lows = near_dedup.low_bits(near_dedup.signatures(values, at)[1])
+    times = collections.Counter(values.tolist())
+    rows = []
+    for node, own in enumerate(hashes):
+        n = len(own)
+        for place, x in enumerate(sorted(own.tolist(), key=lambda x: (times[x], x))):
+            if times[x] > 1 and 100 * (n - place) >= 80 * n:
+                shingle = int(np.uint64(x).astype(np.int64))
+                rows.append((shingle, node, node, n, place, -1, *lows[node].tolist(), *near_dedup.parities(own, np.array([0, n]))[0].tolist()))
+    bits = [f"bits{i} bigint" for i in range(near_dedup.BIT_WORDS)] + [f"odd{i} bigint" for i in range(near_dedup.PARITY_WORDS)]
+    meeting = spark.createDataFrame(rows, "shingle bigint, node bigint, group bigint, n bigint, at bigint, largest bigint, " + ", ".join(bits))
+    # Every set is a group of its own, and none is the largest.
+    pairs = near_dedup.prefix_pairs(meeting, 80).collect()
+    distinct = {(min(p), max(p)) for p in pairs}
+    jaccard = lambda x, y: len(x & y) / len(x | y)
+    linked = {(i, j) for j in range(len(sets)) for i in range(j) if jaccard(sets[i], sets[j]) >= 0.8}
+    assert len(linked) >= 10 and linked <= distinct
+    assert len(distinct) < 0.1 * len(sets) ** 2 / 2
+
+
 def test_near_duplicates_odd_inputs(spark):
     docs = odd_documents(spark)
     got = [(x["doc_id"], x["n_shingles"], x["component_id"], x["kept"]) for x in near_dedup.near_duplicates(docs, k=4).collect()]
