@@ -31,7 +31,9 @@ import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +58,12 @@ SHARD_IDS = 4_000_000
 AFTER_SPACE = [" " + c for c in " \t\n\x0b\x0c\r\x85\xa0"]
 # Characters whose classes all Unicode versions agree on; a text with others is encoded whole.
 SETTLED = re.compile("[^\\x00-\\u024f\\u2010-\\u2027\\u20a0-\\u20ac]")
+# Letters, then ASCII marks but no apostrophe: after a space these are two pre-tokens at most.
+PLAIN = re.compile("([A-Za-z\\u00c0-\\u00d6\\u00d8-\\u00f6\\u00f8-\\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
+# The characters that stand for bytes in byte-level files, where they aren't the byte's own.
+UNPRINTED = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+BYTE_CHARS = {b: chr(256 + i) for i, b in enumerate(UNPRINTED)}
+AFTER = BYTE_CHARS[ord(" ")]
 
 
 # -- packing -----------------------------------------------------------------
@@ -149,6 +157,7 @@ class Encoder:
         self.bytes_of = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), dtype=np.int64)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
             self.bytes_of[i] = len(token)  # byte-level: a character stands for a byte
+        self.model = self.tokenizer.model
         self.by_parts = PartEncoder(self.parts, limit=MEMO_PARTS)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
@@ -165,13 +174,15 @@ class Encoder:
 
     def parts(self, keys: list[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
         """Ids of parts, in groups (keys, all ids, number of each). A key stands for itself after
-        a space; one that begins with a space stands for the rest of it, a text's start. Parts
-        after a space are joined and encoded in one go, and cut at their lengths in bytes."""
+        a space; one that begins with a space stands for the rest of it, a text's start. Of plain
+        words the library's model gets the pre-tokens; other parts after a space are joined and
+        encoded in one go, and cut at their lengths in bytes."""
         starts = [k for k in keys if k[0] == " "]
         if starts:
             found = self.whole([k[1:] for k in starts])
             yield starts, np.concatenate(found), np.array([len(f) for f in found], dtype=np.int64)
-        later = [k for k in keys if k[0] != " "]
+        later: list[str] = []
+        yield from self.plain((k for k in keys if k[0] != " "), later)
         for i in range(0, len(later), JOINED_PARTS):
             group = later[i : i + JOINED_PARTS]
             text = " " + " ".join(group)
@@ -180,6 +191,29 @@ class Encoder:
             cut = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends + np.arange(1, len(group) + 1)) + 1
             yield group, ids, np.diff(cut, prepend=0)
 
+    def plain(self, keys: Iterator[str], others: list[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+        """The group of :meth:`parts` whose keys match PLAIN; the rest goes to ``others``."""
+        group: list[str] = []
+        ids, sizes = array("I"), array("q")
+        ends: dict[str, list[int]] = {"": []}  # of the marks
+        tokenize, match, id_of = self.model.tokenize, PLAIN.fullmatch, attrgetter("id")
+        for key in keys:
+            found = match(key)
+            if not found:
+                others.append(key)
+                continue
+            word, marks = found.groups()
+            if not word.isascii():
+                word = word.encode().decode("latin-1").translate(BYTE_CHARS)
+            if marks not in ends:
+                ends[marks] = [t.id for t in tokenize(marks)]
+            own = [*map(id_of, tokenize(AFTER + word)), *ends[marks]]
+            ids.extend(own)
+            sizes.append(len(own))
+            group.append(key)
+        if group:
+            yield group, np.array(ids, dtype=np.uint32), np.array(sizes, dtype=np.int64)
+
     def regular(self, text: str) -> bool:
         """Whether the text can be encoded in parts."""
         return not (

@@ -159,6 +159,30 @@ def test_token_files_against_the_library(spark, tmp_path):
         start += x["n_tokens"]
 
 
+def test_plain_words_reach_the_model_as_pre_tokens():
+    """Letters and marks after them: ids as the library's, and no words are joined for it."""
+    with open(P.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        encoder = token_output.Encoder(f.read())
+    r = random.Random(8)
+    letters = [chr(c) for c in range(0x41, 0x250) if token_output.PLAIN.fullmatch(chr(c))]
+    assert len(letters) == 52 + 0x250 - 0xC0 - 2 and all(c.isalpha() for c in letters)
+    marks = [chr(c) for c in range(33, 127) if token_output.PLAIN.fullmatch("a" + chr(c)) and not chr(c).isalpha()]
+    assert len(marks) == 32 - 1  # no apostrophe
+    plain = ["".join(r.choices(letters, k=r.randint(1, 9))) + "".join(r.choices(marks, k=r.choice([0, 0, 1, 2, 5]))) for _ in range(3000)]
+    plain += [c + m for c in "aZ\u00e9\u0101" for m in ["", *marks]] + letters
+    other = ["it's", "a1", "1a", "x.y", "\u00d7", "\u00aa", "(a)", "l'\u00e9t\u00e9", "we'll.", "a\nb", "."]
+    texts = [" " + " ".join(r.sample(plain, 40)) for _ in range(200)] + [" " + " ".join(plain), plain[0], " ".join(plain[:9])]
+    texts += [" ".join(r.sample(plain + 50 * other, 30)) for _ in range(200)]
+    whole, given = encoder.whole, []
+    encoder.whole = lambda texts: given.extend(texts) or whole(texts)
+    ids, sizes = encoder(texts[:201])
+    assert not given
+    more, more_sizes = encoder(texts[201:])
+    expected = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert np.concatenate([sizes, more_sizes]).tolist() == list(map(len, expected))
+    assert np.concatenate([ids, more]).tolist() == [i for of in expected for i in of]
+
+
 def test_paths_of_the_default_file_system_are_qualified(spark, tmp_path):
     conf = spark._jsc.hadoopConfiguration()
     before = conf.get("fs.defaultFS")
