@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import itertools
 import tempfile
@@ -114,6 +115,18 @@ class Scratch:
         self.drop(*[name for name in self._paths if name not in but])
 
 
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Queries made in here delete their shuffle files when they end."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    old = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if old is None else spark.conf.set(name, old)
+
+
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     """True for the documents a model must not learn from; a null id is held out too."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % modulus == remainder, F.lit(True))

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stagecraft.llm.bloom import bloom_semi_join, with_maybe
-from stagecraft.llm.common import Scratch, written
+from stagecraft.llm.common import Scratch, shuffles_dropped, written
 
 SHINGLE_WORDS = 5
 BUCKETS = 1 << 14
@@ -180,13 +180,14 @@ def deduplicate_lines(documents: DataFrame, count_column: str = "removed_lines")
     if count_column.lower() in (c.lower() for c in documents.columns):
         raise ValueError(f"documents has a column {count_column} already")
     scratch = Scratch(documents.sparkSession)
-    gone = written(
-        removed_lines(documents, scratch)
-        .groupBy("doc_id", "spread")
-        .agg(F.collect_set("line_no").alias("line_nos"))
-        .select(F.col("doc_id").alias("gone_id"), F.col("spread").alias("gone_spread"), "line_nos"),
-        "gone",
-    )
+    with shuffles_dropped(documents.sparkSession):  # the tables on the way are on disk already
+        gone = written(
+            removed_lines(documents, scratch)
+            .groupBy("doc_id", "spread")
+            .agg(F.collect_set("line_no").alias("line_nos"))
+            .select(F.col("doc_id").alias("gone_id"), F.col("spread").alias("gone_spread"), "line_nos"),
+            "gone",
+        )
     scratch.drop_all()
     columns = [F.col(c) for c in documents.columns]
     keyed = documents.select(F.struct(*columns).alias("row")).withColumn("gone_spread", F.xxhash64("row.text"))

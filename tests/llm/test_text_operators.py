@@ -105,6 +105,22 @@ def test_line_dedup_against_brute_force(spark):
     assert {x["doc_id"]: x["text"] for x in line_dedup.deduplicate_lines(docs).collect()} == expected
 
 
+def test_line_dedup_leaves_no_shuffle_files_of_its_steps(spark):
+    rows = [(i, f"{LONG[: 60 + 7 * (i % 9)]}\nown line {i} of this text") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {m for m in re.findall(r"shuffle_(\d+)_", disk.getAllFiles().mkString(" "))}
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = shuffles(), spark.conf.get(name, None)
+    scratch = common.Scratch(spark)
+    with common.shuffles_dropped(spark):
+        assert line_dedup.removed_lines(docs, scratch).count() > 0
+    assert not shuffles() - before
+    line_dedup.deduplicate_lines(docs)
+    assert len(shuffles() - before) <= 4  # of the result's own filter
+    assert spark.conf.get(name, None) == was
+
+
 def test_line_dedup_odd_inputs(spark):
     rows = [x for i, x in enumerate(ODD) if i != 5]
     docs = odd_documents(spark, rows)
