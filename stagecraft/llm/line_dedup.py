@@ -46,8 +46,10 @@ def lines_of(texts: DataFrame, among: str = "true") -> DataFrame:
     word, among those that meet a condition on ``line_no``."""
     hashed = texts.where("text IS NOT NULL").withColumn("spread", F.xxhash64("text"))  # once a text, not once a line
     lines = hashed.select("*", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).where(among)
+    # A condition on the hashes would be pushed below them, and so hash every line twice.
+    lines = lines.where(F.trim("line") != "")
     words = F.expr("transform(array_remove(split(line, ' '), ''), x -> xxhash64(x))")
-    return lines.select(*LINE, words.alias("h")).where("size(h) > 0")
+    return lines.select(*LINE, words.alias("h"))
 
 
 def with_tokens(lines: DataFrame) -> DataFrame:
@@ -59,6 +61,11 @@ def with_tokens(lines: DataFrame) -> DataFrame:
     return lines.withColumn("p", pairs).select(*LINE, F.array_distinct(fives).alias("tokens"))
 
 
+def bucket_of(token: Column) -> Column:
+    """The rarity bucket of a token, one of ``BUCKETS``."""
+    return token.bitwiseAND(BUCKETS - 1).cast("int")
+
+
 def rarity_table(lines: DataFrame) -> list[int]:
     """For each bucket of token hashes, a class from 0 (rare) to 63, by the logarithm of its count."""
     at = lines.select("h", F.expr(f"explode(sequence(0, greatest(size(h) - {SHINGLE_WORDS}, 0)))").alias("i"))
@@ -66,7 +73,7 @@ def rarity_table(lines: DataFrame) -> list[int]:
         "xxhash64(xxhash64(get(h, i), get(h, i + 1)),"
         " CASE WHEN size(h) > i + 2 THEN xxhash64(get(h, i + 2), get(h, i + 3)) END, get(h, i + 4))"
     )
-    rows = at.select(F.pmod(token, F.lit(BUCKETS)).alias("bucket")).groupBy("bucket").count().collect()  # BUCKETS rows at most
+    rows = at.select(bucket_of(token).alias("bucket")).groupBy("bucket").count().collect()  # BUCKETS rows at most
     mean = sum(r["count"] for r in rows) / BUCKETS
     table = [0] * BUCKETS
     for r in rows:
@@ -80,7 +87,8 @@ def in_order(table: list[int]) -> Column:
     upper = F.split(F.lit(",".join(str(rarity << 57) for rarity in table)), ",").cast("array<bigint>")  # folded once
 
     def key(x: Column) -> Column:
-        return F.get(upper, F.pmod(x, F.lit(BUCKETS)).cast("int")).bitwiseOR(F.shiftrightunsigned(x, 7))
+        found = F.get(upper, bucket_of(x)).bitwiseOR(F.shiftrightunsigned(x, 7))
+        return F.coalesce(found, F.lit(0).cast("bigint"))  # never null, and known to be: sorted as plain longs
 
     return F.sort_array(F.transform("tokens", key))
 
@@ -126,12 +134,16 @@ def removed_lines(documents: DataFrame, scratch: Scratch) -> DataFrame:
         ),
         "line-classes",
     )
+    # The prefixes, most of what lines and classes hold, stay on disk only until the shared tokens are found.
+    signed = written(signed.select(*LINE, "n", "a", "b"), "line-signs")
+    scratch.drop("lines")
     prefixes = classes.select("line", "n", F.posexplode("prefix").alias("place", "key")).withColumn("place", F.col("place") + 1)
     repeated = written(
         classes.select(F.explode("prefix").alias("key")).groupBy("key").count().where("count > 1").select("key"), "keys"
     )
     shared = written(bloom_semi_join(prefixes, repeated, "key"), "shared")
-    scratch.drop("keys")
+    classes = written(classes.drop("prefix"), "classes")
+    scratch.drop("keys", "line-classes")
 
     # Whole sets of the classes that share a token.
     wanted = written(
@@ -167,8 +179,8 @@ def removed_lines(documents: DataFrame, scratch: Scratch) -> DataFrame:
 
     judged = classes.join(matched.withColumn("gone", F.lit(True)), "line", "left")
     judged = written(judged.where("lines > 1 OR gone").select("a", "b", "n", "line", "gone"), "judged")
-    scratch.drop_all("lines", "judged")
-    found = with_maybe(signed.select(*LINE, "a", "b", "n"), "a", judged, "a").where("maybe").join(judged, ["a", "b", "n"])
+    scratch.drop_all("line-signs", "judged")
+    found = with_maybe(signed, "a", judged, "a").where("maybe").join(judged, ["a", "b", "n"])
     # Of a class without a match, lines that are the first one (or equal it as rows) stay.
     return found.where(F.col("gone") | (F.struct(*LINE) != F.col("line"))).select(*LINE).distinct()
 

@@ -135,6 +135,27 @@ def test_line_dedup_odd_inputs(spark):
     assert line_dedup.deduplicate_lines(docs.limit(0)).count() == 0
 
 
+def test_line_dedup_drops_prefixes_before_it_writes_sets(spark):
+    rows = [(i, f"{LONG[: 60 + 7 * (i % 9)]}\nown line {i} of this text") for i in range(60)]
+    alive = []
+
+    class Seen(common.Scratch):
+        def written(self, df, name):
+            if name == "line-sets":
+                alive.extend((x, spark.read.parquet(path).columns) for x, path in self._paths.items())
+            return super().written(df, name)
+
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert line_dedup.removed_lines(docs, Seen(spark)).count() > 0
+    assert alive and not [name for name, columns in alive if "prefix" in columns]
+
+
+def test_line_dedup_hashes_the_words_of_a_line_once(spark):
+    lines = line_dedup.lines_of(spark.createDataFrame([(1, "a  b\n \n c")], "doc_id bigint, text string"))
+    assert lines._jdf.queryExecution().optimizedPlan().toString().count("xxhash64(lambda") == 1
+    assert [(x["line_no"], len(x["h"])) for x in lines.orderBy("line_no").collect()] == [(0, 2), (2, 1)]
+
+
 def test_line_dedup_runs_no_python(spark):
     plan = line_dedup.line_dedup_query(spark, SF_SMALL)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
