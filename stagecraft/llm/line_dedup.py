@@ -4,14 +4,16 @@ A line's tokens are its distinct 5-word shingles (words are what spaces separate
 is one token). Two lines are similar if the Jaccard similarity of their token sets is 0.8 or more. A line
 that is similar to any earlier line goes, earlier by (doc_id, hash of the text, line number).
 
-1. Rarity: occurrences of all tokens of all lines, counted in ``BUCKETS`` hash buckets (a table of
-   fixed size that travels in the plan). Tokens are ordered by their bucket's count, then by hash:
-   one order for all lines, rare tokens first.
-2. Lines with equal sets are one class; only its first line can stay.
-3. Prefix filter: classes of n tokens that are similar to another share one of their first
-   n - ceil(0.8 n) + 1 tokens in that order. Tokens that are in one prefix only are dropped.
+1. Lines with equal sets are one class; only its first line can stay.
+2. Prefix filter: in any order of tokens that all lines keep, classes of n tokens that are similar
+   to another share one of their first n - ceil(0.8 n) + 1 tokens. In the order of hashes, which
+   costs nothing but a sort, it finds the classes that may have a match; only they go on.
+3. Rarity: occurrences of all their tokens, counted in ``BUCKETS`` hash buckets (a table of fixed
+   size that travels in the plan). They are ordered by their bucket's count, then by hash, rare
+   tokens first, and pairs share a token of the prefixes in that order.
 4. Length filter (sizes within 0.8) and positional filter (what follows the shared token in
-   either set must suffice) hold for each candidate pair before it leaves the join.
+   either set must suffice) hold for each candidate pair before it leaves the join; where all
+   common tokens of two prefixes are known, they and what follows the last one must suffice.
 5. Verification counts the common tokens of the two whole sets.
 
 Pairs in a hot group: every class is first compared with the earliest one that shares a token;
@@ -31,7 +33,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stagecraft.llm.bloom import bloom_semi_join, with_maybe
+from stagecraft.llm.bloom import with_maybe
 from stagecraft.llm.common import Scratch, shuffles_dropped, written
 
 SHINGLE_WORDS = 5
@@ -66,14 +68,16 @@ def bucket_of(token: Column) -> Column:
     return token.bitwiseAND(BUCKETS - 1).cast("int")
 
 
-def rarity_table(lines: DataFrame) -> list[int]:
+def prefix_of(tokens: str) -> Column:
+    """Those of a line's tokens, given in order, of which a similar line's prefix has one at least."""
+    n = F.size(tokens)
+    return F.slice(tokens, F.lit(1), (n - F.floor((4 * n + 4) / 5) + 1).cast("int"))
+
+
+def rarity_table(sets: DataFrame) -> list[int]:
     """For each bucket of token hashes, a class from 0 (rare) to 63, by the logarithm of its count."""
-    at = lines.select("h", F.expr(f"explode(sequence(0, greatest(size(h) - {SHINGLE_WORDS}, 0)))").alias("i"))
-    token = F.expr(
-        "xxhash64(xxhash64(get(h, i), get(h, i + 1)),"
-        " CASE WHEN size(h) > i + 2 THEN xxhash64(get(h, i + 2), get(h, i + 3)) END, get(h, i + 4))"
-    )
-    rows = at.select(bucket_of(token).alias("bucket")).groupBy("bucket").count().collect()  # BUCKETS rows at most
+    token = sets.select(F.explode("tokens").alias("token"))
+    rows = token.groupBy(bucket_of(F.col("token")).alias("bucket")).count().collect()  # BUCKETS rows at most
     mean = sum(r["count"] for r in rows) / BUCKETS
     table = [0] * BUCKETS
     for r in rows:
@@ -98,9 +102,10 @@ def similar(common: Column, n: Column, m: Column) -> Column:
     return 9 * common >= 4 * (n + m)
 
 
-def _candidates(later: DataFrame, earlier: DataFrame) -> DataFrame:
+def _candidates(later: DataFrame, earlier: DataFrame, whole: bool) -> DataFrame:
     """Pairs of classes (line, other) that share a prefix token and pass the length and positional
-    filters. Columns of both: key, line (struct), n, place (from 1)."""
+    filters. Columns of both: key, line (struct), n, place (from 1). ``whole``: ``earlier`` has
+    every row of its classes, so all tokens that two prefixes share are counted."""
     other = earlier.select("key", F.col("line").alias("other"), F.col("n").alias("m"), F.col("place").alias("there"))
     n, m = F.col("n"), F.col("m")
     fits = (
@@ -108,7 +113,12 @@ def _candidates(later: DataFrame, earlier: DataFrame) -> DataFrame:
         & (5 * F.least(n, m) >= 4 * F.greatest(n, m))
         & similar(1 + F.least(n - F.col("place"), m - F.col("there")), n, m)
     )
-    return later.join(other, "key").where(fits).select("line", "other").distinct()
+    found = later.join(other, "key").where(fits)
+    if not whole:
+        return found.select("line", "other").distinct()
+    last = [F.count("*").alias("common"), F.max("place").alias("place"), F.max("there").alias("there")]
+    enough = similar(F.col("common") + F.least(n - F.col("place"), m - F.col("there")), n, m)
+    return found.groupBy("line", "other", "n", "m").agg(*last).where(enough).select("line", "other")
 
 
 # -- the operator ------------------------------------------------------------
@@ -117,14 +127,17 @@ def removed_lines(documents: DataFrame, scratch: Scratch) -> DataFrame:
     result reads tables of ``scratch``."""
     written = scratch.written
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    lines = lines_of(texts)
-    table = rarity_table(lines)
-    ordered = with_tokens(lines).withColumn("tokens", in_order(table))
-    n = F.size("tokens")
-    prefix = F.slice("tokens", F.lit(1), (n - F.floor((4 * n + 4) / 5) + 1).cast("int"))
+
+    def sharing(prefixes: DataFrame) -> DataFrame:
+        """Rows of ``prefixes`` (a row per token, ``key``) whose token is in several of them."""
+        repeated = written(prefixes.groupBy("key").count().where("count > 1").select("key"), "keys")
+        return with_maybe(prefixes, "key", repeated, "key").where("maybe").drop("maybe").join(repeated, "key", "left_semi")
+
+    by_hash = with_tokens(lines_of(texts)).withColumn("tokens", F.sort_array("tokens"))
+    n = F.size("tokens").alias("n")
     signed = written(
-        ordered.select(
-            *LINE, n.alias("n"), F.xxhash64("tokens").alias("a"), F.hash("tokens").alias("b"), prefix.alias("prefix")
+        by_hash.select(
+            *LINE, n, F.xxhash64("tokens").alias("a"), F.hash("tokens").alias("b"), prefix_of("tokens").alias("prefix")
         ),
         "lines",
     )
@@ -137,30 +150,28 @@ def removed_lines(documents: DataFrame, scratch: Scratch) -> DataFrame:
     # The prefixes, most of what lines and classes hold, stay on disk only until the shared tokens are found.
     signed = written(signed.select(*LINE, "n", "a", "b"), "line-signs")
     scratch.drop("lines")
-    prefixes = classes.select("line", "n", F.posexplode("prefix").alias("place", "key")).withColumn("place", F.col("place") + 1)
-    repeated = written(
-        classes.select(F.explode("prefix").alias("key")).groupBy("key").count().where("count > 1").select("key"), "keys"
-    )
-    shared = written(bloom_semi_join(prefixes, repeated, "key"), "shared")
-    classes = written(classes.drop("prefix"), "classes")
-    scratch.drop("keys", "line-classes")
-
-    # Whole sets of the classes that share a token.
     wanted = written(
-        shared.select("line.*")
+        sharing(classes.select("line", F.explode("prefix").alias("key")))
+        .select("line.*")
         .groupBy("doc_id", "spread")
         .agg(F.collect_set("line_no").alias("wanted"))  # of one text
         .select(F.xxhash64("doc_id", "spread").alias("row"), "wanted"),
         "wanted",
     )
-    placed = texts.where("text IS NOT NULL").withColumn("row", F.xxhash64("doc_id", F.xxhash64("text")))
-    again = with_maybe(placed, "row", wanted, "row").where("maybe").join(wanted, "row").dropDuplicates(["row"])
+    classes = written(classes.drop("prefix"), "classes")
+    scratch.drop("keys", "line-classes")
+
+    # Whole sets of the classes that share a token, and their prefixes with rare tokens first.
+    numbered = texts.where("text IS NOT NULL").withColumn("row", F.xxhash64("doc_id", F.xxhash64("text")))
+    again = with_maybe(numbered, "row", wanted, "row").where("maybe").join(wanted, "row").dropDuplicates(["row"])
     sets = written(
-        with_tokens(lines_of(again.select("doc_id", "text", "wanted"), "array_contains(wanted, line_no)")).select(
-            "spread", "line_no", "tokens"
-        ),
-        "line-sets",
+        with_tokens(lines_of(again.select("doc_id", "text", "wanted"), "array_contains(wanted, line_no)")), "line-sets"
     )
+    rare_first = sets.withColumn("tokens", in_order(rarity_table(sets)))
+    prefixes = written(rare_first.select(F.struct(*LINE).alias("line"), n, prefix_of("tokens").alias("prefix")), "prefixes")
+    placed = prefixes.select("line", "n", F.posexplode("prefix").alias("place", "key")).withColumn("place", F.col("place") + 1)
+    shared = written(sharing(placed), "shared")
+    scratch.drop("keys", "prefixes")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         mine = sets.select(F.struct("spread", "line_no").alias("l"), F.col("tokens").alias("tl"))
@@ -173,9 +184,9 @@ def removed_lines(documents: DataFrame, scratch: Scratch) -> DataFrame:
         return written(both.where(similar(common, F.size("tl"), F.size("to"))).select("line").distinct(), name)
 
     first = shared.groupBy("key").agg(F.min(F.struct("line", "n", "place")).alias("c")).select("key", "c.*")
-    matched = verified(_candidates(shared, written(first, "firsts")), "matched")
+    matched = verified(_candidates(shared, written(first, "firsts"), whole=False), "matched")
     open_ = shared.join(matched, "line", "left_anti")
-    matched = matched.union(verified(_candidates(open_, shared), "matched-later"))
+    matched = matched.union(verified(_candidates(open_, shared, whole=True), "matched-later"))
 
     judged = classes.join(matched.withColumn("gone", F.lit(True)), "line", "left")
     judged = written(judged.where("lines > 1 OR gone").select("a", "b", "n", "line", "gone"), "judged")

@@ -156,6 +156,28 @@ def test_line_dedup_hashes_the_words_of_a_line_once(spark):
     assert [(x["line_no"], len(x["h"])) for x in lines.orderBy("line_no").collect()] == [(0, 2), (2, 1)]
 
 
+def test_line_dedup_orders_only_lines_that_may_match(spark, monkeypatch):
+    counted, rarity_table = [], line_dedup.rarity_table
+    monkeypatch.setattr(line_dedup, "rarity_table", lambda lines: counted.append(lines.count()) or rarity_table(lines))
+    long = " ".join("abcdefghijklmnopqrst")
+    rows = [(i, f"own line {i} of this text") for i in range(60)] + [(60, long), (61, f"{long} end")]
+    out = line_dedup.deduplicate_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert counted == [2]
+    assert [x["doc_id"] for x in out if x["removed_lines"]] == [61]
+
+
+def test_line_dedup_counts_all_tokens_that_prefixes_share(spark):
+    # 20 and 20 tokens, 19 common ones needed: prefixes share places 2 to 5, or only 4 and 5.
+    found = {}
+    for name, lost in (("near", 1), ("far", 3)):
+        mine = [(k, 2, 20, k + 1) for k in range(5)]
+        theirs = [(k if k >= lost else 100 + k, 1, 20, k + 1) for k in range(5)]
+        rows = spark.createDataFrame(mine + theirs, "key bigint, line int, n int, place int")
+        found[name] = [tuple(x) for x in line_dedup._candidates(rows, rows, whole=True).collect()]
+        assert line_dedup._candidates(rows, rows, whole=False).count() == 1 - (lost > 2)
+    assert found == {"near": [(2, 1)], "far": []}
+
+
 def test_line_dedup_runs_no_python(spark):
     plan = line_dedup.line_dedup_query(spark, SF_SMALL)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
