@@ -11,10 +11,12 @@ that is similar to any earlier line goes, earlier by (doc_id, hash of the text,
 3. Rarity: occurrences of all their tokens, counted in ``BUCKETS`` hash buckets (a table of fixed
    size that travels in the plan). They are ordered by their bucket's count, then by hash, rare
    tokens first, and pairs share a token of the prefixes in that order.
-4. Length filter (sizes within 0.8) and positional filter (what follows the shared token in
-   either set must suffice) hold for each candidate pair before it leaves the join; where all
+4. Length filter (sizes within 0.8), positional filter (what follows the shared token in
+   either set must suffice) and sketch filter (256 parities of each set: those that differ are
+   no more than the tokens that do) hold for each candidate pair before it leaves the join; where all
    common tokens of two prefixes are known, they and what follows the last one must suffice.
-5. Verification counts the common tokens of the two whole sets.
+   Pairs that share a frequent passage only grow with its square; the sketch drops nearly all of them there.
+5. Verification counts the common tokens of the two whole sets; only sets of lines in pairs are shuffled.
 
 Pairs in a hot group: every class is first compared with the earliest one that shares a token;
 only classes that found no match this way are compared with all earlier ones. So near copies of
@@ -40,6 +42,7 @@ SHINGLE_WORDS = 5
 BUCKETS = 1 << 14
 CLASSES = 64  # of rarity
 LINE = ["doc_id", "spread", "line_no"]
+SKETCH = ["parity_0", "parity_1", "parity_2", "parity_3"]
 
 
 # -- expressions -------------------------------------------------------------
@@ -97,21 +100,44 @@ def in_order(table: list[int]) -> Column:
     return F.sort_array(F.transform("tokens", key))
 
 
+def sketch_of(tokens: str) -> dict[str, Column]:
+    """``SKETCH``: a bit for each of 256 groups of tokens (by hash), whether their number is odd."""
+    odd = f"aggregate({tokens}, 0L, (s, x) -> if((x & 192L) = {{}}L, s ^ shiftleft(1L, cast(x & 63L AS int)), s))"
+    return {name: F.expr(odd.format(64 * i)) for i, name in enumerate(SKETCH)}
+
+
 def similar(common: Column, n: Column, m: Column) -> Column:
     """Jaccard similarity of 0.8 or more: 9 * common >= 4 * (n + m)."""
     return 9 * common >= 4 * (n + m)
 
 
-def _candidates(later: DataFrame, earlier: DataFrame, whole: bool) -> DataFrame:
-    """Pairs of classes (line, other) that share a prefix token and pass the length and positional
-    filters. Columns of both: key, line (struct), n, place (from 1). ``whole``: ``earlier`` has
-    every row of its classes, so all tokens that two prefixes share are counted."""
-    other = earlier.select("key", F.col("line").alias("other"), F.col("n").alias("m"), F.col("place").alias("there"))
+def may_be_similar(sketch: dict[str, str], n: Column, m: Column) -> Column:
+    """Whether two sketches (columns of one by columns of the other) allow :func:`similar`: sets differ in
+    n + m - 2 * common tokens, a ninth of n + m at most, and each bit that differs takes one of them."""
+    differing = F.lit(0)
+    for mine, other in sketch.items():
+        differing = differing + F.bit_count(F.col(mine).bitwiseXOR(F.col(other)))
+    return 9 * differing <= n + m
+
+
+def _candidates(later: DataFrame, earlier: DataFrame, whole: bool, sketch: list[str] = ()) -> DataFrame:
+    """Pairs of classes (line, other) that share a prefix token and pass the length, positional and
+    sketch filters. Columns of both: key, line (struct), n, place (from 1) and those of ``sketch``. ``whole``:
+    ``earlier`` has every row of its classes, so all tokens that two prefixes share are counted."""
+    theirs = {name: f"other_{name}" for name in sketch}
+    other = earlier.select(
+        "key",
+        F.col("line").alias("other"),
+        F.col("n").alias("m"),
+        F.col("place").alias("there"),
+        *[F.col(name).alias(to) for name, to in theirs.items()],
+    )
     n, m = F.col("n"), F.col("m")
     fits = (
         (F.col("other") < F.col("line"))
         & (5 * F.least(n, m) >= 4 * F.greatest(n, m))
         & similar(1 + F.least(n - F.col("place"), m - F.col("there")), n, m)
+        & may_be_similar(theirs, n, m)
     )
     found = later.join(other, "key").where(fits)
     if not whole:
@@ -167,26 +193,34 @@ def removed_lines(documents: DataFrame, scratch: Scratch) -> DataFrame:
     sets = written(
         with_tokens(lines_of(again.select("doc_id", "text", "wanted"), "array_contains(wanted, line_no)")), "line-sets"
     )
-    rare_first = sets.withColumn("tokens", in_order(rarity_table(sets)))
-    prefixes = written(rare_first.select(F.struct(*LINE).alias("line"), n, prefix_of("tokens").alias("prefix")), "prefixes")
-    placed = prefixes.select("line", "n", F.posexplode("prefix").alias("place", "key")).withColumn("place", F.col("place") + 1)
+    rare_first = sets.withColumns(sketch_of("tokens") | {"tokens": in_order(rarity_table(sets))})
+    line = F.struct(*LINE).alias("line")
+    prefixes = written(rare_first.select(line, n, *SKETCH, prefix_of("tokens").alias("prefix")), "prefixes")
+    placed = prefixes.select("line", "n", *SKETCH, F.posexplode("prefix").alias("place", "key"))
+    placed = placed.withColumn("place", F.col("place") + 1)
     shared = written(sharing(placed), "shared")
     scratch.drop("keys", "prefixes")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
-        mine = sets.select(F.struct("spread", "line_no").alias("l"), F.col("tokens").alias("tl"))
-        theirs = sets.select(F.struct("spread", "line_no").alias("o"), F.col("tokens").alias("to"))
-        content = lambda c: F.struct(F.col(f"{c}.spread"), F.col(f"{c}.line_no"))
-        both = (
-            pairs.withColumns({"l": content("line"), "o": content("other")}).join(mine, "l").join(theirs, "o")
-        )
+        """The lines of ``pairs`` that are similar to their other one. Only sets of lines in pairs are shuffled."""
+        pairs = written(pairs, "pairs")
+        content = lambda c: [F.col(f"{c}spread"), F.col(f"{c}line_no")]
+        paired = pairs.select(F.explode(F.array("line", "other")).alias("line"))
+        paired = paired.select(F.xxhash64(*content("line.")).alias("content"))
+        asked = with_maybe(sets.withColumn("content", F.xxhash64(*content(""))), "content", paired, "content").where("maybe")
+        mine = asked.select(F.struct(*content("")).alias("l"), F.col("tokens").alias("tl"))
+        theirs = asked.select(F.struct(*content("")).alias("o"), F.col("tokens").alias("to"))
+        keyed = pairs.withColumns({"l": F.struct(*content("line.")), "o": F.struct(*content("other."))})
+        both = keyed.join(mine, "l").join(theirs, "o")
         common = F.size(F.array_intersect("tl", "to"))
-        return written(both.where(similar(common, F.size("tl"), F.size("to"))).select("line").distinct(), name)
+        found = written(both.where(similar(common, F.size("tl"), F.size("to"))).select("line").distinct(), name)
+        scratch.drop("pairs")
+        return found
 
-    first = shared.groupBy("key").agg(F.min(F.struct("line", "n", "place")).alias("c")).select("key", "c.*")
-    matched = verified(_candidates(shared, written(first, "firsts"), whole=False), "matched")
+    first = shared.groupBy("key").agg(F.min(F.struct("line", "n", "place", *SKETCH)).alias("c")).select("key", "c.*")
+    matched = verified(_candidates(shared, written(first, "firsts"), whole=False, sketch=SKETCH), "matched")
     open_ = shared.join(matched, "line", "left_anti")
-    matched = matched.union(verified(_candidates(open_, shared, whole=True), "matched-later"))
+    matched = matched.union(verified(_candidates(open_, shared, whole=True, sketch=SKETCH), "matched-later"))
 
     judged = classes.join(matched.withColumn("gone", F.lit(True)), "line", "left")
     judged = written(judged.where("lines > 1 OR gone").select("a", "b", "n", "line", "gone"), "judged")

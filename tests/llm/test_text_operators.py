@@ -178,6 +178,39 @@ def test_line_dedup_counts_all_tokens_that_prefixes_share(spark):
     assert found == {"near": [(2, 1)], "far": []}
 
 
+def test_line_dedup_pairs_few_lines_that_share_a_passage(spark, monkeypatch):
+    # 8 tokens each; those of one head or one tail share 7 (9 * 7 < 4 * 16), all others 6.
+    pairs, _candidates = [], line_dedup._candidates
+
+    def counted(*args, **kwargs):
+        pairs.append((found := _candidates(*args, **kwargs)).count())
+        return found
+
+    monkeypatch.setattr(line_dedup, "_candidates", counted)
+    passage, long = " ".join("abcdefghij"), " ".join(f"w{i}" for i in range(30))
+    texts = [f"head{i // 16} {passage} tail{i % 16}" for i in range(256)] + [long, f"{long[:-3]}other"]
+    out = line_dedup.deduplicate_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    assert [x["doc_id"] for x in out if x["removed_lines"]] == [257]
+    assert 1 <= sum(pairs) < 256
+
+
+def test_line_dedup_sketches_allow_similar_sets(spark):
+    r, rows = random.Random(5), []
+    for _ in range(400):
+        n = r.choice([1, 2, 5, 9, 10, 40, 300, 2000])
+        mine = r.sample(range(-(1 << 63), 1 << 63, 1 << 40), n)
+        theirs = mine[: n - r.randint(0, n // 5)] + [r.getrandbits(62) for _ in range(r.randint(0, n // 6))]
+        rows.append((mine, theirs))
+    both = spark.createDataFrame(rows, "mine array<bigint>, theirs array<bigint>")
+    sketch = {name: f"other_{name}" for name in line_dedup.SKETCH}
+    both = both.withColumns(line_dedup.sketch_of("mine") | {sketch[k]: c for k, c in line_dedup.sketch_of("theirs").items()})
+    n, m = F.size("mine"), F.size("theirs")
+    like = line_dedup.similar(F.size(F.array_intersect("mine", "theirs")), n, m)
+    found = both.select(like.alias("like"), line_dedup.may_be_similar(sketch, n, m).alias("may")).collect()
+    assert sum(x["like"] for x in found) > 200
+    assert all(x["may"] for x in found if x["like"])
+
+
 def test_line_dedup_runs_no_python(spark):
     plan = line_dedup.line_dedup_query(spark, SF_SMALL)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
