@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from test_text_operators import groups_by_force, shingles
 
-from stagecraft.llm import queries, topk_search
+from stagecraft.llm import line_dedup, queries, topk_search
 from stagecraft.llm.line_dedup import deduplicate_lines
 
 TABLES = "documents embeddings pages benchmark labels".split()
@@ -177,6 +177,20 @@ def test_sentencepiece_stage_against_the_library(spark):
         assert list(x["ids"]) == library.encode(texts[x["doc_id"]])
 
 
+def test_line_stage_pairs_few_lines_that_share_a_passage(spark, monkeypatch):
+    pairs, _candidates = [], line_dedup._candidates
+
+    def counted(*args, **kwargs):
+        pairs.append((found := _candidates(*args, **kwargs)).count())
+        return found
+
+    monkeypatch.setattr(line_dedup, "_candidates", counted)
+    texts = [f"head{i // 8} a b c d e f g h i j tail{i % 8}" for i in range(64)]
+    docs = as_documents(spark, list(enumerate(texts)))
+    assert corpus_pipeline.lines(spark, docs, SF_SMALL).count() == 64  # none is similar to another
+    assert len(pairs) == 2 and sum(pairs) < 64
+
+
 def test_pipeline_stages_with_odd_documents(spark):
     rows = [(None, None, None, None, None), (1, None, "en", "a", 0), (2, "", "en", "a", 0), (3, "x y z" * 5000, None, None, 5), (3, "x y z" * 5000, None, None, 5)]
     docs = spark.createDataFrame(rows, spark.read.parquet(f"{SF_SMALL}/documents.parquet").schema)
